@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics this library re-expresses are batch programs only: no stream,
+watermark, window, state or late-data handling exists in them, so there is no
+streaming operator to build.  Every operator here is a DataFrame function and
+can be applied inside ``foreachBatch`` of a Structured Streaming query if a
+caller needs micro-batch updates.
+"""
