@@ -34,6 +34,9 @@ def with_ctes(body: str, *names: str) -> str:
     if not order:
         return body
     parts = ",\n".join(f"{n} AS MATERIALIZED (\n{CTES[n][0]}\n)" for n in order)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {parts},\n{stripped[5:]}"
     return f"WITH {parts}\n{body}"
 
 
@@ -102,3 +105,83 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, body: str, *ctes: str) -> None:
     ORACLE[name] = with_ctes(body, *ctes)
+
+
+# ------------------------------------------------------------------ graph CTEs
+
+for _kind in ("part", "supp"):
+    cte(f"degree_{_kind}", f"""
+SELECT node, CAST(sum(c) AS BIGINT) AS degree FROM (
+  SELECT u AS node, CASE WHEN u = v THEN 2 ELSE 1 END AS c FROM edges_{_kind}
+  UNION ALL SELECT v, 1 FROM edges_{_kind} WHERE u <> v) GROUP BY node""", [f"edges_{_kind}"])
+    cte(f"strength_{_kind}", f"""
+SELECT src AS node, CAST(sum(weight) AS DOUBLE) AS strength FROM sym_{_kind} GROUP BY src""", [f"sym_{_kind}"])
+    cte(f"wdeg_{_kind}", f"""
+SELECT node, CAST(sum(w) AS DOUBLE) AS weighted_degree FROM (
+  SELECT u AS node, weight * CASE WHEN u = v THEN 2 ELSE 1 END AS w FROM edges_{_kind}
+  UNION ALL SELECT v, weight FROM edges_{_kind} WHERE u <> v) GROUP BY node""", [f"edges_{_kind}"])
+    cte(f"simple_{_kind}", f"""
+SELECT DISTINCT least(u, v) AS u, greatest(u, v) AS v FROM edges_{_kind} WHERE u <> v""", [f"edges_{_kind}"])
+    cte(f"nb_{_kind}", f"""
+SELECT u AS a, v AS b FROM simple_{_kind} UNION ALL SELECT v, u FROM simple_{_kind}""", [f"simple_{_kind}"])
+    cte(f"clustering_{_kind}", f"""
+SELECT n.node,
+       CASE WHEN coalesce(d.d, 0) < 2 THEN 0.0
+            ELSE 2.0 * coalesce(t.t, 0) / (d.d * (d.d - 1)) END AS clustering
+FROM nodes_{_kind} n
+LEFT JOIN (SELECT a AS node, count(*) AS d FROM nb_{_kind} GROUP BY a) d ON n.node = d.node
+LEFT JOIN (SELECT x.a AS node, count(*) AS t FROM nb_{_kind} x JOIN nb_{_kind} y ON x.a = y.a AND x.b < y.b
+           JOIN simple_{_kind} s ON s.u = x.b AND s.v = y.b GROUP BY x.a) t ON n.node = t.node""",
+        [f"nodes_{_kind}", f"nb_{_kind}", f"simple_{_kind}"])
+    cte(f"comp_{_kind}", f"""
+SELECT node, min(root) AS component FROM (
+  WITH RECURSIVE reach(node, root) AS (
+    SELECT node, node FROM nodes_{_kind}
+    UNION
+    SELECT s.dst, r.root FROM reach r JOIN sym_{_kind} s ON r.node = s.src)
+  SELECT node, root FROM reach) GROUP BY node""", [f"nodes_{_kind}", f"sym_{_kind}"])
+    cte(f"trans_{_kind}", f"""
+SELECT s.src, s.dst, CAST(s.weight AS DOUBLE) / o.sw AS t
+FROM sym_{_kind} s JOIN (SELECT src, sum(weight) AS sw FROM sym_{_kind} GROUP BY src) o ON s.src = o.src
+WHERE o.sw > 0""", [f"sym_{_kind}"])
+    cte(f"ddist_{_kind}", f"""
+SELECT degree, n_nodes, n_nodes / tot AS share, cum / tot AS cdf, (tot - cum) / tot AS ccdf FROM (
+  SELECT degree, n_nodes, CAST(sum(n_nodes) OVER (ORDER BY degree) AS DOUBLE) AS cum,
+         CAST(sum(n_nodes) OVER () AS DOUBLE) AS tot
+  FROM (SELECT degree, CAST(count(*) AS BIGINT) AS n_nodes FROM degree_{_kind} GROUP BY degree))""",
+        [f"degree_{_kind}"])
+
+
+def pagerank_sql(kind: str, rounds: int, damping: float = 0.85) -> str:
+    """Unrolled PageRank CTE chain ending in pr{rounds}(node, x)."""
+    parts = [f"pr0 AS MATERIALIZED (SELECT node, 1.0 / (SELECT count(*) FROM nodes_{kind}) AS x FROM nodes_{kind})"]
+    for k in range(1, rounds + 1):
+        parts.append(f"""pr{k} AS MATERIALIZED (
+  SELECT n.node, {damping} * coalesce(y.y, 0.0) + {1 - damping} / (SELECT count(*) FROM nodes_{kind}) AS x
+  FROM nodes_{kind} n LEFT JOIN (SELECT t.dst AS node, sum(p.x * t.t) AS y FROM trans_{kind} t
+  JOIN pr{k - 1} p ON t.src = p.node GROUP BY t.dst) y ON n.node = y.node)""")
+    return ",\n".join(parts)
+
+
+def hits_sql(kind: str, rounds: int) -> str:
+    """Unrolled HITS CTE chain ending in h{rounds}, a{rounds} (node, x)."""
+    def spread(src: str, name: str) -> str:
+        return f"""{name}_raw AS MATERIALIZED (
+  SELECT n.node, coalesce(y.y, 0.0) AS x FROM nodes_{kind} n LEFT JOIN (
+  SELECT s.dst AS node, sum(p.x) AS y FROM sym_{kind} s JOIN {src} p ON s.src = p.node GROUP BY s.dst) y
+  ON n.node = y.node),
+{name} AS MATERIALIZED (SELECT node, x / (SELECT sum(x) FROM {name}_raw) AS x FROM {name}_raw)"""
+    parts = [f"h0 AS MATERIALIZED (SELECT node, 1.0 / (SELECT count(*) FROM nodes_{kind}) AS x FROM nodes_{kind})"]
+    for k in range(1, rounds + 1):
+        parts.append(spread(f"h{k - 1}", f"a{k}"))
+        parts.append(spread(f"a{k}", f"h{k}"))
+    return ",\n".join(parts)
+
+
+def register_chain(name: str, chain: str, body: str, *ctes: str) -> None:
+    """Register SQL whose body needs a generated CTE chain after the fixtures."""
+    base = with_ctes("", *ctes).rstrip()
+    if base:
+        ORACLE[name] = f"{base},\n{chain}\n{body}"
+    else:
+        ORACLE[name] = f"WITH {chain}\n{body}"

@@ -1,3 +1,4 @@
 """Imports every catalogue module so that all queries are registered."""
 
 from meridian.plans import catalog  # noqa: F401
+from meridian.plans import catalog_graph  # noqa: F401
