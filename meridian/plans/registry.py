@@ -2,3 +2,4 @@
 
 from meridian.plans import catalog  # noqa: F401
 from meridian.plans import catalog_graph  # noqa: F401
+from meridian.plans import catalog_vectors  # noqa: F401
