@@ -4,3 +4,5 @@ from meridian.plans import catalog  # noqa: F401
 from meridian.plans import catalog_graph  # noqa: F401
 from meridian.plans import catalog_vectors  # noqa: F401
 from meridian.plans import catalog_linkpred  # noqa: F401
+from meridian.plans import catalog_tables  # noqa: F401
+from meridian.plans import catalog_math  # noqa: F401
