@@ -210,26 +210,89 @@ def spectral_norm(a: DataFrame, rounds: int = 50, seed_vector: DataFrame | None
     return lam
 
 
-def smallest_eigenpairs(lap: DataFrame, k: int, steps: int | None = None):
-    """Approximate k smallest eigenpairs of a symmetric PSD matrix L via
-    Lanczos on c I - L (c = a bound on ‖L‖), Ritz pairs of the tridiagonal
-    matrix mapped back through the basis.  Returns (values, vectors DataFrame
-    [pos, i, v])."""
-    spark = lap.sparkSession
-    c = 2.0 * spectral_norm(lap, rounds=30)
-    ident = lap.select("i").distinct().select("i", F.col("i").alias("j"), F.lit(c).alias("v"))
-    shifted = (ident.unionByName(lap.select("i", "j", (-F.col("v")).alias("v")))
-               .groupBy("i", "j").agg(F.sum("v").alias("v")))
-    n = lap.select("i").distinct().count()
-    m = min(n, steps or max(3 * k, 20))
-    start = lap.select("i").distinct().select("i", (hash_int("i", 31) / F.lit(2147483648.0) + F.lit(0.5)).alias("v"))
-    basis, al, be = lanczos(cut(shifted), start, m)
-    T = tridiagonal(al, be[:len(al) - 1])
-    vals, vecs = np.linalg.eigh(T)
-    order = np.argsort(-vals)[:k]
-    lam = [float(c - vals[o]) for o in order]
-    coef = [(int(p), int(s), float(vecs[s, o])) for p, o in enumerate(order) for s in range(T.shape[0])]
-    cdf = spark.createDataFrame(coef, "pos int, step int, c double")
-    vec = (basis.join(F.broadcast(cdf), "step").groupBy("pos", "i")
-           .agg(F.sum(F.col("v") * F.col("c")).alias("v")))
-    return lam, vec
+def block_matvec(a: DataFrame, x: DataFrame) -> DataFrame:
+    """A X for a block of vectors X (col, i, v): one join and one grouped sum
+    for all columns at once."""
+    xv = x.select("col", F.col("i").alias("j"), F.col("v").alias("_x"))
+    return a.join(xv, "j").groupBy("col", "i").agg(F.sum(F.col("v") * F.col("_x")).alias("v"))
+
+
+def _gram(x: DataFrame, y: DataFrame) -> np.ndarray | dict:
+    """X^T Y as {(cx, cy): value} (a join on the row index; small result)."""
+    a = x.select(F.col("col").alias("cx"), "i", F.col("v").alias("_a"))
+    b = y.select(F.col("col").alias("cy"), "i", F.col("v").alias("_b"))
+    return {(r.cx, r.cy): float(r.g) for r in
+            a.join(b, "i").groupBy("cx", "cy").agg(F.sum(F.col("_a") * F.col("_b")).alias("g")).collect()}
+
+
+def _combine(x: DataFrame, coef: dict, spark) -> DataFrame:
+    """Σ_c X[:, c] * coef[c, out] -> columns ``out``."""
+    rows = [(int(c), int(o), float(v)) for (c, o), v in coef.items() if v != 0.0]
+    if not rows:
+        return spark.createDataFrame([], "col int, i long, v double")
+    cdf = spark.createDataFrame(rows, "_c int, _o int, _w double")
+    return (x.join(F.broadcast(cdf), x.col == cdf._c).groupBy(F.col("_o").alias("col"), "i")
+            .agg(F.sum(F.col("v") * F.col("_w")).alias("v")))
+
+
+def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int = 8, seed: int = 31,
+                      which: str = "smallest"):
+    """Ritz pairs of a symmetric matrix from the block Krylov space
+    span{X, AX, ..., A^s X} (X: ``block`` hash-random columns), with each new
+    block orthogonalised twice against the basis and within itself.  A block
+    of at least the eigenvalue multiplicity resolves repeated eigenvalues,
+    which a single-vector Lanczos run cannot.
+
+    Returns (values list, vectors DataFrame [pos, i, v]); only the small
+    projected matrices live on the driver."""
+    spark = a.sparkSession
+    b = block or max(2, k)
+    rows_i = a.select("i").union(a.select(F.col("j").alias("i"))).distinct()
+    x = cut(rows_i.select(F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("col"), "i")
+            .withColumn("v", hash_int(F.col("i") * F.lit(7) + F.col("col"), seed) / F.lit(2147483648.0) - 0.5))
+    basis = None
+    ncols = 0
+    cur = x
+    for s in range(steps + 1):
+        w = cur
+        for _ in range(2):                       # twice is enough (Giraud et al.)
+            if basis is not None:
+                c = _gram(basis, w)
+                proj = _combine(basis, c, spark)
+                w = cut(w.join(proj.withColumnRenamed("v", "_p"), ["col", "i"], "left")
+                        .select("col", "i", (F.col("v") - F.coalesce("_p", F.lit(0.0))).alias("v")))
+            g = _gram(w, w)
+            cols = sorted({c for c, _ in g})
+            G = np.array([[g.get((ci, cj), 0.0) for cj in cols] for ci in cols])
+            vals, vecs = np.linalg.eigh(G)
+            keep = vals > 1e-20 * max(1.0, vals.max() if vals.size else 1.0)
+            if not keep.any():
+                w = None
+                break
+            T = vecs[:, keep] / np.sqrt(vals[keep])
+            coef = {(cols[r], q): T[r, q] for r in range(len(cols)) for q in range(T.shape[1])}
+            w = cut(_combine(w, coef, spark))
+        if w is None:
+            break
+        m = T.shape[1]
+        w = w.select((F.col("col") + F.lit(ncols)).alias("col"), "i", "v")
+        basis = w if basis is None else cut(basis.unionByName(w))
+        ncols += m
+        if s < steps:
+            cur = cut(block_matvec(a, w))
+    aq = block_matvec(a, basis)
+    h = _gram(basis, aq)
+    H = np.array([[h.get((ci, cj), 0.0) for cj in range(ncols)] for ci in range(ncols)])
+    H = (H + H.T) / 2
+    vals, vecs = np.linalg.eigh(H)
+    order = np.argsort(vals) if which == "smallest" else np.argsort(-vals)
+    order = order[:k]
+    coef = {(c, p): vecs[c, o] for p, o in enumerate(order) for c in range(ncols)}
+    vec = _combine(basis, coef, spark).withColumnRenamed("col", "pos")
+    return [float(vals[o]) for o in order], vec
+
+
+def smallest_eigenpairs(lap: DataFrame, k: int, steps: int | None = None, block: int | None = None):
+    """The k smallest eigenpairs of a symmetric matrix (e.g. a Laplacian).
+    Returns (values, vectors DataFrame [pos, i, v])."""
+    return block_krylov_eigs(lap, k, block=block or max(2, k), steps=steps or 8)
