@@ -139,7 +139,8 @@ def co_association(runs: DataFrame, pairs: DataFrame, n_runs: int | None = None)
 
 
 def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max_iter: int = 3,
-                         resolution: float = 1.0, seed: int = 0) -> DataFrame:
+                         resolution: float = 1.0, seed: int = 0, max_levels: int = MAX_LEVELS,
+                         max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """H20 (Q9): ``runs`` Louvain runs, co-association on the current edges as
     the new weights, repeat until the weights change by less than ``tol``
     (Frobenius) or ``max_iter``; then one more Louvain run."""
@@ -147,7 +148,7 @@ def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max
     for it in range(max_iter):
         labs = None
         for r in range(runs):
-            lab = louvain(g, resolution, seed=seed + 1000 * it + 17 * r).withColumn("run", F.lit(r))
+            lab = louvain(g, resolution, seed + 1000 * it + 17 * r, max_levels, max_rounds).withColumn("run", F.lit(r))
             labs = lab if labs is None else labs.unionByName(lab)
         labs = cut(labs)
         co = co_association(labs, g, runs)
@@ -157,7 +158,7 @@ def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max
         g = new
         if (diff or 0.0) ** 0.5 < tol:
             break
-    return louvain(g, resolution, seed=seed + 99991)
+    return louvain(g, resolution, seed + 99991, max_levels, max_rounds)
 
 
 def authority_shifting(edges: DataFrame, k: int = 2, resolution: float = 1.0, rounds: int = 20,
