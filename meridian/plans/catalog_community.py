@@ -20,7 +20,7 @@ from meridian.sources import testdata as T
 PPR_ROUNDS = 20
 TOPK = 2
 NULL_REPLICAS = 100
-LV_LEVELS, LV_ROUNDS = 2, 6     # registered-query caps (library defaults are larger)
+LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the 16 Louvain runs inside consensus clustering
 
 
 def _edges(spark, d, kind="supp"):
@@ -45,7 +45,7 @@ def q_modularity(spark, d):
 @query("louvain")
 def q_louvain(spark, d):
     e = _edges(spark, d, "part")
-    lab = CM.louvain(e, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS)
+    lab = CM.louvain(e)
     q = CM.modularity(e, lab)
     return lab.withColumn("modularity", F.lit(q))
 
@@ -54,7 +54,7 @@ def q_louvain(spark, d):
 def q_louvain_summary(spark, d):
     from meridian.operators import relational as R
     e = _edges(spark, d, "part")
-    lab = cut(CM.louvain(e, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS))
+    lab = cut(CM.louvain(e))
     s = R.community_summary(lab).first()
     return spark.createDataFrame([(s.n_communities, s.largest_size, CM.modularity(e, lab))],
                                  "n_communities bigint, largest_size bigint, modularity double")
@@ -243,7 +243,7 @@ def q_lcc_summary(spark, d):
 @query("node_statistics")
 def q_node_stats(spark, d):
     e = _edges(spark, d, "part")
-    lv = CM.louvain(e, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS).withColumnRenamed("community", "louvain_communities")
+    lv = CM.louvain(e).withColumnRenamed("community", "louvain_communities")
     au = CM.authority_shifting(e, k=TOPK, ppr_rounds=PPR_ROUNDS).withColumnRenamed("community",
                                                                                   "authority_shifting")
     sc, _ = SP.spectral_clusters(e)

@@ -9,6 +9,9 @@ not from the first round.
 
 from __future__ import annotations
 
+import itertools
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,10 +19,24 @@ from pyspark.sql import DataFrame
 from meridian.session import ensure_checkpoint_dir
 
 
+_SEQ = itertools.count()
+_RUN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+
+    The state is written as parquet under ``spark.checkpoint.dir`` and read
+    back.  Unlike ``DataFrame.checkpoint`` this gives the optimizer the real
+    size of the state: a checkpointed plan keeps the size *estimate* of the
+    plan that produced it, and in a loop of joins those estimates multiply
+    round after round until planning itself dominates.  The files survive the
+    loss of an executor (the folder is shared)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/meridian-state-{_RUN}/{next(_SEQ):06d}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], rounds: int,
