@@ -51,8 +51,8 @@ def theoretical_thresholds(kappa: float, gamma: float, kmin: float, x0: float =
                 else:
                     lo = mid
             roots.append((lo + hi) / 2)
-    ft = min(roots, key=lambda r: abs(r - x0)) if roots else None
-    return {"fc_random": fr, "fc_targeted": ft}
+    ft = float(min(roots, key=lambda r: abs(r - x0))) if roots else None
+    return {"fc_random": None if fr is None else float(fr), "fc_targeted": ft}
 
 
 def _curve(edges: DataFrame, order: DataFrame, fractions: list[float]) -> DataFrame:

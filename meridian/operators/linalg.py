@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.draws import hash_int
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import cut, keep, release
 
 CHUNK = 2048
 
@@ -99,6 +99,7 @@ def arnoldi(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13, reorthogonal
     Classical Gram-Schmidt: h_ij = q_i · (A q_j) for all i <= j in one grouped
     aggregation, then w = A q_j - Σ h_ij q_i.  Stops when h_{j+1,j} < tol
     (keeping the columns built so far).  Returns (basis DataFrame, H numpy)."""
+    bag: list = []
     nx0 = norm(x)
     q0 = cut(_scale(x, 1.0 / nx0).withColumn("step", F.lit(0)))
     basis = q0
@@ -106,7 +107,7 @@ def arnoldi(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13, reorthogonal
     steps = 0
     for j in range(m):
         qj = basis.filter(F.col("step") == j).select("i", "v")
-        w = cut(matvec(a, qj))
+        w = keep(matvec(a, qj), bag)
         passes = 2 if reorthogonalize else 1
         for _ in range(passes):
             hs = (basis.join(w.select("i", F.col("v").alias("_w")), "i")
@@ -117,14 +118,15 @@ def arnoldi(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13, reorthogonal
             coef = basis.sparkSession.createDataFrame([(int(i), h) for i, h in hcol.items()], "step int, h double")
             proj = (basis.join(F.broadcast(coef), "step").groupBy("i")
                     .agg(F.sum(F.col("v") * F.col("h")).alias("_p")))
-            w = cut(w.join(proj, "i", "full").select(
-                "i", (F.coalesce("v", F.lit(0.0)) - F.coalesce("_p", F.lit(0.0))).alias("v")))
+            w = keep(w.join(proj, "i", "full").select(
+                "i", (F.coalesce("v", F.lit(0.0)) - F.coalesce("_p", F.lit(0.0))).alias("v")), bag)
         hn = norm(w)
         H[j + 1, j] = hn
         steps = j + 1
         if hn < tol:
             break
         basis = cut(basis.unionByName(_scale(w, 1.0 / hn).withColumn("step", F.lit(j + 1))))
+    release(bag)
     return basis, H[:steps + 1, :steps]
 
 
@@ -140,6 +142,7 @@ def ritz_values(H: np.ndarray, spark) -> DataFrame:
 
 def lanczos(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13):
     """Three-term recurrence for symmetric A.  Returns (basis, alpha, beta)."""
+    bag: list = []
     nx0 = norm(x)
     q = cut(_scale(x, 1.0 / nx0))
     basis = q.withColumn("step", F.lit(0))
@@ -155,13 +158,14 @@ def lanczos(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13):
         if q_prev is not None:
             w = w.join(q_prev.select("i", F.col("v").alias("_qp")), "i", "full").select(
                 "i", (F.coalesce("v", F.lit(0.0)) - F.lit(beta) * F.coalesce("_qp", F.lit(0.0))).alias("v"))
-        w = cut(w)
+        w = keep(w, bag)
         beta = norm(w)
         if j == m - 1 or beta < tol:
             break
         betas.append(beta)
         q_prev, q = q, cut(_scale(w, 1.0 / beta))
         basis = cut(basis.unionByName(q.withColumn("step", F.lit(j + 1))))
+    release(bag)
     return basis, np.array(alphas), np.array(betas)
 
 
@@ -246,6 +250,7 @@ def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int
     Returns (values list, vectors DataFrame [pos, i, v]); only the small
     projected matrices live on the driver."""
     spark = a.sparkSession
+    bag: list = []
     b = block or max(2, k)
     rows_i = a.select("i").union(a.select(F.col("j").alias("i"))).distinct()
     x = cut(rows_i.select(F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("col"), "i")
@@ -259,24 +264,24 @@ def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int
             if basis is not None:
                 c = _gram(basis, w)
                 proj = _combine(basis, c, spark)
-                w = cut(w.join(proj.withColumnRenamed("v", "_p"), ["col", "i"], "left")
-                        .select("col", "i", (F.col("v") - F.coalesce("_p", F.lit(0.0))).alias("v")))
+                w = keep(w.join(proj.withColumnRenamed("v", "_p"), ["col", "i"], "left")
+                         .select("col", "i", (F.col("v") - F.coalesce("_p", F.lit(0.0))).alias("v")), bag)
             g = _gram(w, w)
             cols = sorted({c for c, _ in g})
             G = np.array([[g.get((ci, cj), 0.0) for cj in cols] for ci in cols])
             vals, vecs = np.linalg.eigh(G)
-            keep = vals > 1e-20 * max(1.0, vals.max() if vals.size else 1.0)
-            if not keep.any():
+            good = vals > 1e-20 * max(1.0, vals.max() if vals.size else 1.0)
+            if not good.any():
                 w = None
                 break
-            T = vecs[:, keep] / np.sqrt(vals[keep])
+            T = vecs[:, good] / np.sqrt(vals[good])
             coef = {(cols[r], q): T[r, q] for r in range(len(cols)) for q in range(T.shape[1])}
-            w = cut(_combine(w, coef, spark))
+            w = keep(_combine(w, coef, spark), bag)
         if w is None:
             break
         m = T.shape[1]
         w = w.select((F.col("col") + F.lit(ncols)).alias("col"), "i", "v")
-        basis = w if basis is None else cut(basis.unionByName(w))
+        basis = cut(w) if basis is None else cut(basis.unionByName(w))
         ncols += m
         if s < steps:
             cur = cut(block_matvec(a, w))
@@ -288,7 +293,8 @@ def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int
     order = np.argsort(vals) if which == "smallest" else np.argsort(-vals)
     order = order[:k]
     coef = {(c, p): vecs[c, o] for p, o in enumerate(order) for c in range(ncols)}
-    vec = _combine(basis, coef, spark).withColumnRenamed("col", "pos")
+    vec = cut(_combine(basis, coef, spark).withColumnRenamed("col", "pos"))
+    release(bag)
     return [float(vals[o]) for o in order], vec
 
 

@@ -20,7 +20,8 @@ from meridian.sources import testdata as T
 PPR_ROUNDS = 20
 TOPK = 2
 NULL_REPLICAS = 100
-LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the 16 Louvain runs inside consensus clustering
+LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the Louvain runs inside consensus clustering
+CONSENSUS_ITER = 1              # co-association rounds of the registered query (library default 3)
 
 
 def _edges(spark, d, kind="supp"):
@@ -81,7 +82,7 @@ def q_co_association(spark, d):
 @query("consensus_clustering")
 def q_consensus(spark, d):
     e = _edges(spark, d, "part")
-    lab = CM.consensus_clustering(e, runs=5, max_iter=3, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS)
+    lab = CM.consensus_clustering(e, runs=5, max_iter=CONSENSUS_ITER, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS)
     return lab.withColumn("modularity", F.lit(CM.modularity(e, lab)))
 
 

@@ -39,6 +39,24 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def keep(df: DataFrame, bag: list | None = None) -> DataFrame:
+    """Keep a temporary that one loop step reads several times (memory, then
+    disk).  Unlike ``cut`` the lineage stays; use it only for values whose
+    lineage starts at a ``cut`` state of the same step."""
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if bag is not None:
+        bag.append(out)
+    return out
+
+
+def release(bag: list) -> None:
+    """Unpersist everything ``keep`` put into ``bag``."""
+    for d in bag:
+        d.unpersist()
+    bag.clear()
+
+
 def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], rounds: int,
             every: int = 4, until: Callable[[DataFrame, DataFrame], bool] | None = None) -> DataFrame:
     """Apply ``step`` up to ``rounds`` times.
