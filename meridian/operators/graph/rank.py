@@ -20,10 +20,15 @@ ROUNDS = 20
 CUT_EVERY = 5
 
 
-def _spread(x: DataFrame, trans: DataFrame, all_nodes: DataFrame, value: str = "x") -> DataFrame:
-    """y_j = Σ_i x_i t_ij for every node (0 where nothing arrives)."""
+def _spread(x: DataFrame, trans: DataFrame, all_nodes: DataFrame | None, value: str = "x") -> DataFrame:
+    """y_j = Σ_i x_i t_ij for every node (0 where nothing arrives).  With
+    ``all_nodes=None`` the caller guarantees every node receives something
+    (an unweighted symmetric view: each node has an incident edge), which
+    saves one join per step."""
     got = (trans.join(x, trans.src == x.node)
            .groupBy(F.col("dst").alias("node")).agg(F.sum(F.col(value) * F.col("t")).alias("_y")))
+    if all_nodes is None:
+        return got.select("node", F.col("_y").alias(value))
     return all_nodes.join(got, "node", "left").select("node", F.coalesce("_y", F.lit(0.0)).alias(value))
 
 
@@ -49,8 +54,8 @@ def hits(edges: DataFrame, rounds: int = ROUNDS, weight_col: str | None = None)
     # checkpoint gives the same vectors as normalising every half step, with
     # one small action per checkpoint instead of two per round.
     for r in range(rounds):
-        a = _spread(h, fwd, nodes)
-        h = _spread(a, bwd, nodes)
+        a = _spread(h, fwd, None if weight_col is None else nodes)
+        h = _spread(a, bwd, None if weight_col is None else nodes)
         if (r + 1) % CUT_EVERY == 0 or r == rounds - 1:
             a, h = cut(_normalise(a)), cut(_normalise(h))
     return (h.withColumnRenamed("x", "hub")
