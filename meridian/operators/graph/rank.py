@@ -86,7 +86,9 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
         extra = 0.0
         if has_dangling:
             extra = damping * (x.join(dangling, "node").agg(F.sum("x")).first()[0] or 0.0) / n
-        y = _spread(x, trans, nodes)
+        # without dangling nodes every node has a positive-weight edge, so in
+        # the symmetric view it also receives mass: the all-nodes join is moot
+        y = _spread(x, trans, nodes if has_dangling else None)
         new = y.select("node", (F.lit(damping) * F.col("x") + F.lit((1 - damping) / n + extra)).alias("x"))
         if (r + 1) % CUT_EVERY == 0 or r == rounds - 1:
             new = cut(new)
