@@ -37,6 +37,7 @@ def read_points(spark: SparkSession, path: str, partitions: int | None = None) -
     return pts.repartition(partitions) if partitions else pts
 
 
+# The header of the tab-separated link files, in file order.
 LINK_SCHEMA = T.StructType([
     T.StructField("SOURCE_SUBREDDIT", T.StringType()),
     T.StructField("TARGET_SUBREDDIT", T.StringType()),
