@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.sharding import shard_by_size
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -29,3 +37,15 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        doc_id = first_value(doc_id) OVER w AS kept, sha AS text_sha256
 FROM d WINDOW w AS (PARTITION BY sha ORDER BY len DESC, doc_id)
 """
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_size(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
