@@ -26,7 +26,8 @@ _RUN = f"{os.getpid()}_{uuid.uuid4().hex[:8]}"
 
 #: The white space of the contracts, space and U+0009 to U+000D.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Blocks that one partition may be cut into.
+BLOCKS_PER_PARTITION = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,14 +47,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def one_row_per_batch(fn):
-    """A ``mapInArrow`` body that sees each Arrow batch on its own."""
-    def run(batches):
-        for b in batches:
-            out = fn(b)
-            if out is not None:
-                yield out
-    return run
+def with_block_facts(t: DataFrame, facts: DataFrame, name: str) -> DataFrame:
+    """Rows of a block table that ``facts`` (block, pos, and others) has something
+    about, with it as the struct ``name``.
+
+    The facts of a block (no more than its rows) travel to the block as one map, so
+    the join is on the block alone and the rows are not shuffled."""
+    rest = F.struct(*[c for c in facts.columns if c not in ("block", "pos")])
+    by_block = facts.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("pos", rest))).alias("__facts"))
+    return (t.join(by_block.hint("shuffle_hash"), "block")
+            .withColumn(name, F.get(F.array(F.element_at("__facts", F.col("pos"))), F.lit(0)))
+            .drop("__facts").where(F.col(name).isNotNull()))
 
 
 class BlockTable:
@@ -61,7 +65,8 @@ class BlockTable:
     those of ``df``.  A block is one partition of ``df``, or ``rows_per_block``
     consecutive rows of one."""
 
-    def __init__(self, df: DataFrame, rows_per_block: int | None = None, buckets: int | None = None):
+    def __init__(self, df: DataFrame, rows_per_block: int | None = None, buckets: int | None = None,
+                 compression: str = "snappy"):
         spark = df.sparkSession
         self.spark = spark
         n = max(1, buckets or df.rdd.getNumPartitions())
@@ -71,8 +76,8 @@ class BlockTable:
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
         df = df.withColumn("pos", pos)
         if rows_per_block:
-            part = part * (1 << 31) + F.floor(F.col("pos") / rows_per_block)
-        (df.withColumn("block", part).write.bucketBy(n, "block").option("path", path)
+            part = part * BLOCKS_PER_PARTITION + F.floor(F.col("pos") / rows_per_block)
+        (df.withColumn("block", part).write.bucketBy(n, "block").option("path", path).option("compression", compression)
          .format("parquet").saveAsTable(name))
         self.name = name
         self.buckets = n
@@ -80,11 +85,6 @@ class BlockTable:
     def df(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def drop(self) -> None:
-        """Forget the table; the files stay with the shared folder's life."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (splitmix64 finaliser; its constants are fixed values)."""
     x = x.astype(np.uint64, copy=True)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.near_dedup import near_dedup
+from meridian.llm.packing import pack
 from meridian.llm.sharding import shard_by_size
 
 QUERIES: dict = {}
@@ -49,3 +51,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path()).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "source")
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), words=3, threshold=0.85).select(
+        "row.doc_id", "n_shingles", "component_id", "kept")
