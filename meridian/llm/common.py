@@ -85,6 +85,9 @@ class BlockTable:
     def df(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def blocks(self) -> int:
+        return self.df().select("block").distinct().count()
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (splitmix64 finaliser; its constants are fixed values)."""
     x = x.astype(np.uint64, copy=True)

@@ -66,18 +66,40 @@ def _range_of(owner: int, owners: int) -> int:
     return -((-owner << FP_BITS) // owners)
 
 
+def _bounds(owners: int) -> np.ndarray:
+    return np.array([_range_of(o, owners) for o in range(owners + 1)], np.int64)
+
+
+#: What a block sends to an owner.
+MESSAGE = "owner int, block long, n int, k int, payload binary"
+
+
+def messages(block: int, fps: np.ndarray, bounds: np.ndarray) -> pd.DataFrame:
+    """One message to each owner that holds some of these sorted distinct fingerprints."""
+    cuts = np.searchsorted(fps, bounds)
+    out = []
+    for o in np.flatnonzero(np.diff(cuts)):
+        part = fps[cuts[o]:cuts[o + 1]] - bounds[o]
+        k = rice_parameter(len(part), int(bounds[o + 1] - bounds[o]))
+        out.append((int(o), block, len(part), k, rice_encode(part, k)))
+    return pd.DataFrame(out, columns=["owner", "block", "n", "k", "payload"])
+
+
+def foreign(fps: np.ndarray, owner, bitmap, bounds: np.ndarray) -> np.ndarray:
+    """Which of a block's sorted distinct fingerprints other blocks sent too, by the owners' answers."""
+    out = np.zeros(len(fps), bool)
+    cuts = np.searchsorted(fps, bounds)
+    for o, bits in zip(owner, bitmap, strict=True):
+        lo, hi = cuts[o], cuts[o + 1]
+        out[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+    return out
+
+
 def _encode_block(owners: int):
-    bounds = np.array([_range_of(o, owners) for o in range(owners + 1)], np.int64)
+    bounds = _bounds(owners)
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        u = np.unique(pdf["fp"].to_numpy(np.int64))
-        cuts = np.searchsorted(u, bounds)
-        out = []
-        for o in np.flatnonzero(np.diff(cuts)):
-            part = u[cuts[o]:cuts[o + 1]] - bounds[o]
-            k = rice_parameter(len(part), int(bounds[o + 1] - bounds[o]))
-            out.append((int(o), int(key[0]), len(part), k, rice_encode(part, k)))
-        return pd.DataFrame(out, columns=["owner", "block", "n", "k", "payload"])
+        return messages(int(key[0]), np.unique(pdf["fp"].to_numpy(np.int64)), bounds)
     return run
 
 
@@ -90,19 +112,19 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
                          "bitmap": [np.packbits(m).tobytes() for m in marks]})
 
 
+def answers(sent: DataFrame) -> DataFrame:
+    return sent.groupBy("owner").applyInPandas(_answer, "owner int, block long, bitmap binary")
+
+
 def _mark_block(owners: int):
-    bounds = np.array([_range_of(o, owners) for o in range(owners + 1)], np.int64)
+    bounds = _bounds(owners)
 
-    def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
             return pd.DataFrame({"block": [], "words": []})
         fp, pos = rows["fp"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64)
         u, back, count = np.unique(fp, return_inverse=True, return_counts=True)
-        dup = count > 1
-        cuts = np.searchsorted(u, bounds)
-        for o, bitmap in zip(answers["owner"], answers["bitmap"], strict=True):
-            lo, hi = cuts[o], cuts[o + 1]
-            dup[lo:hi] |= np.unpackbits(np.frombuffer(bitmap, np.uint8), count=hi - lo).astype(bool)
+        dup = (count > 1) | foreign(u, answer["owner"], answer["bitmap"], bounds)
         hit = pos[dup[back]]
         if len(hit) == 0:
             return pd.DataFrame({"block": [], "words": []})
@@ -127,10 +149,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     t = store.df()
 
     sent = t.select("block", "fp").groupBy("block").applyInPandas(
-        _encode_block(owners), "owner int, block long, n int, k int, payload binary")
-    answers = sent.groupBy("owner").applyInPandas(_answer, "owner int, block long, bitmap binary")
+        _encode_block(owners), MESSAGE)
     marks = (t.select("block", "pos", "fp").groupBy("block")
-             .cogroup(answers.groupBy("block"))
+             .cogroup(answers(sent).groupBy("block"))
              .applyInPandas(_mark_block(owners), "block long, words array<long>"))
     marks = cut(marks)
 

@@ -11,6 +11,7 @@ from meridian.llm.exact_dedup import exact_dedup
 from meridian.llm.near_dedup import near_dedup
 from meridian.llm.packing import pack
 from meridian.llm.sharding import shard_by_size
+from meridian.llm.substring_dedup import substring_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +64,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), words=3, threshold=0.85).select(
         "row.doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), 20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
