@@ -12,6 +12,7 @@ from meridian.llm.near_dedup import near_dedup
 from meridian.llm.packing import pack
 from meridian.llm.sharding import shard_by_size
 from meridian.llm.substring_dedup import substring_dedup
+from meridian.llm.toxicity import crc_fold, score, train
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +71,15 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), 20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOXIC_FROM = 0.3
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                     (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
