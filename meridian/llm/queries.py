@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.llm.ann import nearest
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
@@ -83,3 +84,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
                                      (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
