@@ -9,6 +9,7 @@ from meridian.llm.ann import nearest
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.maxent_lm import lm_scores
 from meridian.llm.near_dedup import near_dedup
 from meridian.llm.packing import pack
 from meridian.llm.sharding import shard_by_size
@@ -89,3 +90,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 7) != 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
