@@ -69,7 +69,9 @@ class BlockTable:
                  compression: str = "snappy"):
         spark = df.sparkSession
         self.spark = spark
-        n = max(1, buckets or df.rdd.getNumPartitions())
+        # Not fewer buckets than shuffle partitions: of two sides that are dealt out by
+        # block already, Spark keeps the finer one where it is.
+        n = buckets or max(1, df.rdd.getNumPartitions(), shuffle_partitions(spark))
         pos = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         part = F.spark_partition_id().cast("long")
         name = f"llm_blocks_{_RUN}_{next(_SEQ)}"

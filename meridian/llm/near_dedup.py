@@ -13,8 +13,9 @@
 4. Components of the confirmed links, by large-star and small-star.
 
 Nulls: a null text is empty.  Empty sets are linked with nothing.  A null id is
-ignored in a component's smallest id.  Repeated rows are one class.  An empty
-table gives no rows; other columns ride along in ``row``.
+ignored in a component's smallest id.  Repeated rows are one class.  The row of the
+smallest id (null last, then the first in the input) is the one that is kept.  An
+empty table gives no rows; other columns ride along in ``row``.
 """
 
 from __future__ import annotations
@@ -227,9 +228,13 @@ def near_dedup(df: DataFrame, words: int = 5, threshold: float = 0.8, id_col: st
     of_class = classes.select("n", "h1", "h2", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
         "n", "h1", "h2", F.coalesce("root", "cls").alias("root"))
     named = cut(facts.select("block", "pos", "doc_id", "n", "h1", "h2").join(of_class, ["n", "h1", "h2"], "left"))
-    least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    decided = named.join(least, "root", "left").select("block", "pos", "n", F.when(
-        F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    least = named.where("root is not null").groupBy("root").agg(
+        F.min("doc_id").alias("least"), F.min(F.struct(last, "block", "pos")).alias("stays"))
+    alone = F.col("root").isNull()
+    decided = named.join(least, "root", "left").select(
+        "block", "pos", "n", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        (alone | ((F.col("stays.block") == F.col("block")) & (F.col("stays.pos") == F.col("pos")))).alias("kept"))
     return with_block_facts(t.select("block", "pos", "row"), decided, "f").select(
         "row", F.col("f.n").alias("n_shingles"), F.col("f.component_id").alias("component_id"),
-        F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("f.component_id")).alias("kept"))
+        F.col("f.kept").alias("kept"))

@@ -9,6 +9,7 @@ from meridian.llm.ann import nearest
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.license_scan import license_scan, license_sql
 from meridian.llm.maxent_lm import lm_scores
 from meridian.llm.near_dedup import near_dedup
 from meridian.llm.packing import pack
@@ -71,8 +72,8 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"), 20).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), 20).select(
+        "rest.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 TOXIC_FROM = 0.3
@@ -83,8 +84,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
-    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
-                                     (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+    return score(docs.select("doc_id", "text"), model).select("row.doc_id", "score").select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 @query
@@ -96,3 +98,11 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 7) != 2).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).withColumn("notices", F.array_join("notices", ","))
+
+
+ORACLE["op3_license_scan"] = license_sql()

@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meridian.llm.common import BlockTable, shuffle_partitions, text_of
 from meridian.llm.exact_dedup import FP_BITS, MESSAGE, _bounds, answers, foreign, messages
@@ -211,55 +212,37 @@ def _merge(length: int, last: bool):
     return run
 
 
-def _rewrite(length: int):
-    schema = pa.schema([("block", pa.int64()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept", pa.string())])
-
+def _rewrite(length: int, as_is: bool):
     def run(t: pa.Table, marks: pa.Table) -> pa.Table:
-        if t.num_rows == 0:
-            return schema.empty_table()
         by_row: dict[int, list] = {}
         for p, lo, mask in zip(*(marks.column(n).to_pylist() for n in ("pos", "lo", "mask")), strict=True):
             by_row.setdefault(p, []).append((lo, mask))
         total, removed, kept = [], [], []
-        pos = t.column("pos").to_pylist()
-        for p, text in zip(pos, t.column("text").to_pylist(), strict=True):
+        for p, text in zip(t.column("pos").to_pylist(), t.column("text").to_pylist(), strict=True):
             w = text.encode().split()
             total.append(len(w))
             if p in by_row:
                 cover = np.zeros(len(w) + 1, np.int64)
                 for lo, mask in by_row[p]:
-                    k = 0
-                    while mask >> k:
+                    for k in range(mask.bit_length()):
                         if mask >> k & 1:
                             cover[lo + k] += 1
                             cover[lo + k + length] -= 1
-                        k += 1
                 stay = np.cumsum(cover[:-1]) == 0
                 w = [x for x, s in zip(w, stay.tolist(), strict=True) if s]
             removed.append(total[-1] - len(w))
-            kept.append(b" ".join(w).decode())
-        return pa.Table.from_arrays([*(t.column(n).combine_chunks() for n in ("block", "pos", "doc_id")),
-                                     pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                                    schema=schema)
+            kept.append(text if as_is and not removed[-1] else b" ".join(w).decode())
+        return pa.Table.from_arrays(
+            [t.column("rest"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+            names=["rest", "n_words", "n_removed", "kept"])
     return run
 
 
-def substring_dedup(df: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """block, pos, doc_id, n_words, n_removed, kept (the words that stay, joined by
-    one space) for each row."""
-    return _dedup(df, length, id_col, text_col)[1]
-
-
-def substring_dedup_rows(df: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with the kept text in place of the text; rows of which nothing stays are kept, empty."""
-    store, found = _dedup(df, length, id_col, text_col)
-    rest = store.df().select("block", F.col("pos"), *[F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
-    out = rest.join(found.select("block", "pos", "kept"), ["block", "pos"])
-    return out.select(*[(F.col("kept") if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)])
-
-
-def _dedup(df: DataFrame, length: int, id_col: str, text_col: str) -> tuple[BlockTable, DataFrame]:
+def substring_dedup(df: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text",
+                    as_is: bool = False) -> DataFrame:
+    """The columns of ``df`` but for its text as the struct ``rest``, with n_words,
+    n_removed and kept (the words that stay, joined by one space), for each row.
+    ``as_is``: a text that loses nothing is kept as it was."""
     spark = df.sparkSession
     if not PREFIX < length <= 40 + PREFIX:
         raise ValueError(f"length must be above {PREFIX} and at most {40 + PREFIX}")
@@ -268,7 +251,8 @@ def _dedup(df: DataFrame, length: int, id_col: str, text_col: str) -> tuple[Bloc
     blocks = store.blocks()
     tasks = max(owners, blocks // BLOCKS_PER_TASK)
     ident = F.col(f"row.`{id_col}`").cast("long")
-    t = store.df().select("block", "pos", ident.alias("doc_id"), F.coalesce(ident, F.lit(int(LAST))).alias("doc"),
+    others = [F.col(f"row.`{c}`").alias(c) for c in df.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
+    t = store.df().select("block", "pos", F.struct(*others).alias("rest"), F.coalesce(ident, F.lit(int(LAST))).alias("doc"),
                           text_of(F.col(f"row.`{text_col}`").cast("string")).alias("text"))
     sent = t.select("block", "text").groupBy("block").applyInArrow(_send(owners, length), MESSAGE)
     found = (t.select("block", "pos", "doc", "text").groupBy("block").cogroup(answers(sent).groupBy("block"))
@@ -277,6 +261,7 @@ def _dedup(df: DataFrame, length: int, id_col: str, text_col: str) -> tuple[Bloc
         part = F.struct("task", F.pmod(F.xxhash64("block"), F.lit(-(-blocks // BLOCKS_PER_MERGE))))
         found = found.groupBy(part.alias("part")).applyInArrow(_merge(length, False), RECORD)
     marks = found.groupBy("task").applyInArrow(_merge(length, True), RECORD).select("block", "pos", "lo", "mask")
-    out = (t.select("block", "pos", "doc_id", "text").groupBy("block").cogroup(marks.groupBy("block"))
-           .applyInArrow(_rewrite(length), "block long, pos long, doc_id long, n_words long, n_removed long, kept string"))
-    return store, out
+    schema = T.StructType([t.schema["rest"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+                           T.StructField("kept", T.StringType())])
+    return (t.select("block", "pos", "rest", "text").groupBy("block").cogroup(marks.groupBy("block"))
+            .applyInArrow(_rewrite(length, as_is), schema))

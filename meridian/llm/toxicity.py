@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meridian.llm.common import mix64, text_of
 from meridian.plans.iterate import cut
@@ -45,9 +46,10 @@ PER_CLASS = 20_000
 CLASS_BITS, SHARED_BITS = 20, 19
 #: Words whose likelihoods a worker remembers.
 REMEMBERED = 1_000_000
+EVIDENCE = ["whole", "passage", "word"]
 WORD = re.compile(r"[^\W\d_]+")
 START, END = 2, 3
-STEP = np.uint64(0x9E3779B97F4A7C15)
+STEP = 0x9E3779B97F4A7C15
 
 
 def words_of(text: str) -> list[str]:
@@ -62,12 +64,10 @@ def gram_chains(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(flat != START)
     word = np.cumsum(flat[at] == END) - (flat[at] == END)
     acc = np.zeros(len(flat), np.uint64)
-    power = np.uint64(1)
     grams, contexts = [], [np.full(len(at), 7, np.uint64)]
     for k in range(1, ORDER + 1):
         acc = acc.copy()
-        acc[k - 1:] += flat[:len(flat) - k + 1] * power
-        power = power * STEP
+        acc[k - 1:] += flat[:len(flat) - k + 1] * np.uint64(pow(STEP, k - 1, 1 << 64))
         mixed = mix64(acc + np.uint64(k))
         grams.append(mixed[at])
         contexts.append(mixed[at - 1])
@@ -241,32 +241,34 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
     words = (rows.where(~F.col("fit")).select("text", "y").mapInArrow(_count_words, "word string, toxic long, plain long")
              .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
     tables = _tables(words)
-    found = _evidence_of(rows.where("fit").select("doc_id", "text", "y"), tables, "y int").toPandas()
-    x = found[["whole", "passage", "word"]].to_numpy()
+    found = _evidence_of(rows.where("fit").select("text", F.struct("y").alias("row")), tables).select(
+        "row.y", *EVIDENCE).toPandas()
+    x = found[EVIDENCE].to_numpy()
     return Model(tables, fit_logistic(x, found["y"].to_numpy()), prior)
 
 
-def _evidence_of(df: DataFrame, tables: Tables, extra: str) -> DataFrame:
-    """Columns: doc_id, text and one more, which is passed on."""
+def _evidence_of(df: DataFrame, tables: Tables) -> DataFrame:
+    """``df``: text, row (anything, passed on)."""
     shared = df.sparkSession.sparkContext.broadcast(tables)
+    schema = T.StructType([df.schema["row"], *[T.StructField(c, T.DoubleType()) for c in EVIDENCE]])
 
     def body(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
-                x = evidence(part.column(1).to_pylist(), shared.value, id(shared.value))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *(pa.array(x[:, i]) for i in range(3))],
-                                                 names=["doc_id", extra.split()[0], "whole", "passage", "word"])
-    return df.mapInArrow(body, f"doc_id long, {extra}, whole double, passage double, word double")
+                x = evidence(part.column(0).to_pylist(), shared.value, id(shared.value))
+                yield pa.RecordBatch.from_arrays([part.column(1), *(pa.array(x[:, i]) for i in range(3))],
+                                                 names=["row", *EVIDENCE])
+    return df.mapInArrow(body, schema)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, and the three differences; one row per row of ``docs``."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       text_of(F.col(f"`{text_col}`").cast("string")).alias("text"), F.lit(0).alias("none"))
+def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """row (a struct of all columns of ``docs``), score, and the three differences;
+    one row per row of ``docs``."""
+    rows = docs.select(text_of(F.col(f"`{text_col}`").cast("string")).alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     if model.tables is None:
-        return rows.select("doc_id", F.lit(model.prior).alias("score"), *[F.lit(0.0).alias(c) for c in ("whole", "passage", "word")])
+        return rows.select("row", F.lit(model.prior).alias("score"), *[F.lit(0.0).alias(c) for c in EVIDENCE])
     w = model.weights.tolist()
-    z = sum(F.col(c) * F.lit(x) for c, x in zip(("whole", "passage", "word"), w, strict=False)) + F.lit(w[-1])
-    return _evidence_of(rows, model.tables, "none int").select(
-        "doc_id", (1 / (1 + F.exp(-z))).alias("score"), "whole", "passage", "word")
+    z = sum(F.col(c) * F.lit(x) for c, x in zip(EVIDENCE, w, strict=False)) + F.lit(w[-1])
+    return _evidence_of(rows, model.tables).select("row", (1 / (1 + F.exp(-z))).alias("score"), *EVIDENCE)
