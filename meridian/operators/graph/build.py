@@ -10,21 +10,26 @@ from meridian.operators import relational as R
 
 def reciprocal_min_edges(weights: DataFrame) -> DataFrame:
     """Keep a pair only if both directions exist; weight = the smaller
-    count; one canonical row per pair (u <= v), a self-loop once."""
-    a = weights.alias("a")
-    b = weights.alias("b")
-    return (a.join(b, (F.col("a.src") == F.col("b.dst")) & (F.col("a.dst") == F.col("b.src")))
-            .filter(F.col("a.src") <= F.col("a.dst"))
-            .select(F.col("a.src").alias("u"), F.col("a.dst").alias("v"),
-                    F.least(F.col("a.weight"), F.col("b.weight")).alias("weight")))
+    count; one canonical row per pair (u <= v), a self-loop once.
+
+    One aggregation over the unordered pair with a conditional sum for each
+    direction (partial sums before the shuffle), no self-join."""
+    up, down = F.col("src") <= F.col("dst"), F.col("src") >= F.col("dst")
+    pairs = weights.groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg(
+        F.sum(F.when(up, F.col("weight"))).alias("_up"), F.sum(F.when(down, F.col("weight"))).alias("_down"))
+    return pairs.where(F.col("_up").isNotNull() & F.col("_down").isNotNull()).select(
+        "u", "v", F.least("_up", "_down").cast("bigint").alias("weight"))
 
 
 def build_graph(links: DataFrame, years=None) -> DataFrame:
-    """H1: links -> drop negative -> (years) -> counts -> reciprocal minimum."""
+    """H1: links -> drop negative -> (years) -> counts -> reciprocal minimum.
+
+    Every link counts one in its direction, so counting and pairing are one
+    aggregation on the unordered pair."""
     kept = R.drop_negative_links(links)
     if years:
         kept = R.filter_years(kept, years)
-    return reciprocal_min_edges(R.link_weights(kept))
+    return reciprocal_min_edges(kept.select("src", "dst", F.lit(1).cast("bigint").alias("weight")))
 
 
 def symmetric(edges: DataFrame) -> DataFrame:

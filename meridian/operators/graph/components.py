@@ -1,13 +1,17 @@
 """H3, H4: connected components and the largest component.
 
-Min-label propagation with pointer jumping: every round a node takes the
-smallest label among itself and its neighbours, then jumps to its label's
-label.  The pointer jump roughly halves the remaining distance to the root,
-so the number of rounds grows with log(diameter), not with the diameter.  Each
-round is two joins and one aggregation; the state is checkpointed every round
-and one count of changed labels decides the stop.  A hub node that is the
-target of many edges is a skewed join key on the edge side only (the label side
-has one row per node), which AQE's skew-join splitting handles.
+Alternating large-star and small-star steps on a table of links (big, small):
+
+* large-star: every neighbour of a node that is larger than it is linked to the
+  node's smallest neighbour (or itself);
+* small-star: every smaller neighbour of a node, and the node, are linked to the
+  smallest of them.
+
+Both keep the components; the number of rounds grows with the logarithm of the
+number of nodes, not with the diameter, and there is no cap: the loop ends when a
+round changes nothing, at which point every component is a star around its
+smallest node.  A hub is a skewed join key on the link side only (the other side
+has one row per node), which skew-join splitting handles.
 """
 
 from __future__ import annotations
@@ -16,34 +20,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.operators import relational as R
-from meridian.operators.graph.build import nodes as graph_nodes, symmetric
-from meridian.plans.iterate import cut
+from meridian.operators.graph.build import nodes as graph_nodes
+from meridian.plans.iterate import Steps
+
+LINK = ["big", "small"]
+
+
+def _tidy(links: DataFrame) -> DataFrame:
+    return links.where(F.col("big") > F.col("small")).distinct()
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    ends = links.select(F.col("big").alias("node"), F.col("small").alias("other")).unionByName(
+        links.select(F.col("small").alias("node"), F.col("big").alias("other")))
+    least = ends.groupBy("node").agg(F.min("other").alias("m")).select(
+        F.col("node").alias("small"), F.least("node", "m").alias("m"))
+    return _tidy(links.join(least, "small").select("big", F.col("m").alias("small")))
+
 
-MAX_ROUNDS = 64
+def _small_star(links: DataFrame) -> DataFrame:
+    least = links.groupBy("big").agg(F.min("small").alias("m"))
+    moved = links.join(least, "big").select(F.col("small").alias("big"), F.col("m").alias("small"))
+    return _tidy(moved.unionByName(least.select("big", F.col("m").alias("small"))))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (= the smallest node id of the component)."""
-    sym = cut(symmetric(edges).filter(F.col("src") != F.col("dst")).select("src", "dst"))
-    labels = cut(graph_nodes(edges).select("node", F.col("node").alias("component")))
-    for _ in range(max_rounds):
-        nb = (sym.join(labels, sym.dst == labels.node)
-              .groupBy(F.col("src").alias("node")).agg(F.min("component").alias("_nb")))
-        step = (labels.join(nb, "node", "left")
-                .select("node", F.col("component").alias("_old"),
-                        F.least("component", F.coalesce("_nb", "component")).alias("component")))
-        parent = step.select(F.col("node").alias("_p"), F.col("component").alias("_pc"))
-        jumped = (step.join(parent, step.component == parent._p, "left")
-                  .select("node", "_old",
-                          F.least("component", F.coalesce("_pc", "component")).alias("component")))
-        # the change flag is written with the checkpoint, so the stop test
-        # reads the checkpoint files and runs no extra shuffle
-        new = cut(jumped)
-        changed = new.filter(F.col("component") != F.col("_old")).limit(1).count()
-        labels = new.drop("_old")
-        if changed == 0:
+    steps = Steps(edges.sparkSession)
+    links = steps.cut(_tidy(edges.select(F.greatest("u", "v").alias("big"), F.least("u", "v").alias("small"))))
+    seen = None
+    while True:
+        links = steps.cut(_small_star(_large_star(links)))
+        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*LINK).cast("decimal(38,0)"))).first())
+        if now == seen:
             break
-    return labels
+        seen = now
+    root = links.select(F.col("big").alias("node"), F.col("small").alias("_root"))
+    return graph_nodes(edges).join(root, "node", "left").select("node", F.coalesce("_root", "node").alias("component"))
 
 
 def component_sizes(comp: DataFrame) -> DataFrame:

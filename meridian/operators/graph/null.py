@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_int
+from meridian.functions.draws import hash_keys
 from meridian.operators.graph.wedges import simple_edges
 from meridian.plans.iterate import cut
 
@@ -31,7 +31,7 @@ def rewire(edges: DataFrame, rounds: int = 1, seed: int = 0, replicas: int | Non
     m = base.count()
     nb = max(1, m // BUCKET)
     for r in range(rounds):
-        key = hash_int(F.col("u") * F.lit(1000003) + F.col("v") + F.col("replica") * F.lit(7777), seed * 131 + r)
+        key = hash_keys(["u", "v", "replica"], seed * 131 + r)
         e = cur.withColumn("_h", key).withColumn("_b", F.pmod(F.col("_h"), F.lit(nb)))
         w = Window.partitionBy("replica", "_b").orderBy("_h", "u", "v")
         e = e.withColumn("_rn", F.row_number().over(w) - 1)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_int
+from meridian.functions.draws import hash_keys
 from meridian.operators.graph.build import symmetric
 from meridian.operators.graph.degree import degree
 from meridian.operators.graph.wedges import common_neighbor_pairs, simple_edges
@@ -22,11 +22,10 @@ from meridian.operators.sampling import smallest_n
 from meridian.plans.iterate import cut
 
 HOLDOUT = 0.2
-EDGE_KEY_MULT = 1000003
 
 
 def edge_hash(seed: int):
-    return hash_int(F.col("u") * F.lit(EDGE_KEY_MULT) + F.col("v"), seed)
+    return hash_keys(["u", "v"], seed)
 
 
 def edge_split(edges: DataFrame, share: float = HOLDOUT, seed: int = 12345):
@@ -193,7 +192,7 @@ def predicted_links(flagged: DataFrame, threshold: float) -> DataFrame:
 def evaluate_link_predictor(scores: DataFrame, train: DataFrame, val: DataFrame, n: int = 101,
                             method: str = "score") -> DataFrame:
     """Flag, sweep, metrics; returns the metric table with a ``best`` flag."""
-    flagged = flag_pairs(scores, train, val).cache()
+    flagged = cut(flag_pairs(scores, train, val))
     m = threshold_metrics(threshold_confusion(flagged, n))
     best = best_threshold(m).select("threshold").first()
     return m.withColumn("best", F.col("threshold") == F.lit(best.threshold)).withColumn("method", F.lit(method))

@@ -4,8 +4,9 @@
 would gather n rows into one task.  Instead the n-th smallest key is found
 with two histogram passes over the integer hash (high bits, then low bits),
 each a distributed aggregation returning at most 2^16 rows; rows with that
-exact hash value (a handful) break the tie by their id columns.  The result is
-a filter, so the selected rows never leave their partitions.
+exact hash value break the tie by their id columns.  The result is
+a filter, so the selected rows never leave their partitions.  Tie columns are
+integers.
 """
 
 from __future__ import annotations
@@ -26,6 +27,28 @@ def _cum_pick(counts: list[tuple[int, int]], n: int) -> tuple[int, int]:
     raise ValueError("n exceeds the number of rows")
 
 
+def _nth_tie(same: DataFrame, need: int, tie_cols: list[str]) -> tuple:
+    """The tie columns of the ``need``-th of rows that share a hash.
+
+    Column by column the value is found by halving its range with counts, which
+    brings one number to the driver per step however many rows tie."""
+    found: list = []
+    rows = same
+    for c in tie_cols:
+        lo, hi = rows.agg(F.min(c), F.max(c)).first()
+        while lo < hi:
+            mid = (lo + hi) // 2
+            n = rows.filter(F.col(c) <= mid).count()
+            if n >= need:
+                hi = mid
+            else:
+                lo = mid + 1
+        need -= rows.filter(F.col(c) < lo).count()
+        rows = rows.filter(F.col(c) == lo)
+        found.append(lo)
+    return tuple(found)
+
+
 def smallest_n(df: DataFrame, n: int, hash_col: str, tie_cols: list[str]) -> DataFrame:
     """Rows of ``df`` ranked < n by (hash_col, *tie_cols) ascending."""
     if n <= 0:
@@ -40,12 +63,9 @@ def smallest_n(df: DataFrame, n: int, hash_col: str, tie_cols: list[str]) -> Dat
     lo_hist = in_b.groupBy(F.col(hash_col).alias("h")).count().collect()
     h_star, before2 = _cum_pick([(r.h, r["count"]) for r in lo_hist], n - before)
     need = n - before - before2          # rows to take among those with hash == h_star
-    ties = (df.filter(F.col(hash_col) == h_star).select(*tie_cols)
-            .orderBy(*tie_cols).limit(need).collect())
     below = df.filter(F.col(hash_col) < h_star)
-    if not ties:
-        return below
-    last = tuple(ties[-1])
+    same = df.filter(F.col(hash_col) == h_star)
+    last = _nth_tie(same, need, tie_cols)
     # lexicographic (tie_cols) <= last among rows with the exact hash
     cond = None
     for i in range(len(tie_cols) - 1, -1, -1):

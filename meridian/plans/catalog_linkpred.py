@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import sql_hash_int
+from meridian.functions.draws import sql_hash_keys
 from meridian.operators import linkpred as LP
 from meridian.operators.graph import build as GB
 from meridian.operators.graph.wedges import common_neighbor_pairs
@@ -15,17 +15,9 @@ from meridian.sources import testdata as T
 
 N_THRESHOLDS = 101     # the reference passes num_thresholds + 1
 SEED = 12345
-KEY = f"u * {LP.EDGE_KEY_MULT} + v"
 
 # ---- SQL: split, graphs, scores -------------------------------------------------
-LP_YEAR = 2001          # one year of supplier links: a graph of moderate density
-O.cte("lp_graph", f"""
-SELECT a.src AS u, a.dst AS v, least(a.weight, b.weight) AS weight
-FROM (SELECT src, dst, CAST(count(*) AS BIGINT) AS weight FROM links_supp
-      WHERE sentiment IS DISTINCT FROM -1 AND year(ts) = {LP_YEAR} GROUP BY src, dst) a
-JOIN (SELECT src, dst, CAST(count(*) AS BIGINT) AS weight FROM links_supp
-      WHERE sentiment IS DISTINCT FROM -1 AND year(ts) = {LP_YEAR} GROUP BY src, dst) b
-  ON a.src = b.dst AND a.dst = b.src WHERE a.src <= a.dst""", ["links_supp"])
+O.cte("lp_graph", "SELECT u, v, weight FROM edges_supp", ["edges_supp"])
 O.cte("lp_degree", """
 SELECT node, CAST(sum(c) AS BIGINT) AS degree FROM (
   SELECT u AS node, CASE WHEN u = v THEN 2 ELSE 1 END AS c FROM lp_graph
@@ -33,7 +25,7 @@ SELECT node, CAST(sum(c) AS BIGINT) AS degree FROM (
 O.cte("lp_simple", "SELECT DISTINCT least(u, v) AS u, greatest(u, v) AS v FROM lp_graph WHERE u <> v", ["lp_graph"])
 O.cte("lp_e", f"""
 SELECT s.u, s.v, (du.degree > 1 AND dv.degree > 1) AS ok,
-       {sql_hash_int(KEY, SEED)} AS h1, {sql_hash_int(KEY, SEED + 1)} AS h2
+       {sql_hash_keys(['s.u', 's.v'], SEED)} AS h1, {sql_hash_keys(['s.u', 's.v'], SEED + 1)} AS h2
 FROM lp_simple s JOIN lp_degree du ON s.u = du.node JOIN lp_degree dv ON s.v = dv.node""",
       ["lp_simple", "lp_degree"])
 O.cte("lp_test", """
@@ -66,6 +58,7 @@ SELECT i AS u, j AS v, sum(v) AS score FROM (
   SELECT a.src, c.dst, 1.0 FROM lp_sym_{_g} a JOIN lp_sym_{_g} b ON a.dst = b.src JOIN lp_sym_{_g} c ON b.dst = c.src)
 WHERE i < j GROUP BY i, j""", [f"lp_sym_{_g}"])
 
+COMPARED = ("jaccard", "resource_allocation", "adamic_adar", "local_path")
 METHODS = {"jaccard": "jaccard", "resource_allocation": "ra", "adamic_adar": "aa"}
 
 
@@ -112,17 +105,9 @@ def _register(name: str, body: str) -> None:
 
 # ---- Spark side -------------------------------------------------------------------
 
-_SPLITS: dict = {}
-
-
 def _split(spark, d):
-    """Train / validation / test of one session and scale factor, computed once
-    (the three tables are checkpointed by ``edge_split``)."""
-    key = (id(spark), d)
-    if key not in _SPLITS:
-        g = cut(GB.build_graph(T.links(spark, d, "supp"), [LP_YEAR]))
-        _SPLITS[key] = LP.edge_split(g, seed=SEED)
-    return _SPLITS[key]
+    """Train / validation / test tables (checkpointed by ``edge_split``)."""
+    return LP.edge_split(cut(GB.build_graph(T.links(spark, d, "supp"))), seed=SEED)
 
 
 def _as_edges(df):
@@ -138,13 +123,13 @@ def _scores(method: str, graph):
     return fn(e)
 
 
-def _flagged(spark, d, method):
-    tr, va, _ = _split(spark, d)
+def _flagged(spark, d, method, split=None):
+    tr, va, _ = split or _split(spark, d)
     return LP.flag_pairs(_scores(method, tr), tr, va)
 
 
-def _metrics(spark, d, method):
-    tr, va, _ = _split(spark, d)
+def _metrics(spark, d, method, split=None):
+    tr, va, _ = split or _split(spark, d)
     return LP.evaluate_link_predictor(_scores(method, tr), tr, va, N_THRESHOLDS, method)
 
 
@@ -238,9 +223,10 @@ _register("predicted_links", _metrics_sql("jaccard") + "\nSELECT u, v, round(sco
 
 @query("predicted_links")
 def q_predicted(spark, d):
-    m = _metrics(spark, d, "jaccard")
+    split = _split(spark, d)
+    m = _metrics(spark, d, "jaccard", split)
     t = m.filter("best").first().threshold
-    return LP.predicted_links(_flagged(spark, d, "jaccard"), t).withColumn("score", rnd("score"))
+    return LP.predicted_links(_flagged(spark, d, "jaccard", split), t).withColumn("score", rnd("score"))
 
 
 _register("evaluate_link_predictor", _metrics_sql("local_path")
@@ -255,7 +241,7 @@ def q_evaluate(spark, d):
 
 def _union_sql(select: str) -> str:
     parts = []
-    for m in ("jaccard", "resource_allocation", "adamic_adar"):
+    for m in COMPARED:
         parts.append(f"SELECT * FROM ({_metrics_sql(m)}\nSELECT '{m}' AS method, {select})")
     return "\nUNION ALL\n".join(parts)
 
@@ -266,7 +252,8 @@ _register("roc_points", _union_sql("round(threshold, 6) AS threshold, round(fpr,
 
 @query("roc_points")
 def q_roc(spark, d):
-    ms = [_metrics(spark, d, m) for m in ("jaccard", "resource_allocation", "adamic_adar")]
+    split = _split(spark, d)
+    ms = [_metrics(spark, d, m, split) for m in COMPARED]
     r = LP.roc_points(ms)
     return r.select("method", rnd("threshold").alias("threshold"), rnd("fpr").alias("fpr"),
                     rnd("recall").alias("recall"))
@@ -279,7 +266,8 @@ _register("method_comparison", _union_sql(
 
 @query("method_comparison")
 def q_method_comparison(spark, d):
-    ms = [_metrics(spark, d, m) for m in ("jaccard", "resource_allocation", "adamic_adar")]
+    split = _split(spark, d)
+    ms = [_metrics(spark, d, m, split) for m in COMPARED]
     r = LP.method_comparison(ms)
     return r.select("method", *[rnd(c).alias(c) for c in ("threshold", "precision", "recall", "f1", "fpr")])
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import itertools
 import os
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -20,6 +19,7 @@ from meridian.session import ensure_checkpoint_dir
 
 
 _SEQ = itertools.count()
+_PATHS: list[str] = []                    # where the last state was written
 _RUN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
 
 
@@ -36,6 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/meridian-state-{_RUN}/{next(_SEQ):06d}"
     df.write.mode("overwrite").parquet(path)
+    _PATHS[:] = [path]
     return spark.read.parquet(path)
 
 
@@ -57,19 +58,25 @@ def release(bag: list) -> None:
     bag.clear()
 
 
-def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], rounds: int,
-            every: int = 4, until: Callable[[DataFrame, DataFrame], bool] | None = None) -> DataFrame:
-    """Apply ``step`` up to ``rounds`` times.
-
-    ``until(old, new)`` is evaluated after each checkpoint (one small action);
-    when it returns True the loop stops early.  The state is checkpointed every
-    ``every`` rounds and once at the end.
-    """
-    for r in range(rounds):
-        new = step(state, r)
-        if (r + 1) % every == 0 or r == rounds - 1:
-            new = cut(new)
-            if until is not None and until(state, new):
-                return new
-        state = new
-    return state
+class Steps:
+    """The states of one loop: ``cut`` writes the next one and deletes the one before
+    the last, so a loop of any length keeps two states in the shared folder.
+
+    A state must not be read after the second ``cut`` that follows its own."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        out = cut(df)
+        self.paths.append(_PATHS.pop())
+        if len(self.paths) > 2:
+            _delete(self.spark, self.paths.pop(0))
+        return out
+
+
+def _delete(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -53,10 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if configured:                 # the cluster vouches that this folder is shared
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: iterative operators need a shared "
             "checkpoint folder on a cluster")
