@@ -25,11 +25,14 @@ Repeated rows score alike; other columns play no part.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +45,11 @@ DISCOUNT = 0.75
 PASSAGE = 8
 #: Labelled rows of each class that are learned from.
 PER_CLASS = 20_000
-#: Entries (a power of two) of each hashed table: of the class counts, and of each shared order.
-CLASS_BITS, SHARED_BITS = 20, 19
+#: Places (a power of two) of the hashed tables of the class counts and of each shared order, from 1.
+CLASS_BITS = 20
+SHARED_BITS = [10, 14, 16, 18, 19]
+CHUNK_BITS = 14
+MODELS = ["toxic", "plain", *range(1, ORDER)]
 #: Words whose likelihoods a worker remembers.
 REMEMBERED = 1_000_000
 EVIDENCE = ["whole", "passage", "word"]
@@ -78,16 +84,24 @@ def bucket(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-@dataclass
+def bits_of(name) -> int:
+    return SHARED_BITS[name - 1] if isinstance(name, int) else CLASS_BITS
+
+
 class Tables:
-    """Hashed counts: per table the gram counts, and totals and distinct followers of contexts."""
-    base: float = 0.0
-    count: dict = field(default_factory=dict)
-    total: dict = field(default_factory=dict)
-    kinds: dict = field(default_factory=dict)
-
-    def interpolate(self, name, g: np.ndarray, c: np.ndarray, bits: int, lower: np.ndarray) -> np.ndarray:
-        i, j = bucket(g, bits), bucket(c, bits)
+    """Hashed counts: of grams, and totals and distinct followers of contexts, from
+    their compressed chunks (table, chunk, bytes)."""
+
+    def __init__(self, chunks: list):
+        self.count, self.total, self.kinds = ({m: np.zeros(1 << bits_of(m), np.float32) for m in MODELS} for _ in range(3))
+        for table, chunk, blob in chunks:
+            part = np.frombuffer(zlib.decompress(blob), np.float32)
+            of = (self.count, self.total, self.kinds)[table % 3][MODELS[table // 3]]
+            of[chunk << CHUNK_BITS:(chunk << CHUNK_BITS) + len(part)] = part[:len(of)]
+        self.base = 1.0 / (1 + int((self.count[1] > 0).sum()))
+
+    def interpolate(self, name, g: np.ndarray, c: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        i, j = bucket(g, bits_of(name)), bucket(c, bits_of(name))
         total = self.total[name][j]
         p = (np.maximum(self.count[name][i] - DISCOUNT, 0) + DISCOUNT * self.kinds[name][j] * lower) / np.maximum(total, 1)
         return np.where(total > 0, np.minimum(p, 1.0), lower)
@@ -100,21 +114,21 @@ class Tables:
             g, c, word = gram_chains(part)
             p = np.full(g.shape[1], self.base)
             for k in range(1, ORDER):
-                p = self.interpolate(k, g[k - 1], c[k - 1], SHARED_BITS, p)
-            toxic, plain = (self.interpolate(n, g[-1], c[-1], CLASS_BITS, p) for n in ("toxic", "plain"))
+                p = self.interpolate(k, g[k - 1], c[k - 1], p)
+            toxic, plain = (self.interpolate(n, g[-1], c[-1], p) for n in ("toxic", "plain"))
             out[lo:lo + len(part)] = np.bincount(word, np.log(toxic / plain), len(part))
         return out
 
 
-_REMEMBERED: dict[int, dict[str, float]] = {}
+#: The last model that a worker used, and the words it knows of it.
+_LAST: dict = {}
 
 
-def evidence(texts: list[str], tables: Tables, key: int) -> np.ndarray:
+def evidence(texts: list[str], chunks) -> np.ndarray:
     """Length-normalised differences: whole text, most toxic passage, most toxic word."""
-    if key not in _REMEMBERED:
-        _REMEMBERED.clear()
-        _REMEMBERED[key] = {}
-    known = _REMEMBERED[key]
+    if _LAST.get("chunks") is not chunks:
+        _LAST.update(chunks=chunks, tables=Tables(chunks), known={})
+    tables, known = _LAST["tables"], _LAST["known"]
     out = np.zeros((len(texts), 3))
     for lo in range(0, len(texts), 512):
         docs = [words_of(t) for t in texts[lo:lo + 512]]
@@ -159,40 +173,40 @@ def _count_grams(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in [*sums, *cols]], names=["toxic", "plain", *_CHAIN])
 
 
-def _tables(words: DataFrame) -> Tables:
+def _chunk(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """A chunk of a table, dense and compressed."""
+    size = min(1 << CHUNK_BITS, 1 << bits_of(MODELS[key[0] // 3]))
+    part = np.zeros(size, np.float32)
+    part[pdf["at"].to_numpy() % size] = pdf["n"].to_numpy()
+    return pd.DataFrame({"t": [key[0]], "chunk": [key[1]], "blob": [zlib.compress(part.tobytes(), 6)]})
+
+
+def _tables(words: DataFrame) -> list:
+    """The hashed tables as compressed chunks: their number and size are fixed."""
     top = words.mapInArrow(_count_grams, ", ".join(f"{x} long" for x in ["toxic", "plain", *_CHAIN]))
     top = cut(top.groupBy(f"g{ORDER}").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"),
                                            *[F.first(x).alias(x) for x in _CHAIN if x != f"g{ORDER}"]))
 
-    def place(c: str, bits: int) -> Column:
-        return F.shiftrightunsigned(F.col(c), 64 - bits).cast("int")
-
-    def facts(df, name, k, bits, count):
-        """Counts at the gram's place and at its context's place."""
+    def facts(df, model, k, count):
+        """Counts at the gram's place, and totals and followers at its context's place."""
+        t, one = 3 * MODELS.index(model), F.lit(1).cast("long")
+        place = {c: F.shiftrightunsigned(F.col(f"{c}{k}"), 64 - bits_of(model)).cast("int") for c in "gc"}
         return df.where(F.col(count) > 0).select(F.inline(F.array(*[
-            F.struct(F.lit(name).alias("name"), F.lit(x).alias("of"), place(f"{x}{k}", bits).alias("at"),
-                     F.col(count).alias("n"), F.lit(1).cast("long").alias("kinds")) for x in "gc"])))
+            F.struct(F.lit(t + i).alias("t"), at.alias("at"), n.alias("n"))
+            for i, (at, n) in enumerate(((place["g"], F.col(count)), (place["c"], F.col(count)), (place["c"], one)))])))
 
-    found = facts(top, "toxic", ORDER, CLASS_BITS, "toxic").unionByName(facts(top, "plain", ORDER, CLASS_BITS, "plain"))
+    found = facts(top, "toxic", ORDER, "toxic").unionByName(facts(top, "plain", ORDER, "plain"))
     level = top
     for k in range(ORDER - 1, 0, -1):             # continuation counts: how many longer grams end so
         chain = [x for x in _CHAIN if int(x[1:]) <= k and x != f"g{k}"]
         level = level.groupBy(f"g{k}").agg(F.count(F.lit(1)).alias("n"), *[F.first(x).alias(x) for x in chain])
         if k == ORDER - 1:
             level = cut(level)
-        found = found.unionByName(facts(level, str(k), k, SHARED_BITS, "n"))
-    # At most 2^CLASS_BITS or 2^SHARED_BITS rows of each table and kind.
-    rows = found.groupBy("name", "of", "at").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).toPandas()
-    t = Tables()
-    for name in ["toxic", "plain", *map(str, range(1, ORDER))]:
-        bits = CLASS_BITS if not name.isdigit() else SHARED_BITS
-        key = int(name) if name.isdigit() else name
-        for of, target, column in (("g", t.count, "n"), ("c", t.total, "n"), ("c", t.kinds, "kinds")):
-            part = rows[(rows["name"] == name) & (rows["of"] == of)]
-            target[key] = np.zeros(1 << bits, np.float32)
-            target[key][part["at"].to_numpy(np.int64)] = part[column]
-    t.base = 1.0 / (1 + int((t.count[1] > 0).sum()))
-    return t
+        found = found.unionByName(facts(level, k, k, "n"))
+    places = found.groupBy("t", "at").agg(F.sum("n").alias("n"))
+    chunks = places.groupBy("t", F.shiftright("at", CHUNK_BITS).alias("chunk")).applyInPandas(
+        _chunk, "t int, chunk int, blob binary")
+    return [(r.t, r.chunk, r.blob) for r in chunks.collect()]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
@@ -211,7 +225,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarr
 
 @dataclass
 class Model:
-    tables: Tables | None
+    tables: Broadcast | None
     weights: np.ndarray
     prior: float
 
@@ -240,23 +254,22 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
         return Model(None, np.zeros(4), prior)
     words = (rows.where(~F.col("fit")).select("text", "y").mapInArrow(_count_words, "word string, toxic long, plain long")
              .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
-    tables = _tables(words)
+    tables = docs.sparkSession.sparkContext.broadcast(_tables(words))
     found = _evidence_of(rows.where("fit").select("text", F.struct("y").alias("row")), tables).select(
         "row.y", *EVIDENCE).toPandas()
     x = found[EVIDENCE].to_numpy()
     return Model(tables, fit_logistic(x, found["y"].to_numpy()), prior)
 
 
-def _evidence_of(df: DataFrame, tables: Tables) -> DataFrame:
+def _evidence_of(df: DataFrame, tables: Broadcast) -> DataFrame:
     """``df``: text, row (anything, passed on)."""
-    shared = df.sparkSession.sparkContext.broadcast(tables)
     schema = T.StructType([df.schema["row"], *[T.StructField(c, T.DoubleType()) for c in EVIDENCE]])
 
     def body(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
-                x = evidence(part.column(0).to_pylist(), shared.value, id(shared.value))
+                x = evidence(part.column(0).to_pylist(), tables.value)
                 yield pa.RecordBatch.from_arrays([part.column(1), *(pa.array(x[:, i]) for i in range(3))],
                                                  names=["row", *EVIDENCE])
     return df.mapInArrow(body, schema)
