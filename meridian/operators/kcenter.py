@@ -7,8 +7,8 @@
   weight count per bucket in ``applyInPandas``; each bucket returns at most
   k+z+1 weighted points, so the coreset is bounded by L(k+z+1) rows whatever
   the input size.
-* The weighted greedy with radius doubling runs on DataFrames: ball weights
-  come from the grid ``ball_join``; centres are inlined as literals (at most k).
+* The weighted greedy with radius doubling is for the small weighted coreset; its
+  size is checked.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 from meridian.functions.draws import hash_int
 from meridian.functions.vectors import squared_euclidean
-from meridian.operators.vectors import ball_join, collect_small
+from meridian.operators.vectors import collect_small, ids_literal, vectors_literal
 from meridian.plans.iterate import cut
 
-MAX_GUESSES = 64
+#: Points of a bucket, on the average (one task holds a bucket).
+BUCKET_POINTS = 4096
 
 
 def _lit_vec(v) -> F.Column:
-    return F.array(*[F.lit(float(x)) for x in v])
+    return vectors_literal([v])[0]
 
 
 def farthest_first(points: DataFrame, k: int, id_col: str = "id", feat_col: str = "features") -> DataFrame:
@@ -61,8 +62,7 @@ def assign_nearest_center(points: DataFrame, centers: DataFrame, id_col: str = "
     """Id, center_id, distance to the nearest centre (first centre in rank
     order on ties).  The centre list is size-checked and inlined."""
     rows = collect_small(centers.orderBy("rank") if "rank" in centers.columns else centers.orderBy("id"))
-    cs = F.array(*[_lit_vec(r["features"]) for r in rows])
-    ids = F.array(*[F.lit(int(r["id"])) for r in rows])
+    cs, ids = vectors_literal([r["features"] for r in rows]), ids_literal([r["id"] for r in rows])
     d2 = F.transform(cs, lambda c: squared_euclidean(F.col(feat_col), c))
     best = F.array_position(d2, F.array_min(d2))
     return points.select(F.col(id_col).alias("id"), F.element_at(ids, best.cast("int")).alias("center_id"),
@@ -103,13 +103,19 @@ def _fft_bucket(m: int):
     return run
 
 
-def extract_coreset(points: DataFrame, k: int, z: int, buckets: int, id_col: str = "id",
+def coreset_buckets(points: DataFrame, least: int = 4) -> int:
+    """Buckets of about ``BUCKET_POINTS`` points, so no task holds more of a larger input."""
+    return max(least, math.ceil(points.count() / BUCKET_POINTS))
+
+
+def extract_coreset(points: DataFrame, k: int, z: int, buckets: int | None = None, id_col: str = "id",
                     feat_col: str = "features") -> DataFrame:
     """Per hash bucket, k+z+1 farthest-first representatives and their
     weights.  Σ weight = number of points."""
     m = k + z + 1
+    n = buckets or coreset_buckets(points)
     pts = points.select(F.col(id_col).alias("id"), F.col(feat_col).alias("features"),
-                        F.pmod(hash_int(id_col, 21), F.lit(buckets)).cast("int").alias("bucket"))
+                        F.pmod(hash_int(id_col, 21), F.lit(n)).cast("int").alias("bucket"))
     return pts.groupBy("bucket").applyInPandas(
         _fft_bucket(m), "id long, features array<double>, weight double, bucket int")
 
@@ -127,52 +133,49 @@ def initial_radius(points: DataFrame, m: int, id_col: str = "id", feat_col: str
 
 
 def weighted_kcenter_outliers(wpoints: DataFrame, k: int, z: float, alpha: float,
-                              id_col: str = "id", feat_col: str = "features", weight_col: str = "weight",
-                              max_guesses: int = MAX_GUESSES):
+                              id_col: str = "id", feat_col: str = "features", weight_col: str = "weight"):
     """Greedy k-center with outliers on weighted points.
 
-    Returns (centers DataFrame [rank, id, features], report dict).  For every
-    radius guess r the candidate balls of radius (1+2a)r come from one grid
-    join; each greedy step sums the uncovered weight per candidate, takes the
-    heaviest ball (lowest id on ties) and drops the points within (3+4a)r of it.
-    If more than z weight stays uncovered, r doubles."""
+    Returns (centers DataFrame [rank, id, features], report dict).  For a radius
+    guess r every greedy step takes the point whose ball of radius (1+2a)r holds the
+    most uncovered weight (lowest id on ties) and drops the points within (3+4a)r of
+    it.  If more than z weight stays uncovered, r doubles; it ends at the latest when
+    r covers all points.
+
+    The algorithm is sequential, for a small weighted set (a coreset): its size is
+    checked and it runs on the driver, with no pair table.  Larger inputs go through
+    ``mr_kcenter_outliers``."""
     spark = wpoints.sparkSession
-    pts = cut(wpoints.select(F.col(id_col).alias("id"), F.col(feat_col).alias("features"),
-                             F.col(weight_col).cast("double").alias("w")))
-    n = pts.count()
-    total_w = pts.agg(F.sum("w")).first()[0] or 0.0
-    r_min = initial_radius(pts, k + int(z) + 1)
-    if r_min <= 0:
-        r_min = 1e-12
-    r = r_min
-    guesses = 1
-    centers: list = []
+    rows = collect_small(wpoints.select(F.col(id_col).alias("id"), F.col(feat_col).alias("features"),
+                                        F.col(weight_col).cast("double").alias("w")).orderBy("id", "w"))
+    ids = [r.id for r in rows]
+    x = np.array([r.features for r in rows], dtype=float).reshape(len(rows), -1)
+    w = np.array([r.w for r in rows], dtype=float)
+    first = x[:k + int(z) + 1]
+    near = np.sqrt(((first[:, None, :] - first[None, :, :]) ** 2).sum(axis=2))
+    r_min = float(near[near > 0].min()) / 2 if (near > 0).any() else 1e-12
+    r, guesses = r_min, 1
     while True:
-        pairs = cut(ball_join(pts, pts.select("id", "features", "w"), (1 + 2 * alpha) * r,
-                              extra_b=(F.col("w").alias("w_b"),)).select("id_a", "id_b", "w_b"))
-        uncovered = pts.select("id", "features", "w")
-        centers = []
-        w_z = total_w
-        while len(centers) < k and w_z > 0:
-            unc_ids = uncovered.select(F.col("id").alias("id_b"))
-            best = (pairs.join(unc_ids, "id_b", "left_semi").groupBy("id_a").agg(F.sum("w_b").alias("bw"))
-                    .orderBy(F.desc("bw"), F.asc("id_a")).limit(1).first())
-            if best is None:
-                break
-            c = pts.filter(F.col("id") == best.id_a).select("features").first().features
-            centers.append((len(centers), best.id_a, list(c)))
-            far = squared_euclidean(F.col("features"), _lit_vec(c)) > F.lit(((3 + 4 * alpha) * r) ** 2)
-            uncovered = cut(uncovered.filter(far))
-            w_z = uncovered.agg(F.sum("w")).first()[0] or 0.0
-        if w_z <= z or guesses >= max_guesses:
+        left = np.ones(len(x), bool)
+        chosen: list[int] = []
+        while len(chosen) < k and w[left].sum() > 0:
+            weight = np.zeros(len(x))
+            for lo in range(0, len(x), 512):
+                d = np.sqrt(((x[lo:lo + 512, None, :] - x[None, left, :]) ** 2).sum(axis=2))
+                weight[lo:lo + 512] = (d <= (1 + 2 * alpha) * r) @ w[left]
+            best = int(np.argmax(weight))                 # the first of equals has the lowest id
+            chosen.append(best)
+            left &= np.sqrt(((x - x[best]) ** 2).sum(axis=1)) > (3 + 4 * alpha) * r
+        if w[left].sum() <= z:
             break
         r *= 2
         guesses += 1
-    report = {"initial_guess": r_min, "final_guess": r, "n_guesses": guesses, "n": n, "k": k, "z": z}
+    centers = [(j, ids[i], x[i].tolist()) for j, i in enumerate(chosen)]
+    report = {"initial_guess": r_min, "final_guess": r, "n_guesses": guesses, "n": len(x), "k": k, "z": z}
     return spark.createDataFrame(centers, "rank int, id long, features array<double>"), report
 
 
-def mr_kcenter_outliers(points: DataFrame, k: int, z: int, buckets: int, alpha: float = 2.0,
+def mr_kcenter_outliers(points: DataFrame, k: int, z: int, buckets: int | None = None, alpha: float = 2.0,
                         id_col: str = "id", feat_col: str = "features"):
     """Coreset per bucket (round 1), weighted greedy on the coreset (round 2)."""
     core = cut(extract_coreset(points, k, z, buckets, id_col, feat_col))
@@ -198,11 +201,3 @@ def radius_report(points: DataFrame, k: int, z: int, alpha: float = 0.0, id_col:
     row = (rep["initial_guess"], rep["final_guess"], rep["n_guesses"], rep["n"], k, z, obj)
     return points.sparkSession.createDataFrame(
         [row], "initial_guess double, final_guess double, n_guesses int, n long, k int, z int, objective double")
-
-
-def coreset_size_bound(k: int, z: int, buckets: int) -> int:
-    return buckets * (k + z + 1)
-
-
-def guesses_needed(r_min: float, r_final: float) -> int:
-    return 1 + int(round(math.log2(r_final / r_min))) if r_min > 0 else 1

@@ -89,22 +89,23 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
 
 
-def one_hot(df: DataFrame, cols: list[str], drop_original: bool = True) -> DataFrame:
+MAX_LEVELS = 1000
+
+
+def one_hot(df: DataFrame, cols: list[str], drop_original: bool = True, max_levels: int = MAX_LEVELS) -> DataFrame:
     """One 0/1 integer column ``<col>_<value>`` per category value.
 
-    The distinct values of each column are found with one distributed
-    aggregation (bounded by the number of categories, which is what the
-    encoding widens the table by) and the columns are plain ``when``
-    expressions, so the encoding itself is a narrow projection."""
-    levels = {}
-    if cols:
-        agg = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
-        levels = {c: agg[c] for c in cols}
-    out = df
+    The distinct values of each column are a distributed aggregation; a column with
+    more than ``max_levels`` of them is refused, since the table would get that many
+    columns.  The encoding is one narrow projection."""
+    keep = [F.col(c) for c in df.columns if not (drop_original and c in cols)]
+    hot = []
     for c in cols:
-        for v in levels[c]:
-            out = out.withColumn(f"{c}_{v}", (F.col(c) == F.lit(v)).cast("int"))
-    return out.drop(*cols) if drop_original else out
+        rows = df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
+        hot += [(F.col(c) == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in sorted(r[0] for r in rows)]
+    return df.select(*keep, *hot)
 
 
 def feature_vector(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:

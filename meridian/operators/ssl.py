@@ -32,12 +32,12 @@ from meridian.plans.iterate import cut
 TILE = 2048
 
 
-def prepare_census(df: DataFrame, first_n: int, cat_cols: list[str], num_cols: list[str], target: str,
-                   positive, order_col: str) -> DataFrame:
-    """First n rows -> drop missing -> recode target -> one-hot -> vector.
+def prepare_census(df: DataFrame, cat_cols: list[str], num_cols: list[str], target: str,
+                   positive, order_col: str, first_n: int | None = None) -> DataFrame:
+    """(first n rows ->) drop missing -> recode target -> one-hot -> vector.
     Returns id, features (numeric columns, then one-hot columns by sorted
     category value), y."""
-    t = R.drop_null_rows(R.first_n_rows(df, first_n, order_col))
+    t = R.drop_null_rows(df if first_n is None else R.first_n_rows(df, first_n, order_col))
     t = R.recode_labels(t, target, positive, "y")
     before = set(t.columns)
     t = R.one_hot(t, cat_cols)

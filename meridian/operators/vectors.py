@@ -3,7 +3,7 @@
 No operator here builds the n x m cross product as rows:
 
 * ``distances_to_set`` compares every row with a small set whose size is
-  checked before it is inlined into the expression as a literal array;
+  checked before it becomes one array literal;
 * ``knn_join`` is a blocked nested loop: both sides are hashed into blocks,
   each (block, block) pair is one ``cogroup`` task that computes the distance
   block with numpy and emits only its k best candidates per query row; a
@@ -18,6 +18,7 @@ No operator here builds the n x m cross product as rows:
 from __future__ import annotations
 
 import itertools
+import json
 import math
 
 import numpy as np
@@ -41,13 +42,22 @@ def collect_small(df: DataFrame, limit: int = MAX_INLINE_SET) -> list:
     return rows
 
 
+def vectors_literal(vectors: list):
+    """Checked, small vectors as one array literal: the JSON text is parsed once, when
+    the plan is optimised, instead of one expression per coordinate."""
+    return F.from_json(F.lit(json.dumps([[float(x) for x in v] for v in vectors])), "array<array<double>>")
+
+
+def ids_literal(ids: list):
+    return F.from_json(F.lit(json.dumps([int(i) for i in ids])), "array<bigint>")
+
+
 def distances_to_set(points: DataFrame, centers: DataFrame, id_col: str = "id",
                      feat_col: str = "features") -> DataFrame:
     """C4 (re-aimed): id, center_id, distance for every point and every member
     of a small, size-checked set."""
     rows = collect_small(centers.select(id_col, feat_col).orderBy(id_col))
-    lit = F.array(*[F.array(*[F.lit(float(x)) for x in r[feat_col]]) for r in rows])
-    ids = F.array(*[F.lit(int(r[id_col])) for r in rows])
+    lit, ids = vectors_literal([r[feat_col] for r in rows]), ids_literal([r[id_col] for r in rows])
     d = F.transform(lit, lambda c: F.sqrt(squared_euclidean(F.col(feat_col), c)))
     z = F.arrays_zip(ids.alias("center_id"), d.alias("distance"))
     return (points.select(F.col(id_col).alias("id"), F.explode(z).alias("_z"))

@@ -79,10 +79,10 @@ SELECT c_custkey AS id,
        [CAST(n_orders AS DOUBLE), total_spent, {', '.join(f"CAST(c_mktsegment = '{v}' AS DOUBLE)" for v in SEGMENTS)}]
          AS features,
        CAST(CASE WHEN target = '>avg' THEN 1 ELSE -1 END AS INTEGER) AS y
-FROM (SELECT * FROM census_like ORDER BY c_custkey LIMIT {FIRST_N}) WHERE c_mktsegment IS NOT NULL""",
+FROM census_like WHERE c_mktsegment IS NOT NULL""",
        ("census_like",))
 def q_prepare(spark, d):
-    return S.prepare_census(T.census_like(spark, d), FIRST_N, ["c_mktsegment"], ["n_orders", "total_spent"],
+    return S.prepare_census(T.census_like(spark, d), ["c_mktsegment"], ["n_orders", "total_spent"],
                             "target", ">avg", "c_custkey")
 
 
@@ -174,10 +174,10 @@ def q_largest_gap(spark, d):
 @query("kth_largest_distance")
 def q_kth(spark, d):
     from meridian.plans.catalog_vectors import KC_Z
-    pts = T.points(spark, d, 2)
-    first = pts.orderBy("id").limit(1).first()
     from meridian.functions.vectors import euclidean
-    ref = F.array(*[F.lit(float(x)) for x in first.features])
+    from meridian.operators.vectors import vectors_literal
+    pts = T.points(spark, d)
+    ref = vectors_literal([pts.orderBy("id").limit(1).first().features])[0]
     dd = pts.select(euclidean(F.col("features"), ref).alias("distance"))
     v = R.kth_largest(dd, "distance", KC_Z + 1)
     return spark.createDataFrame([(round(v, 6),)], "kth_largest double")
@@ -189,8 +189,8 @@ def _kth_sql():
     O.register("kth_largest_distance", f"""
 SELECT round(min(d), 6) AS kth_largest FROM (
   SELECT sqrt({sq('p.features', 'f.features')}) AS d
-  FROM points2d p, (SELECT features FROM points2d ORDER BY id LIMIT 1) f ORDER BY d DESC LIMIT {KC_Z + 1})""",
-               "points2d")
+  FROM points p, (SELECT features FROM points ORDER BY id LIMIT 1) f ORDER BY d DESC LIMIT {KC_Z + 1})""",
+               "points")
 
 
 _kth_sql()

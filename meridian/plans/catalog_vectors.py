@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meridian.functions.draws import sql_hash_int
 from meridian.functions.vectors import euclidean, exp_similarity, squared_euclidean
 from meridian.operators import kcenter as KC
 from meridian.operators import relational as R
@@ -13,10 +14,11 @@ from meridian.plans.catalog import query, rnd
 from meridian.sources import testdata as T
 
 KNN_K = 5
-BALL_RADIUS = 0.02
+BALL_RADIUS = 1.0
 FFT_K = 5
 KC_K, KC_Z = 3, 2
 N_SET = 5
+BUCKETS = 4
 
 
 def sq(a: str, b: str) -> str:
@@ -40,7 +42,7 @@ def q_euclid(spark, d):
     pts = T.points(spark, d)
     f = _first_point(pts).select(F.col("features").alias("ff"))
     row = f.first()
-    ref = F.array(*[F.lit(float(x)) for x in row.ff])
+    ref = V.vectors_literal([row.ff])[0]
     return pts.select("id", rnd(squared_euclidean(F.col("features"), ref)).alias("squared_distance"),
                       rnd(euclidean(F.col("features"), ref)).alias("distance"))
 
@@ -51,7 +53,7 @@ FROM points p, (SELECT features FROM points ORDER BY id LIMIT 1) f""", ("points"
 def q_expsim(spark, d):
     pts = T.points(spark, d)
     row = _first_point(pts).first()
-    ref = F.array(*[F.lit(float(x)) for x in row.features])
+    ref = V.vectors_literal([row.features])[0]
     return pts.select("id", rnd(exp_similarity(euclidean(F.col("features"), ref), 1.0)).alias("similarity"))
 
 
@@ -88,13 +90,13 @@ def q_knn_graph(spark, d):
 
 @query("ball_join", f"""
 SELECT a.id AS id_a, b.id AS id_b, round(sqrt({sq('a.features', 'b.features')}), 6) AS distance
-FROM points2d a, points2d b WHERE sqrt({sq('a.features', 'b.features')}) <= {BALL_RADIUS}""", ("points2d",))
+FROM points a, points b WHERE sqrt({sq('a.features', 'b.features')}) <= {BALL_RADIUS}""", ("points",))
 def q_ball(spark, d):
-    p = T.points(spark, d, 2)
+    p = T.points(spark, d)
     return V.ball_join(p, p, BALL_RADIUS).withColumn("distance", rnd("distance"))
 
 
-def fft_sql(k: int, src: str = "points2d") -> str:
+def fft_sql(k: int, src: str = "points") -> str:
     parts = [f"c0 AS MATERIALIZED (SELECT 0 AS rank, id, features FROM {src} ORDER BY id LIMIT 1)",
              f"d0 AS MATERIALIZED (SELECT p.id, p.features, {sq('p.features', 'c.features')} AS d "
              f"FROM {src} p, c0 c)"]
@@ -112,22 +114,22 @@ assign AS MATERIALIZED (
   SELECT id, center_id, distance FROM (
     SELECT p.id, c.id AS center_id, sqrt({sq('p.features', 'c.features')}) AS distance,
            row_number() OVER (PARTITION BY p.id ORDER BY {sq('p.features', 'c.features')}, c.rank) AS rn
-    FROM points2d p, centers c) WHERE rn = 1)"""
+    FROM points p, centers c) WHERE rn = 1)"""
 
-O.register_chain("farthest_first", fft_sql(FFT_K), "SELECT rank, id, features FROM centers", "points2d")
+O.register_chain("farthest_first", fft_sql(FFT_K), "SELECT rank, id, features FROM centers", "points")
 O.register_chain("assign_nearest_center", fft_sql(FFT_K) + "," + _ASSIGN_BODY,
-                 "SELECT id, center_id, round(distance, 6) AS distance FROM assign", "points2d")
+                 "SELECT id, center_id, round(distance, 6) AS distance FROM assign", "points")
 O.register_chain("coreset_weights", fft_sql(FFT_K) + "," + _ASSIGN_BODY,
-                 "SELECT center_id, CAST(count(*) AS DOUBLE) AS weight FROM assign GROUP BY center_id", "points2d")
+                 "SELECT center_id, CAST(count(*) AS DOUBLE) AS weight FROM assign GROUP BY center_id", "points")
 O.register_chain("kcenter_objective", fft_sql(FFT_K) + "," + _ASSIGN_BODY,
                  f"SELECT round(min(distance), 6) AS objective FROM (SELECT distance FROM assign "
-                 f"ORDER BY distance DESC LIMIT {KC_Z + 1})", "points2d")
+                 f"ORDER BY distance DESC LIMIT {KC_Z + 1})", "points")
 O.register_chain("argmax_row", fft_sql(1),
-                 "SELECT id, round(d, 6) AS d FROM d0 ORDER BY d DESC, id LIMIT 1", "points2d")
+                 "SELECT id, round(d, 6) AS d FROM d0 ORDER BY d DESC, id LIMIT 1", "points")
 
 
 def _fft(spark, d):
-    return KC.farthest_first(T.points(spark, d, 2), FFT_K)
+    return KC.farthest_first(T.points(spark, d), FFT_K)
 
 
 @query("farthest_first")
@@ -137,64 +139,97 @@ def q_fft(spark, d):
 
 @query("assign_nearest_center")
 def q_assign(spark, d):
-    return KC.assign_nearest_center(T.points(spark, d, 2), _fft(spark, d)).withColumn("distance", rnd("distance"))
+    return KC.assign_nearest_center(T.points(spark, d), _fft(spark, d)).withColumn("distance", rnd("distance"))
 
 
 @query("coreset_weights")
 def q_coreset_weights(spark, d):
-    return KC.coreset_weights(KC.assign_nearest_center(T.points(spark, d, 2), _fft(spark, d)))
+    return KC.coreset_weights(KC.assign_nearest_center(T.points(spark, d), _fft(spark, d)))
 
 
 @query("kcenter_objective")
 def q_objective(spark, d):
-    obj = KC.kcenter_objective(T.points(spark, d, 2), _fft(spark, d), KC_Z)
+    obj = KC.kcenter_objective(T.points(spark, d), _fft(spark, d), KC_Z)
     return spark.createDataFrame([(round(obj, 6),)], "objective double")
 
 
 @query("argmax_row")
 def q_argmax(spark, d):
-    pts = T.points(spark, d, 2)
+    pts = T.points(spark, d)
     row = _first_point(pts).first()
-    ref = F.array(*[F.lit(float(x)) for x in row.features])
+    ref = V.vectors_literal([row.features])[0]
     dd = pts.select("id", squared_euclidean(F.col("features"), ref).alias("d"))
     return R.argmax_row(dd, "d").withColumn("d", rnd("d"))
 
 
 @query("initial_radius", f"""
 SELECT round(min(sqrt({sq('a.features', 'b.features')})) / 2, 6) AS initial_radius
-FROM (SELECT * FROM points2d ORDER BY id LIMIT {KC_K + KC_Z + 1}) a,
-     (SELECT * FROM points2d ORDER BY id LIMIT {KC_K + KC_Z + 1}) b
-WHERE sqrt({sq('a.features', 'b.features')}) > 0""", ("points2d",))
+FROM (SELECT * FROM points ORDER BY id LIMIT {KC_K + KC_Z + 1}) a,
+     (SELECT * FROM points ORDER BY id LIMIT {KC_K + KC_Z + 1}) b
+WHERE sqrt({sq('a.features', 'b.features')}) > 0""", ("points",))
 def q_initial_radius(spark, d):
-    r = KC.initial_radius(T.points(spark, d, 2), KC_K + KC_Z + 1)
+    r = KC.initial_radius(T.points(spark, d), KC_K + KC_Z + 1)
     return spark.createDataFrame([(round(r, 6),)], "initial_radius double")
 
 
 @query("ball_weights", f"""
 SELECT a.id AS id, CAST(count(*) AS DOUBLE) AS ball_weight
-FROM points2d a, points2d b WHERE sqrt({sq('a.features', 'b.features')}) <= {BALL_RADIUS} GROUP BY a.id""",
-       ("points2d",))
+FROM points a, points b WHERE sqrt({sq('a.features', 'b.features')}) <= {BALL_RADIUS} GROUP BY a.id""",
+       ("points",))
 def q_ball_weights(spark, d):
-    p = T.points(spark, d, 2)
+    p = T.points(spark, d)
     pairs = V.ball_join(p, p, BALL_RADIUS)
     return pairs.groupBy(F.col("id_a").alias("id")).agg(F.count(F.lit(1)).cast("double").alias("ball_weight"))
 
 
+def coreset_sql(k: int, z: int, buckets: int) -> str:
+    """Farthest-first in every hash bucket, unrolled; ends in core(id, weight, bucket)."""
+    m = k + z + 1
+    src = f"(SELECT id, features, CAST({sql_hash_int('id', 21)} % {buckets} AS INTEGER) AS bucket FROM points)"
+    pick = "(SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY {o}) AS rn FROM {t})"
+    parts = [f"g0 AS MATERIALIZED (SELECT 0 AS rank, id, features, bucket FROM {pick.format(o='id', t=src)} WHERE rn = 1)",
+             f"h0 AS MATERIALIZED (SELECT p.id, p.features, p.bucket, {sq('p.features', 'c.features')} AS d "
+             f"FROM {src} p JOIN g0 c ON p.bucket = c.bucket)"]
+    for r in range(1, m):
+        last = pick.format(o="d DESC, id", t=f"h{r - 1}")
+        parts.append(f"g{r} AS MATERIALIZED (SELECT {r} AS rank, id, features, bucket FROM {last} WHERE rn = 1 AND d > 0)")
+        parts.append(f"h{r} AS MATERIALIZED (SELECT p.id, p.features, p.bucket, "
+                     f"least(p.d, coalesce({sq('p.features', 'c.features')}, p.d)) AS d "
+                     f"FROM h{r - 1} p LEFT JOIN g{r} c ON p.bucket = c.bucket)")
+    parts.append("reps AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM g{r}" for r in range(m)) + ")")
+    parts.append(f"""core AS MATERIALIZED (
+  SELECT c.id, c.features, c.bucket, CAST(count(*) AS DOUBLE) AS weight FROM (
+    SELECT p.id, p.bucket, c.id AS rep, row_number() OVER (PARTITION BY p.id ORDER BY
+           {sq('p.features', 'c.features')}, c.rank) AS rn
+    FROM {src} p JOIN reps c ON p.bucket = c.bucket) a JOIN reps c ON a.rep = c.id AND a.bucket = c.bucket
+  WHERE a.rn = 1 GROUP BY c.id, c.features, c.bucket)""")
+    return ",\n".join(parts)
+
+
+O.register_chain("extract_coreset", coreset_sql(KC_K, KC_Z, BUCKETS), "SELECT id, features, weight, bucket FROM core", "points")
+
+
 @query("extract_coreset")
 def q_coreset(spark, d):
-    return KC.extract_coreset(T.points(spark, d, 2), KC_K, KC_Z, 4)
+    return KC.extract_coreset(T.points(spark, d), KC_K, KC_Z, BUCKETS)
+
+
+def _report(spark, points, centers, rep):
+    obj = KC.kcenter_objective(points, centers, KC_Z)
+    return spark.createDataFrame(
+        [(rep["initial_guess"], rep["final_guess"], rep["n_guesses"], rep["n"], KC_K, KC_Z, obj)],
+        "initial_guess double, final_guess double, n_guesses int, n long, k int, z int, objective double")
 
 
 @query("weighted_kcenter_outliers")
 def q_seq_kcenter(spark, d):
-    return KC.radius_report(T.points(spark, d, 2), KC_K, KC_Z, alpha=0.0)
+    pts = T.points(spark, d)
+    centers, rep = KC.weighted_kcenter_outliers(KC.extract_coreset(pts, KC_K, KC_Z), KC_K, KC_Z, 0.0)
+    return _report(spark, pts, centers, rep)
 
 
 @query("mr_kcenter_outliers")
 def q_mr_kcenter(spark, d):
-    pts = T.points(spark, d, 2)
-    centers, rep = KC.mr_kcenter_outliers(pts, KC_K, KC_Z, 4)
-    obj = KC.kcenter_objective(pts, centers, KC_Z)
-    return spark.createDataFrame(
-        [(rep["initial_guess"], rep["final_guess"], rep["n_guesses"], rep["n"], KC_K, KC_Z, obj)],
-        "initial_guess double, final_guess double, n_guesses int, n long, k int, z int, objective double")
+    pts = T.points(spark, d)
+    centers, rep = KC.mr_kcenter_outliers(pts, KC_K, KC_Z)
+    return _report(spark, pts, centers, rep)

@@ -73,14 +73,6 @@ SELECT u AS node FROM edges_{_kind} UNION SELECT v AS node FROM edges_{_kind}"""
 
 cte("points", """
 SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings""")
-cte("points2d", """
-SELECT vec_id AS id, CAST(embedding AS DOUBLE[])[1:2] AS features FROM embeddings""")
-
-cte("labeled_base", f"""
-SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS features,
-       CAST(CASE WHEN label < 5 THEN -1 ELSE 1 END AS INTEGER) AS y_true,
-       {sql_hash_uniform('vec_id', 1)} AS _u
-FROM embeddings""")
 cte("labeled_points", """
 SELECT b.id, b.features,
        CAST(CASE WHEN b._u < 0.03 OR f.id IS NOT NULL THEN b.y_true ELSE 0 END AS INTEGER) AS label,
