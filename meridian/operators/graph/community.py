@@ -48,13 +48,6 @@ def modularity(edges: DataFrame, part: DataFrame, resolution: float = 1.0, comm_
     return float(r.l) / m - resolution * float(r.ss) / (4.0 * m * m)
 
 
-def modularity_table(edges: DataFrame, part: DataFrame, resolution: float = 1.0,
-                     comm_col: str = "community") -> DataFrame:
-    """H17 as a one-row DataFrame (for composition)."""
-    q = modularity(edges, part, resolution, comm_col)
-    return edges.sparkSession.createDataFrame([(q,)], "modularity double")
-
-
 def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: int) -> DataFrame:
     """One Louvain level: node -> community by synchronous guarded moves."""
     sym = cut(symmetric(edges).select("src", "dst", F.col("weight").cast("double").alias("w")))
@@ -161,8 +154,8 @@ def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max
     return louvain(g, resolution, seed + 99991, max_levels, max_rounds)
 
 
-def authority_shifting(edges: DataFrame, k: int = 2, resolution: float = 1.0, rounds: int = 20,
-                       ppr_rounds: int = 20, damping: float = 0.85) -> DataFrame:
+def authority_shifting(edges: DataFrame, k: int = 2, resolution: float = 1.0, residual: float = 1e-9,
+                       damping: float = 0.85) -> DataFrame:
     """H21 (Q11): merge a node's community with those of its k highest
     personalised-PageRank nodes when modularity does not fall.
 
@@ -172,12 +165,12 @@ def authority_shifting(edges: DataFrame, k: int = 2, resolution: float = 1.0, ro
     merges of one round are disjoint and their changes add up: Q never falls."""
     from meridian.operators.graph.rank import personalized_pagerank, topk_ppr
     seeds = graph_nodes(edges).select(F.col("node").alias("seed"))
-    top = cut(topk_ppr(personalized_pagerank(edges, seeds, damping, ppr_rounds), k)
+    top = cut(topk_ppr(personalized_pagerank(edges, seeds, damping, residual=residual), k)
               .filter(F.col("seed") != F.col("node")).select(F.col("seed").alias("a"), F.col("node").alias("b")))
     m = float(edges.agg(F.sum("weight")).first()[0] or 0.0)
     kdeg = cut(weighted_degree(edges).select("node", F.col("weighted_degree").alias("k")))
     part = cut(graph_nodes(edges).select("node", F.col("node").alias("community")))
-    for _ in range(rounds):
+    while True:                               # every round merges, so there are fewer rounds than nodes
         pa = part.select(F.col("node").alias("a"), F.col("community").alias("ca"))
         pb = part.select(F.col("node").alias("b"), F.col("community").alias("cb"))
         cand = (top.join(pa, "a").join(pb, "b").filter(F.col("ca") != F.col("cb"))

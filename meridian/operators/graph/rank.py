@@ -1,23 +1,51 @@
 """HITS, PageRank, personalised PageRank, centrality comparison.
 
-Each round is one join of the score table with the (checkpointed) transition
-table on the source node and one aggregation by target node; partial sums are
-combined map-side, so a hub target costs one partial row per partition.  The
-state is checkpointed every few rounds to keep the plan short.
+Each round is one join of the score table with the transition table on the source
+node and one aggregation by target node; partial sums are combined map-side, so a
+hub target costs one partial row per partition.  The transition table is written
+once, bucketed by source, so the loop never shuffles the edges.
+
+Every iteration runs until the scores change by at most ``tol`` in a round (sum of
+absolute changes; scores sum to 1).  One that has not got there after
+``max_rounds`` rounds raises an error instead of returning unfinished scores.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.operators import relational as R
 from meridian.operators.graph.build import nodes as graph_nodes, symmetric
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import Steps, cut, cut_by
 
 DAMPING = 0.85
-ROUNDS = 20
-CUT_EVERY = 5
+TOL = 1e-7
+MAX_ROUNDS = 2000
+CUT_EVERY = 8
+
+
+def _converge(x: DataFrame, step: Callable[[DataFrame], DataFrame], keys: list[str], tol: float, max_rounds: int,
+              settle: Callable[[DataFrame], DataFrame] = lambda d: d, per: list[str] | None = None) -> DataFrame:
+    """Apply ``step`` until the change of column x in one round is at most ``tol`` (for
+    every value of ``per``, if given).  State is written every ``CUT_EVERY`` rounds,
+    and there the last round's change is measured on written tables."""
+    spark = x.sparkSession
+    states, rounds = Steps(spark, 3), 0
+    while rounds < max_rounds:
+        for _ in range(CUT_EVERY - 1):
+            x = step(x)
+        before = states.cut(settle(x))
+        x = states.cut(settle(step(before)))
+        rounds += CUT_EVERY
+        d = x.join(before.withColumnRenamed("x", "_o"), keys, "full").select(
+            *(per or []), F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("_o", F.lit(0.0))).alias("d"))
+        change = (d.groupBy(*per).agg(F.sum("d").alias("d")).agg(F.max("d")) if per else d.agg(F.sum("d"))).first()[0]
+        if (change or 0.0) <= tol:
+            return x
+    raise RuntimeError(f"no convergence to {tol} within {max_rounds} rounds")
 
 
 def _spread(x: DataFrame, trans: DataFrame, all_nodes: DataFrame | None, value: str = "x") -> DataFrame:
@@ -37,29 +65,23 @@ def _normalise(x: DataFrame, value: str = "x") -> DataFrame:
     return x.select("node", (F.col(value) / F.lit(total)).alias(value))
 
 
-def hits(edges: DataFrame, rounds: int = ROUNDS, weight_col: str | None = None) -> DataFrame:
+def hits(edges: DataFrame, tol: float = TOL, weight_col: str | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Node, hub, authority; each sums to 1.  Unweighted by default (Q8).
 
-    Starts from the uniform vector; every round a = A^T h, h = A a, both
-    normalised by their sums (which only rescales the power iteration)."""
+    On the symmetric view a = A h and h = A a, so one vector x <- A x serves both:
+    a round is two steps, the even states are hubs and the odd ones authorities."""
     sym = symmetric(edges)
     t = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    fwd = cut(sym.select("src", "dst", t.alias("t")))
-    bwd = fwd.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "t")
+    trans = cut_by(sym.select("src", "dst", t.alias("t")), "src")
     nodes = cut(graph_nodes(edges))
     n = nodes.count()
-    h = nodes.select("node", F.lit(1.0 / n).alias("x"))
-    a = h
-    # Scaling commutes with the linear steps, so normalising only at each
-    # checkpoint gives the same vectors as normalising every half step, with
-    # one small action per checkpoint instead of two per round.
-    for r in range(rounds):
-        a = _spread(h, fwd, None if weight_col is None else nodes)
-        h = _spread(a, bwd, None if weight_col is None else nodes)
-        if (r + 1) % CUT_EVERY == 0 or r == rounds - 1:
-            a, h = cut(_normalise(a)), cut(_normalise(h))
-    return (h.withColumnRenamed("x", "hub")
-            .join(a.withColumnRenamed("x", "authority"), "node"))
+    if n == 0:
+        return nodes.select("node", F.lit(0.0).alias("hub"), F.lit(0.0).alias("authority"))
+    every = None if weight_col is None else nodes
+    h = _converge(nodes.select("node", F.lit(1.0 / n).alias("x")),
+                  lambda x: _spread(_spread(x, trans, every), trans, every), ["node"], tol, max_rounds, _normalise)
+    a = _normalise(_spread(h, trans, every))
+    return h.withColumnRenamed("x", "hub").join(a.withColumnRenamed("x", "authority"), "node")
 
 
 def transition(edges: DataFrame, weight_col: str | None = "weight") -> DataFrame:
@@ -71,60 +93,76 @@ def transition(edges: DataFrame, weight_col: str | None = "weight") -> DataFrame
     return sym.join(out, "src").filter(F.col("_s") > 0).select("src", "dst", (F.col("w") / F.col("_s")).alias("t"))
 
 
-def pagerank(edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
-             weight_col: str | None = "weight", tol: float | None = None) -> DataFrame:
+def pagerank(edges: DataFrame, damping: float = DAMPING, weight_col: str | None = "weight", tol: float = TOL,
+             max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Weighted PageRank with uniform teleport; dangling mass (nodes whose
-    out-weight is 0) is spread uniformly.  ``tol`` stops early on the L1 change
-    (checked at each checkpoint)."""
-    trans = cut(transition(edges, weight_col))
+    out-weight is 0) is spread uniformly."""
+    trans = cut_by(transition(edges, weight_col), "src")
     nodes = cut(graph_nodes(edges))
     n = nodes.count()
+    if n == 0:
+        return nodes.select("node", F.lit(0.0).alias("pagerank"))
     dangling = nodes.join(trans.select(F.col("src").alias("node")).distinct(), "node", "left_anti")
     has_dangling = dangling.limit(1).count() > 0
-    x = nodes.select("node", F.lit(1.0 / n).alias("x"))
-    for r in range(rounds):
+
+    def step(x: DataFrame) -> DataFrame:
         extra = 0.0
         if has_dangling:
             extra = damping * (x.join(dangling, "node").agg(F.sum("x")).first()[0] or 0.0) / n
         # without dangling nodes every node has a positive-weight edge, so in
         # the symmetric view it also receives mass: the all-nodes join is moot
         y = _spread(x, trans, nodes if has_dangling else None)
-        new = y.select("node", (F.lit(damping) * F.col("x") + F.lit((1 - damping) / n + extra)).alias("x"))
-        if (r + 1) % CUT_EVERY == 0 or r == rounds - 1:
-            new = cut(new)
-            if tol is not None:
-                diff = (new.join(x.withColumnRenamed("x", "_o"), "node")
-                        .agg(F.sum(F.abs(F.col("x") - F.col("_o")))).first()[0])
-                x = new
-                if diff < n * tol:
-                    break
-                continue
-        x = new
-    return x.withColumnRenamed("x", "pagerank")
-
-
-def personalized_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-                          rounds: int = ROUNDS, weight_col: str | None = "weight") -> DataFrame:
+        return y.select("node", (F.lit(damping) * F.col("x") + F.lit((1 - damping) / n + extra)).alias("x"))
+
+    x = nodes.select("node", F.lit(1.0 / n).alias("x"))
+    return _converge(x, step, ["node"], tol, max_rounds).withColumnRenamed("x", "pagerank")
+
+
+def personalized_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, weight_col: str | None = "weight",
+                          tol: float = TOL, max_rounds: int = MAX_ROUNDS, residual: float = 0.0) -> DataFrame:
     """Seed, node, score for every seed in ``seeds`` (column ``seed``):
     random walk with restart to the seed.  All seeds run in one job keyed by
-    the seed column; dangling mass returns to the seed."""
-    trans = cut(transition(edges, weight_col))
-    s = seeds.select(F.col("seed"))
-    x = s.select("seed", F.col("seed").alias("node"), F.lit(1.0).alias("x"))
-    for r in range(rounds):
+    the seed column; dangling mass returns to the seed.
+
+    ``residual`` > 0 is forward push: a seed's walk is followed only from nodes whose
+    pending mass exceeds it, which bounds a seed's state by 1 / (residual (1 - damping))
+    rows whatever the size of the graph, and each score's error by the pending mass."""
+    trans = cut_by(transition(edges, weight_col), "src")
+    s = seeds.select("seed")
+    if residual > 0:
+        return _push(trans, s, damping, residual, max_rounds)
+
+    def step(x: DataFrame) -> DataFrame:
         moved = (x.join(trans, x.node == trans.src)
                  .groupBy("seed", F.col("dst").alias("node")).agg(F.sum(F.col("x") * F.col("t")).alias("_y")))
         moved_total = moved.groupBy("seed").agg(F.sum("_y").alias("_m"))
         restart = (s.join(moved_total, "seed", "left")
                    .select("seed", F.col("seed").alias("node"),
                            (F.lit(1.0) - F.lit(damping) * F.coalesce("_m", F.lit(0.0))).alias("_r")))
-        new = (moved.select("seed", "node", (F.lit(damping) * F.col("_y")).alias("x"))
-               .unionByName(restart.select("seed", "node", F.col("_r").alias("x")))
-               .groupBy("seed", "node").agg(F.sum("x").alias("x")))
-        if (r + 1) % CUT_EVERY == 0 or r == rounds - 1:
-            new = cut(new)
-        x = new
-    return x.withColumnRenamed("x", "score")
+        return (moved.select("seed", "node", (F.lit(damping) * F.col("_y")).alias("x"))
+                .unionByName(restart.select("seed", "node", F.col("_r").alias("x")))
+                .groupBy("seed", "node").agg(F.sum("x").alias("x")))
+
+    x = s.select("seed", F.col("seed").alias("node"), F.lit(1.0).alias("x"))
+    return _converge(x, step, ["seed", "node"], tol, max_rounds, per=["seed"]).withColumnRenamed("x", "score")
+
+
+def _push(trans: DataFrame, s: DataFrame, damping: float, residual: float, max_rounds: int) -> DataFrame:
+    """Rounds of pushes over (seed, node, p, r): settled and pending mass.  Mass pending
+    at a node without links returns to the seed."""
+    state = s.select("seed", F.col("seed").alias("node"), F.lit(0.0).alias("p"), F.lit(1.0).alias("r"))
+    states = Steps(s.sparkSession)
+    for _ in range(max_rounds):
+        hot = F.col("r") > residual
+        out = (state.where(hot).join(trans, F.col("node") == F.col("src"), "left")
+               .select("seed", F.coalesce("dst", "seed").alias("node"), F.lit(0.0).alias("p"),
+                       (F.lit(damping) * F.col("r") * F.coalesce("t", F.lit(1.0))).alias("r")))
+        kept = state.select("seed", "node", F.when(hot, F.col("p") + F.lit(1 - damping) * F.col("r")).otherwise(F.col("p")).alias("p"),
+                            F.when(hot, F.lit(0.0)).otherwise(F.col("r")).alias("r"))
+        state = states.cut(kept.unionByName(out).groupBy("seed", "node").agg(F.sum("p").alias("p"), F.sum("r").alias("r")))
+        if state.where(hot).limit(1).count() == 0:
+            return state.where("p > 0").select("seed", "node", F.col("p").alias("score"))
+    raise RuntimeError(f"pending mass above {residual} after {max_rounds} rounds")
 
 
 def topk_ppr(ppr: DataFrame, k: int) -> DataFrame:
@@ -132,8 +170,7 @@ def topk_ppr(ppr: DataFrame, k: int) -> DataFrame:
     return R.topk_per_key(ppr, "seed", "score", k, item="node")
 
 
-def centrality_comparison(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def centrality_comparison(edges: DataFrame, tol: float = TOL) -> DataFrame:
     """Degree centrality, PageRank and HITS side by side per node."""
     from meridian.operators.graph.degree import degree_centrality
-    return (degree_centrality(edges).join(pagerank(edges, rounds=rounds), "node")
-            .join(hits(edges, rounds=rounds), "node"))
+    return (degree_centrality(edges).join(pagerank(edges, tol=tol), "node").join(hits(edges, tol=tol), "node"))

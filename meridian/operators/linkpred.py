@@ -97,12 +97,13 @@ def local_path_score(edges: DataFrame, beta: float = 1.0) -> DataFrame:
     return s.filter(F.col("i") < F.col("j")).select(F.col("i").alias("u"), F.col("j").alias("v"), "score")
 
 
-def rwr_score(edges: DataFrame, damping: float = 0.85, rounds: int = 20, weight_col: str | None = None) -> DataFrame:
-    """p_uv + p_vu from random walks with restart started at every node."""
+def rwr_score(edges: DataFrame, damping: float = 0.85, residual: float = 1e-9, weight_col: str | None = None) -> DataFrame:
+    """p_uv + p_vu from random walks with restart started at every node, by forward
+    push (a node's walk ends where its pending mass is at most ``residual``)."""
     from meridian.operators.graph.build import nodes
     from meridian.operators.graph.rank import personalized_pagerank
     seeds = nodes(edges).select(F.col("node").alias("seed"))
-    p = personalized_pagerank(edges, seeds, damping, rounds, weight_col)
+    p = personalized_pagerank(edges, seeds, damping, weight_col, residual=residual)
     a = p.select(F.col("seed").alias("u"), F.col("node").alias("v"), F.col("score").alias("_a"))
     b = p.select(F.col("node").alias("u"), F.col("seed").alias("v"), F.col("score").alias("_b"))
     s = a.join(b, ["u", "v"], "full").select("u", "v", (F.coalesce("_a", F.lit(0.0)) + F.coalesce("_b", F.lit(0.0))).alias("score"))

@@ -17,7 +17,8 @@ from meridian.plans.catalog import query, rnd
 from meridian.plans.iterate import cut
 from meridian.sources import testdata as T
 
-PPR_ROUNDS = 20
+PPR_SQL = 120        # rounds of the unrolled SQL, settled far below the printed digits
+RESIDUAL = 1e-9
 TOPK = 2
 NULL_REPLICAS = 100
 LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the Louvain runs inside consensus clustering
@@ -89,7 +90,7 @@ def q_consensus(spark, d):
 @query("authority_shifting")
 def q_authority(spark, d):
     e = _edges(spark, d, "part")
-    lab = CM.authority_shifting(e, k=TOPK, ppr_rounds=PPR_ROUNDS)
+    lab = CM.authority_shifting(e, k=TOPK)
     return lab.withColumn("modularity", F.lit(CM.modularity(e, lab)))
 
 
@@ -110,9 +111,9 @@ def _ppr_sql(rounds: int) -> str:
     return ",\n".join(parts)
 
 
-O.register_chain("topk_per_seed", _ppr_sql(PPR_ROUNDS), f"""
+O.register_chain("topk_per_seed", _ppr_sql(PPR_SQL), f"""
 SELECT seed, node, round(x, 6) AS score, rank FROM (
-  SELECT seed, node, x, row_number() OVER (PARTITION BY seed ORDER BY x DESC, node) AS rank FROM ppr{PPR_ROUNDS})
+  SELECT seed, node, x, row_number() OVER (PARTITION BY seed ORDER BY x DESC, node) AS rank FROM ppr{PPR_SQL})
 WHERE rank <= {TOPK}""", "nodes_supp", "trans_supp")
 
 
@@ -120,12 +121,12 @@ WHERE rank <= {TOPK}""", "nodes_supp", "trans_supp")
 def q_topk_seed(spark, d):
     e = _edges(spark, d)
     seeds = GB.nodes(e).select(F.col("node").alias("seed"))
-    top = GR.topk_ppr(GR.personalized_pagerank(e, seeds, rounds=PPR_ROUNDS), TOPK)
+    top = GR.topk_ppr(GR.personalized_pagerank(e, seeds, residual=RESIDUAL), TOPK)
     return top.select("seed", "node", rnd("score").alias("score"), "rank")
 
 
-O.register_chain("personalized_pagerank", _ppr_sql(PPR_ROUNDS),
-                 f"SELECT seed, node, round(x, 6) AS score FROM ppr{PPR_ROUNDS} WHERE seed IN (1, 7)",
+O.register_chain("personalized_pagerank", _ppr_sql(PPR_SQL),
+                 f"SELECT seed, node, round(x, 6) AS score FROM ppr{PPR_SQL} WHERE seed IN (1, 7)",
                  "nodes_supp", "trans_supp")
 
 
@@ -134,22 +135,20 @@ def q_ppr(spark, d):
     e = _edges(spark, d)
     seeds = spark.createDataFrame([(1,), (7,)], "seed long")
     seeds = seeds.join(GB.nodes(e).select(F.col("node").alias("seed")), "seed", "left_semi")
-    return GR.personalized_pagerank(e, seeds, rounds=PPR_ROUNDS).withColumn("score", rnd("score"))
+    return GR.personalized_pagerank(e, seeds).withColumn("score", rnd("score"))
 
 
-O.register_chain("centrality_comparison", O.pagerank_sql("supp", PPR_ROUNDS) + ",\n" + O.hits_sql("supp", 10), f"""
+O.register_chain("centrality_comparison", O.pagerank_sql("supp", 60) + ",\n" + O.hits_sql("supp", 20), f"""
 SELECT d.node, round(d.degree / ((SELECT count(*) FROM nodes_supp) - 1.0), 6) AS degree_centrality,
        round(p.x, 6) AS pagerank, round(h.x, 6) AS hub, round(a.x, 6) AS authority
-FROM degree_supp d JOIN pr{PPR_ROUNDS} p ON d.node = p.node JOIN h10 h ON d.node = h.node
-JOIN a10 a ON d.node = a.node""", "degree_supp", "nodes_supp", "trans_supp", "sym_supp")
+FROM degree_supp d JOIN pr60 p ON d.node = p.node JOIN h20 h ON d.node = h.node
+JOIN a20 a ON d.node = a.node""", "degree_supp", "nodes_supp", "trans_supp", "sym_supp")
 
 
 @query("centrality_comparison")
 def q_centrality(spark, d):
     e = _edges(spark, d)
-    out = (GD.degree_centrality(e).join(GR.pagerank(e, rounds=PPR_ROUNDS), "node")
-           .join(GR.hits(e, rounds=10), "node"))
-    return out.select("node", *[rnd(c).alias(c) for c in ("degree_centrality", "pagerank", "hub", "authority")])
+    return GR.centrality_comparison(e).select("node", *[rnd(c).alias(c) for c in ("degree_centrality", "pagerank", "hub", "authority")])
 
 
 @query("rwr_score")
@@ -158,7 +157,7 @@ def q_rwr(spark, d):
     from meridian.plans.catalog_linkpred import _split
     tr, _, _ = _split(spark, d)
     e = tr.select("u", "v", F.lit(1).cast("bigint").alias("weight"))
-    return LP.rwr_score(e, rounds=PPR_ROUNDS).withColumn("score", rnd("score"))
+    return LP.rwr_score(e).withColumn("score", rnd("score"))
 
 
 # ------------------------------------------------------------ spectral
@@ -245,13 +244,13 @@ def q_lcc_summary(spark, d):
 def q_node_stats(spark, d):
     e = _edges(spark, d, "part")
     lv = CM.louvain(e).withColumnRenamed("community", "louvain_communities")
-    au = CM.authority_shifting(e, k=TOPK, ppr_rounds=PPR_ROUNDS).withColumnRenamed("community",
+    au = CM.authority_shifting(e, k=TOPK).withColumnRenamed("community",
                                                                                   "authority_shifting")
     sc, _ = SP.spectral_clusters(e)
     return (GD.degree_centrality(e)
             .join(GD.clustering_coefficient(e).withColumnRenamed("clustering", "clustering_coeffs"), "node", "left")
-            .join(GR.pagerank(e, rounds=PPR_ROUNDS).withColumnRenamed("pagerank", "pagerank_centrality"), "node", "left")
-            .join(GR.hits(e, rounds=10).withColumnRenamed("hub", "hub_centrality")
+            .join(GR.pagerank(e).withColumnRenamed("pagerank", "pagerank_centrality"), "node", "left")
+            .join(GR.hits(e).withColumnRenamed("hub", "hub_centrality")
                   .withColumnRenamed("authority", "authority_centrality"), "node", "left")
             .join(lv, "node", "left").join(au, "node", "left")
             .join(sc.withColumnRenamed("community", "spectral_clusters"), "node", "left"))

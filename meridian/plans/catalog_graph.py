@@ -13,8 +13,9 @@ from meridian.plans import oracle as O
 from meridian.plans.catalog import query, rnd
 from meridian.sources import testdata as T
 
-PR_ROUNDS = 20
-HITS_ROUNDS = 10
+# Rounds after which the unrolled SQL has settled far below the printed digits.
+PR_SQL = {"supp": 60, "part": 150}
+HITS_SQL = {"supp": 20, "part": 80}
 TOP_NODES = 100
 
 
@@ -221,48 +222,46 @@ def q_rank_nodes(spark, d):
 
 # ------------------------------------------------------------ ranking
 
-def _register_pagerank():
-    body = f"SELECT node, round(x, 6) AS pagerank FROM pr{PR_ROUNDS}"
-    O.register_chain("pagerank", O.pagerank_sql("supp", PR_ROUNDS), body, "trans_supp", "nodes_supp")
-    body = f"SELECT node, round(x, 6) AS pagerank FROM pr{PR_ROUNDS}"
-    O.register_chain("pagerank_sparse", O.pagerank_sql("part", PR_ROUNDS), body, "trans_part", "nodes_part")
-    body = (f"SELECT h.node, round(h.x, 6) AS hub, round(a.x, 6) AS authority "
-            f"FROM h{HITS_ROUNDS} h JOIN a{HITS_ROUNDS} a ON h.node = a.node")
-    O.register_chain("hits", O.hits_sql("supp", HITS_ROUNDS), body, "sym_supp", "nodes_supp")
-    body = (f"SELECT h.node, round(h.x, 6) AS hub, round(a.x, 6) AS authority "
-            f"FROM h{HITS_ROUNDS} h JOIN a{HITS_ROUNDS} a ON h.node = a.node")
-    O.register_chain("hits_sparse", O.hits_sql("part", HITS_ROUNDS), body, "sym_part", "nodes_part")
-    body = (f"SELECT * FROM (SELECT node, round(x, 6) AS pagerank FROM pr{PR_ROUNDS}) "
-            f"ORDER BY pagerank DESC, node LIMIT 10")
-    O.register_chain("top_pagerank", O.pagerank_sql("supp", PR_ROUNDS), body, "trans_supp", "nodes_supp")
+def _register_ranks():
+    for kind, name in (("supp", ""), ("part", "_sparse")):
+        O.register_chain(f"pagerank{name}", O.pagerank_sql(kind, PR_SQL[kind]),
+                         f"SELECT node, round(x, 6) AS pagerank FROM pr{PR_SQL[kind]}", f"trans_{kind}", f"nodes_{kind}")
+        r = HITS_SQL[kind]
+        O.register_chain(f"hits{name}", O.hits_sql(kind, r),
+                         f"SELECT h.node, round(h.x, 6) AS hub, round(a.x, 6) AS authority "
+                         f"FROM h{r} h JOIN a{r} a ON h.node = a.node", f"sym_{kind}", f"nodes_{kind}")
+    r = PR_SQL["supp"]
+    O.register_chain("top_pagerank", O.pagerank_sql("supp", r),
+                     f"SELECT * FROM (SELECT node, round(x, 6) AS pagerank FROM pr{r}) ORDER BY pagerank DESC, node LIMIT 10",
+                     "trans_supp", "nodes_supp")
 
 
-_register_pagerank()
+_register_ranks()
 
 
 @query("pagerank")
 def q_pagerank(spark, d):
-    return GR.pagerank(edges(spark, d, "supp"), rounds=PR_ROUNDS).withColumn("pagerank", rnd("pagerank"))
+    return GR.pagerank(edges(spark, d, "supp")).withColumn("pagerank", rnd("pagerank"))
 
 
 @query("pagerank_sparse")
 def q_pagerank_sparse(spark, d):
-    return GR.pagerank(edges(spark, d, "part"), rounds=PR_ROUNDS).withColumn("pagerank", rnd("pagerank"))
+    return GR.pagerank(edges(spark, d, "part")).withColumn("pagerank", rnd("pagerank"))
 
 
 @query("top_pagerank")
 def q_top_pagerank(spark, d):
-    pr = GR.pagerank(edges(spark, d, "supp"), rounds=PR_ROUNDS).withColumn("pagerank", rnd("pagerank"))
+    pr = GR.pagerank(edges(spark, d, "supp")).withColumn("pagerank", rnd("pagerank"))
     return R.rank_nodes(pr, "pagerank", 10)
 
 
 @query("hits")
 def q_hits(spark, d):
-    h = GR.hits(edges(spark, d, "supp"), rounds=HITS_ROUNDS)
+    h = GR.hits(edges(spark, d, "supp"))
     return h.select("node", rnd("hub").alias("hub"), rnd("authority").alias("authority"))
 
 
 @query("hits_sparse")
 def q_hits_sparse(spark, d):
-    h = GR.hits(edges(spark, d, "part"), rounds=HITS_ROUNDS)
+    h = GR.hits(edges(spark, d, "part"))
     return h.select("node", rnd("hub").alias("hub"), rnd("authority").alias("authority"))

@@ -58,20 +58,32 @@ def release(bag: list) -> None:
     bag.clear()
 
 
+def cut_by(df: DataFrame, column: str) -> DataFrame:
+    """``cut`` into a table bucketed by ``column``: a loop that joins on it shuffles only
+    the other side."""
+    spark = df.sparkSession
+    name = f"meridian_by_{_RUN.replace('-', '_')}_{next(_SEQ)}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, column).write.bucketBy(n, column).option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
 class Steps:
-    """The states of one loop: ``cut`` writes the next one and deletes the one before
-    the last, so a loop of any length keeps two states in the shared folder.
+    """The states of one loop: ``cut`` writes the next one and deletes the oldest beyond
+    ``keep``, so a loop of any length holds that many states in the shared folder.
 
-    A state must not be read after the second ``cut`` that follows its own."""
+    A state must not be read after the ``keep``-th ``cut`` that follows its own."""
 
-    def __init__(self, spark):
+    def __init__(self, spark, keep: int = 2):
         self.spark = spark
+        self.keep = keep
         self.paths: list[str] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
         out = cut(df)
         self.paths.append(_PATHS.pop())
-        if len(self.paths) > 2:
+        if len(self.paths) > self.keep:
             _delete(self.spark, self.paths.pop(0))
         return out
 
