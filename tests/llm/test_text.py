@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from meridian.llm.bpe import Encoded, decode, decode_ids, encode, encode_digests
 from meridian.llm.license_scan import license_scan
 from meridian.llm.license_texts import MIT
-from meridian.llm.maxent_lm import CLASSES, Tokens, class_scores, lm_scores
+from meridian.llm.maxent_lm import ROWS, WIDTH, Tokens, class_log10, lm_scores
 from meridian.llm.packing import deficit_round_robin, pack, window_sizes
 from meridian.llm.sharding import shard_by_size
 from meridian.llm.tokens import read_vocabulary, vocabulary
@@ -190,6 +190,6 @@ def test_lm_classes_sum_to_one():
     t = Tokens(pa.array(["a b c", "", "d"]))
     assert t.first.tolist() == [0, 4, 5, 7]
     rng = np.random.default_rng(0)
-    weights = rng.standard_normal((100_000, CLASSES + 1)).astype(np.float32)
-    p = np.exp(class_scores(weights, t.features())).sum(axis=1)
+    weights = rng.standard_normal((ROWS, WIDTH)).astype(np.float32)
+    p = sum(10 ** class_log10(weights, t.features(), np.full(7, k)) for k in range(WIDTH))
     assert np.allclose(p, 1, atol=1e-4)
