@@ -171,7 +171,7 @@ def _local(owners: int, length: int, tasks: int):
         m, k = int(flag.sum()), int(keep.sum())
         cat = np.concatenate
         return _records(
-            cat((np.full(m, block % tasks), np.abs(g[keep] % tasks))), cat((np.zeros(m, int), np.ones(k, int))),
+            cat((pos[row[flag]] % tasks, np.abs(g[keep] % tasks))), cat((np.zeros(m, int), np.ones(k, int))),
             cat((g[flag], g[keep])), np.full(m + k, block), cat((pos[row[flag]], pos[row[keep]])),
             cat((doc[row[flag]], doc[row[keep]])), np.zeros(m + k, int), cat((lo[flag], lo[keep])),
             cat((marks[flag], firsts[keep])), [None] * m + text)
