@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_int
+from meridian.functions.draws import hash_int, hash_keys
 from meridian.plans.iterate import cut, keep, release
 
 CHUNK = 2048
@@ -125,7 +125,8 @@ def arnoldi(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13, reorthogonal
         steps = j + 1
         if hn < tol:
             break
-        basis = cut(basis.unionByName(_scale(w, 1.0 / hn).withColumn("step", F.lit(j + 1))))
+        basis = basis.unionByName(cut(_scale(w, 1.0 / hn).withColumn("step", F.lit(j + 1))))   # only the new step
+        release(bag)
     release(bag)
     return basis, H[:steps + 1, :steps]
 
@@ -164,7 +165,7 @@ def lanczos(a: DataFrame, x: DataFrame, m: int, tol: float = 1e-13):
             break
         betas.append(beta)
         q_prev, q = q, cut(_scale(w, 1.0 / beta))
-        basis = cut(basis.unionByName(q.withColumn("step", F.lit(j + 1))))
+        basis = basis.unionByName(q.withColumn("step", F.lit(j + 1)))
     release(bag)
     return basis, np.array(alphas), np.array(betas)
 
@@ -200,18 +201,11 @@ def orthogonality_loss(basis: DataFrame) -> DataFrame:
     return rows.groupBy("m").agg(F.max("row_sum").alias("loss"))
 
 
-def spectral_norm(a: DataFrame, rounds: int = 50, seed_vector: DataFrame | None = None) -> float:
-    """‖A‖₂ of a symmetric matrix by power iteration on A (|λ|max)."""
-    x = seed_vector if seed_vector is not None else a.select("i").distinct().withColumn("v", F.lit(1.0))
-    x = _scale(x, 1.0 / norm(x))
-    lam = 0.0
-    for r in range(rounds):
-        y = cut(matvec(a, x))
-        lam = norm(y)
-        if lam == 0:
-            return 0.0
-        x = _scale(y, 1.0 / lam)
-    return lam
+def spectral_norm(a: DataFrame, tol: float = 1e-6) -> float:
+    """‖A‖₂ = |λ|max of a symmetric matrix: the Ritz value of largest magnitude,
+    converged to a residual (its own error is of the order of the residual squared)."""
+    vals, _, _ = block_krylov_eigs(a, 1, block=3, steps=6, which="magnitude", tol=tol)
+    return abs(vals[0]) if vals else 0.0
 
 
 def block_matvec(a: DataFrame, x: DataFrame) -> DataFrame:
@@ -239,22 +233,45 @@ def _combine(x: DataFrame, coef: dict, spark) -> DataFrame:
             .agg(F.sum(F.col("v") * F.col("_w")).alias("v")))
 
 
+def _residual(av: DataFrame, v: DataFrame, vals: list[float], spark) -> float:
+    """Largest ‖A v - λ v‖ over the pairs."""
+    lam = spark.createDataFrame([(p, float(x)) for p, x in enumerate(vals)], "col int, lam double")
+    d = (av.join(v.withColumnRenamed("v", "_x"), ["col", "i"], "full").join(F.broadcast(lam), "col")
+         .select("col", (F.coalesce("v", F.lit(0.0)) - F.col("lam") * F.coalesce("_x", F.lit(0.0))).alias("d")))
+    worst = d.groupBy("col").agg(F.sum(F.col("d") * F.col("d")).alias("s")).agg(F.max("s")).first()[0]
+    return math.sqrt(worst or 0.0)
+
+
 def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int = 8, seed: int = 31,
-                      which: str = "smallest"):
-    """Ritz pairs of a symmetric matrix from the block Krylov space
+                      which: str = "smallest", tol: float = 1e-6, restarts: int = 40):
+    """Eigenpairs of a symmetric matrix from the block Krylov space
     span{X, AX, ..., A^s X} (X: ``block`` hash-random columns), with each new
     block orthogonalised twice against the basis and within itself.  A block
     of at least the eigenvalue multiplicity resolves repeated eigenvalues,
     which a single-vector Lanczos run cannot.
 
-    Returns (values list, vectors DataFrame [pos, i, v]); only the small
-    projected matrices live on the driver."""
+    The space is restarted from the best vectors until every pair's residual
+    ‖A v - λ v‖ is at most ``tol`` (times |λ| above one); an error is raised if that takes more than
+    ``restarts`` restarts.  Returns (values list, vectors DataFrame [pos, i, v],
+    residual); only the small projected matrices live on the driver."""
     spark = a.sparkSession
-    bag: list = []
-    b = block or max(2, k)
+    b = block or max(2, k + 2)
     rows_i = a.select("i").union(a.select(F.col("j").alias("i"))).distinct()
     x = cut(rows_i.select(F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("col"), "i")
-            .withColumn("v", hash_int(F.col("i") * F.lit(7) + F.col("col"), seed) / F.lit(2147483648.0) - 0.5))
+            .withColumn("v", hash_keys(["i", "col"], seed) / F.lit(2147483648.0) - 0.5))
+    residual = math.inf
+    for _ in range(restarts):
+        vals, x, ncols = _krylov_round(a, x, b, steps, which, spark)
+        vec = x.where(F.col("col") < k)
+        residual = _residual(block_matvec(a, vec), vec, vals[:k], spark)
+        if residual <= tol * max(1.0, *map(abs, vals[:k])):
+            return vals[:k], vec.withColumnRenamed("col", "pos"), residual
+    raise RuntimeError(f"residual {residual:.2e} above {tol:.0e} after {restarts} restarts")
+
+
+def _krylov_round(a: DataFrame, x: DataFrame, b: int, steps: int, which: str, spark):
+    """Ritz values and the ``b`` best Ritz vectors (col, i, v) of one Krylov space."""
+    bag: list = []
     basis = None
     ncols = 0
     cur = x
@@ -280,25 +297,21 @@ def block_krylov_eigs(a: DataFrame, k: int, block: int | None = None, steps: int
         if w is None:
             break
         m = T.shape[1]
-        w = w.select((F.col("col") + F.lit(ncols)).alias("col"), "i", "v")
-        basis = cut(w) if basis is None else cut(basis.unionByName(w))
+        w = cut(w.select((F.col("col") + F.lit(ncols)).alias("col"), "i", "v"))
+        basis = w if basis is None else basis.unionByName(w)       # only the new block is written
         ncols += m
+        release(bag)
         if s < steps:
             cur = cut(block_matvec(a, w))
-    aq = block_matvec(a, basis)
-    h = _gram(basis, aq)
+    h = _gram(basis, block_matvec(a, basis))
     H = np.array([[h.get((ci, cj), 0.0) for cj in range(ncols)] for ci in range(ncols)])
-    H = (H + H.T) / 2
-    vals, vecs = np.linalg.eigh(H)
-    order = np.argsort(vals) if which == "smallest" else np.argsort(-vals)
-    order = order[:k]
+    vals, vecs = np.linalg.eigh((H + H.T) / 2)
+    order = np.argsort({"smallest": vals, "largest": -vals, "magnitude": -np.abs(vals)}[which])[:b]
     coef = {(c, p): vecs[c, o] for p, o in enumerate(order) for c in range(ncols)}
-    vec = cut(_combine(basis, coef, spark).withColumnRenamed("col", "pos"))
-    release(bag)
-    return [float(vals[o]) for o in order], vec
+    return [float(vals[o]) for o in order], cut(_combine(basis, coef, spark)), ncols
 
 
-def smallest_eigenpairs(lap: DataFrame, k: int, steps: int | None = None, block: int | None = None):
+def smallest_eigenpairs(lap: DataFrame, k: int, steps: int | None = None, block: int | None = None, tol: float = 1e-6):
     """The k smallest eigenpairs of a symmetric matrix (e.g. a Laplacian).
-    Returns (values, vectors DataFrame [pos, i, v])."""
-    return block_krylov_eigs(lap, k, block=block or max(2, k), steps=steps or 8)
+    Returns (values, vectors DataFrame [pos, i, v], residual)."""
+    return block_krylov_eigs(lap, k, block=block, steps=steps or 8, tol=tol)

@@ -174,14 +174,32 @@ def q_rwl(spark, d):
 
 @query("spectral_embedding")
 def q_embedding(spark, d):
-    emb, vals, k = SP.spectral_embedding(_edges(spark, d, "part"))
+    emb, _, k = SP.spectral_embedding(_edges(spark, d, "part"))
     return emb.withColumn("k", F.lit(k))
 
 
+@query("spectrum_summary", """
+WITH a AS (SELECT src AS i, dst AS j, CAST(weight AS DOUBLE) AS v FROM sym_part),
+d AS (SELECT i, sum(v) AS d FROM a GROUP BY i),
+l AS (SELECT i, j, sum(v) AS v FROM (
+  SELECT a.i, a.j, -a.v / sqrt(x.d * y.d) AS v FROM a JOIN d x ON a.i = x.i JOIN d y ON a.j = y.i
+  UNION ALL SELECT i, i, 1.0 FROM d) GROUP BY i, j)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM d) AS n_eigenvalues,
+       (SELECT CAST(count(DISTINCT component) AS BIGINT) FROM comp_part) AS n_zero,
+       (SELECT round(sum(v), 6) FROM l WHERE i = j) AS sum_values,
+       (SELECT round(sum(v * v), 6) FROM l) AS sum_squares, 0.0 AS residual""", ("sym_part", "comp_part"))
+def q_spectrum(spark, d):
+    values, _ = SP.spectrum(_edges(spark, d, "part"))
+    v = F.col("value")
+    return values.agg(F.count(v).alias("n_eigenvalues"), F.sum(F.when(F.abs(v) < 1e-9, 1).otherwise(0)).cast("bigint").alias("n_zero"),
+                      F.round(F.sum(v), 6).alias("sum_values"), F.round(F.sum(v * v), 6).alias("sum_squares"),
+                      F.round(F.max("residual"), 6).alias("residual"))
+
+
 @query("xmeans")
 def q_xmeans(spark, d):
-    pts = T.points(spark, d, 2).select(F.col("id").alias("node"), F.col("features").alias("coords"))
-    return SP.xmeans(pts, kmax=50)
+    pts = T.points(spark, d).select(F.col("id").alias("node"), F.col("features").alias("coords"))
+    return SP.xmeans(pts)
 
 
 @query("spectral_clusters")
