@@ -5,8 +5,8 @@ after each removal (n component searches).  Here a removal *order* is computed
 once (random: a hash of the node; semi-targeted: -ln(u)/degree; targeted:
 highest current degree, recomputed per batch) and a chosen list of removal
 fractions is evaluated in one job keyed by the fraction: the edge table is
-replicated per fraction for the edges whose both ends survive, node ids are
-made unique per fraction, and one connected-components run labels all
+replicated per fraction for the edges whose both ends survive, nodes are
+(fraction, node) structs, and one connected-components run labels all
 fractions at once.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions.draws import hash_uniform
@@ -25,7 +25,8 @@ from meridian.operators.graph.degree import degree
 from meridian.operators.sampling import smallest_n
 from meridian.plans.iterate import cut
 
-FRACTION_STRIDE = 10_000_000_000   # node ids must stay below this
+#: Nodes ranked in one task.
+RANK_BUCKET = 200_000
 
 
 def theoretical_thresholds(kappa: float, gamma: float, kmin: float, x0: float = 0.3) -> dict:
@@ -66,15 +67,14 @@ def _curve(edges: DataFrame, order: DataFrame, fractions: list[float]) -> DataFr
     au = alive.select("fi", F.col("node").alias("u"))
     av = alive.select("fi", F.col("node").alias("v"))
     e = edges.select("u", "v", "weight").join(au, "u").join(av, ["fi", "v"])
-    key = lambda c: F.col("fi").cast("long") * F.lit(FRACTION_STRIDE) + F.col(c)
+    key = lambda c: F.struct("fi", F.col(c).alias("node"))
     ek = cut(e.select(key("u").alias("u"), key("v").alias("v"), "weight"))
     loops = alive.select(key("node").alias("u"), key("node").alias("v"), F.lit(0).cast("long").alias("weight"))
-    comp = connected_components(ek.unionByName(loops))
-    comp = comp.select((F.col("node") / F.lit(FRACTION_STRIDE)).cast("int").alias("fi"), "component")
+    comp = connected_components(ek.unionByName(loops)).select("node.fi", "component")
     giant = (comp.groupBy("fi", "component").agg(F.count(F.lit(1)).alias("size"))
              .groupBy("fi").agg(F.max("size").alias("giant")))
-    deg = degree(ek).select((F.col("node") / F.lit(FRACTION_STRIDE)).cast("int").alias("fi"), "degree")
-    kap = deg.groupBy("fi").agg((F.avg(F.col("degree") * F.col("degree")) / F.avg("degree")).alias("kappa"))
+    kap = degree(ek).select("node.fi", "degree").groupBy("fi").agg(
+        (F.avg(F.col("degree") * F.col("degree")) / F.avg("degree")).alias("kappa"))
     g0 = giant.filter(F.col("fi") == 0).select("giant").first()
     base = float(g0.giant) if g0 else float(n)
     return (fr.join(giant, "fi", "left").join(kap, "fi", "left")
@@ -102,10 +102,21 @@ def semi_targeted_removal_curve(edges: DataFrame, fractions: list[float] | None
 
 
 def _rank(keyed: DataFrame) -> DataFrame:
-    """node, rank by (_k, node): a distributed sort (range partitioning) and
-    per-partition offsets, no single-task window."""
-    rdd = keyed.select("node", "_k").orderBy("_k", "node").rdd.zipWithIndex()
-    return keyed.sparkSession.createDataFrame(rdd.map(lambda t: (t[0][0], t[1])), "node long, rank long")
+    """node, rank by (_k, node): ranges of the key cut at approximate quantiles, exact
+    counts of the ranges (a few numbers), and a row number inside each."""
+    keyed = cut(keyed.select("node", "_k"))
+    n = keyed.count()
+    parts = max(1, n // RANK_BUCKET)
+    cuts = keyed.approxQuantile("_k", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
+    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("_k"))) if cuts else F.lit(0)
+    keyed = keyed.withColumn("_b", bucket)
+    base, acc = {}, 0
+    for r in sorted(keyed.groupBy("_b").count().collect()):
+        base[r["_b"]] = acc
+        acc += r["count"]
+    starts = F.array(*[F.lit(base.get(i, 0)).cast("long") for i in range(max(base, default=0) + 1)])
+    w = Window.partitionBy("_b").orderBy("_k", "node")
+    return keyed.select("node", (F.row_number().over(w) - 1 + F.get(starts, F.col("_b"))).alias("rank"))
 
 
 def targeted_removal_curve(edges: DataFrame, steps: int = 20) -> DataFrame:
@@ -124,8 +135,8 @@ def targeted_removal_curve(edges: DataFrame, steps: int = 20) -> DataFrame:
             giant = comp.groupBy("component").count().agg(F.max("count")).first()[0]
             dg = degree(cur)
             kappa = dg.agg((F.avg(F.col("degree") * F.col("degree")) / F.avg("degree"))).first()[0]
-        else:
-            giant, kappa = 0, None
+        else:                                  # nodes without links are components of one
+            giant, kappa = (1 if removed_total < n else 0), None
         base = base or giant or 1
         rows.append((removed_total / n, giant / base, kappa))
         if removed_total >= n - 1 or comp is None:

@@ -84,9 +84,16 @@ def recode_labels(df: DataFrame, col: str, positive, out: str = "y") -> DataFram
     return df.withColumn(out, F.when(F.col(col) == F.lit(positive), 1).otherwise(-1).cast("int"))
 
 
-def string_columns(df: DataFrame) -> list[str]:
-    """Names of the categorical (string) columns, from the schema."""
-    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+def string_columns(df: DataFrame) -> DataFrame:
+    """The categorical (string) columns with their levels and missing values,
+    counted in one aggregation."""
+    names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    wide = df.agg(*[F.struct(F.countDistinct(c).alias("n_levels"), F.sum(F.col(c).isNull().cast("long")).alias("n_null")).alias(c)
+                    for c in names]) if names else df.limit(0).agg(F.count(F.lit(1)))
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.n_levels").alias("n_levels"),
+                     F.coalesce(F.col(f"`{c}`.n_null"), F.lit(0)).cast("bigint").alias("n_null")) for c in names]
+    empty = F.array().cast("array<struct<column:string,n_levels:bigint,n_null:bigint>>")
+    return wide.select(F.inline(F.array(*rows) if rows else empty))
 
 
 MAX_LEVELS = 1000

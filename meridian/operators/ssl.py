@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from meridian.functions.draws import hash_int, hash_uniform
 from meridian.operators import relational as R
 from meridian.operators.vectors import knn_join
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import Steps, cut
 
 TILE = 2048
 
@@ -145,29 +145,40 @@ def label_accuracy(y: DataFrame, lp: DataFrame) -> DataFrame:
             .agg(F.avg(F.when(pred == F.col("y_true"), 1.0).otherwise(0.0)).alias("accuracy")))
 
 
+def lipschitz_bound(totals: DataFrame) -> float:
+    """K4: an upper bound of L = 2 ‖diag(S + S̄) - W̄‖₂ from the row sums alone
+    (S_j + 2 (S̄_j - 1) bounds every eigenvalue), so that 1/L is a safe step."""
+    return 2.0 * float(totals.agg(F.max(F.col("S") + 2 * (F.col("S_bar") - 1))).first()[0] or 0.0)
+
+
 def spectral_lipschitz(lp: DataFrame, totals: DataFrame, sigma: float = 1.0, squared: bool = False,
-                       rounds: int = 20) -> float:
-    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by power iteration with kernel passes."""
+                       tol: float = 1e-6, max_rounds: int = 500) -> float:
+    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by power iteration with kernel passes, until the
+    estimate grows by at most ``tol`` of itself; an error beyond ``max_rounds``.  The
+    estimate is from below: for steps use ``lipschitz_bound``."""
     unl = lp.filter(~F.col("is_labeled")).select("id", "features")
-    x = unl.select("id", F.lit(1.0).alias("y"))
+    steps = Steps(lp.sparkSession)
+    x = unl.select("id", (hash_uniform("id", 61) + 0.5).alias("y"))
     lam = 0.0
-    for _ in range(rounds):
+    for _ in range(max_rounds):
         wx = kernel_sums(unl, unl.join(x, "id"), ["y"], sigma, squared).select("id", F.col("s_y").alias("_w"))
-        mx = cut(totals.join(x, "id").join(wx, "id", "left").select(
+        mx = steps.cut(totals.join(x, "id").join(wx, "id", "left").select(
             "id", ((F.col("S") + F.col("S_bar")) * F.col("y") - F.coalesce("_w", F.lit(0.0))).alias("y")))
-        nrm = math.sqrt(mx.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0)
-        if nrm == 0:
+        size = math.sqrt(mx.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0)
+        if size == 0:
             return 0.0
-        lam = nrm
-        x = mx.select("id", (F.col("y") / F.lit(nrm)).alias("y"))
-    return 2.0 * lam
+        if lam and abs(size - lam) <= tol * size:
+            return 2.0 * size
+        lam = size
+        x = mx.select("id", (F.col("y") / F.lit(size)).alias("y"))
+    raise RuntimeError(f"no convergence to {tol} within {max_rounds} rounds")
 
 
 def _grad_norm(g: DataFrame) -> float:
     return math.sqrt(g.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0] or 0.0)
 
 
-def gd(lp, totals, y0, L: float, rounds: int = 10, tol: float = 1e-8, sigma: float = 1.0,
+def gd(lp, totals, y0, L: float, rounds: int = 10_000, tol: float = 1e-8, sigma: float = 1.0,
        squared: bool = False, history: list | None = None):
     """K8 (Q18): simultaneous steps y <- y - ∇f / L until ‖∇f‖ <= tol."""
     y = cut(y0)
@@ -182,7 +193,7 @@ def gd(lp, totals, y0, L: float, rounds: int = 10, tol: float = 1e-8, sigma: flo
     return y
 
 
-def gd_nesterov(lp, totals, y0, L: float, rounds: int = 10, tol: float = 1e-8, sigma: float = 1.0,
+def gd_nesterov(lp, totals, y0, L: float, rounds: int = 10_000, tol: float = 1e-8, sigma: float = 1.0,
                 squared: bool = False, history: list | None = None):
     """K9 (Q19): accelerated gradient with the textbook momentum
     λ_{k+1} = (1 + sqrt(1 + 4 λ_k^2)) / 2, extrapolation (λ_k - 1)/λ_{k+1}."""
@@ -214,23 +225,27 @@ def coordinate_blocks(lp: DataFrame, n_blocks: int, seed: int = 51) -> DataFrame
 def block_steps(lp: DataFrame, totals: DataFrame, blocks: DataFrame, sigma: float = 1.0,
                 squared: bool = False) -> DataFrame:
     """block, L_block = max_{j in block} (L_j + 2 Σ_{i in block, i != j} w̄_ij)
-    (a row-sum bound on the block's curvature; exactly L_j for one coordinate)."""
+    (a row-sum bound on the block's curvature; exactly L_j for one coordinate).
+    All blocks are one grouped job."""
     unl = lp.filter(~F.col("is_labeled")).select("id", "features").join(blocks, "id")
-    lj = lipschitz_coordinates(totals)
-    rows = []
-    for b in [r.block for r in blocks.select("block").distinct().collect()]:
-        part = unl.filter(F.col("block") == b).select("id", "features")
-        s = kernel_sums(part, part, ["one"], sigma, squared).select("id", (F.col("s_one") - 1.0).alias("_in"))
-        rows.append(s.withColumn("block", F.lit(b)))
-    inner = rows[0]
-    for r in rows[1:]:
-        inner = inner.unionByName(r)
-    return (inner.join(lj, "id").groupBy("block")
+    inv = 1.0 / (sigma * sigma)
+
+    def inner(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(pdf["features"].to_numpy())
+        own = np.empty(len(x))
+        step = max(1, (1 << 22) // max(1, x.size))
+        for lo in range(0, len(x), step):
+            d2 = ((x[lo:lo + step, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+            own[lo:lo + step] = np.exp(-0.5 * (d2 if squared else np.sqrt(d2)) * inv).sum(axis=1) - 1.0
+        return pd.DataFrame({"id": pdf["id"], "block": pdf["block"], "_in": own})
+
+    found = unl.groupBy("block").applyInPandas(inner, "id long, block int, _in double")
+    return (found.join(lipschitz_coordinates(totals), "id").groupBy("block")
             .agg(F.max(F.col("L_j") + F.lit(2.0) * F.col("_in")).alias("L_block")))
 
 
-def bcgd(lp, totals, y0, blocks: DataFrame, steps: DataFrame, rule: str = "cyclic", rounds: int = 10,
-         seed: int = 3, sigma: float = 1.0, squared: bool = False, history: list | None = None):
+def bcgd(lp, totals, y0, blocks: DataFrame, steps: DataFrame, rule: str = "cyclic", rounds: int = 10_000,
+         seed: int = 3, sigma: float = 1.0, squared: bool = False, history: list | None = None, tol: float = 1e-8):
     """Block-coordinate descent.  ``rule``: 'cyclic', 'uniform',
     'lipschitz' (block drawn with probability ∝ its L), 'gauss_southwell'
     (block with the largest gradient norm; needs a full gradient per round)."""
@@ -238,6 +253,8 @@ def bcgd(lp, totals, y0, blocks: DataFrame, steps: DataFrame, rule: str = "cycli
     st = {r.block: float(r.L_block) for r in steps.collect()}
     order = sorted(st)
     total_L = sum(st.values())
+    seen: dict[int, float] = {}
+    steps_kept = Steps(lp.sparkSession)
     for r in range(rounds):
         if rule == "cyclic":
             b = order[r % len(order)]
@@ -255,15 +272,57 @@ def bcgd(lp, totals, y0, blocks: DataFrame, steps: DataFrame, rule: str = "cycli
             b = (gfull.groupBy("block").agg(F.sum(F.col("grad") * F.col("grad")).alias("gn"))
                  .orderBy(F.desc("gn"), F.asc("block")).first().block)
         rows = blocks.filter(F.col("block") == b).select("id")
-        g = gradient(lp, totals, y, sigma, squared, rows=rows)
+        g = cut(gradient(lp, totals, y, sigma, squared, rows=rows))
+        seen[b] = _grad_norm(g)
+        if history is not None:
+            history.append((r, seen[b], label_accuracy(y, lp).first()[0]))
+        # the norm over all blocks, each as last seen
+        if len(seen) == len(order) and math.sqrt(sum(v * v for v in seen.values())) <= tol:
+            break
         step = 1.0 / st[b] if st[b] > 0 else 0.0
-        y = cut(y.join(g, "id", "left").select(
+        y = steps_kept.cut(y.join(g, "id", "left").select(
             "id", (F.col("y") - F.coalesce("grad", F.lit(0.0)) * F.lit(step)).alias("y")))
-        if history is not None:
-            history.append((r, None, label_accuracy(y, lp).first()[0]))
     return y
 
 
+METHODS = ("gd", "gd_nesterov", "bcgd_cyclic", "bcgd_random_uniform", "bcgd_random_lipschitz", "bcgd_gauss_southwell")
+RULES = {"bcgd_cyclic": "cyclic", "bcgd_random_uniform": "uniform", "bcgd_random_lipschitz": "lipschitz",
+         "bcgd_gauss_southwell": "gauss_southwell"}
+
+
+def training_history(lp: DataFrame, method: str, start: str, rounds: int, n_blocks: int, k: int = 4, sigma: float = 1.0,
+                     tol: float = 1e-8, setup: dict | None = None) -> DataFrame:
+    """Method, start, iteration, grad_norm, accuracy of the first ``rounds`` rounds
+    (fewer if ‖∇f‖ <= ``tol``).  ``setup`` keeps what all methods share."""
+    setup = {} if setup is None else setup
+    if "totals" not in setup:
+        setup["totals"] = cut(similarity_totals(lp, sigma))
+        setup["blocks"] = cut(coordinate_blocks(lp, n_blocks))
+        setup["steps"] = cut(block_steps(lp, setup["totals"], setup["blocks"], sigma))
+        setup["L"] = lipschitz_bound(setup["totals"])
+    if start not in setup:
+        setup[start] = cut(random_start(lp) if start == "random" else knn_start(lp, k))
+    totals, y0, hist = setup["totals"], setup[start], []
+    if method in RULES:
+        bcgd(lp, totals, y0, setup["blocks"], setup["steps"], RULES[method], rounds, sigma=sigma, history=hist, tol=tol)
+    else:
+        {"gd": gd, "gd_nesterov": gd_nesterov}[method](lp, totals, y0, setup["L"], rounds, tol, sigma, history=hist)
+    return lp.sparkSession.createDataFrame(
+        [(method, start, int(r), g, a) for r, g, a in hist],
+        "method string, start string, iteration int, grad_norm double, accuracy double")
+
+
+def method_comparison_ssl(lp: DataFrame, rounds: int, n_blocks: int, k: int = 4, sigma: float = 1.0) -> DataFrame:
+    """The histories of all six methods from both starts in one table."""
+    setup: dict = {}
+    out = None
+    for start in ("random", "knn"):
+        for method in METHODS:
+            h = training_history(lp, method, start, rounds, n_blocks, k, sigma, setup=setup)
+            out = h if out is None else out.unionByName(h)
+    return out
+
+
 def _u(r: int, seed: int) -> float:
     """Deterministic uniform draw for round r (same integer hash as the columns)."""
     h = ((r + seed * 7919) * 1103515245 + 12345) % 2147483648

@@ -14,6 +14,7 @@ from meridian.operators.graph import robustness as RB
 from meridian.operators.graph import spectral as SP
 from meridian.plans import oracle as O
 from meridian.plans.catalog import query, rnd
+from meridian.plans.catalog_graph import _MOMENTS
 from meridian.plans.iterate import cut
 from meridian.sources import testdata as T
 
@@ -151,6 +152,20 @@ def q_centrality(spark, d):
     return GR.centrality_comparison(e).select("node", *[rnd(c).alias(c) for c in ("degree_centrality", "pagerank", "hub", "authority")])
 
 
+def _register_rwr():
+    from meridian.plans import catalog_linkpred  # noqa: F401  (its SQL tables)
+    O.cte("rwr_trans", "SELECT s.src, s.dst, 1.0 / d.k AS t FROM lp_sym_train s JOIN lp_deg_train d ON s.src = d.node",
+          ["lp_sym_train", "lp_deg_train"])
+    chain = _ppr_sql(PPR_SQL).replace("nodes_supp", "(SELECT node FROM lp_deg_train)").replace("trans_supp", "rwr_trans")
+    O.register_chain("rwr_score", chain, f"""
+SELECT a.seed AS u, a.node AS v, round(a.x + coalesce(b.x, 0.0), 6) AS score
+FROM ppr{PPR_SQL} a LEFT JOIN ppr{PPR_SQL} b ON a.seed = b.node AND a.node = b.seed WHERE a.seed < a.node""",
+                     "rwr_trans", "lp_deg_train")
+
+
+_register_rwr()
+
+
 @query("rwr_score")
 def q_rwr(spark, d):
     from meridian.operators import linkpred as LP
@@ -211,14 +226,30 @@ def q_spectral_clusters(spark, d):
 
 # ------------------------------------------------------------ robustness
 
-@query("theoretical_thresholds")
+_F = ("(2 + (2 - m.g) / (3 - m.g) * 2 * (pow({x}, (3 - m.g) / (1 - m.g)) - 1) - pow({x}, (2 - m.g) / (1 - m.g)))")
+
+
+@query("theoretical_thresholds", _MOMENTS.format(kind="part") + f""",
+grid AS (SELECT 1e-6 + i * ((1 - 2e-6) / 20000) AS lo, 1e-6 + (i + 1) * ((1 - 2e-6) / 20000) AS hi FROM range(20000) t(i)),
+root AS (SELECT lo, hi FROM grid, m WHERE {_F.format(x='lo')} * {_F.format(x='hi')} <= 0 ORDER BY abs((lo + hi) / 2 - 0.3) LIMIT 1),
+half AS (
+  WITH RECURSIVE b(k, lo, hi) AS (
+    SELECT 0, lo, hi FROM root
+    UNION ALL
+    SELECT k + 1, CASE WHEN {_F.format(x='lo')} * {_F.format(x='((lo + hi) / 2)')} <= 0 THEN lo ELSE (lo + hi) / 2 END,
+           CASE WHEN {_F.format(x='lo')} * {_F.format(x='((lo + hi) / 2)')} <= 0 THEN (lo + hi) / 2 ELSE hi END
+    FROM b, m WHERE k < 60)
+  SELECT (lo + hi) / 2 AS x FROM b WHERE k = 60)
+SELECT round(1 - 1 / (k2t / k1t - 1), 6) AS fc_random, round((SELECT x FROM half), 6) AS fc_targeted,
+       round(1 - 1 / (k2 / k1 - 1), 6) AS fc_random_empirical_kappa FROM m""", ("ddist_part",))
 def q_thresholds(spark, d):
     e = _edges(spark, d, "part")
     m = GD.degree_moments(GD.degree(e)).first()
     th = RB.theoretical_thresholds(m.kappa_theoretical, m.gamma, m.kmin)
     emp = 1 - 1 / (m.kappa_empirical - 1) if m.kappa_empirical and m.kappa_empirical != 1 else None
-    return spark.createDataFrame([(th["fc_random"], th["fc_targeted"], emp)],
-                                 "fc_random double, fc_targeted double, fc_random_empirical_kappa double")
+    out = spark.createDataFrame([(th["fc_random"], th["fc_targeted"], emp)],
+                                "fc_random double, fc_targeted double, fc_random_empirical_kappa double")
+    return out.select(*[rnd(c).alias(c) for c in out.columns])
 
 
 @query("random_removal_curve")
@@ -233,12 +264,14 @@ def q_semi_curve(spark, d):
 
 @query("targeted_removal_curve")
 def q_targeted_curve(spark, d):
-    return RB.targeted_removal_curve(_edges(spark, d), steps=10)
+    return RB.targeted_removal_curve(_edges(spark, d))
 
 
 @query("robustness_thresholds")
 def q_robust_thresholds(spark, d):
-    return RB.empirical_thresholds(RB.random_removal_curve(_edges(spark, d)))
+    e = _edges(spark, d)
+    return (RB.empirical_thresholds(RB.random_removal_curve(e)).withColumn("removal", F.lit("random"))
+            .unionByName(RB.empirical_thresholds(RB.targeted_removal_curve(e)).withColumn("removal", F.lit("targeted"))))
 
 
 # ------------------------------------------------------------ null model
@@ -253,9 +286,15 @@ def q_knn_null(spark, d):
     return NL.knn_null_comparison(_edges(spark, d), replicas=NULL_REPLICAS)
 
 
-@query("largest_component_summary")
+@query("largest_component_summary", """
+WITH b AS (SELECT component FROM (SELECT component, count(*) AS n FROM comp_part GROUP BY component) ORDER BY n DESC, component LIMIT 1),
+k AS (SELECT node FROM comp_part WHERE component = (SELECT component FROM b)),
+e AS (SELECT u, v FROM edges_part WHERE u IN (SELECT node FROM k) AND v IN (SELECT node FROM k))
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM k) AS n_nodes, (SELECT CAST(count(*) AS BIGINT) FROM e) AS n_edges,
+       round((SELECT count(*) FROM e WHERE u <> v) / ((SELECT count(*) FROM k) * ((SELECT count(*) FROM k) - 1) / 2.0), 6)
+         AS density""", ("comp_part", "edges_part"))
 def q_lcc_summary(spark, d):
-    return GC.largest_component_summary(_edges(spark, d, "part"))
+    return GC.largest_component_summary(_edges(spark, d, "part")).withColumn("density", rnd("density"))
 
 
 @query("node_statistics")

@@ -190,9 +190,27 @@ def q_powerlaw(spark, d):
     return out.select(*[rnd(c).alias(c) for c in out.columns])
 
 
-@query("degree_moments")
+_MOMENTS = """
+WITH g AS (SELECT -regr_slope(CASE WHEN degree >= 2 AND ccdf > 0 THEN ln(ccdf) END,
+                              CASE WHEN degree >= 2 AND ccdf > 0 THEN ln(degree) END) AS g,
+                  sum(n_nodes) AS n, CAST(max(degree) AS DOUBLE) AS kmax, sum(degree * share) AS k1,
+                  sum(degree * degree * share) AS k2 FROM ddist_{kind}),
+k AS (SELECT *, 2 * pow(n + 1, 1 / (g - 1)) AS km FROM g),
+c AS (SELECT *, (1 - g) / (pow(km, 1 - g) - pow(2, 1 - g)) AS ct,
+             (SELECT 1 / sum(pow(degree, -g.g)) FROM ddist_{kind}, g) AS ce FROM k),
+m AS (SELECT *, ct * (pow(km, 2 - g) - pow(2, 2 - g)) / (2 - g) AS k1t,
+             ct * (pow(km, 3 - g) - pow(2, 3 - g)) / (3 - g) AS k2t FROM c)"""
+
+
+@query("degree_moments", _MOMENTS.format(kind="supp") + """
+SELECT CAST(2 AS DOUBLE) AS kmin, round(g, 6) AS gamma, round(km, 6) AS kmax_theoretical, kmax AS kmax_empirical,
+       round(ct, 6) AS c_theoretical, round(ln(ce), 6) AS ln_c_empirical, round(k1t, 6) AS k1_theoretical,
+       round(k1, 6) AS k1_empirical, round(k2t, 6) AS k2_theoretical, round(k2, 6) AS k2_empirical,
+       round(k2t / k1t, 6) AS kappa_theoretical, round(k2 / k1, 6) AS kappa_empirical FROM m""", ("ddist_supp",))
 def q_moments(spark, d):
-    return GD.degree_moments(GD.degree(edges(spark, d, "supp")))
+    out = GD.degree_moments(GD.degree(edges(spark, d, "supp")))
+    out = out.withColumn("ln_c_empirical", F.ln("c_empirical")).drop("c_empirical")      # it can have 18 digits
+    return out.select(*[rnd(c).alias(c) for c in out.columns])
 
 
 @query("loglog_line", """

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_uniform, sql_hash_uniform
+from meridian.functions.draws import hash_uniform, sql_hash_int, sql_hash_uniform
 from meridian.operators import linalg as LA
 from meridian.operators import ssl as S
 from meridian.operators.graph import build as GB
@@ -16,7 +18,8 @@ from meridian.sources import testdata as T
 KRYLOV_STEPS = 8
 SIGMA = 1.0
 KNN_START_K = 4
-GD_ROUNDS = 3
+HISTORY_ROUNDS = 16      # rounds that a registered history shows
+COMPARED_ROUNDS = 4
 N_BLOCKS = 4
 
 # ------------------------------------------------------------ matrices from the dense supplier graph
@@ -232,46 +235,84 @@ def q_sim_edges(spark, d):
     return S.similarity_edges_knn(_lp(spark, d), 5, SIGMA).withColumn("w", rnd("w"))
 
 
-def _solver_setup(spark, d):
-    lp = _lp(spark, d)
-    totals = cut(S.similarity_totals(lp, SIGMA))
-    return lp, totals
-
-
-def _history_df(spark, method, start, hist):
-    return spark.createDataFrame([(method, start, int(r), g, a) for r, g, a in hist],
-                                 "method string, start string, iteration int, grad_norm double, accuracy double")
-
-
-@query("gd")
-def q_gd(spark, d):
-    lp, totals = _solver_setup(spark, d)
-    L = S.spectral_lipschitz(lp, totals, SIGMA, rounds=6)
-    hist = []
-    S.gd(lp, totals, S.random_start(lp), L, GD_ROUNDS, history=hist)
-    return _history_df(spark, "gd", "random", hist)
+# Unrolled SQL of the first rounds of gradient descent, accelerated and cyclic block descent.
+O.cte("ssl_w", f"""
+SELECT u.id AS i, v.id AS j, exp(-0.5 * sqrt({_sq('u.features', 'v.features')}) / {SIGMA * SIGMA}) AS w
+FROM labeled_points u, labeled_points v WHERE NOT u.is_labeled AND NOT v.is_labeled""", ["labeled_points"])
+O.cte("ssl_block", f"SELECT id, CAST({sql_hash_int('id', 51)} % {N_BLOCKS} AS INTEGER) AS block FROM labeled_points "
+      "WHERE NOT is_labeled", ["labeled_points"])
+O.cte("ssl_bound", "SELECT 2 * max(S + 2 * (S_bar - 1)) AS L FROM ssl_totals", ["ssl_totals"])
+O.cte("ssl_steps", """
+SELECT b.block, max(2 * (t.S + t.S_bar - 1) + 2 * (w.own - 1)) AS L FROM ssl_block b JOIN ssl_totals t ON b.id = t.id
+JOIN (SELECT w.i, sum(w.w) AS own FROM ssl_w w JOIN ssl_block a ON w.i = a.id JOIN ssl_block c ON w.j = c.id
+      WHERE a.block = c.block GROUP BY w.i) w ON b.id = w.i GROUP BY b.block""", ["ssl_block", "ssl_totals", "ssl_w"])
+O.cte("ssl_knn", _KNN_START_SQL, ["labeled_points"])
+
+
+def _grad_sql(y: str) -> str:
+    return (f"(SELECT t.id, 2 * (y.y * (t.S + t.S_bar) - t.B - c.c) AS g FROM ssl_totals t JOIN {y} y ON t.id = y.id "
+            f"JOIN (SELECT w.i, sum(w.w * y.y) AS c FROM ssl_w w JOIN {y} y ON w.j = y.id GROUP BY w.i) c ON t.id = c.i)")
+
+
+def _history_sql(method: str, start: str, rounds: int) -> str:
+    """CTEs and the history of ``rounds`` rounds of gd, gd_nesterov or bcgd_cyclic."""
+    y0 = {"random": "ssl_y0", "knn": "ssl_knn"}[start]
+    parts = [f"y0 AS MATERIALIZED (SELECT id, y FROM {y0})"]
+    if method == "gd_nesterov":
+        parts.append("x0 AS MATERIALIZED (SELECT id, y FROM y0)")
+    rows, lam = [], 1.0
+    for r in range(rounds):
+        only = ""
+        if method == "bcgd_cyclic":
+            only = f" WHERE id IN (SELECT id FROM ssl_block WHERE block = {r % N_BLOCKS})"
+        parts.append(f"g{r} AS MATERIALIZED (SELECT id, g FROM {_grad_sql(f'y{r}')}{only})")
+        rows.append(f"SELECT '{method}' AS method, '{start}' AS start, {r} AS iteration, "
+                    f"(SELECT round(sqrt(sum(g * g)), 6) FROM g{r}) AS grad_norm, (SELECT round(avg(CASE WHEN "
+                    f"(CASE WHEN y.y >= 0 THEN 1 ELSE -1 END) = p.y_true THEN 1.0 ELSE 0.0 END), 6) "
+                    f"FROM y{r} y JOIN labeled_points p ON y.id = p.id) AS accuracy")
+        if method == "gd":
+            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT y.id, y.y - g.g / (SELECT L FROM ssl_bound) AS y "
+                         f"FROM y{r} y JOIN g{r} g ON y.id = g.id)")
+        elif method == "gd_nesterov":
+            nxt = (1 + math.sqrt(1 + 4 * lam * lam)) / 2
+            beta, lam = (lam - 1) / nxt, nxt
+            parts.append(f"x{r + 1} AS MATERIALIZED (SELECT y.id, y.y - g.g / (SELECT L FROM ssl_bound) AS y "
+                         f"FROM y{r} y JOIN g{r} g ON y.id = g.id)")
+            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT x.id, x.y + CAST({beta!r} AS DOUBLE) * (x.y - p.y) AS y "
+                         f"FROM x{r + 1} x JOIN x{r} p ON x.id = p.id)")
+        else:
+            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT y.id, y.y - coalesce(g.g, 0) / (SELECT L FROM ssl_steps WHERE "
+                         f"block = {r % N_BLOCKS}) AS y FROM y{r} y LEFT JOIN g{r} g ON y.id = g.id)")
+    return ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+_SSL_CTES = ("ssl_totals", "ssl_y0", "ssl_knn", "ssl_w", "ssl_block", "ssl_bound", "ssl_steps", "labeled_points")
+HISTORIES = {"gd": "random", "gd_nesterov": "random", "bcgd_cyclic": "knn", "bcgd_random_uniform": "knn",
+             "bcgd_random_lipschitz": "knn", "bcgd_gauss_southwell": "knn"}
+
+
+def _rounded(h):
+    return h.withColumn("grad_norm", rnd("grad_norm")).withColumn("accuracy", rnd("accuracy"))
+
+
+def _history_query(method, start):
+    def run(spark, d):
+        return _rounded(S.training_history(_lp(spark, d), method, start, HISTORY_ROUNDS, N_BLOCKS, KNN_START_K, SIGMA))
+    return run
 
 
-@query("gd_nesterov")
-def q_nesterov(spark, d):
-    lp, totals = _solver_setup(spark, d)
-    L = S.spectral_lipschitz(lp, totals, SIGMA, rounds=6)
-    hist = []
-    S.gd_nesterov(lp, totals, S.random_start(lp), L, GD_ROUNDS, history=hist)
-    return _history_df(spark, "gd_nesterov", "random", hist)
+for _m, _s in HISTORIES.items():
+    query(_m)(_history_query(_m, _s))
+    if _m in ("gd", "gd_nesterov", "bcgd_cyclic"):
+        _chain = _history_sql(_m, _s, HISTORY_ROUNDS)
+        O.register_chain(_m, _chain, "", *_SSL_CTES)
 
 
-def _bcgd_query(rule):
-    def run(spark, d):
-        lp, totals = _solver_setup(spark, d)
-        blocks = cut(S.coordinate_blocks(lp, N_BLOCKS))
-        steps = cut(S.block_steps(lp, totals, blocks, SIGMA))
-        hist = []
-        S.bcgd(lp, totals, S.knn_start(lp, KNN_START_K), blocks, steps, rule, GD_ROUNDS, history=hist)
-        return _history_df(spark, f"bcgd_{rule}", "knn", hist)
-    return run
+@query("method_comparison_ssl")
+def q_comparison_ssl(spark, d):
+    return _rounded(S.method_comparison_ssl(_lp(spark, d), COMPARED_ROUNDS, N_BLOCKS, KNN_START_K, SIGMA))
 
 
-for _rule in ("cyclic", "uniform", "lipschitz", "gauss_southwell"):
-    query({"cyclic": "bcgd_cyclic", "uniform": "bcgd_random_uniform", "lipschitz": "bcgd_random_lipschitz",
-           "gauss_southwell": "bcgd_gauss_southwell"}[_rule])(_bcgd_query(_rule))
+@query("lipschitz_bound", "SELECT round(L, 6) AS L FROM ssl_bound", ("ssl_bound",))
+def q_bound(spark, d):
+    return spark.createDataFrame([(round(S.lipschitz_bound(S.similarity_totals(_lp(spark, d), SIGMA)), 6),)], "L double")
