@@ -152,26 +152,35 @@ def lipschitz_bound(totals: DataFrame) -> float:
 
 
 def spectral_lipschitz(lp: DataFrame, totals: DataFrame, sigma: float = 1.0, squared: bool = False,
-                       tol: float = 1e-6, max_rounds: int = 500) -> float:
-    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by power iteration with kernel passes, until the
-    estimate grows by at most ``tol`` of itself; an error beyond ``max_rounds``.  The
-    estimate is from below: for steps use ``lipschitz_bound``."""
+                       tol: float = 1e-6, max_steps: int = 60) -> float:
+    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by Lanczos steps with kernel passes, until the
+    largest Ritz value's residual is at most ``tol`` of it (or the space is complete);
+    an error beyond ``max_steps``."""
     unl = lp.filter(~F.col("is_labeled")).select("id", "features")
-    steps = Steps(lp.sparkSession)
-    x = unl.select("id", (hash_uniform("id", 61) + 0.5).alias("y"))
-    lam = 0.0
-    for _ in range(max_rounds):
-        wx = kernel_sums(unl, unl.join(x, "id"), ["y"], sigma, squared).select("id", F.col("s_y").alias("_w"))
-        mx = steps.cut(totals.join(x, "id").join(wx, "id", "left").select(
-            "id", ((F.col("S") + F.col("S_bar")) * F.col("y") - F.coalesce("_w", F.lit(0.0))).alias("y")))
-        size = math.sqrt(mx.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0)
-        if size == 0:
-            return 0.0
-        if lam and abs(size - lam) <= tol * size:
-            return 2.0 * size
-        lam = size
-        x = mx.select("id", (F.col("y") / F.lit(size)).alias("y"))
-    raise RuntimeError(f"no convergence to {tol} within {max_rounds} rounds")
+    steps = Steps(lp.sparkSession, 3)
+    q = unl.select("id", (hash_uniform("id", 61) + 0.5).alias("y"))
+    size = math.sqrt(q.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0)
+    if size == 0:
+        return 0.0
+    q, before = steps.cut(q.select("id", (F.col("y") / F.lit(size)).alias("y"))), None
+    alpha, beta = [], []
+    for _ in range(max_steps):
+        wq = kernel_sums(unl, unl.join(q, "id"), ["y"], sigma, squared).select("id", F.col("s_y").alias("_w"))
+        r = totals.join(q, "id").join(wq, "id").select(
+            "id", F.col("y").alias("_q"), ((F.col("S") + F.col("S_bar")) * F.col("y") - F.col("_w")).alias("y"))
+        if before is not None:
+            r = r.join(before.withColumnRenamed("y", "_p"), "id").select(
+                "id", "_q", (F.col("y") - F.lit(beta[-1]) * F.col("_p")).alias("y"))
+        r = steps.cut(r)
+        alpha.append(float(r.agg(F.sum(F.col("y") * F.col("_q"))).first()[0]))
+        r = r.select("id", (F.col("y") - F.lit(alpha[-1]) * F.col("_q")).alias("y"))
+        beta.append(math.sqrt(r.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0))
+        t = np.diag(alpha) + np.diag(beta[:-1], 1) + np.diag(beta[:-1], -1)
+        vals, vecs = np.linalg.eigh(t)
+        if beta[-1] * abs(vecs[-1, -1]) <= tol * abs(vals[-1]):
+            return 2.0 * float(vals[-1])
+        q, before = steps.cut(r.select("id", (F.col("y") / F.lit(beta[-1])).alias("y"))), q
+    raise RuntimeError(f"no convergence to {tol} within {max_steps} steps")
 
 
 def _grad_norm(g: DataFrame) -> float:

@@ -19,7 +19,8 @@ from meridian.session import ensure_checkpoint_dir
 
 
 _SEQ = itertools.count()
-_PATHS: list[str] = []                    # where the last state was written
+#: Every state that this process has written, in order.
+WRITTEN: list[str] = []
 _RUN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
 
 
@@ -32,12 +33,23 @@ def cut(df: DataFrame) -> DataFrame:
     plan that produced it, and in a loop of joins those estimates multiply
     round after round until planning itself dominates.  The files survive the
     loss of an executor (the folder is shared)."""
+    return cut_at(df)[0]
+
+
+def cut_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``cut``, and where the state was written (for ``delete``)."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/meridian-state-{_RUN}/{next(_SEQ):06d}"
     df.write.mode("overwrite").parquet(path)
-    _PATHS[:] = [path]
-    return spark.read.parquet(path)
+    WRITTEN.append(path)
+    return spark.read.parquet(path), path
+
+
+def delete(spark, path: str) -> None:
+    """Remove a state that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def keep(df: DataFrame, bag: list | None = None) -> DataFrame:
@@ -81,14 +93,8 @@ class Steps:
         self.paths: list[str] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
-        out = cut(df)
-        self.paths.append(_PATHS.pop())
+        out, path = cut_at(df)
+        self.paths.append(path)
         if len(self.paths) > self.keep:
-            _delete(self.spark, self.paths.pop(0))
+            delete(self.spark, self.paths.pop(0))
         return out
-
-
-def _delete(spark, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
