@@ -13,6 +13,8 @@ ends the level.  So modularity never decreases.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,6 @@ from meridian.operators.graph.build import nodes as graph_nodes, symmetric
 from meridian.operators.graph.degree import weighted_degree
 from meridian.plans.iterate import cut
 
-MAX_LEVELS = 4
-MAX_ROUNDS = 10
-
 
 def modularity(edges: DataFrame, part: DataFrame, resolution: float = 1.0, comm_col: str = "community") -> float:
     """Σ_c [L_c / m - γ (s_c / 2m)^2], m = Σ weights, s_c = Σ weighted
@@ -48,8 +47,9 @@ def modularity(edges: DataFrame, part: DataFrame, resolution: float = 1.0, comm_
     return float(r.l) / m - resolution * float(r.ss) / (4.0 * m * m)
 
 
-def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: int) -> DataFrame:
-    """One Louvain level: node -> community by synchronous guarded moves."""
+def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: int | None) -> DataFrame:
+    """One Louvain level: node -> community by synchronous guarded moves, until no
+    move raises modularity (or for ``max_rounds`` rounds)."""
     sym = cut(symmetric(edges).select("src", "dst", F.col("weight").cast("double").alias("w")))
     k = cut(weighted_degree(edges).select("node", F.col("weighted_degree").alias("k")))
     m = float(edges.agg(F.sum("weight")).first()[0] or 0.0)
@@ -58,7 +58,7 @@ def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: in
         return part
     q_old = modularity(edges, part.withColumnRenamed("c", "community"), resolution)
     two_m2 = 2.0 * m * m
-    for r in range(max_rounds):
+    for r in itertools.count() if max_rounds is None else range(max_rounds):
         stot = part.join(k, "node").groupBy("c").agg(F.sum("k").alias("stot"))
         nbc = (sym.filter(F.col("src") != F.col("dst"))
                .join(part.select(F.col("node").alias("dst"), F.col("c").alias("cn")), "dst")
@@ -93,15 +93,15 @@ def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: in
     return part
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0, seed: int = 0, max_levels: int = MAX_LEVELS,
-            max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def louvain(edges: DataFrame, resolution: float = 1.0, seed: int = 0, max_levels: int | None = None,
+            max_rounds: int | None = None) -> DataFrame:
     """Node, community (the smallest node id of the community's first
     level representative).  Levels: local moving, then contraction of each
     community into one node (internal weight as a self-loop); repeat while
     the partition changes."""
     labels = cut(graph_nodes(edges).select("node", F.col("node").alias("community")))
     g = edges
-    for lvl in range(max_levels):
+    for lvl in itertools.count() if max_levels is None else range(max_levels):
         part = _local_moving(g, resolution, seed + 101 * lvl, max_rounds)
         n_before = part.count()
         n_after = part.select("c").distinct().count()
@@ -132,8 +132,8 @@ def co_association(runs: DataFrame, pairs: DataFrame, n_runs: int | None = None)
 
 
 def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max_iter: int = 3,
-                         resolution: float = 1.0, seed: int = 0, max_levels: int = MAX_LEVELS,
-                         max_rounds: int = MAX_ROUNDS) -> DataFrame:
+                         resolution: float = 1.0, seed: int = 0, max_levels: int | None = None,
+                         max_rounds: int | None = None) -> DataFrame:
     """H20 (Q9): ``runs`` Louvain runs, co-association on the current edges as
     the new weights, repeat until the weights change by less than ``tol``
     (Frobenius) or ``max_iter``; then one more Louvain run."""

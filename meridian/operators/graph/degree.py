@@ -113,7 +113,6 @@ def powerlaw_fit(deg: DataFrame, kmin: int = KMIN, col: str = "degree") -> DataF
     * ``gamma_ccdf_std``: 1 - slope of the CCDF line
     """
     dist = R.degree_distribution(deg, col)
-    fit_rows = dist.filter(F.col("degree") >= kmin)
     d = dist.agg(
         F.sum("n_nodes").alias("n"),
         F.sum(F.ln(F.col("degree") / F.lit(float(kmin)))).alias("s_distinct"),
@@ -124,7 +123,6 @@ def powerlaw_fit(deg: DataFrame, kmin: int = KMIN, col: str = "degree") -> DataF
         F.sum(F.when(F.col("degree") >= kmin, F.col("n_nodes"))).alias("n_tail"),
         F.sum(F.when(F.col("degree") >= kmin, F.col("n_nodes") * F.ln(F.col("degree") / F.lit(float(kmin)))))
         .alias("s_tail"))
-    del fit_rows
     return d.select(
         (F.lit(1.0) + F.col("n") / F.col("s_distinct")).alias("gamma_mle"),
         (-F.col("slope_pmf")).alias("gamma_loglog_pmf"),

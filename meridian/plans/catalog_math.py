@@ -18,7 +18,7 @@ from meridian.sources import testdata as T
 KRYLOV_STEPS = 8
 SIGMA = 1.0
 KNN_START_K = 4
-HISTORY_ROUNDS = 16      # rounds that a registered history shows
+HISTORY_ROUNDS = 12      # rounds that a registered history shows
 COMPARED_ROUNDS = 4
 N_BLOCKS = 4
 

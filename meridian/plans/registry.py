@@ -7,3 +7,4 @@ from meridian.plans import catalog_linkpred  # noqa: F401
 from meridian.plans import catalog_tables  # noqa: F401
 from meridian.plans import catalog_math  # noqa: F401
 from meridian.plans import catalog_community  # noqa: F401
+from meridian.plans import catalog_io  # noqa: F401

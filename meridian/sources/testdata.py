@@ -20,15 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product, quantity, customer, country (one row per line item).
 
-    ``nation`` is a fixed 25-row dimension, so broadcasting it is bounded;
-    the other joins are left to the planner (shuffle joins at scale)."""
+    All joins are left to the planner, which knows the tables' sizes."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .join(cu, F.col("o_custkey") == cu.c_custkey)
-            .join(F.broadcast(na), F.col("c_nationkey") == na.n_nationkey)
+            .join(na, F.col("c_nationkey") == na.n_nationkey)
             .select(F.col("l_partkey").alias("product"),
                     (F.col("l_quantity") - 10).cast("int").alias("quantity"),
                     F.col("o_custkey").alias("customer"),
@@ -100,7 +99,7 @@ def census_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = (table(spark, sf_dir, "orders").groupBy("o_custkey")
           .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_spent")))
     avg_bal = cu.agg(F.avg("c_acctbal")).first()[0]
-    return (cu.join(F.broadcast(na), cu.c_nationkey == na.n_nationkey)
+    return (cu.join(na, cu.c_nationkey == na.n_nationkey)
             .join(od, cu.c_custkey == od.o_custkey, "left")
             .select("c_custkey",
                     F.when(F.col("c_custkey") % 17 == 0, F.lit(None).cast("string"))
