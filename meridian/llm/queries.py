@@ -84,7 +84,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
-    return score(docs.select("doc_id", "text"), model).select("row.doc_id", "score").select(
+    return score(docs, model, keep=["doc_id"]).select("row.doc_id", "score").select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 

@@ -32,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +51,9 @@ CLASS_BITS = 20
 SHARED_BITS = [10, 14, 16, 18, 19]
 CHUNK_BITS = 14
 MODELS = ["toxic", "plain", *range(1, ORDER)]
-#: Words whose likelihoods a worker remembers.
-REMEMBERED = 1_000_000
+#: Words whose likelihoods a task remembers, and texts that it holds as words at a time.
+REMEMBERED = 200_000
+SLICE = 128
 EVIDENCE = ["whole", "passage", "word"]
 WORD = re.compile(r"[^\W\d_]+")
 START, END = 2, 3
@@ -120,18 +122,12 @@ class Tables:
         return out
 
 
-#: The last model that a worker used, and the words it knows of it.
-_LAST: dict = {}
-
-
-def evidence(texts: list[str], chunks) -> np.ndarray:
-    """Length-normalised differences: whole text, most toxic passage, most toxic word."""
-    if _LAST.get("chunks") is not chunks:
-        _LAST.update(chunks=chunks, tables=Tables(chunks), known={})
-    tables, known = _LAST["tables"], _LAST["known"]
+def evidence(texts: list[str], tables: Tables, known: dict[str, float]) -> np.ndarray:
+    """Length-normalised differences: whole text, most toxic passage, most toxic word.
+    ``known``: differences of words met before."""
     out = np.zeros((len(texts), 3))
-    for lo in range(0, len(texts), 512):
-        docs = [words_of(t) for t in texts[lo:lo + 512]]
+    for lo in range(0, len(texts), SLICE):
+        docs = [words_of(t) for t in texts[lo:lo + SLICE]]
         if len(known) > REMEMBERED:
             known.clear()
         new = list({w for d in docs for w in d if w not in known})
@@ -148,7 +144,7 @@ def evidence(texts: list[str], chunks) -> np.ndarray:
 
 def _count_words(batches):
     """(word, toxic, plain): a batch's sums."""
-    for b in batches:
+    for b in (b.slice(lo, 1024) for b in batches for lo in range(0, b.num_rows, 1024)):
         counts = (Counter(), Counter())
         for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             counts[y].update(words_of(text))
@@ -261,27 +257,33 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
     return Model(tables, fit_logistic(x, found["y"].to_numpy()), prior)
 
 
-def _evidence_of(df: DataFrame, tables: Broadcast) -> DataFrame:
-    """``df``: text, row (anything, passed on)."""
+def _evidence_of(df: DataFrame, tables: Broadcast, text: str | None = None) -> DataFrame:
+    """``df``: row (a struct, passed on), and a column text unless ``text`` names the
+    field of row that holds it (so that a text is sent only once)."""
     schema = T.StructType([df.schema["row"], *[T.StructField(c, T.DoubleType()) for c in EVIDENCE]])
 
     def body(batches):
+        t, known = Tables(tables.value), {}
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                x = evidence(part.column(0).to_pylist(), tables.value)
-                yield pa.RecordBatch.from_arrays([part.column(1), *(pa.array(x[:, i]) for i in range(3))],
-                                                 names=["row", *EVIDENCE])
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                row = part.column("row")
+                own = pc.struct_field(row, text).cast(pa.string()) if text else part.column("text")
+                x = evidence([v or "" for v in own.to_pylist()], t, known)
+                yield pa.RecordBatch.from_arrays([row, *(pa.array(x[:, i]) for i in range(3))], names=["row", *EVIDENCE])
     return df.mapInArrow(body, schema)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """row (a struct of all columns of ``docs``), score, and the three differences;
-    one row per row of ``docs``."""
-    rows = docs.select(text_of(F.col(f"`{text_col}`").cast("string")).alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns ``keep`` of ``docs``, by default all), score, and the
+    three differences; one row per row of ``docs``."""
+    names = docs.columns if keep is None else keep
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     if model.tables is None:
-        return rows.select("row", F.lit(model.prior).alias("score"), *[F.lit(0.0).alias(c) for c in EVIDENCE])
+        return docs.select(row, F.lit(model.prior).alias("score"), *[F.lit(0.0).alias(c) for c in EVIDENCE])
+    inside = text_col in names
+    rows = docs.select(row, *([] if inside else [text_of(F.col(f"`{text_col}`").cast("string")).alias("text")]))
     w = model.weights.tolist()
     z = sum(F.col(c) * F.lit(x) for c, x in zip(EVIDENCE, w, strict=False)) + F.lit(w[-1])
-    return _evidence_of(rows, model.tables).select("row", (1 / (1 + F.exp(-z))).alias("score"), *EVIDENCE)
+    return _evidence_of(rows, model.tables, text_col if inside else None).select(
+        "row", (1 / (1 + F.exp(-z))).alias("score"), *EVIDENCE)
