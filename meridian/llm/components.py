@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import Steps
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -35,11 +35,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) for every node that has a link; root is the component's smallest node."""
-    state = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    steps = Steps(links.sparkSession)
+    state = steps.cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .where(F.col("a") > F.col("b")).distinct())
     mark = None
     while True:
-        state = cut(_star(_star(state, True), False))
+        state = steps.cut(_star(_star(state, True), False))
         now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             break

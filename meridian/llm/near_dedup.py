@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from meridian.llm.common import BlockTable, mix64, text_of, with_block_facts
 from meridian.llm.components import connected_components
 from meridian.llm.words import gram_hashes, row_words
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import cut, cut_at, delete
 
 ROWS_PER_BLOCK = 1024
 #: Chance that a pair exactly at the threshold shares no bucket, and most hashes used.
@@ -191,23 +191,28 @@ def near_dedup(df: DataFrame, words: int = 5, threshold: float = 0.8, id_col: st
                ) -> DataFrame:
     """One row per row of ``df``: ``row``, ``n_shingles``, ``component_id``, ``kept``."""
     r, b = bands(threshold)
+    spark = df.sparkSession
     store = BlockTable(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")), ROWS_PER_BLOCK)
     t = store.df()
     text = text_of(F.col(f"row.`{text_col}`").cast("string")).alias("text")
     ident = F.col(f"row.`{id_col}`").cast("long").alias("doc_id")
 
-    facts = cut(t.select("block", "pos", text, ident).mapInArrow(
+    found, wide = cut_at(t.select("block", "pos", text, ident).mapInArrow(
         _features(words, r, b), "block long, pos long, doc_id long, n long, h1 long, h2 long, bands array<long>"))
+    facts = cut(found.drop("bands"))
 
     # Classes of equal sets; the first row's number names the class.
     first = F.min(F.col("block") * ROWS_PER_BLOCK + F.col("pos") % ROWS_PER_BLOCK).alias("cls")
-    classes = cut(facts.where("n > 0").groupBy("n", "h1", "h2").agg(
+    banded, wider = cut_at(found.where("n > 0").groupBy("n", "h1", "h2").agg(
         first, F.min(F.struct("block", "pos")).alias("at"), F.first("bands").alias("bands")))
-    entries = classes.select(F.explode("bands").alias("key"), "cls")
+    delete(spark, wide)
+    classes = cut(banded.drop("bands"))
+    entries = banded.select(F.explode("bands").alias("key"), "cls")
     heads = entries.groupBy("key").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     stars = entries.join(heads, "key").where("cls <> head").select(F.col("cls").alias("a"), F.col("head").alias("b"))
     cells = connected_components(stars).select(F.col("node").alias("cls"), F.col("root").alias("cell"))
 
+    delete(spark, wider)                        # the stars are written: bands are not read again
     members = cut(classes.select("cls", "n", "at.block", "at.pos").join(cells, "cls"))
     sizes = members.groupBy("cell").agg(F.sum("n").alias("total")).withColumn(
         "blocks", F.ceil(F.col("total") / SHINGLES_PER_BLOCK).cast("int"))
@@ -222,10 +227,10 @@ def near_dedup(df: DataFrame, words: int = 5, threshold: float = 0.8, id_col: st
     # Small cells share a task; each pair of blocks of a large one is a task of its own.
     task = F.pmod(F.xxhash64("cell", "lo", "hi"), F.lit(tasks * 4))
     links = cut(dealt.groupBy(task.alias("task")).applyInPandas(_verify(threshold, r * b), "a long, b long"))
-    found = connected_components(links)
+    linked = connected_components(links)
 
     # From classes back to rows: a class without links is a component of its own.
-    of_class = classes.select("n", "h1", "h2", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
+    of_class = classes.select("n", "h1", "h2", "cls").join(linked.withColumnRenamed("node", "cls"), "cls", "left").select(
         "n", "h1", "h2", F.coalesce("root", "cls").alias("root"))
     named = cut(facts.select("block", "pos", "doc_id", "n", "h1", "h2").join(of_class, ["n", "h1", "h2"], "left"))
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
