@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meridian.functions.draws import sql_hash_uniform
 from meridian.operators.graph import build as GB
 from meridian.operators.graph import community as CM
 from meridian.operators.graph import components as GC
@@ -257,6 +258,22 @@ def q_random_curve(spark, d):
     return RB.random_removal_curve(_edges(spark, d))
 
 
+@query("random_removal_kappa", f"""
+WITH o AS (SELECT node, row_number() OVER (ORDER BY {sql_hash_uniform('node', 0)}, node) - 1 AS rank FROM nodes_supp),
+f AS (SELECT CAST(i AS DOUBLE) / 20 AS fraction, CAST(floor(CAST(i AS DOUBLE) / 20 * (SELECT count(*) FROM o)) AS BIGINT) AS n
+      FROM range(20) t(i)),
+e AS (SELECT f.fraction, e.u, e.v FROM f, edges_supp e JOIN o a ON e.u = a.node JOIN o b ON e.v = b.node
+      WHERE a.rank >= f.n AND b.rank >= f.n),
+d AS (SELECT fraction, node, sum(c) AS k FROM (
+  SELECT fraction, u AS node, CASE WHEN u = v THEN 2 ELSE 1 END AS c FROM e
+  UNION ALL SELECT fraction, v, 1 FROM e WHERE u <> v) GROUP BY fraction, node)
+SELECT round(f.fraction, 6) AS fraction, round(k.kappa, 6) AS kappa FROM f LEFT JOIN (
+  SELECT fraction, avg(k * k) / avg(k) AS kappa FROM d GROUP BY fraction) k ON f.fraction = k.fraction""",
+       ("nodes_supp", "edges_supp"))
+def q_random_kappa(spark, d):
+    return RB.random_removal_curve(_edges(spark, d)).select(rnd("fraction").alias("fraction"), rnd("kappa").alias("kappa"))
+
+
 @query("semi_targeted_removal_curve")
 def q_semi_curve(spark, d):
     return RB.semi_targeted_removal_curve(_edges(spark, d))
@@ -276,6 +293,15 @@ def q_robust_thresholds(spark, d):
 
 # ------------------------------------------------------------ null model
 
+@query("rewired_degrees", """
+SELECT n AS node, CAST(count(*) AS BIGINT) AS degree FROM (
+  SELECT u AS n FROM simple_supp UNION ALL SELECT v FROM simple_supp) GROUP BY n""", ("simple_supp",))
+def q_rewired_degrees(spark, d):
+    rw = NL.rewire(_edges(spark, d), rounds=2, seed=1)
+    ends = rw.select(F.col("u").alias("node")).unionAll(rw.select(F.col("v").alias("node")))
+    return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+
+
 @query("rewire_null_model")
 def q_rewire(spark, d):
     return NL.rewire(_edges(spark, d), rounds=1, seed=1)

@@ -95,11 +95,55 @@ def _krylov_inputs(spark, d):
     return lap, cut(_x(a))
 
 
+def _arnoldi_sql(steps: int) -> str:
+    """Classical Gram-Schmidt, unrolled; ends in hs(row, col, h)."""
+    parts = ["q0 AS MATERIALIZED (SELECT i, v / (SELECT sqrt(sum(v * v)) FROM vec_x) AS v, 0 AS step FROM vec_x)",
+             "b0 AS MATERIALIZED (SELECT * FROM q0)"]
+    hs = []
+    for j in range(steps):
+        parts += [
+            f"w{j} AS MATERIALIZED (SELECT l.i, sum(l.v * q.v) AS v FROM mat_l l JOIN q{j} q ON l.j = q.i GROUP BY l.i)",
+            f"h{j} AS MATERIALIZED (SELECT b.step, sum(b.v * w.v) AS h FROM b{j} b JOIN w{j} w ON b.i = w.i GROUP BY b.step)",
+            f"r{j} AS MATERIALIZED (SELECT w.i, w.v - p.v AS v FROM w{j} w JOIN (SELECT b.i, sum(b.v * h.h) AS v "
+            f"FROM b{j} b JOIN h{j} h ON b.step = h.step GROUP BY b.i) p ON w.i = p.i)",
+            f"n{j} AS MATERIALIZED (SELECT sqrt(sum(v * v)) AS h FROM r{j})",
+            f"q{j + 1} AS MATERIALIZED (SELECT i, v / (SELECT h FROM n{j}) AS v, {j + 1} AS step FROM r{j})",
+            f"b{j + 1} AS MATERIALIZED (SELECT * FROM b{j} UNION ALL SELECT * FROM q{j + 1})"]
+        hs += [f"SELECT step AS row, {j} AS col, h FROM h{j}", f"SELECT {j + 1}, {j}, h FROM n{j}"]
+    return ",\n".join(parts) + ",\nhs AS (" + " UNION ALL ".join(hs) + ")"
+
+
+def _lanczos_sql(steps: int) -> str:
+    """Three-term recurrence, unrolled; ends in ab(step, alpha, beta)."""
+    parts = ["q0 AS MATERIALIZED (SELECT i, v / (SELECT sqrt(sum(v * v)) FROM vec_x) AS v FROM vec_x)"]
+    rows = []
+    for j in range(steps):
+        before = (f" - (SELECT beta FROM s{j - 1}) * p.v" if j else "")
+        join = f" JOIN q{j - 1} p ON w.i = p.i" if j else ""
+        parts += [
+            f"w{j} AS MATERIALIZED (SELECT l.i, sum(l.v * q.v) AS v FROM mat_l l JOIN q{j} q ON l.j = q.i GROUP BY l.i)",
+            f"a{j} AS MATERIALIZED (SELECT sum(w.v * q.v) AS alpha FROM w{j} w JOIN q{j} q ON w.i = q.i)",
+            f"r{j} AS MATERIALIZED (SELECT w.i, w.v - (SELECT alpha FROM a{j}) * q.v{before} AS v "
+            f"FROM w{j} w JOIN q{j} q ON w.i = q.i{join})",
+            f"s{j} AS MATERIALIZED (SELECT sqrt(sum(v * v)) AS beta FROM r{j})",
+            f"q{j + 1} AS MATERIALIZED (SELECT i, v / (SELECT beta FROM s{j}) AS v FROM r{j})"]
+        rows.append(f"SELECT {j} AS step, (SELECT alpha FROM a{j}) AS alpha, "
+                    + (f"(SELECT beta FROM s{j}) AS beta" if j < steps - 1 else "CAST(NULL AS DOUBLE) AS beta"))
+    return ",\n".join(parts) + ",\nab AS (" + " UNION ALL ".join(rows) + ")"
+
+
+O.register_chain("arnoldi", _arnoldi_sql(KRYLOV_STEPS),
+                 "SELECT row, col, round(h, 4) AS h FROM hs WHERE abs(h) > 1e-4", "mat_l", "vec_x")
+O.register_chain("lanczos", _lanczos_sql(KRYLOV_STEPS),
+                 "SELECT step, round(alpha, 4) AS alpha, round(beta, 4) AS beta FROM ab", "mat_l", "vec_x")
+
+
 @query("arnoldi")
 def q_arnoldi(spark, d):
     lap, x = _krylov_inputs(spark, d)
-    basis, H = LA.arnoldi(lap, x, KRYLOV_STEPS)
-    rows = [(int(i), int(j), float(H[i, j])) for i in range(H.shape[0]) for j in range(H.shape[1]) if H[i, j] != 0]
+    _, H = LA.arnoldi(lap, x, KRYLOV_STEPS)
+    rows = [(int(i), int(j), round(float(H[i, j]), 4)) for i in range(H.shape[0]) for j in range(H.shape[1])
+            if abs(H[i, j]) > 1e-4]
     return spark.createDataFrame(rows, "row int, col int, h double")
 
 
@@ -114,7 +158,7 @@ def q_ritz(spark, d):
 def q_lanczos(spark, d):
     lap, x = _krylov_inputs(spark, d)
     _, al, be = LA.lanczos(lap, x, KRYLOV_STEPS)
-    rows = [(i, float(al[i]), float(be[i]) if i < len(be) else None) for i in range(len(al))]
+    rows = [(i, round(float(al[i]), 4), round(float(be[i]), 4) if i < len(be) else None) for i in range(len(al))]
     return spark.createDataFrame(rows, "step int, alpha double, beta double")
 
 
@@ -254,8 +298,21 @@ def _grad_sql(y: str) -> str:
             f"JOIN (SELECT w.i, sum(w.w * y.y) AS c FROM ssl_w w JOIN {y} y ON w.j = y.id GROUP BY w.i) c ON t.id = c.i)")
 
 
-def _history_sql(method: str, start: str, rounds: int) -> str:
-    """CTEs and the history of ``rounds`` rounds of gd, gd_nesterov or bcgd_cyclic."""
+def _block_sql(method: str, r: int) -> str:
+    """The block that a block-coordinate rule takes in round r."""
+    if method == "bcgd_cyclic":
+        return str(r % N_BLOCKS)
+    if method == "bcgd_random_uniform":
+        return str(int(S._u(r, 3) * N_BLOCKS) % N_BLOCKS)
+    if method == "bcgd_random_lipschitz":
+        return (f"(SELECT block FROM (SELECT block, sum(L) OVER (ORDER BY block) AS acc FROM ssl_steps) "
+                f"WHERE acc > CAST({S._u(r, 3)!r} AS DOUBLE) * (SELECT sum(L) FROM ssl_steps) ORDER BY block LIMIT 1)")
+    return (f"(SELECT b.block FROM {_grad_sql(f'y{r}')} g JOIN ssl_block b ON g.id = b.id GROUP BY b.block "
+            f"ORDER BY sum(g.g * g.g) DESC, b.block LIMIT 1)")
+
+
+def _history_sql(method: str, start: str, rounds: int) -> tuple[str, str]:
+    """CTEs, and the history of ``rounds`` rounds read from them."""
     y0 = {"random": "ssl_y0", "knn": "ssl_knn"}[start]
     parts = [f"y0 AS MATERIALIZED (SELECT id, y FROM {y0})"]
     if method == "gd_nesterov":
@@ -263,8 +320,9 @@ def _history_sql(method: str, start: str, rounds: int) -> str:
     rows, lam = [], 1.0
     for r in range(rounds):
         only = ""
-        if method == "bcgd_cyclic":
-            only = f" WHERE id IN (SELECT id FROM ssl_block WHERE block = {r % N_BLOCKS})"
+        if method in S.RULES:
+            parts.append(f"k{r} AS MATERIALIZED (SELECT CAST({_block_sql(method, r)} AS INTEGER) AS block)")
+            only = f" WHERE id IN (SELECT id FROM ssl_block WHERE block = (SELECT block FROM k{r}))"
         parts.append(f"g{r} AS MATERIALIZED (SELECT id, g FROM {_grad_sql(f'y{r}')}{only})")
         rows.append(f"SELECT '{method}' AS method, '{start}' AS start, {r} AS iteration, "
                     f"(SELECT round(sqrt(sum(g * g)), 6) FROM g{r}) AS grad_norm, (SELECT round(avg(CASE WHEN "
@@ -282,8 +340,8 @@ def _history_sql(method: str, start: str, rounds: int) -> str:
                          f"FROM x{r + 1} x JOIN x{r} p ON x.id = p.id)")
         else:
             parts.append(f"y{r + 1} AS MATERIALIZED (SELECT y.id, y.y - coalesce(g.g, 0) / (SELECT L FROM ssl_steps WHERE "
-                         f"block = {r % N_BLOCKS}) AS y FROM y{r} y LEFT JOIN g{r} g ON y.id = g.id)")
-    return ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(rows)
+                         f"block = (SELECT block FROM k{r})) AS y FROM y{r} y LEFT JOIN g{r} g ON y.id = g.id)")
+    return ",\n".join(parts), "\nUNION ALL\n".join(rows)
 
 
 _SSL_CTES = ("ssl_totals", "ssl_y0", "ssl_knn", "ssl_w", "ssl_block", "ssl_bound", "ssl_steps", "labeled_points")
@@ -303,9 +361,12 @@ def _history_query(method, start):
 
 for _m, _s in HISTORIES.items():
     query(_m)(_history_query(_m, _s))
-    if _m in ("gd", "gd_nesterov", "bcgd_cyclic"):
-        _chain = _history_sql(_m, _s, HISTORY_ROUNDS)
-        O.register_chain(_m, _chain, "", *_SSL_CTES)
+    O.register_chain(_m, *_history_sql(_m, _s, HISTORY_ROUNDS), *_SSL_CTES)
+
+
+O.ORACLE["method_comparison_ssl"] = O.with_ctes("\nUNION ALL\n".join(
+    "SELECT * FROM (WITH {}\n{})".format(*_history_sql(m, start, COMPARED_ROUNDS))
+    for start in ("random", "knn") for m in S.METHODS), *_SSL_CTES)
 
 
 @query("method_comparison_ssl")

@@ -9,7 +9,7 @@ from meridian.operators import ssl as S
 from meridian.operators.graph import build as GB
 from meridian.operators.graph import components as GC
 from meridian.operators.graph import degree as GD
-from meridian.plans.catalog import NODE, query, rnd
+from meridian.plans.catalog import NODE, query
 from meridian.sources import testdata as T
 
 FIRST_N = 1000
@@ -195,4 +195,3 @@ SELECT round(min(d), 6) AS kth_largest FROM (
 
 
 _kth_sql()
-__all__ = ["rnd"]
