@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_keys
 from meridian.operators.graph.wedges import simple_edges
 from meridian.plans.iterate import cut
 
@@ -31,10 +30,8 @@ def rewire(edges: DataFrame, rounds: int = 1, seed: int = 0, replicas: int | Non
     m = base.count()
     nb = max(1, m // BUCKET)
     for r in range(rounds):
-        # in two steps: one expression of three keys would be too large to compile
-        uv = cur.withColumn("_uv", hash_keys(["u", "v"], seed * 131 + r))
-        e = uv.withColumn("_h", hash_keys(["_uv", "replica"], seed * 131 + r)).drop("_uv")
-        e = e.withColumn("_b", F.pmod(F.col("_h"), F.lit(nb)))
+        key = F.pmod(F.xxhash64("u", "v", "replica", F.lit(seed * 131 + r)), F.lit(1 << 31))
+        e = cur.withColumn("_h", key).withColumn("_b", F.pmod(F.col("_h"), F.lit(nb)))
         w = Window.partitionBy("replica", "_b").orderBy("_h", "u", "v")
         e = e.withColumn("_rn", F.row_number().over(w) - 1)
         e = e.withColumn("_pair", F.floor(F.col("_rn") / 2)).withColumn("_side", F.col("_rn") % 2)
