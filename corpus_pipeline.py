@@ -14,19 +14,23 @@ None; tests/llm holds the stages against brute force.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import queries as q
-from meridian.llm.common import table
+from meridian.llm.common import Scratch, table
 from meridian.llm.exact_dedup import exact_dedup
 from meridian.llm.near_dedup import near_dedup
 from meridian.llm.packing import pack
 from meridian.llm.substring_dedup import substring_dedup
 from meridian.llm.toxicity import crc_fold, score, train
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import Steps
 
 WINDOW_WORDS = 20
+#: Texts that Spark sends to Python at a time (documents are long for its default of 10,000 rows).
+TEXTS_PER_BATCH = 1000
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,21 +59,35 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, q.vocabulary_path())
 
 
+_SCRATCH = Scratch()
+
+
+def _stage(fn):
+    """When a stage begins, the result of the one before has been written, so what that
+    stage wrote for itself goes first."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
+        with _SCRATCH.step(docs):
+            return fn(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", without_toxic),
-    ("exact_dedup", without_copies),
-    ("near_dedup", without_near_copies),
-    ("substring_dedup", without_repeats),
-    ("packing", packed),
+    ("toxicity", _stage(without_toxic)),
+    ("exact_dedup", _stage(without_copies)),
+    ("near_dedup", _stage(without_near_copies)),
+    ("substring_dedup", _stage(without_repeats)),
+    ("packing", _stage(packed)),
 ]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, states = table(spark, sf_dir, "documents"), Steps(spark)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = cut(docs)
+            docs = states.cut(docs)
     return docs

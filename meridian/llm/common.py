@@ -13,12 +13,15 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.plans.iterate import WRITTEN, delete
 from meridian.session import ensure_checkpoint_dir
 
 _SEQ = itertools.count()
@@ -81,8 +84,8 @@ class BlockTable:
             part = part * BLOCKS_PER_PARTITION + F.floor(F.col("pos") / rows_per_block)
         (df.withColumn("block", part).write.bucketBy(n, "block").option("path", path).option("compression", compression)
          .format("parquet").saveAsTable(name))
+        WRITTEN.append(path)
         self.name = name
-        self.buckets = n
 
     def df(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -90,6 +93,28 @@ class BlockTable:
     def blocks(self) -> int:
         return self.df().select("block").distinct().count()
 
+class Scratch:
+    """What a chain of steps has written for itself, deleted step by step.
+
+    Inside ``with scratch.step(docs):`` the paths are noted that the step writes; when
+    the next step begins, they go, unless its input still reads one of them."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    @contextmanager
+    def step(self, docs: DataFrame):
+        read = docs.inputFiles() if self.paths else []
+        held = [p for p in self.paths if any(re.sub(r"^\w+:/*", "", p) + "/" in f for f in read)]
+        if not held:
+            for p in self.paths:
+                delete(docs.sparkSession, p)
+            self.paths = []
+        begun = len(WRITTEN)
+        yield
+        self.paths += WRITTEN[begun:]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (splitmix64 finaliser; its constants are fixed values)."""
     x = x.astype(np.uint64, copy=True)

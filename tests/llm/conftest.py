@@ -39,7 +39,7 @@ def odd_documents():
 @pytest.fixture(scope="session")
 def spark():
     from meridian.session import get_session
-    s = get_session("local[*]", 6)
+    s = get_session("local[*]", 4)
     yield s
 
 
