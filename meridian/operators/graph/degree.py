@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from meridian.operators import relational as R
 from meridian.operators.graph.build import symmetric
 from meridian.operators.graph.wedges import oriented_triangles
+from meridian.plans.iterate import cut
 
 
 def degree(edges: DataFrame) -> DataFrame:
@@ -54,7 +55,8 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
 def clustering_coefficient(edges: DataFrame) -> DataFrame:
     """H8: 2T / (d (d - 1)) per node, d = distinct neighbours other than itself;
     0 when d < 2.  Triangles come from the degree-oriented wedge join."""
-    simple = edges.filter(F.col("u") != F.col("v")).select("u", "v")
+    edges = cut(edges.select("u", "v"))           # read many times below
+    simple = edges.filter(F.col("u") != F.col("v"))
     d = (simple.select(F.col("u").alias("node")).unionAll(simple.select(F.col("v").alias("node")))
          .groupBy("node").agg(F.count(F.lit(1)).alias("_d")))
     tri = oriented_triangles(simple)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.draws import hash_int
+from meridian.plans.iterate import cut
 
 CHUNK = 2048
 
@@ -36,14 +37,17 @@ def oriented_triangles(edges: DataFrame) -> DataFrame:
     du = deg.select(F.col("n").alias("u"), F.col("d").alias("du"))
     dv = deg.select(F.col("n").alias("v"), F.col("d").alias("dv"))
     e = s.join(du, "u").join(dv, "v")
+    # Written once: both sides of the wedge join and the closing edges read it.
     u_first = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     o = e.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("a"),
                  F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("b"))
+    o = cut(o)
+    s = o.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
     x = o.alias("x")
     y = o.alias("y")
     w = (x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.b") < F.col("y.b")))
          .select(F.col("x.a").alias("a"), F.col("x.b").alias("b"), F.col("y.b").alias("c")))
-    return w.join(s, (w.b == s.u) & (w.c == s.v), "left_semi")
+    return w.join(s, (F.least(w.b, w.c) == s.u) & (F.greatest(w.b, w.c) == s.v), "left_semi")
 
 
 def common_neighbor_pairs(sym: DataFrame, chunk: int = CHUNK) -> DataFrame:

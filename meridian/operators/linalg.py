@@ -1,11 +1,9 @@
 """Sparse linear algebra on coordinate tables.
 
 matrix: i, j, v (absent = 0); vector: i, v; basis: step, i, v.
-Products are joins on the inner index followed by a grouped sum.  In
-``matmul`` an inner index with many entries on both sides (a hub) would put
-d_left x d_right products in one task; such keys are split into hash chunks
-on both sides so a task handles at most chunk^2 products, and the partial sums
-are combined map-side before the shuffle on (i, j).
+Products are joins on the inner index followed by a grouped sum, combined
+map-side before the shuffle on (i, j); see ``matmul`` for hub keys and dense
+matrices.
 
 Krylov methods keep the basis as a table and only the small projected matrix
 (m x m, m = number of steps) on the driver.
@@ -16,6 +14,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,21 +42,67 @@ def norm(x: DataFrame) -> float:
     return math.sqrt(float(r or 0.0))
 
 
+#: Above this share of filled entries a product is done in dense tiles.
+DENSE_SHARE = 0.05
+TILE = 1024
+
+
 def matmul(a: DataFrame, b: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(A B)_ij = Σ_k a_ik b_kj, skew-safe on the inner index k."""
+    """(A B)_ij = Σ_k a_ik b_kj.
+
+    Sparse matrices are joined on k; only if some k has more than ``chunk`` entries
+    on a side are such keys split, so that no task holds more than chunk² products.
+    Dense ones (by their measured share of filled entries) are multiplied in tiles
+    of ``TILE`` rows and columns with numpy, and the tiles summed."""
+    a, b = cut(a.select("i", "j", "v")), cut(b.select("i", "j", "v"))
     left = a.select("i", F.col("j").alias("k"), F.col("v").alias("_a"))
     right = b.select(F.col("i").alias("k"), "j", F.col("v").alias("_b"))
-    nl = left.groupBy("k").agg(F.count(F.lit(1)).alias("_nl"))
-    nr = right.groupBy("k").agg(F.count(F.lit(1)).alias("_nr"))
-    sizes = nl.join(nr, "k").select(
-        "k", F.greatest(F.lit(1), F.ceil(F.col("_nl") / F.lit(chunk))).cast("int").alias("_sl"),
-        F.greatest(F.lit(1), F.ceil(F.col("_nr") / F.lit(chunk))).cast("int").alias("_sr"))
-    left = (left.join(sizes, "k").withColumn("p", F.pmod(hash_int("i", 7), F.col("_sl")).cast("int"))
-            .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))).drop("_sl", "_sr"))
-    right = (right.join(sizes, "k").withColumn("q", F.pmod(hash_int("j", 8), F.col("_sr")).cast("int"))
-             .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))).drop("_sl", "_sr"))
-    return (left.join(right, ["k", "p", "q"]).groupBy("i", "j")
-            .agg(F.sum(F.col("_a") * F.col("_b")).alias("v")))
+    s = left.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("i").alias("i"), F.approx_count_distinct("k").alias("k")).first()
+    t = right.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("j").alias("j")).first()
+    if min(s.n, t.n) > chunk and s.n > DENSE_SHARE * s.i * s.k and t.n > DENSE_SHARE * s.k * t.j:
+        return _dense_matmul(left, right, *(max(1, math.ceil(1.05 * x / TILE)) for x in (s.i, s.k, t.j)))
+    sizes = left.select("k", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select("k", F.lit(0).alias("l"), F.lit(1).alias("r"))).groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    hubs = sizes.where((F.col("l") > chunk) | (F.col("r") > chunk))
+    keys = ["k"]
+    if hubs.limit(1).count():
+        hubs = cut(hubs.select("k", F.ceil(F.col("l") / F.lit(chunk)).cast("int").alias("_sl"),
+                               F.ceil(F.col("r") / F.lit(chunk)).cast("int").alias("_sr")))
+        one = F.lit(1)
+        left = (left.join(hubs, "k", "left").withColumn("p", F.pmod(hash_int("i", 7), F.coalesce("_sl", one)).cast("int"))
+                .withColumn("q", F.explode(F.sequence(F.lit(0), F.coalesce("_sr", one) - 1))).drop("_sl", "_sr"))
+        right = (right.join(hubs, "k", "left").withColumn("q", F.pmod(hash_int("j", 8), F.coalesce("_sr", one)).cast("int"))
+                 .withColumn("p", F.explode(F.sequence(F.lit(0), F.coalesce("_sl", one) - 1))).drop("_sl", "_sr"))
+        keys = ["k", "p", "q"]
+    return left.join(right, keys).groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+
+
+def _dense_matmul(left: DataFrame, right: DataFrame, ni: int, nk: int, nj: int) -> DataFrame:
+    def tile(col: str, n: int, seed: int):
+        return F.pmod(hash_int(col, seed), F.lit(n)).cast("int")
+
+    left = (left.withColumn("ib", tile("i", ni, 71)).withColumn("kb", tile("k", nk, 72))
+            .withColumn("jb", F.explode(F.sequence(F.lit(0), F.lit(nj - 1)))))
+    right = (right.withColumn("kb", tile("k", nk, 72)).withColumn("jb", tile("j", nj, 73))
+             .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))))
+
+    def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if x.empty or y.empty:
+            return pd.DataFrame({"i": [], "j": [], "v": []})
+        rows, r = np.unique(x["i"], return_inverse=True)
+        cols, c = np.unique(y["j"], return_inverse=True)
+        mid = np.union1d(x["k"], y["k"])
+        m, n = np.zeros((len(rows), len(mid))), np.zeros((len(mid), len(cols)))
+        np.add.at(m, (r, np.searchsorted(mid, x["k"])), x["_a"])
+        np.add.at(n, (np.searchsorted(mid, y["k"]), c), y["_b"])
+        reached = (m != 0).astype(np.float32) @ (n != 0).astype(np.float32)       # a sum of products may be 0 and still an entry
+        p = m @ n
+        at = np.nonzero(reached)
+        return pd.DataFrame({"i": rows[at[0]], "j": cols[at[1]], "v": p[at]})
+
+    parts = (left.groupBy("ib", "jb", "kb").cogroup(right.groupBy("ib", "jb", "kb"))
+             .applyInPandas(product, "i long, j long, v double"))
+    return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
 def laplacian(adj: DataFrame) -> DataFrame:

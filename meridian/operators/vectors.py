@@ -10,9 +10,9 @@ No operator here builds the n x m cross product as rows:
   window then keeps the k best per row over all blocks;
 * ``ball_join`` buckets points into a grid of cell width ``radius`` on the
   first coordinates (a pair within ``radius`` differs by at most ``radius``
-  in every coordinate, so it lies in the same or an adjacent cell), joins on
-  the cell and filters by the exact distance.  A crowded cell is split into
-  chunks on both sides, so one task holds at most chunk^2 candidate pairs.
+  in every coordinate, so it lies in the same or an adjacent cell) and compares
+  the two sides of a cell in numpy, emitting only pairs within the radius.  A crowded
+  cell is split into chunks on both sides, so a task compares at most chunk^2 pairs.
 """
 
 from __future__ import annotations
@@ -117,21 +117,32 @@ def knn_graph(points: DataFrame, k: int, id_col: str = "id", feat_col: str = "fe
     return both.withColumn("v", F.lit(1.0))
 
 
+def _within(radius: float):
+    """A tile: pairs of the two sides within the radius, found in numpy."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            x, y = np.stack(left["fa"].to_numpy()).astype(float), np.stack(right["fb"].to_numpy()).astype(float)
+            ia, ib = left["id_a"].to_numpy(), right["id_b"].to_numpy()
+            step = max(1, (1 << 22) // max(1, y.size))           # bounds the difference tensor to ~32 MB
+            for lo in range(0, len(x), step):
+                d = np.sqrt(((x[lo:lo + step, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+                r, c = np.nonzero(d <= radius)
+                out.append(pd.DataFrame({"id_a": ia[lo + r], "id_b": ib[c], "distance": d[r, c]}))
+        return pd.concat(out) if out else pd.DataFrame({"id_a": [], "id_b": [], "distance": []})
+    return run
+
+
 def ball_join(a: DataFrame, b: DataFrame, radius: float, id_col: str = "id", feat_col: str = "features",
-              grid_dims: int = 2, chunk: int = BALL_CHUNK, extra_a=(), extra_b=()) -> DataFrame:
+              grid_dims: int = 2, chunk: int = BALL_CHUNK) -> DataFrame:
     """(id_a, id_b, distance) for every pair with distance <= radius
     (``<=`` as in the reference; a row pairs with itself when both sides hold it)."""
-    if radius <= 0:
-        radius_cell = 1.0
-    else:
-        radius_cell = float(radius)
-    dims = grid_dims
-    cell_a = F.array(*[F.floor(F.col(feat_col)[i] / F.lit(radius_cell)).cast("long") for i in range(dims)])
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
+    width = float(radius) if radius > 0 else 1.0
+    cell = F.array(*[F.floor(F.col(feat_col)[i] / F.lit(width)).cast("long") for i in range(grid_dims)])
+    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=grid_dims)]
     off = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])
-    A = a.select(F.col(id_col).alias("id_a"), F.col(feat_col).alias("fa"), *extra_a, cell_a.alias("cell"))
-    B = b.select(F.col(id_col).alias("id_b"), F.col(feat_col).alias("fb"), *extra_b,
-                 F.explode(off).alias("_o"), cell_a.alias("_c"))
+    A = a.select(F.col(id_col).alias("id_a"), F.col(feat_col).alias("fa"), cell.alias("cell"))
+    B = b.select(F.col(id_col).alias("id_b"), F.col(feat_col).alias("fb"), F.explode(off).alias("_o"), cell.alias("_c"))
     B = B.withColumn("cell", F.zip_with("_c", "_o", lambda x, y: x + y)).drop("_o", "_c")
     na = A.groupBy("cell").agg(F.count(F.lit(1)).alias("_na"))
     nb = B.groupBy("cell").agg(F.count(F.lit(1)).alias("_nb"))
@@ -144,7 +155,7 @@ def ball_join(a: DataFrame, b: DataFrame, radius: float, id_col: str = "id", fea
     B = (B.join(sizes, "cell")
          .withColumn("q", F.pmod(hash_int("id_b", 6), F.col("_sb")).cast("int"))
          .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("_sa") - 1))).drop("_sa", "_sb"))
-    pairs = A.join(B, ["cell", "p", "q"])
-    dist = F.sqrt(squared_euclidean(F.col("fa"), F.col("fb")))
-    return (pairs.withColumn("distance", dist).filter(F.col("distance") <= F.lit(float(radius)))
-            .drop("cell", "p", "q", "fa", "fb"))
+    keys = [F.array_join(F.transform("cell", lambda x: x.cast("string")), ",").alias("cell"), "p", "q"]
+    A, B = A.select(*keys, "id_a", "fa"), B.select(*keys, "id_b", "fb")
+    return (A.groupBy("cell", "p", "q").cogroup(B.groupBy("cell", "p", "q"))
+            .applyInPandas(_within(float(radius)), "id_a long, id_b long, distance double"))
