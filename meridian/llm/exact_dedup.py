@@ -116,18 +116,22 @@ def answers(sent: DataFrame) -> DataFrame:
     return sent.groupBy("owner").applyInPandas(_answer, "owner int, block long, bitmap binary")
 
 
+#: The marks of a block without suspects.
+NO_MARKS = pd.DataFrame({"block": pd.Series([], dtype="int64"), "words": pd.Series([], dtype="object")})
+
+
 def _mark_block(owners: int):
     bounds = _bounds(owners)
 
     def run(key, rows: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
-            return pd.DataFrame({"block": [], "words": []})
+            return NO_MARKS
         fp, pos = rows["fp"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64)
         u, back, count = np.unique(fp, return_inverse=True, return_counts=True)
         dup = (count > 1) | foreign(u, answer["owner"], answer["bitmap"], bounds)
         hit = pos[dup[back]]
         if len(hit) == 0:
-            return pd.DataFrame({"block": [], "words": []})
+            return NO_MARKS
         bits = np.zeros((int(hit.max()) // 64 + 1) * 64, np.uint8)
         bits[hit] = 1
         words = np.packbits(bits, bitorder="little").view(np.int64)

@@ -39,6 +39,14 @@ def test_exact_dedup(docs, rows):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_blocks_without_copies(spark):
+    """Blocks in which nothing is marked, has words, or repeats."""
+    df = spark.createDataFrame([(i, f"text {i}" if i else None) for i in range(40)], "doc_id long, text string").repartition(8)
+    assert exact_dedup(df).where("kept and group_size = 1").count() == 40
+    assert near_dedup(df, 3, 0.85).where("kept").count() == 40
+    assert substring_dedup(df, 20).where("n_removed = 0").count() == 40
+
+
 def test_exact_dedup_empty(none):
     assert exact_dedup(none).count() == 0
 
