@@ -152,7 +152,7 @@ def lipschitz_bound(totals: DataFrame) -> float:
 
 
 def spectral_lipschitz(lp: DataFrame, totals: DataFrame, sigma: float = 1.0, squared: bool = False,
-                       tol: float = 1e-6, max_steps: int = 60) -> float:
+                       tol: float = 1e-3, max_steps: int = 200) -> float:
     """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by Lanczos steps with kernel passes, until the
     largest Ritz value's residual is at most ``tol`` of it (or the space is complete);
     an error beyond ``max_steps``."""

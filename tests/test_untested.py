@@ -75,7 +75,7 @@ def test_louvain_finds_cliques(spark, graph):
 
 def test_consensus_and_authority_shifting(spark, graph):
     single = CM.modularity(graph, GB.nodes(graph).withColumn("community", F.col("node")))
-    for lab in (CM.consensus_clustering(graph, runs=2, max_iter=1), CM.authority_shifting(graph)):
+    for lab in (CM.consensus_clustering(graph, runs=1, max_iter=1), CM.authority_shifting(graph, residual=1e-6)):
         lab = lab.cache()
         assert lab.count() == lab.select("node").distinct().count() == 21
         assert CM.modularity(graph, lab) > single
@@ -94,7 +94,7 @@ def test_ranks_against_numpy(spark, graph):
     assert np.allclose([h[v][0] for v in nodes], top / top.sum(), atol=1e-4)
     assert np.allclose([h[v][1] for v in nodes], top / top.sum(), atol=1e-4)
     seeds = spark.createDataFrame([(0,), (101,)], "seed long")
-    for residual, tol in ((0.0, 1e-6), (1e-8, 1e-5)):
+    for residual, tol in ((0.0, 1e-6), (1e-6, 1e-4)):
         p = {(r.seed, r.node): r.score for r in GR.personalized_pagerank(graph, seeds, residual=residual).collect()}
         for s in (0, 101):
             e = np.zeros(n)
