@@ -13,8 +13,10 @@ logistic curve, fitted on labelled texts that the counts have not seen, turns th
 into the score.
 
 Scale: the labelled rows that are learned from are a bounded sample (``per_class``
-of each class, by hash of the id); counts are made by Spark and live in hashed
-tables of a fixed size, which bounds the broadcast.  All texts are scored whole.
+of each class, by hash of the id), and the curve weighs each class by its number
+among all usable labels, so scores follow their toxic share and not the sample's.
+Counts are made by Spark and live in hashed tables of a fixed size, which bounds the
+broadcast.  All texts are scored whole.
 
 Nulls: a null text is empty, and scores as one without words; rows without id or
 label teach nothing; several labels of one id count as their largest.  Without
@@ -205,14 +207,16 @@ def _tables(words: DataFrame) -> list:
     return [(r.t, r.chunk, r.blob) for r in chunks.collect()]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Weights (the last is the constant) by Newton's method with a ridge penalty."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the last is the constant) by Newton's method with a ridge penalty.
+    ``times``: how many rows each row stands for, by default one."""
     x = np.column_stack([x, np.ones(len(x))])
+    times = np.ones(len(x)) if times is None else times
     w = np.zeros(x.shape[1])
     ridge = np.diag([penalty] * (x.shape[1] - 1) + [1e-6])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(x.T @ (x * (times * p * (1 - p))[:, None]) + ridge, x.T @ (times * (y - p)) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -237,6 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     known = known.dropna().where(F.col("y").isin(0, 1)).where(usable if usable is not None else F.lit(True))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
+    labelled = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    stands_for = np.array([max(1.0, labelled.get(y, 0) / max(1, per_class)) for y in (0, 1)])
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = cut(known.where("y = 1").orderBy(*order).limit(per_class).unionByName(
         known.where("y = 0").orderBy(*order).limit(per_class)))
@@ -245,7 +251,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
                        ).join(F.broadcast(sample), "doc_id")
     rows = cut(rows.withColumn("fit", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) == 0))
     seen = {(r.fit, r.y): r.n for r in rows.groupBy("fit", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    prior = sum(n for (_, y), n in seen.items() if y) / max(1, sum(seen.values()))
+    total = sum(n * stands_for[y] for (_, y), n in seen.items())
+    prior = float(sum(n * stands_for[y] for (_, y), n in seen.items() if y) / max(1, total))
     if len(seen) < 4:
         return Model(None, np.zeros(4), prior)
     words = (rows.where(~F.col("fit")).select("text", "y").mapInArrow(_count_words, "word string, toxic long, plain long")
@@ -253,8 +260,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
     tables = docs.sparkSession.sparkContext.broadcast(_tables(words))
     found = _evidence_of(rows.where("fit").select("text", F.struct("y").alias("row")), tables).select(
         "row.y", *EVIDENCE).toPandas()
-    x = found[EVIDENCE].to_numpy()
-    return Model(tables, fit_logistic(x, found["y"].to_numpy()), prior)
+    x, y = found[EVIDENCE].to_numpy(), found["y"].to_numpy(int)
+    return Model(tables, fit_logistic(x, y, times=stands_for[y]), prior)
 
 
 def _evidence_of(df: DataFrame, tables: Broadcast, text: str | None = None) -> DataFrame:

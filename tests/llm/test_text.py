@@ -18,7 +18,7 @@ from meridian.llm.maxent_lm import ROWS, WIDTH, Tokens, class_log10, lm_scores
 from meridian.llm.packing import deficit_round_robin, pack, window_sizes
 from meridian.llm.sharding import shard_by_size
 from meridian.llm.tokens import read_vocabulary, vocabulary
-from meridian.llm.toxicity import crc_fold, score, train, words_of
+from meridian.llm.toxicity import crc_fold, fit_logistic, score, train, words_of
 from meridian.llm.words import row_words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -167,6 +167,31 @@ def test_toxicity(spark, docs, none):
     assert words_of("A1b, É_x") == ["a", "b", "é", "x"]
 
 
+def test_toxicity_follows_the_share_of_all_labels(spark):
+    rng = random.Random(7)
+    data = []
+    for i in range(1500):                        # a tenth toxic, and words that tell the classes apart only in part
+        y = int(i % 10 == 0)
+        w = ["".join(rng.choice(["ba", "re", "ti", "no", "su", "la"]) for _ in range(rng.randint(1, 4))) for _ in range(20)]
+        if rng.random() < (0.6 if y else 0.2):
+            w[rng.randrange(20)] = "vexo" + rng.choice(["ba", "re", "ti"])
+        data.append((i, " ".join(w), y))
+    df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    mean = {}
+    for per_class in (150, 2000):                # the plain class is cut to a ninth, or nothing is
+        model = train(df, df.select("doc_id", "toxic"), per_class=per_class)
+        mean[per_class] = np.mean([r["score"] for r in score(df, model).collect()])
+    assert abs(mean[2000] - 0.1) < 0.06 and abs(mean[150] - mean[2000]) < 0.08, mean
+    one = df.where("toxic = 0").unionByName(df.where("doc_id = 10"))      # one toxic label cannot be split, the share is the score
+    assert train(one, one.select("doc_id", "toxic"), per_class=10).prior == pytest.approx(1 / 1351)
+
+
+def test_logistic_rows_that_stand_for_many():
+    rng = np.random.default_rng(2)
+    x, y, times = rng.standard_normal((60, 3)), rng.integers(0, 2, 60), rng.integers(1, 5, 60)
+    assert np.allclose(fit_logistic(x, y, times=times), fit_logistic(np.repeat(x, times, axis=0), np.repeat(y, times)))
+
+
 def test_lm_scores(spark, docs, rows, none):
     from pyspark.sql import functions as F
     got = lm_scores(docs, F.col("doc_id") % 7 != 2).collect()
