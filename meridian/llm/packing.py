@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from meridian.llm.bpe import Encoded
 from meridian.llm.common import BlockTable
 from meridian.llm.tokens import Vocabulary, read_vocabulary, vocabulary
 from meridian.plans.iterate import cut
@@ -47,6 +48,16 @@ def _encoder(v: Vocabulary) -> tiktoken.Encoding:
                              special_tokens=v.added)
 
 
+def _ids(text: str, enc: tiktoken.Encoding, v: Vocabulary) -> np.ndarray:
+    """Ids of a text; one that the fast encoder rejects (a million white-space characters
+    in a row exhaust its pattern's stack) is encoded by the pair index."""
+    try:
+        found = enc.encode(text, allowed_special="all")
+    except ValueError:
+        found = Encoded([text], v).ids(0)
+    return np.array(found, "<u4")
+
+
 def token_table(df: DataFrame, path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """doc_id, source, n, ids: little-endian unsigned 32-bit ids, the end marker included."""
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
@@ -58,8 +69,7 @@ def token_table(df: DataFrame, path: str, end_id: int, id_col: str, text_col: st
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                ids = [np.array(enc.encode(t, allowed_special="all"), "<u4").tobytes() + tail
-                       for t in part.column(2).to_pylist()]
+                ids = [_ids(t, enc, v).tobytes() + tail for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array(ids, pa.binary())], names=["doc_id", "source", "n", "ids"])

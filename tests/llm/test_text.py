@@ -90,6 +90,17 @@ def test_packing(docs, rows):
         assert at == len(ids[i])
 
 
+def test_packing_long_runs_of_white_space(spark):
+    texts = ["a" + " " * 1_200_000 + "b <|endoftext|> c", "\n" * 1_200_000, "a b", "\t " * 600_000 + "x"]
+    ids = [np.array(LIBRARY.encode(t, add_special_tokens=False).ids + [1], "<u4") for t in texts]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = pack(df, PATH).collect()
+    for r in got:
+        own = ids[r.doc_id]
+        assert r.doc_tokens == len(own) and zlib.crc32(own[r.start:r.start + r.length].tobytes()) == r.ids_crc32
+    assert sum(r.length for r in got) == sum(map(len, ids))
+
+
 def test_packing_targets_and_empty(spark, none):
     df = spark.createDataFrame([(i, "word " * 200, "a" if i % 2 else "b") for i in range(40)], "doc_id long, text string, source string")
     got = pack(df, PATH, length=128, targets={"a": 3.0, "b": 1.0}).collect()
