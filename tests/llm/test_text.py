@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from meridian.llm.bpe import Encoded, decode, decode_ids, encode, encode_digests
 from meridian.llm.license_scan import license_scan
 from meridian.llm.license_texts import MIT
-from meridian.llm.maxent_lm import ROWS, WIDTH, Tokens, class_log10, lm_scores
+from meridian.llm.maxent_lm import BUCKETS, CLASSES, COMPANY, ROWS, WIDTH, Tokens, class_log10, cluster, lm_scores
 from meridian.llm.packing import deficit_round_robin, pack, window_sizes
 from meridian.llm.sharding import shard_by_size
 from meridian.llm.tokens import read_vocabulary, vocabulary
@@ -229,3 +229,9 @@ def test_lm_classes_sum_to_one():
     weights = rng.standard_normal((ROWS, WIDTH)).astype(np.float32)
     p = sum(10 ** class_log10(weights, t.features(), np.full(7, k)) for k in range(WIDTH))
     assert np.allclose(p, 1, atol=1e-4)
+
+
+def test_lm_classes_keep_thirty_kinds_of_words_apart():
+    company = np.zeros((BUCKETS, COMPANY), np.int64)
+    company[np.arange(30) * 100, np.arange(30)] = 1000           # each of thirty endings keeps a company of its own
+    assert len(set(cluster(company, CLASSES)[::100][:30].tolist())) == 30
