@@ -9,6 +9,8 @@ from meridian.llm.ann import nearest
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.language_id import predict
+from meridian.llm.language_id import train as train_language
 from meridian.llm.license_scan import license_scan, license_sql
 from meridian.llm.maxent_lm import lm_scores
 from meridian.llm.near_dedup import near_dedup
@@ -89,6 +91,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = train_language(docs, crc_fold(F.col("doc_id"), 5) != 0)
+    return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
