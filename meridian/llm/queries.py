@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meridian.llm.ann import nearest
 from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
+from meridian.llm.conversation_repair import damage, repair
 from meridian.llm.exact_dedup import exact_dedup
 from meridian.llm.language_id import predict
 from meridian.llm.language_id import train as train_language
@@ -91,6 +92,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
