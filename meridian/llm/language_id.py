@@ -47,7 +47,7 @@ ORDER = 5
 #: Labelled rows of each language that the trees are fitted on.
 PER_LANGUAGE = 4000
 #: Most nodes of one language's tree, and most costs (nodes times languages) of all trees.
-NODES, COSTS = 1 << 17, 1 << 24
+NODES, COSTS = 1 << 16, 1 << 23
 #: Bytes that are scored or counted at a time.
 PIECE = 1 << 19
 SPACE = 0x20
@@ -209,6 +209,12 @@ def _count(batches):
                                                   pa.array(n.astype(np.int64))], names=["lang", "full", "n"])
 
 
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A tree's nodes as two blobs."""
+    return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "keys": [pdf["key"].to_numpy(np.int64).tobytes()],
+                         "counts": [pdf["n"].to_numpy(np.int64).tobytes()]})
+
+
 @dataclass
 class Model:
     trees: Broadcast | None
@@ -226,7 +232,9 @@ def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, id_
               .where(F.col("__r") <= per_language).select("doc_id", "lang").distinct())
     counted = rows.join(ids, ["doc_id", "lang"]).select("lang", "text").mapInArrow(_count, "lang string, full long, n long")
     counted = cut(counted.groupBy("lang", "full").agg(F.sum("n").alias("n")))
-    langs = [r.lang for r in ids.select("lang").distinct().orderBy("lang").collect()]   # one row a language
+    # One row a language.
+    langs = [r.lang for r in ids.select("lang").distinct().collect()]
+    langs.sort()
     if not langs:
         return Model(None, [])
     orders = F.array(*[F.struct(F.lit(k).alias("k"), F.col("full").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
@@ -234,9 +242,12 @@ def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, id_
     nodes = (counted.select("lang", "n", F.explode(orders).alias("g")).groupBy("lang", "g.k", "g.gram").agg(F.sum("n").alias("n")))
     often = W.partitionBy("lang").orderBy(F.desc("n"), "k", "gram")
     kept = (nodes.withColumn("__r", F.row_number().over(often)).where(F.col("__r") <= nodes_of(len(langs)))
-            .select("lang", (F.col("gram") + F.shiftleft(F.col("k").cast("long"), TAG)).alias("key"), "n").toPandas())
-    lang = pd.Index(langs).get_indexer(kept["lang"])
-    trees = Trees(langs, lang, kept["key"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy(float))
+            .select("lang", (F.col("gram") + F.shiftleft(F.col("k").cast("long"), TAG)).alias("key"), "n"))
+    packed = kept.groupBy("lang").applyInPandas(_pack, "lang string, keys binary, counts binary").collect()   # of bounded size
+    packed.sort(key=lambda r: r.lang)
+    trees = Trees(langs, np.repeat(np.arange(len(langs)), [len(r["keys"]) // 8 for r in packed]),
+                  np.frombuffer(b"".join(r["keys"] for r in packed), np.uint64),
+                  np.frombuffer(b"".join(r["counts"] for r in packed), np.int64).astype(float))
     return Model(docs.sparkSession.sparkContext.broadcast(trees), langs)
 
 

@@ -10,6 +10,7 @@ from meridian.llm.bpe import encode_digests
 from meridian.llm.common import table
 from meridian.llm.conversation_repair import damage, repair
 from meridian.llm.exact_dedup import exact_dedup
+from meridian.llm.hard_negatives import hard_negatives, quantised
 from meridian.llm.language_id import predict
 from meridian.llm.language_id import train as train_language
 from meridian.llm.license_scan import license_scan, license_sql
@@ -92,6 +93,35 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = quantised(table(spark, sf_dir, "embeddings").withColumn("label", label))
+    return hard_negatives(rows, F.col("ident") % 100 == 0, positives=5, negatives=10, lowest=30, highest=90)
+
+
+ORACLE["op11_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.q, c.q)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
