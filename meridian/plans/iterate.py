@@ -21,6 +21,8 @@ from meridian.session import ensure_checkpoint_dir
 _SEQ = itertools.count()
 #: Every state that this process has written, in order.
 WRITTEN: list[str] = []
+#: Catalog entries of the states that are tables, by path.
+TABLES: dict[str, str] = {}
 _RUN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
 
 
@@ -47,7 +49,9 @@ def cut_at(df: DataFrame) -> tuple[DataFrame, str]:
 
 
 def delete(spark, path: str) -> None:
-    """Remove a state that nothing reads any more."""
+    """Remove a state that nothing reads any more, and its catalog entry."""
+    if path in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {TABLES.pop(path)}")
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -77,7 +81,10 @@ def cut_by(df: DataFrame, column: str) -> DataFrame:
     name = f"meridian_by_{_RUN.replace('-', '_')}_{next(_SEQ)}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     (df.repartition(n, column).write.bucketBy(n, column).option("path", path).format("parquet").saveAsTable(name))
+    WRITTEN.append(path)
+    TABLES[path] = name
     return spark.table(name)
 
 
