@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.llm.common import BlockTable, mix64, shuffle_partitions, text_of
-from meridian.llm.words import BASE, spans, text_bytes, word_hashes
+from meridian.llm.words import BASE, SLICE_BYTES, spans, text_bytes, text_slices, word_hashes
 from meridian.plans.iterate import cut
 
 CLASSES = 32
@@ -140,8 +140,8 @@ def _company(batches):
     """Sums of neighbours' hashed buckets for every bucket, and the buckets' counts, in pieces."""
     total = np.zeros((BUCKETS + 1, COMPANY + 1), np.int64)
     for b in batches:
-        for lo in range(0, b.num_rows, 2048):
-            t = Tokens(b.column(0).slice(lo, 2048))
+        for _, part in text_slices(b.column(0), 4 * SLICE_BYTES):
+            t = Tokens(part)
             dim = (mix64((t.bucket + 1).astype(np.uint64)) % np.uint64(COMPANY)).astype(np.int64)
             for k in (1, 2):
                 past = t.before(t.bucket, k, -1)
@@ -183,8 +183,8 @@ def _train(shared, classes):
         weights = start.copy()
         squares = np.zeros_like(weights)
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                t = Tokens(b.column(0).slice(lo, 1024))
+            for _, part in text_slices(b.column(0), 2 * SLICE_BYTES):
+                t = Tokens(part)
                 gradient_steps(weights, squares, t.features(), classes.value[t.bucket])
         change = weights - start
         for lo in range(0, ROWS, 512):
@@ -264,7 +264,7 @@ def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: st
     sc = spark.sparkContext
     store = BlockTable(df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                                  text_of(F.col(f"`{text_col}`").cast("string")).alias("text"))
-                       .withColumn("learn", F.coalesce(learn, F.lit(True))), ROWS_PER_BLOCK)
+                       .withColumn("learn", F.coalesce(learn, F.lit(True))), ROWS_PER_BLOCK, F.octet_length("text"))
     t = store.df()
     training = t.where("learn")
 

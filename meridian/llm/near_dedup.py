@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import BlockTable, mix64, text_of, with_block_facts
+from meridian.llm.common import BlockTable, give_back, mix64, text_of, tidy, with_block_facts
 from meridian.llm.components import connected_components
-from meridian.llm.words import gram_hashes, row_words
+from meridian.llm.words import gram_hashes, row_words, text_slices
 from meridian.plans.iterate import cut, cut_at, delete
 
 ROWS_PER_BLOCK = 1024
@@ -79,9 +79,10 @@ def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sets(column: pa.Array, n: int):
-    words, first = row_words(column)
-    for i in range(len(first) - 1):
-        yield shingle_set(words[first[i]:first[i + 1]], n)
+    for _, part in text_slices(column):
+        words, first = row_words(part)
+        for i in range(len(first) - 1):
+            yield shingle_set(words[first[i]:first[i + 1]], n)
 
 
 def _features(n: int, r: int, b: int):
@@ -107,7 +108,7 @@ def _features(n: int, r: int, b: int):
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(size, pa.int64()), pa.array(h1, pa.int64()),
                  pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                 names=["block", "pos", "doc_id", "n", "h1", "h2", "bands"])
-    return body
+    return tidy(body)
 
 
 def _deal(n: int):
@@ -124,7 +125,7 @@ def _deal(n: int):
                     [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (
                         pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
                     names=["cell", "lo", "hi", "own", "cls", "shingles"])
-    return body
+    return tidy(body)
 
 
 def forest(sets: list[np.ndarray], side: np.ndarray, threshold: float, mul: np.ndarray, inc: np.ndarray
@@ -183,6 +184,7 @@ def _verify(threshold: float, k: int):
             for i, j in forest(sets, side, threshold, mul, inc):
                 a.append(cls[i])
                 b.append(cls[j])
+        give_back()
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
     return run
 
@@ -192,9 +194,9 @@ def near_dedup(df: DataFrame, words: int = 5, threshold: float = 0.8, id_col: st
     """One row per row of ``df``: ``row``, ``n_shingles``, ``component_id``, ``kept``."""
     r, b = bands(threshold)
     spark = df.sparkSession
-    store = BlockTable(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")), ROWS_PER_BLOCK)
-    t = store.df()
     text = text_of(F.col(f"row.`{text_col}`").cast("string")).alias("text")
+    store = BlockTable(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")), ROWS_PER_BLOCK, F.octet_length(text))
+    t = store.df()
     ident = F.col(f"row.`{id_col}`").cast("long").alias("doc_id")
 
     found, wide = cut_at(t.select("block", "pos", text, ident).mapInArrow(

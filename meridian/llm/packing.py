@@ -25,17 +25,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meridian.llm.bpe import Encoded
-from meridian.llm.common import BlockTable
+from meridian.llm.common import BLOCK_BYTES, BLOCKS_PER_PARTITION, BlockTable, cut_blocks, give_back, tidy
 from meridian.llm.tokens import Vocabulary, read_vocabulary, vocabulary
 from meridian.plans.iterate import cut
 
 WINDOWS_PER_PARTITION = 256
-ROWS_PER_BLOCK = 1024
+ROWS_PER_BLOCK = 4096
 #: Sequence numbers a partition may use (its windows, and those of its end).
 IDS_PER_PARTITION = 1 << 20
 
@@ -59,25 +60,30 @@ def _ids(text: str, enc: tiktoken.Encoding, v: Vocabulary) -> np.ndarray:
 
 
 def token_table(df: DataFrame, path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """doc_id, source, n, ids: little-endian unsigned 32-bit ids, the end marker included."""
+    """doc_id, source, n, ids (little-endian unsigned 32-bit ids, the end marker included), and
+    the place: pos, and block (of at most ``ROWS_PER_BLOCK`` rows and, beyond one row, ``BLOCK_BYTES``)."""
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def body(batches):
         v = vocabulary(shared.value)
         enc = _encoder(v)
         tail = np.array([end_id], "<u4").tobytes()
+        state, pos = [TaskContext.get().partitionId() * BLOCKS_PER_PARTITION, 0, 0], 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 ids = [_ids(t, enc, v).tobytes() + tail for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], names=["doc_id", "source", "n", "ids"])
+                     pa.array(ids, pa.binary()), pa.array(range(pos, pos + len(ids)), pa.int64()),
+                     pa.array(cut_blocks([len(x) for x in ids], state, BLOCK_BYTES, ROWS_PER_BLOCK), pa.int64())],
+                    names=["doc_id", "source", "n", "ids", "pos", "block"])
+                pos += len(ids)
 
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("")).alias("source"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
-                     ).mapInArrow(body, "doc_id long, source string, n long, ids binary")
+                     ).mapInArrow(tidy(body), "doc_id long, source string, n long, ids binary, pos long, block long")
 
 
 def window_sizes(total: int, length: int) -> np.ndarray:
@@ -164,6 +170,7 @@ def _digest(key, docs: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
     crc = [zlib.crc32(ids[p][4 * s:4 * (s + n)])
            for p, s, n in zip(pieces["pos"], pieces["start"], pieces["length"], strict=True)]
     source = [x[1:] if x else None for x in docs["source"]]
+    give_back()
     out = pieces.assign(ids_crc32=crc).merge(docs[["pos", "doc_id", "n"]].assign(source=source), on="pos")
     return out.rename(columns={"n": "doc_tokens"})[
         ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "source"]]
@@ -174,8 +181,7 @@ def pack(df: DataFrame, path: str, length: int = 2048, end_id: int = 1, targets:
     """One row per piece.  ``targets``: weight of each source (all others 0, given out
     last); by default each source's share of all ids, so all end together."""
     spark = df.sparkSession
-    store = BlockTable(token_table(df, path, end_id, id_col, text_col, source_col), ROWS_PER_BLOCK,
-                       compression="zstd")
+    store = BlockTable(token_table(df, path, end_id, id_col, text_col, source_col), compression="zstd")
     t = store.df()
     rows = t.select("block", "pos", "source", "n")
 

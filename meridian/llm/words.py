@@ -1,33 +1,30 @@
 """Words of texts and their 64-bit hashes, without a Python object per word.
 
-A text column's bytes are scanned as one numpy array; the hash of a word is a
-polynomial over its bytes modulo 2^64 (from running sums, so all words of a chunk
-are hashed at once), mixed at the end.
+A text column's bytes are scanned as one numpy array.  A word's hash takes in eight
+bytes at a time, each through a bijective mixer, so all words of a chunk are hashed at
+once and no words are known to collide; words of more than ``LONG`` bytes are hashed one
+by one (BLAKE2).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from meridian.llm.common import mix64
 
 BASE = np.uint64(0x9E3779B97F4A7C15)      # odd, so that it has an inverse modulo 2^64
 CHUNK = 1 << 20
+LONG = 256
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i for i < n."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, CHUNK + 4096)
-        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, b, np.uint64))))
-                      for b in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64)))]
-    return _POWERS[0], _POWERS[1]
+#: Which of eight bytes count, by their number.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,6 +37,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, first - first[0]
 
 
+#: Text bytes that are worked on at a time (whole texts; a longer one alone).
+SLICE_BYTES = 1 << 20
+
+
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
+    """Consecutive rows of a text column, whole texts of about ``limit`` bytes at a time: (first row, rows)."""
+    size = np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+    end = np.cumsum(size)
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(end, end[lo] - size[lo] + limit, side="right")))
+        yield lo, column.slice(lo, hi - lo)
+        lo = hi
+
+
+def without_spaces(data: np.ndarray) -> np.ndarray:
+    """All words, one right behind the other."""
+    return np.ascontiguousarray(data[~_SPACE[data]])
+
+
 def spans(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word, and the word number at which each row begins (one more at the end)."""
     word = ~_SPACE[data]
@@ -60,14 +77,21 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, lower: b
         lo = begins[i]
         j = max(i + 1, int(np.searchsorted(ends, lo + CHUNK, side="right")))
         part = data[lo:ends[j - 1]]
-        power, inverse = _powers(len(part) + 1)
-        part = (_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)
-        acc = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * power[:len(part)], out=acc[1:])
-        b, e = begins[i:j] - lo, ends[i:j] - lo
-        out[i:j] = (acc[e] - acc[b]) * inverse[b]
+        part = np.concatenate((_LOWER[part] if lower else part, np.zeros(8, np.uint8)))
+        eight = np.ndarray((len(part) - 7,), "<u8", part, strides=(1,))         # the eight bytes from each place on
+        at, left = begins[i:j] - lo, ends[i:j] - begins[i:j]
+        h = mix64(left.astype(np.uint64) + BASE)
+        now = np.flatnonzero(left <= LONG)
+        k = 0
+        while len(now):
+            h[now] = mix64((h[now] ^ (eight[at[now] + k] & _MASK[np.minimum(left[now] - k, 8)])) + BASE)
+            k += 8
+            now = now[left[now] > k]
+        for w in np.flatnonzero(left > LONG).tolist():
+            h[w] = int.from_bytes(hashlib.blake2b(part[at[w]:at[w] + left[w]].tobytes(), digest_size=8).digest(), "little")
+        out[i:j] = h
         i = j
-    return mix64(out)
+    return out
 
 
 def row_words(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
