@@ -170,3 +170,103 @@ def test_substring_dedup_as_is_and_empty(docs, none):
     got = substring_dedup(docs, 20, as_is=True).select("rest.doc_id", "n_removed", "kept").collect()
     assert any(r.kept == " \n\t " for r in got)
     assert substring_dedup(none, 20).count() == 0
+
+
+def test_windows_that_differ_in_one_word(spark):
+    """Words that agree in the upper half of many 64-bit hashes are still different words."""
+    text = lambda w: " ".join(w if i == 10 else f"k{i}" for i in range(25))
+    df = spark.createDataFrame([(1, text("w113199")), (2, text("w248382")), (3, text("w113199"))], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup(df.repartition(3), 20).select("rest.doc_id", "n_removed").collect()}
+    assert got == {1: 0, 2: 0, 3: 25}
+
+
+def mirror_words():
+    """Two words of 2,048 letters that polynomial hashes modulo 2^64 cannot tell apart."""
+    a = "ab"
+    while len(a) < 2048:
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark):
+    from pyspark.sql import functions as F
+
+    from meridian.llm.maxent_lm import lm_scores
+    a, b = mirror_words()
+    df = spark.createDataFrame([(1, a), (2, b), (3, a[:64]), (4, b[:64]), (5, a + " x y"), (6, b + " x y")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup(df, 3, 0.85).select("row.doc_id", "component_id").collect()}
+    assert got == {i: i for i in range(1, 7)}
+    one = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    known = {r.doc_id: r.n_known for r in lm_scores(one, F.col("doc_id") == 1).collect()}
+    assert known == {1: 2, 2: 1}                                # the word and the end; the end alone
+
+
+def test_word_hashes_take_in_every_byte():
+    import pyarrow as pa
+
+    from meridian.llm.words import row_words
+    words = ["a" * n for n in (1, 7, 8, 9, 16, 17, 255, 256, 257, 600)] + ["a" * n + "b" for n in (0, 6, 7, 8, 255, 256, 599)] + ["Ab", "aB"]
+    one, _ = row_words(pa.array([" ".join(words)]), lower=False)
+    each = np.concatenate([row_words(pa.array([f" \t{w}\n"]), lower=False)[0] for w in words])
+    assert (one == each).all() and len(set(one.tolist())) == len(words)
+    low, _ = row_words(pa.array(["Ab aB ab"]))
+    assert len(set(low.tolist())) == 1
+
+
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    import meridian.llm.common as C
+    state = [0, 0, 0]
+    assert C.cut_blocks([5, 5, 50, 1, 1, 1], state, 10, 2) == [0, 0, 1, 2, 2, 3] and state == [3, 1, 1]
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, "x" * 50_000) for i in range(300)], "i long, t string").repartition(2)
+    got = C.BlockTable(df, 1000, F.length("t")).df().groupBy("block").agg(F.sum(F.length("t")).alias("n"), F.max("pos")).collect()
+    assert len(got) == 4 and max(r.n for r in got) <= C.BLOCK_BYTES
+
+
+def test_heavy_prefixes_are_lengthened(spark, monkeypatch):
+    """One phrase everywhere, with many continuations and many equal passages; groups of a few records."""
+    import random
+
+    import meridian.llm.substring_dedup as S
+    rng = random.Random(2)
+    phrase = " ".join(f"p{i}" for i in range(9))
+    rows = []
+    for i in range(160):
+        left, right = (" ".join(f"{s}{rng.randrange(3)}" for _ in range(14)) for s in "lr")
+        rows.append((i, f"{left} {phrase} {right}" if i % 2 else f"{phrase} {right} same tail of many words " * 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    want = sorted(_substring(rows, 20))
+    depth = []
+    plain = S._lengthen
+    monkeypatch.setattr(S, "_lengthen", lambda length, level: (depth.append(level), plain(length, level))[1])
+    for group_bytes in (16 << 20, 700):
+        monkeypatch.setattr(S, "GROUP_BYTES", group_bytes)
+        got = S.substring_dedup(df, 20).select("rest.doc_id", "n_words", "n_removed", "kept").collect()
+        assert sorted(tuple(r) for r in got) == want
+    assert max(depth) >= 2 and sum(w[2] for w in want) > 500
+
+
+def test_prefix_classes_cover_every_place():
+    from meridian.llm.substring_dedup import prefix_classes
+    for length in (9, 20, 33):
+        for level in prefix_classes(length):
+            assert [j for a, b in level for j in range(a, b + 1)] == list(range(length - 7))
+
+
+def test_suffix_array_and_deep_nodes():
+    from meridian.llm.substring_dedup import later_windows, suffix_array
+    rng = np.random.default_rng(7)
+    numbers = rng.integers(1, 3, 400).astype(np.uint32)
+    start, stop = np.arange(0, 380), np.full(380, 400)
+    order, lcp = suffix_array(numbers, start, stop, 40)
+    texts = [tuple(numbers[s:min(s + 40, 400)].tolist()) for s in start]
+    assert [texts[i] for i in order] == sorted(texts)
+    for k in range(1, 380):
+        a, b = texts[order[k - 1]], texts[order[k]]
+        assert lcp[k] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    seen, want = set(), []
+    for s in start:
+        w = texts[s][:6]
+        want.append(w in seen)
+        seen.add(w)
+    assert later_windows(numbers, start, stop, start, 6).tolist() == want
