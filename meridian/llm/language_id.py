@@ -38,8 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meridian.llm.common import mix64, text_of
-from meridian.llm.words import text_bytes
+from meridian.llm.common import mix64, text_of, tidy
+from meridian.llm.words import text_bytes, text_slices
 from meridian.plans.iterate import cut
 
 #: Bytes of the longest context.
@@ -71,7 +71,8 @@ def symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     before[:1], before[1:] = SPACE, s[:-1]
     before[first[:-1][first[:-1] < len(s)]] = SPACE
     keep = (s != SPACE) | (before != SPACE)
-    return s[keep], np.concatenate(([0], np.cumsum(keep)))[first]
+    size = [np.count_nonzero(keep[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+    return s[keep], np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
 
 
 def grams(s: np.ndarray, first: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -186,14 +187,15 @@ class Trees:
 
     def code_lengths(self, column: pa.Array) -> np.ndarray:
         """Bits of each text in each language."""
-        s, first = symbols(column)
-        out = np.zeros((len(first) - 1, len(self.langs)))
-        for lo in range(0, len(s), PIECE):
-            hi = min(lo + PIECE, len(s))
-            bits = self.bits(grams(s, first, lo, hi)).astype(float)
-            a, b = np.clip(first[:-1], lo, hi) - lo, np.clip(first[1:], lo, hi) - lo
-            rows = np.flatnonzero(b > a)
-            out[rows] += np.add.reduceat(bits, a[rows], axis=0)
+        out = np.zeros((len(column), len(self.langs)))
+        for at, part in text_slices(column):
+            s, first = symbols(part)
+            for lo in range(0, len(s), PIECE):
+                hi = min(lo + PIECE, len(s))
+                bits = self.bits(grams(s, first, lo, hi)).astype(float)
+                a, b = np.clip(first[:-1], lo, hi) - lo, np.clip(first[1:], lo, hi) - lo
+                rows = np.flatnonzero(b > a)
+                out[at + rows] += np.add.reduceat(bits, a[rows], axis=0)
         return out
 
 
@@ -202,11 +204,12 @@ def _count(batches):
     for b in batches:
         names, of = np.unique(np.array(b.column(0).to_pylist(), dtype=object).astype(str), return_inverse=True)
         for i, name in enumerate(names.tolist()):
-            s, first = symbols(b.column(1).filter(pa.array(of == i)))
-            for lo in range(0, len(s), 8 * PIECE):
-                u, n = np.unique(grams(s, first, lo, min(lo + 8 * PIECE, len(s))), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(u.view(np.int64)),
-                                                  pa.array(n.astype(np.int64))], names=["lang", "full", "n"])
+            for _, part in text_slices(b.column(1).filter(pa.array(of == i)), 4 * PIECE):
+                s, first = symbols(part)
+                for lo in range(0, len(s), 4 * PIECE):
+                    u, n = np.unique(grams(s, first, lo, min(lo + 4 * PIECE, len(s))), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(u.view(np.int64)),
+                                                      pa.array(n.astype(np.int64))], names=["lang", "full", "n"])
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -226,25 +229,24 @@ def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE, id_
     """``usable``: a condition on the column ``doc_id`` that rows to learn from meet."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     draw = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = cut(rows.select("doc_id", "lang").withColumn("__r", F.row_number().over(draw))
               .where(F.col("__r") <= per_language).select("doc_id", "lang").distinct())
-    counted = rows.join(ids, ["doc_id", "lang"]).select("lang", "text").mapInArrow(_count, "lang string, full long, n long")
+    counted = rows.join(ids, ["doc_id", "lang"]).select("lang", "text").mapInArrow(tidy(_count), "lang string, full long, n long")
     counted = cut(counted.groupBy("lang", "full").agg(F.sum("n").alias("n")))
-    # One row a language.
-    langs = [r.lang for r in ids.select("lang").distinct().collect()]
-    langs.sort()
-    if not langs:
-        return Model(None, [])
+    size = nodes_of(ids.select("lang").distinct().count())
     orders = F.array(*[F.struct(F.lit(k).alias("k"), F.col("full").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
                        for k in range(ORDER + 1)])
     nodes = (counted.select("lang", "n", F.explode(orders).alias("g")).groupBy("lang", "g.k", "g.gram").agg(F.sum("n").alias("n")))
     often = W.partitionBy("lang").orderBy(F.desc("n"), "k", "gram")
-    kept = (nodes.withColumn("__r", F.row_number().over(often)).where(F.col("__r") <= nodes_of(len(langs)))
+    kept = (nodes.withColumn("__r", F.row_number().over(often)).where(F.col("__r") <= size)
             .select("lang", (F.col("gram") + F.shiftleft(F.col("k").cast("long"), TAG)).alias("key"), "n"))
     packed = kept.groupBy("lang").applyInPandas(_pack, "lang string, keys binary, counts binary").collect()   # of bounded size
+    if not packed:
+        return Model(None, [])
     packed.sort(key=lambda r: r.lang)
+    langs = [r.lang for r in packed]
     trees = Trees(langs, np.repeat(np.arange(len(langs)), [len(r["keys"]) // 8 for r in packed]),
                   np.frombuffer(b"".join(r["keys"] for r in packed), np.uint64),
                   np.frombuffer(b"".join(r["counts"] for r in packed), np.int64).astype(float))
@@ -275,4 +277,4 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(names[np.where(some, best, len(names) - 1)], pa.string()),
                  pa.array(np.where(some, share, 0.0))], names=["doc_id", "lang_pred", "score"])
-    return rows.mapInArrow(body, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(tidy(body), "doc_id long, lang_pred string, score double")

@@ -107,9 +107,9 @@ def test_pieces_and_pruning(spark, monkeypatch):
 
 def test_nothing_to_learn(spark, none):
     assert L.predict(none, L.train(none, F.lit(True))).count() == 0
-    docs = frame(spark, [(1, "abc", None), (2, None, "aa")])
+    docs = frame(spark, [(1, "abc", None), (2, None, "aa"), (None, "abc", "bb"), (3, "", "cc")])
     got = L.predict(docs, L.train(docs, F.lit(True))).collect()
-    assert sorted((r.doc_id, r.lang_pred, r.score) for r in got) == [(1, "und", 0.0), (2, "und", 0.0)]
+    assert sorted(((r.doc_id, r.lang_pred, r.score) for r in got), key=lambda r: (r[0] is None, r[0])) == [(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0), (None, "und", 0.0)]
 
 
 def test_many_languages_stay_bounded():
