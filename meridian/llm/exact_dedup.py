@@ -12,7 +12,8 @@
    are grouped by their bytes (with map-side combining, so copies collapse before
    the shuffle), which verifies them and finds the row that stays.
 
-Rows that are not suspects never move.  Nulls count as empty texts; a null id is
+Rows never move: a block asks once for each digest of its suspects, and the answers
+come back to it.  Nulls count as empty texts, a text of any length is read whole; a null id is
 larger than any other; of rows that tie in length and id the first in (block,
 position) stays, so exactly one row of each group is kept, also among repeated
 rows.  An empty table gives no rows.  All other columns ride in ``row``.
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import BlockTable, shuffle_partitions, strip_spaces, text_of
+from meridian.llm.common import BlockTable, shuffle_partitions, strip_spaces, text_of, with_block_facts
 from meridian.plans.iterate import cut
 
 FP_BITS = 48
@@ -176,8 +177,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long")).alias("n"), "best")
     alone = marked(0, "row", ident.alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                    F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
-    grouped = marked(1, "row", "sha", "block", "pos").join(classes, "sha").select(
-        "row", (-F.col("best.minus_id")).alias("keep_id"), F.col("n").alias("group_size"),
-        ((F.col("block") == -F.col("best.b")) & (F.col("pos") == -F.col("best.p"))).alias("kept"),
+    # A block asks once for each of its digests, so a group of any size costs it one row.
+    found = cut(marked(1, "block", "sha").distinct().join(classes, "sha").select("block", "sha", "n", "best"))
+    grouped = with_block_facts(t.select("block", "pos", "row", "sha"), found, "f", key="sha").select(
+        "row", (-F.col("f.best.minus_id")).alias("keep_id"), F.col("f.n").alias("group_size"),
+        ((F.col("block") == -F.col("f.best.b")) & (F.col("pos") == -F.col("f.best.p"))).alias("kept"),
         F.col("sha").alias("text_sha256"))
     return alone.unionByName(grouped)

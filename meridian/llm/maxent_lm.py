@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import BlockTable, mix64, shuffle_partitions, text_of
+from meridian.llm.common import BlockTable, mix64, shuffle_partitions, text_of, tidy
 from meridian.llm.words import BASE, SLICE_BYTES, spans, text_bytes, text_slices, word_hashes
 from meridian.plans.iterate import cut
 
@@ -268,7 +268,7 @@ def lm_scores(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: st
     t = store.df()
     training = t.where("learn")
 
-    parts = (training.select("text").mapInArrow(_company, "at int, sums binary")
+    parts = (training.select("text").mapInArrow(tidy(_company), "at int, sums binary")
              .groupBy("at").applyInPandas(_add_up(np.int64), "at int, sums binary, n int"))
     company = np.zeros((BUCKETS + 1, COMPANY + 1), np.int64)          # of a fixed size
     for r in parts.collect():

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import mix64, text_of
+from meridian.llm.common import mix64, text_of, tidy
 from meridian.plans.iterate import cut
 
 ORDER = 6
@@ -181,7 +181,7 @@ def _chunk(key, pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _tables(words: DataFrame) -> list:
     """The hashed tables as compressed chunks: their number and size are fixed."""
-    top = words.mapInArrow(_count_grams, ", ".join(f"{x} long" for x in ["toxic", "plain", *_CHAIN]))
+    top = words.mapInArrow(tidy(_count_grams), ", ".join(f"{x} long" for x in ["toxic", "plain", *_CHAIN]))
     top = cut(top.groupBy(f"g{ORDER}").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"),
                                            *[F.first(x).alias(x) for x in _CHAIN if x != f"g{ORDER}"]))
 
@@ -255,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_
     prior = float(sum(n * stands_for[y] for (_, y), n in seen.items() if y) / max(1, total))
     if len(seen) < 4:
         return Model(None, np.zeros(4), prior)
-    words = (rows.where(~F.col("fit")).select("text", "y").mapInArrow(_count_words, "word string, toxic long, plain long")
+    words = (rows.where(~F.col("fit")).select("text", "y").mapInArrow(tidy(_count_words), "word string, toxic long, plain long")
              .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
     tables = docs.sparkSession.sparkContext.broadcast(_tables(words))
     found = _evidence_of(rows.where("fit").select("text", F.struct("y").alias("row")), tables).select(
@@ -278,7 +278,7 @@ def _evidence_of(df: DataFrame, tables: Broadcast, text: str | None = None) -> D
                 own = pc.struct_field(row, text).cast(pa.string()) if text else part.column("text")
                 x = evidence([v or "" for v in own.to_pylist()], t, known)
                 yield pa.RecordBatch.from_arrays([row, *(pa.array(x[:, i]) for i in range(3))], names=["row", *EVIDENCE])
-    return df.mapInArrow(body, schema)
+    return df.mapInArrow(tidy(body), schema)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
