@@ -8,6 +8,10 @@
    documents from which nothing goes keep their text as it is.
 5. packing: what is left becomes sequences of at most 2048 ids.
 
+Nulls, empty and very long texts, ties, repeated rows and empty tables pass as each
+operator states; columns keep their names and order, whatever they are called (extra
+ones ride along), up to packing, whose rows are pieces.
+
 SQL cannot express the learned, iterative and tokenizing stages, so ``ORACLE_SQL`` is
 None; tests/llm holds the stages against brute force.
 """
@@ -29,8 +33,6 @@ from meridian.llm.toxicity import crc_fold, score, train
 from meridian.plans.iterate import Steps
 
 WINDOW_WORDS = 20
-#: Texts that Spark sends to Python at a time (documents are long for its default of 10,000 rows).
-TEXTS_PER_BATCH = 1000
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +69,6 @@ def _stage(fn):
     stage wrote for itself goes first."""
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
         with _SCRATCH.step(docs):
             return fn(spark, docs, sf_dir)
     return run_stage
