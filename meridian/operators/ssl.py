@@ -5,19 +5,19 @@ Loss (labels ȳ_i on the labelled set L, unknowns y_j on U):
     ∂_j f = 2 [ y_j (S_j + S̄_j) - Σ_i ȳ_i w_ij - Σ_i w̄_ji y_i ]
 with S_j = Σ_{i∈L} w_ij and S̄_j = Σ_{i∈U} w̄_ij.
 
-The similarity matrices are dense n x n in the reference.  Here they are never
-stored: every product with W or W̄ is a blocked kernel pass (``kernel_sums``):
-both point sets are hashed into blocks, each (block, block) pair is one
-``cogroup`` task computing its kernel tile with numpy and emitting one
-partial sum per query row; the partials are summed per row.  Memory per task
-is one tile; the work is the unavoidable n^2 d of a dense kernel.  Iterates
-are (id, y) tables; block-coordinate methods touch only the rows of one
-block per round, which is what makes them cheaper than full gradient steps.
+A single sum over W or W̄ is a blocked kernel pass (``kernel_sums``): both point sets
+are hashed into blocks, each (block, block) pair is one ``cogroup`` task computing its
+kernel tile with numpy and emitting one partial sum per query row; the partials are
+summed per row.  What needs many products with W̄ stores its tiles once
+(``kernel.KernelTiles``): the solvers are programs over them, in which every method
+and start is one column of a product, so all of them run in one go, each round
+costs one product, and a block step multiplies only its block's tiles.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 
 from meridian.functions.draws import hash_int, hash_uniform
 from meridian.operators import relational as R
+from meridian.operators.kernel import KernelTiles, kernel, largest_eigenvalue
 from meridian.operators.vectors import knn_join
-from meridian.plans.iterate import Steps, cut
+from meridian.plans.iterate import cut
 
 TILE = 2048
+#: Draw of the coordinate blocks (Q20).
+BLOCK_SEED = 51
 
 
 def prepare_census(df: DataFrame, cat_cols: list[str], num_cols: list[str], target: str,
@@ -67,7 +70,6 @@ def kernel_sums(queries: DataFrame, base: DataFrame, weights: list[str], sigma:
                      F.pmod(hash_int("id", 42), F.lit(bb)).cast("int").alias("nb"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
     out_cols = [f"s_{w}" for w in weights]
-    inv = 1.0 / (sigma * sigma)
 
     def tile_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
@@ -78,14 +80,9 @@ def kernel_sums(queries: DataFrame, base: DataFrame, weights: list[str], sigma:
             B = np.stack(right["nf"].to_numpy())
             W = np.stack([np.ones(len(right)) if w == "one" else right[w].to_numpy(dtype=float)
                           for w in weights], axis=1)
-            step = max(1, (1 << 22) // max(1, B.size))
-            for s0 in range(0, A.shape[0], step):
-                d2 = ((A[s0:s0 + step, None, :] - B[None, :, :]) ** 2).sum(axis=2)
-                d = d2 if squared else np.sqrt(d2)
-                K = np.exp(-0.5 * d * inv)
-                S = K @ W
-                for k, c in enumerate(out_cols):
-                    res[c][s0:s0 + step] = S[:, k]
+            S = kernel(A, B, sigma, squared) @ W
+            for k, c in enumerate(out_cols):
+                res[c] = S[:, k]
         return pd.DataFrame({"qid": left["qid"].to_numpy(), **res})
 
     schema = "qid long, " + ", ".join(f"{c} double" for c in out_cols)
@@ -112,12 +109,17 @@ def lipschitz_coordinates(totals: DataFrame) -> DataFrame:
 
 
 def gradient(lp: DataFrame, totals: DataFrame, y: DataFrame, sigma: float = 1.0, squared: bool = False,
-             rows: DataFrame | None = None) -> DataFrame:
-    """K5: id, grad for every unlabelled row (or only ``rows``: id)."""
+             rows: DataFrame | None = None, tiles: KernelTiles | None = None) -> DataFrame:
+    """K5: id, grad for every unlabelled row (or only ``rows``: id).  With the stored
+    ``tiles`` of the unlabelled rows no kernel is computed again."""
     unl = lp.filter(~F.col("is_labeled")).select("id", "features")
-    base = unl.join(y, "id")
     qs = unl if rows is None else unl.join(rows.select("id"), "id", "left_semi")
-    c = kernel_sums(qs, base, ["y"], sigma, squared).select("id", F.col("s_y").alias("C"))
+    if tiles is None:
+        c = kernel_sums(qs, unl.join(y, "id"), ["y"], sigma, squared).select("id", F.col("s_y").alias("C"))
+    else:
+        value = {r.id: r.y for r in y.collect()}              # at most kernel.MOST_POINTS rows
+        sums = tiles.product(np.array([[value[i]] for i in tiles.ids.tolist()]))
+        c = lp.sparkSession.createDataFrame(list(zip(tiles.ids.tolist(), sums[:, 0].tolist(), strict=True)), "id long, C double")
     return (qs.select("id").join(totals, "id").join(y, "id").join(c, "id", "left")
             .select("id", (F.lit(2.0) * (F.col("y") * (F.col("S") + F.col("S_bar")) - F.col("B")
                                          - F.coalesce("C", F.lit(0.0)))).alias("grad")))
@@ -151,185 +153,143 @@ def lipschitz_bound(totals: DataFrame) -> float:
     return 2.0 * float(totals.agg(F.max(F.col("S") + 2 * (F.col("S_bar") - 1))).first()[0] or 0.0)
 
 
-def spectral_lipschitz(lp: DataFrame, totals: DataFrame, sigma: float = 1.0, squared: bool = False,
-                       tol: float = 1e-3, max_steps: int = 200) -> float:
-    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ by Lanczos steps with kernel passes, until the
-    largest Ritz value's residual is at most ``tol`` of it (or the space is complete);
-    an error beyond ``max_steps``."""
-    unl = lp.filter(~F.col("is_labeled")).select("id", "features")
-    steps = Steps(lp.sparkSession, 3)
-    q = unl.select("id", (hash_uniform("id", 61) + 0.5).alias("y"))
-    size = math.sqrt(q.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0)
-    if size == 0:
-        return 0.0
-    q, before = steps.cut(q.select("id", (F.col("y") / F.lit(size)).alias("y"))), None
-    alpha, beta = [], []
-    for _ in range(max_steps):
-        wq = kernel_sums(unl, unl.join(q, "id"), ["y"], sigma, squared).select("id", F.col("s_y").alias("_w"))
-        r = totals.join(q, "id").join(wq, "id").select(
-            "id", F.col("y").alias("_q"), ((F.col("S") + F.col("S_bar")) * F.col("y") - F.col("_w")).alias("y"))
-        if before is not None:
-            r = r.join(before.withColumnRenamed("y", "_p"), "id").select(
-                "id", "_q", (F.col("y") - F.lit(beta[-1]) * F.col("_p")).alias("y"))
-        r = steps.cut(r)
-        alpha.append(float(r.agg(F.sum(F.col("y") * F.col("_q"))).first()[0]))
-        r = r.select("id", (F.col("y") - F.lit(alpha[-1]) * F.col("_q")).alias("y"))
-        beta.append(math.sqrt(r.agg(F.sum(F.col("y") * F.col("y"))).first()[0] or 0.0))
-        t = np.diag(alpha) + np.diag(beta[:-1], 1) + np.diag(beta[:-1], -1)
-        vals, vecs = np.linalg.eigh(t)
-        if beta[-1] * abs(vecs[-1, -1]) <= tol * abs(vals[-1]):
-            return 2.0 * float(vals[-1])
-        q, before = steps.cut(r.select("id", (F.col("y") / F.lit(beta[-1])).alias("y"))), q
-    raise RuntimeError(f"no convergence to {tol} within {max_steps} steps")
-
-
-def _grad_norm(g: DataFrame) -> float:
-    return math.sqrt(g.agg(F.sum(F.col("grad") * F.col("grad"))).first()[0] or 0.0)
-
-
-def gd(lp, totals, y0, L: float, rounds: int = 10_000, tol: float = 1e-8, sigma: float = 1.0,
-       squared: bool = False, history: list | None = None):
-    """K8 (Q18): simultaneous steps y <- y - ∇f / L until ‖∇f‖ <= tol."""
-    y = cut(y0)
-    for r in range(rounds):
-        g = cut(gradient(lp, totals, y, sigma, squared))
-        gn = _grad_norm(g)
-        if history is not None:
-            history.append((r, gn, label_accuracy(y, lp).first()[0]))
-        if gn <= tol:
-            break
-        y = cut(y.join(g, "id").select("id", (F.col("y") - F.col("grad") / F.lit(L)).alias("y")))
-    return y
-
-
-def gd_nesterov(lp, totals, y0, L: float, rounds: int = 10_000, tol: float = 1e-8, sigma: float = 1.0,
-                squared: bool = False, history: list | None = None):
-    """K9 (Q19): accelerated gradient with the textbook momentum
-    λ_{k+1} = (1 + sqrt(1 + 4 λ_k^2)) / 2, extrapolation (λ_k - 1)/λ_{k+1}."""
-    y = cut(y0)
-    x_prev = y
-    lam = 1.0
-    for r in range(rounds):
-        g = cut(gradient(lp, totals, y, sigma, squared))
-        gn = _grad_norm(g)
-        if history is not None:
-            history.append((r, gn, label_accuracy(y, lp).first()[0]))
-        if gn <= tol:
-            break
-        x = cut(y.join(g, "id").select("id", (F.col("y") - F.col("grad") / F.lit(L)).alias("y")))
-        lam_next = (1 + math.sqrt(1 + 4 * lam * lam)) / 2
-        beta = (lam - 1) / lam_next
-        y = cut(x.join(x_prev.withColumnRenamed("y", "_p"), "id").select(
-            "id", (F.col("y") + F.lit(beta) * (F.col("y") - F.col("_p"))).alias("y")))
-        x_prev, lam = x, lam_next
-    return y
-
-
-def coordinate_blocks(lp: DataFrame, n_blocks: int, seed: int = 51) -> DataFrame:
-    """Q20: id, block (hash buckets of the unlabelled coordinates)."""
-    return lp.filter(~F.col("is_labeled")).select(
-        "id", F.pmod(hash_int("id", seed), F.lit(n_blocks)).cast("int").alias("block"))
-
-
-def block_steps(lp: DataFrame, totals: DataFrame, blocks: DataFrame, sigma: float = 1.0,
-                squared: bool = False) -> DataFrame:
-    """block, L_block = max_{j in block} (L_j + 2 Σ_{i in block, i != j} w̄_ij)
-    (a row-sum bound on the block's curvature; exactly L_j for one coordinate).
-    All blocks are one grouped job."""
-    unl = lp.filter(~F.col("is_labeled")).select("id", "features").join(blocks, "id")
-    inv = 1.0 / (sigma * sigma)
-
-    def inner(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["features"].to_numpy())
-        own = np.empty(len(x))
-        step = max(1, (1 << 22) // max(1, x.size))
-        for lo in range(0, len(x), step):
-            d2 = ((x[lo:lo + step, None, :] - x[None, :, :]) ** 2).sum(axis=2)
-            own[lo:lo + step] = np.exp(-0.5 * (d2 if squared else np.sqrt(d2)) * inv).sum(axis=1) - 1.0
-        return pd.DataFrame({"id": pdf["id"], "block": pdf["block"], "_in": own})
-
-    found = unl.groupBy("block").applyInPandas(inner, "id long, block int, _in double")
-    return (found.join(lipschitz_coordinates(totals), "id").groupBy("block")
-            .agg(F.max(F.col("L_j") + F.lit(2.0) * F.col("_in")).alias("L_block")))
-
-
-def bcgd(lp, totals, y0, blocks: DataFrame, steps: DataFrame, rule: str = "cyclic", rounds: int = 10_000,
-         seed: int = 3, sigma: float = 1.0, squared: bool = False, history: list | None = None, tol: float = 1e-8):
-    """Block-coordinate descent.  ``rule``: 'cyclic', 'uniform',
-    'lipschitz' (block drawn with probability ∝ its L), 'gauss_southwell'
-    (block with the largest gradient norm; needs a full gradient per round)."""
-    y = cut(y0)
-    st = {r.block: float(r.L_block) for r in steps.collect()}
-    order = sorted(st)
-    total_L = sum(st.values())
-    seen: dict[int, float] = {}
-    steps_kept = Steps(lp.sparkSession)
-    for r in range(rounds):
-        if rule == "cyclic":
-            b = order[r % len(order)]
-        elif rule == "uniform":
-            b = order[int(_u(r, seed) * len(order)) % len(order)]
-        elif rule == "lipschitz":
-            u, acc, b = _u(r, seed) * total_L, 0.0, order[-1]
-            for cand in order:
-                acc += st[cand]
-                if u < acc:
-                    b = cand
-                    break
-        else:
-            gfull = gradient(lp, totals, y, sigma, squared).join(blocks, "id")
-            b = (gfull.groupBy("block").agg(F.sum(F.col("grad") * F.col("grad")).alias("gn"))
-                 .orderBy(F.desc("gn"), F.asc("block")).first().block)
-        rows = blocks.filter(F.col("block") == b).select("id")
-        g = cut(gradient(lp, totals, y, sigma, squared, rows=rows))
-        seen[b] = _grad_norm(g)
-        if history is not None:
-            history.append((r, seen[b], label_accuracy(y, lp).first()[0]))
-        # the norm over all blocks, each as last seen
-        if len(seen) == len(order) and math.sqrt(sum(v * v for v in seen.values())) <= tol:
-            break
-        step = 1.0 / st[b] if st[b] > 0 else 0.0
-        y = steps_kept.cut(y.join(g, "id", "left").select(
-            "id", (F.col("y") - F.coalesce("grad", F.lit(0.0)) * F.lit(step)).alias("y")))
-    return y
+METHODS = ("gd", "gd_nesterov", "bcgd_cyclic", "bcgd_random_uniform", "bcgd_random_lipschitz", "bcgd_gauss_southwell")
+STARTS = ("random", "knn")
+SOLVED = "method string, start string, iteration int, grad_norm double, accuracy double, id long, y double"
 
 
-METHODS = ("gd", "gd_nesterov", "bcgd_cyclic", "bcgd_random_uniform", "bcgd_random_lipschitz", "bcgd_gauss_southwell")
-RULES = {"bcgd_cyclic": "cyclic", "bcgd_random_uniform": "uniform", "bcgd_random_lipschitz": "lipschitz",
-         "bcgd_gauss_southwell": "gauss_southwell"}
-
-
-def training_history(lp: DataFrame, method: str, start: str, rounds: int, n_blocks: int, k: int = 4, sigma: float = 1.0,
-                     tol: float = 1e-8, setup: dict | None = None) -> DataFrame:
-    """Method, start, iteration, grad_norm, accuracy of the first ``rounds`` rounds
-    (fewer if ‖∇f‖ <= ``tol``).  ``setup`` keeps what all methods share."""
-    setup = {} if setup is None else setup
-    if "totals" not in setup:
-        setup["totals"] = cut(similarity_totals(lp, sigma))
-        setup["blocks"] = cut(coordinate_blocks(lp, n_blocks))
-        setup["steps"] = cut(block_steps(lp, setup["totals"], setup["blocks"], sigma))
-        setup["L"] = lipschitz_bound(setup["totals"])
-    if start not in setup:
-        setup[start] = cut(random_start(lp) if start == "random" else knn_start(lp, k))
-    totals, y0, hist = setup["totals"], setup[start], []
-    if method in RULES:
-        bcgd(lp, totals, y0, setup["blocks"], setup["steps"], RULES[method], rounds, sigma=sigma, history=hist, tol=tol)
-    else:
-        {"gd": gd, "gd_nesterov": gd_nesterov}[method](lp, totals, y0, setup["L"], rounds, tol, sigma, history=hist)
-    return lp.sparkSession.createDataFrame(
-        [(method, start, int(r), g, a) for r, g, a in hist],
-        "method string, start string, iteration int, grad_norm double, accuracy double")
-
-
-def method_comparison_ssl(lp: DataFrame, rounds: int, n_blocks: int, k: int = 4, sigma: float = 1.0) -> DataFrame:
-    """The histories of all six methods from both starts in one table."""
-    setup: dict = {}
-    out = None
-    for start in ("random", "knn"):
-        for method in METHODS:
-            h = training_history(lp, method, start, rounds, n_blocks, k, sigma, setup=setup)
-            out = h if out is None else out.unionByName(h)
-    return out
+@dataclass
+class Problem:
+    """The unlabelled rows in the order of their tiles: one number a row and column."""
+
+    tiles: KernelTiles
+    S: np.ndarray
+    B: np.ndarray
+    truth: np.ndarray
+    start: dict[str, np.ndarray]
+
+
+def problem(lp: DataFrame, n_blocks: int = 4, k: int = 4, sigma: float = 1.0, squared: bool = False,
+            starts: tuple[str, ...] = STARTS) -> Problem:
+    """K1-K7 put together: stored tiles of W̄ by coordinate block (Q20), label sums, starts."""
+    unl = lp.filter(~F.col("is_labeled")).select("id", "features")
+    block = F.pmod(hash_int("id", BLOCK_SEED), F.lit(n_blocks)).cast("int")
+    tiles = KernelTiles(unl, sigma, squared, block, n_blocks)
+    lab = lp.filter("is_labeled").select("id", "features", F.col("label").alias("ybar"))
+    rows = lp.filter(~F.col("is_labeled")).select("id", "y_true").join(
+        kernel_sums(unl, lab, ["one", "ybar"], sigma, squared), "id", "left")
+    for s in starts:
+        rows = rows.join((random_start(lp) if s == "random" else knn_start(lp, k)).select("id", F.col("y").alias(f"y_{s}")), "id", "left")
+    found = {r.id: r for r in rows.collect()}                 # as many rows as the tiles allow
+    column = lambda c: np.array([found[i][c] or 0.0 for i in tiles.ids.tolist()], float)
+    return Problem(tiles, column("s_one"), column("s_ybar"), column("y_true"), {s: column(f"y_{s}") for s in starts})
+
+
+def descent(S, B, truth, group, group_first, columns: list[tuple[str, str]], start: dict, rounds: int, tol: float, seed: int = 3):
+    """K8-K13 as one program: every (method, start) is a column, with a step a round.
+
+    gd (Q18): y <- y - ∇f / L.  gd_nesterov (Q19): the same from the extrapolated point, with the
+    momentum λ_{k+1} = (1 + sqrt(1 + 4 λ_k^2)) / 2.  bcgd_*: only one block's coordinates move, by the
+    block's own step; the block is the next in turn, drawn uniformly or with probability ∝ its L, or the one with
+    the largest gradient norm.  A column ends when ‖∇f‖ <= tol, or after ``rounds``."""
+    n, m = len(S), len(columns)
+    blocks = len(group_first) - 1
+    sums = yield (group[:, None] == np.arange(blocks)).astype(float)
+    total = S + sums.sum(axis=1)
+    L = 2 * (yield from largest_eigenvalue(total))
+    bound = 2 * (total - 1) + 2 * (sums[np.arange(n), group] - 1)
+    own = [slice(group_first[b], group_first[b + 1]) for b in range(blocks)]
+    steps = [float(bound[o].max()) if o.stop > o.start else 0.0 for o in own]
+
+    def pick(rule: str, r: int, norms: np.ndarray) -> int:
+        if rule == "bcgd_cyclic":
+            return r % blocks
+        if rule == "bcgd_random_uniform":
+            return int(_u(r, seed) * blocks) % blocks
+        if rule == "bcgd_random_lipschitz":
+            return min(int(np.searchsorted(np.cumsum(steps), _u(r, seed) * sum(steps), side="right")), blocks - 1)
+        return int(norms.argmax())
+
+    y = np.stack([start[s] for _, s in columns], axis=1)
+    c = yield y
+    before, momentum, live, rows = y.copy(), np.ones(m), list(range(m)), []
+    for r in range(rounds + 1):
+        g = 2 * (y * total[:, None] - B[:, None] - c)
+        norm = np.sqrt((g * g).sum(axis=0))
+        right = (np.where(y >= 0, 1, -1) == truth[:, None]).mean(axis=0) if n else np.ones(m)
+        rows += [(*columns[k], r, float(norm[k]), float(right[k]), None, None) for k in live]
+        live = [k for k in live if norm[k] > tol]
+        if not live or r == rounds:
+            break
+        step = np.zeros_like(y)
+        for k in live:
+            method = columns[k][0]
+            if method == "gd":
+                step[:, k] = -g[:, k] / L
+            elif method == "gd_nesterov":
+                x = y[:, k] - g[:, k] / L
+                then = (1 + math.sqrt(1 + 4 * momentum[k] ** 2)) / 2
+                step[:, k] = x + (momentum[k] - 1) / then * (x - before[:, k]) - y[:, k]
+                before[:, k], momentum[k] = x, then
+            else:
+                b = pick(method, r, np.array([(g[o, k] ** 2).sum() for o in own]))
+                if steps[b] > 0:
+                    step[own[b], k] = -g[own[b], k] / steps[b]
+        y = y + step
+        c = c + (yield step)
+    return rows, y
+
+
+def solve(p: Problem, columns: list[tuple[str, str]], rounds: int = 10_000, tol: float = 1e-8, tasks: int | None = None) -> DataFrame:
+    """Histories and solutions of all ``columns`` (method, start) in one table: rows with an
+    iteration have its grad_norm and accuracy, rows with an id the column's last y."""
+    group, first, ids = p.tiles.group, p.tiles.group_first, p.tiles.ids
+    S, B, truth, start = p.S, p.B, p.truth, p.start
+
+    def program():
+        rows, y = yield from descent(S, B, truth, group, first, columns, start, rounds, tol)
+        return rows + [(*columns[k], None, None, None, int(i), float(v)) for k in range(len(columns)) for i, v in zip(ids, y[:, k], strict=True)]
+
+    return p.tiles.run(program, SOLVED, tasks)
+
+
+def solution(lp: DataFrame, method: str, start: str, n_blocks: int = 4, k: int = 4, sigma: float = 1.0, rounds: int = 10_000,
+             tol: float = 1e-8) -> DataFrame:
+    """Id, y where the method ends."""
+    found = solve(problem(lp, n_blocks, k, sigma, starts=(start,)), [(method, start)], rounds, tol)
+    return found.where("id is not null").select("id", "y")
+
+
+def training_history(lp: DataFrame, columns: list[tuple[str, str]] | None = None, n_blocks: int = 4, k: int = 4, sigma: float = 1.0,
+                     rounds: int = 10_000, tol: float = 1e-8) -> DataFrame:
+    """Method, start, iteration, grad_norm, accuracy of every round, by default of all
+    six methods from both starts."""
+    columns = columns or [(m, s) for s in STARTS for m in METHODS]
+    found = solve(problem(lp, n_blocks, k, sigma, starts=tuple(sorted({s for _, s in columns}))), columns, rounds, tol)
+    return found.where("iteration is not null").select("method", "start", "iteration", "grad_norm", "accuracy")
+
+
+def method_comparison_ssl(lp: DataFrame, n_blocks: int = 4, k: int = 4, sigma: float = 1.0, rounds: int = 10_000,
+                          tol: float = 1e-8) -> DataFrame:
+    """All six methods from both starts: method, start, rounds, grad_norm, accuracy, converged."""
+    h = training_history(lp, None, n_blocks, k, sigma, rounds, tol)
+    last = F.max(F.struct("iteration", "grad_norm", "accuracy"))
+    return h.groupBy("method", "start").agg(last.alias("z")).select(
+        "method", "start", F.col("z.iteration").alias("rounds"), "z.grad_norm", "z.accuracy", (F.col("z.grad_norm") <= tol).alias("converged"))
+
+
+def lipschitz_constant(lp: DataFrame, sigma: float = 1.0, squared: bool = False, tol: float = 1e-9) -> DataFrame:
+    """K4: L = 2 ‖diag(S + S̄) - W̄‖₂ (the matrix is diagonally dominant, so its norm is its
+    largest eigenvalue), by Lanczos steps over the stored tiles."""
+    p = problem(lp, 1, 1, sigma, squared, starts=())
+    S = p.S
+
+    def program():
+        sums = yield np.ones((len(S), 1))
+        value = yield from largest_eigenvalue(S + sums[:, 0], tol)
+        return [(2 * value,)]
+
+    return p.tiles.run(program, "L double")
 
 
 def _u(r: int, seed: int) -> float:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_uniform, sql_hash_int, sql_hash_uniform
+from meridian.functions.draws import hash_uniform, sql_hash_uniform
 from meridian.operators import linalg as LA
 from meridian.operators import ssl as S
 from meridian.operators.graph import build as GB
@@ -18,9 +16,8 @@ from meridian.sources import testdata as T
 KRYLOV_STEPS = 8
 SIGMA = 1.0
 KNN_START_K = 4
-HISTORY_ROUNDS = 12      # rounds that a registered history shows
-COMPARED_ROUNDS = 4
 N_BLOCKS = 4
+CG_STEPS = 30            # of the SQL
 
 # ------------------------------------------------------------ matrices from the dense supplier graph
 
@@ -279,99 +276,68 @@ def q_sim_edges(spark, d):
     return S.similarity_edges_knn(_lp(spark, d), 5, SIGMA).withColumn("w", rnd("w"))
 
 
-# Unrolled SQL of the first rounds of gradient descent, accelerated and cyclic block descent.
+# The loss has one minimum, where (diag(S + S_bar) - W_bar) y = B.  SQL finds it by conjugate gradients,
+# unrolled; every solver must end there.
 O.cte("ssl_w", f"""
 SELECT u.id AS i, v.id AS j, exp(-0.5 * sqrt({_sq('u.features', 'v.features')}) / {SIGMA * SIGMA}) AS w
 FROM labeled_points u, labeled_points v WHERE NOT u.is_labeled AND NOT v.is_labeled""", ["labeled_points"])
-O.cte("ssl_block", f"SELECT id, CAST({sql_hash_int('id', 51)} % {N_BLOCKS} AS INTEGER) AS block FROM labeled_points "
-      "WHERE NOT is_labeled", ["labeled_points"])
 O.cte("ssl_bound", "SELECT 2 * max(S + 2 * (S_bar - 1)) AS L FROM ssl_totals", ["ssl_totals"])
-O.cte("ssl_steps", """
-SELECT b.block, max(2 * (t.S + t.S_bar - 1) + 2 * (w.own - 1)) AS L FROM ssl_block b JOIN ssl_totals t ON b.id = t.id
-JOIN (SELECT w.i, sum(w.w) AS own FROM ssl_w w JOIN ssl_block a ON w.i = a.id JOIN ssl_block c ON w.j = c.id
-      WHERE a.block = c.block GROUP BY w.i) w ON b.id = w.i GROUP BY b.block""", ["ssl_block", "ssl_totals", "ssl_w"])
-O.cte("ssl_knn", _KNN_START_SQL, ["labeled_points"])
-
-
-def _grad_sql(y: str) -> str:
-    return (f"(SELECT t.id, 2 * (y.y * (t.S + t.S_bar) - t.B - c.c) AS g FROM ssl_totals t JOIN {y} y ON t.id = y.id "
-            f"JOIN (SELECT w.i, sum(w.w * y.y) AS c FROM ssl_w w JOIN {y} y ON w.j = y.id GROUP BY w.i) c ON t.id = c.i)")
-
-
-def _block_sql(method: str, r: int) -> str:
-    """The block that a block-coordinate rule takes in round r."""
-    if method == "bcgd_cyclic":
-        return str(r % N_BLOCKS)
-    if method == "bcgd_random_uniform":
-        return str(int(S._u(r, 3) * N_BLOCKS) % N_BLOCKS)
-    if method == "bcgd_random_lipschitz":
-        return (f"(SELECT block FROM (SELECT block, sum(L) OVER (ORDER BY block) AS acc FROM ssl_steps) "
-                f"WHERE acc > CAST({S._u(r, 3)!r} AS DOUBLE) * (SELECT sum(L) FROM ssl_steps) ORDER BY block LIMIT 1)")
-    return (f"(SELECT b.block FROM {_grad_sql(f'y{r}')} g JOIN ssl_block b ON g.id = b.id GROUP BY b.block "
-            f"ORDER BY sum(g.g * g.g) DESC, b.block LIMIT 1)")
-
-
-def _history_sql(method: str, start: str, rounds: int) -> tuple[str, str]:
-    """CTEs, and the history of ``rounds`` rounds read from them."""
-    y0 = {"random": "ssl_y0", "knn": "ssl_knn"}[start]
-    parts = [f"y0 AS MATERIALIZED (SELECT id, y FROM {y0})"]
-    if method == "gd_nesterov":
-        parts.append("x0 AS MATERIALIZED (SELECT id, y FROM y0)")
-    rows, lam = [], 1.0
-    for r in range(rounds):
-        only = ""
-        if method in S.RULES:
-            parts.append(f"k{r} AS MATERIALIZED (SELECT CAST({_block_sql(method, r)} AS INTEGER) AS block)")
-            only = f" WHERE id IN (SELECT id FROM ssl_block WHERE block = (SELECT block FROM k{r}))"
-        parts.append(f"g{r} AS MATERIALIZED (SELECT id, g FROM {_grad_sql(f'y{r}')}{only})")
-        rows.append(f"SELECT '{method}' AS method, '{start}' AS start, {r} AS iteration, "
-                    f"(SELECT round(sqrt(sum(g * g)), 6) FROM g{r}) AS grad_norm, (SELECT round(avg(CASE WHEN "
-                    f"(CASE WHEN y.y >= 0 THEN 1 ELSE -1 END) = p.y_true THEN 1.0 ELSE 0.0 END), 6) "
-                    f"FROM y{r} y JOIN labeled_points p ON y.id = p.id) AS accuracy")
-        if method == "gd":
-            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT y.id, y.y - g.g / (SELECT L FROM ssl_bound) AS y "
-                         f"FROM y{r} y JOIN g{r} g ON y.id = g.id)")
-        elif method == "gd_nesterov":
-            nxt = (1 + math.sqrt(1 + 4 * lam * lam)) / 2
-            beta, lam = (lam - 1) / nxt, nxt
-            parts.append(f"x{r + 1} AS MATERIALIZED (SELECT y.id, y.y - g.g / (SELECT L FROM ssl_bound) AS y "
-                         f"FROM y{r} y JOIN g{r} g ON y.id = g.id)")
-            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT x.id, x.y + CAST({beta!r} AS DOUBLE) * (x.y - p.y) AS y "
-                         f"FROM x{r + 1} x JOIN x{r} p ON x.id = p.id)")
-        else:
-            parts.append(f"y{r + 1} AS MATERIALIZED (SELECT y.id, y.y - coalesce(g.g, 0) / (SELECT L FROM ssl_steps WHERE "
-                         f"block = (SELECT block FROM k{r})) AS y FROM y{r} y LEFT JOIN g{r} g ON y.id = g.id)")
-    return ",\n".join(parts), "\nUNION ALL\n".join(rows)
-
-
-_SSL_CTES = ("ssl_totals", "ssl_y0", "ssl_knn", "ssl_w", "ssl_block", "ssl_bound", "ssl_steps", "labeled_points")
-HISTORIES = {"gd": "random", "gd_nesterov": "random", "bcgd_cyclic": "knn", "bcgd_random_uniform": "knn",
-             "bcgd_random_lipschitz": "knn", "bcgd_gauss_southwell": "knn"}
 
 
-def _rounded(h):
-    return h.withColumn("grad_norm", rnd("grad_norm")).withColumn("accuracy", rnd("accuracy"))
+def _minimum_sql(steps: int = CG_STEPS) -> str:
+    """CTEs that end in ssl_minimum(id, y)."""
+    parts = ["c0 AS MATERIALIZED (SELECT id, 0.0 AS y, B AS r, B AS p FROM ssl_totals)"]
+    for k in range(steps):
+        parts += [
+            f"a{k} AS MATERIALIZED (SELECT t.id, (t.S + t.S_bar) * c.p - m.s AS ap FROM ssl_totals t JOIN c{k} c ON t.id = c.id "
+            f"JOIN (SELECT w.i, sum(w.w * c.p) AS s FROM ssl_w w JOIN c{k} c ON w.j = c.id GROUP BY w.i) m ON t.id = m.i)",
+            f"s{k} AS MATERIALIZED (SELECT coalesce(sum(c.r * c.r) / nullif(sum(c.p * a.ap), 0), 0) AS alpha, sum(c.r * c.r) AS rr "
+            f"FROM c{k} c JOIN a{k} a ON c.id = a.id)",
+            f"n{k} AS MATERIALIZED (SELECT c.id, c.y + s.alpha * c.p AS y, c.r - s.alpha * a.ap AS r, c.p "
+            f"FROM c{k} c JOIN a{k} a ON c.id = a.id, s{k} s)",
+            f"c{k + 1} AS MATERIALIZED (SELECT n.id, n.y, n.r, n.r + coalesce((SELECT sum(r * r) FROM n{k}) / nullif(s.rr, 0), 0) * n.p AS p "
+            f"FROM n{k} n, s{k} s)"]
+    return ",\n".join(parts) + f",\nssl_minimum AS MATERIALIZED (SELECT id, y FROM c{steps})"
+
+
+HISTORIES = {"gd": "random", "gd_nesterov": "random", "bcgd_cyclic": "knn", "bcgd_random_uniform": "knn",
+             "bcgd_random_lipschitz": "knn", "bcgd_gauss_southwell": "knn"}
 
 
-def _history_query(method, start):
+def _solver_query(method, start):
     def run(spark, d):
-        return _rounded(S.training_history(_lp(spark, d), method, start, HISTORY_ROUNDS, N_BLOCKS, KNN_START_K, SIGMA))
+        return S.solution(_lp(spark, d), method, start, N_BLOCKS, KNN_START_K, SIGMA).withColumn("y", rnd("y"))
     return run
 
 
 for _m, _s in HISTORIES.items():
-    query(_m)(_history_query(_m, _s))
-    O.register_chain(_m, *_history_sql(_m, _s, HISTORY_ROUNDS), *_SSL_CTES)
+    query(_m)(_solver_query(_m, _s))
+    O.register_chain(_m, _minimum_sql(), "SELECT id, round(y, 6) AS y FROM ssl_minimum", "ssl_totals", "ssl_w")
+
 
+@query("training_history")
+def q_history(spark, d):
+    """Every round of all six methods from both starts, to the tolerance."""
+    h = S.training_history(_lp(spark, d), None, N_BLOCKS, KNN_START_K, SIGMA)
+    return h.withColumn("accuracy", rnd("accuracy"))
 
-O.ORACLE["method_comparison_ssl"] = O.with_ctes("\nUNION ALL\n".join(
-    "SELECT * FROM (WITH {}\n{})".format(*_history_sql(m, start, COMPARED_ROUNDS))
-    for start in ("random", "knn") for m in S.METHODS), *_SSL_CTES)
+
+O.register_chain("method_comparison_ssl", _minimum_sql(), """
+SELECT m.method, s.start, true AS converged, (SELECT round(avg(CASE WHEN (CASE WHEN y.y >= 0 THEN 1 ELSE -1 END) = p.y_true
+  THEN 1.0 ELSE 0.0 END), 6) FROM ssl_minimum y JOIN labeled_points p ON y.id = p.id) AS accuracy
+FROM (SELECT unnest([{}]) AS method) m, (SELECT unnest(['random', 'knn']) AS start) s""".format(
+    ", ".join(f"'{m}'" for m in S.METHODS)), "ssl_totals", "ssl_w", "labeled_points")
 
 
 @query("method_comparison_ssl")
 def q_comparison_ssl(spark, d):
-    return _rounded(S.method_comparison_ssl(_lp(spark, d), COMPARED_ROUNDS, N_BLOCKS, KNN_START_K, SIGMA))
+    c = S.method_comparison_ssl(_lp(spark, d), N_BLOCKS, KNN_START_K, SIGMA)
+    return c.select("method", "start", "converged", rnd("accuracy").alias("accuracy"))
+
+
+@query("lipschitz_constant")
+def q_constant(spark, d):
+    return S.lipschitz_constant(_lp(spark, d), SIGMA).select(rnd("L").alias("L"))
 
 
 @query("lipschitz_bound", "SELECT round(L, 6) AS L FROM ssl_bound", ("ssl_bound",))

@@ -1,31 +1,109 @@
 import numpy as np
+import pytest
 
 from conftest import SF_SMALL
+from meridian.operators import kernel as K
 from meridian.operators import ssl as S
+from meridian.plans.iterate import cut
 from meridian.sources import testdata as T
 
 
-def test_gradient_matches_dense_numpy(spark):
-    lp = T.labeled_points(spark, SF_SMALL, dims=4).cache()
+@pytest.fixture(scope="module")
+def lp(spark):
+    return cut(T.labeled_points(spark, SF_SMALL, dims=4))
+
+
+@pytest.fixture(scope="module")
+def dense(lp):
+    """ids, S + S_bar, W_bar, B, truth of the unlabelled rows by plain numpy."""
     rows = sorted(lp.collect(), key=lambda r: r.id)
-    X = np.array([r.features for r in rows])
-    lab = np.array([r.is_labeled for r in rows])
-    ybar = np.array([r.label for r in rows], dtype=float)
-    ids = np.array([r.id for r in rows])
-    K = np.exp(-0.5 * np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)))
-    W, Wb = K[np.ix_(lab, ~lab)], K[np.ix_(~lab, ~lab)]
+    x, lab = np.array([r.features for r in rows]), np.array([r.is_labeled for r in rows])
+    ybar, ids = np.array([r.label for r in rows], float), np.array([r.id for r in rows])
+    w = np.exp(-0.5 * np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)))
+    inner = w[np.ix_(~lab, ~lab)]
+    outer = w[np.ix_(lab, ~lab)]
+    return ids[~lab], outer.sum(0) + inner.sum(0), inner, ybar[lab] @ outer, np.array([r.y_true for r in rows])[~lab]
+
+
+def test_gradient_matches_dense_numpy(lp, dense):
+    ids, total, inner, b, _ = dense
     y0 = {r.id: r.y for r in S.random_start(lp).collect()}
-    y = np.array([y0[i] for i in ids[~lab]])
-    grad = 2 * (y * (W.sum(0) + Wb.sum(0)) - ybar[lab] @ W - Wb.T @ y)
+    y = np.array([y0[i] for i in ids])
+    grad = 2 * (y * total - b - inner @ y)
     totals = S.similarity_totals(lp)
-    got = {r.id: r.grad for r in S.gradient(lp, totals, S.random_start(lp)).collect()}
-    assert np.allclose([got[i] for i in ids[~lab]], grad, atol=1e-9)
+    tiles = K.KernelTiles(lp.where("not is_labeled"), tile=60)
+    for t in (None, tiles):
+        got = {r.id: r.grad for r in S.gradient(lp, totals, S.random_start(lp), tiles=t).collect()}
+        assert np.allclose([got[i] for i in ids], grad, atol=1e-9)
 
 
-def test_gd_decreases_gradient(spark):
-    lp = T.labeled_points(spark, SF_SMALL, dims=4)
-    totals = S.similarity_totals(lp)
-    L = S.spectral_lipschitz(lp, totals)
-    hist = []
-    S.gd(lp, totals, S.random_start(lp), L, 4, history=hist)
-    assert hist[-1][1] < hist[0][1]
+def test_tiles_in_one_task_in_many_and_in_jobs(lp, dense):
+    ids, _, inner, _, _ = dense
+    tiles = K.KernelTiles(lp.where("not is_labeled"), tile=60)
+    assert tiles.tiles.count() > 3 and sorted(tiles.ids) == sorted(ids)
+    at = np.searchsorted(ids, tiles.ids)
+    want = inner[np.ix_(at, at)]
+    d = np.random.default_rng(1).random((len(ids), 2))
+    d[:100, 0] = 0
+
+    def program():
+        first = yield d
+        second = yield first[:, :1]
+        return [(i, float(first[i, 0]), float(second[i, 0])) for i in range(len(d))]
+
+    for tasks in (0, 1, 2):
+        got = np.array(sorted(tuple(r) for r in tiles.run(program, "i int, a double, b double", tasks).collect()))
+        assert np.allclose(got[:, 1], want @ d[:, 0], rtol=1e-12)
+        assert np.allclose(got[:, 2], want @ (want @ d[:, 0]), rtol=1e-12)
+
+
+def test_every_method_ends_at_the_minimum(lp, dense):
+    ids, total, inner, b, truth = dense
+    best = np.linalg.solve(np.diag(total) - inner, b)
+    columns = [(m, s) for s in S.STARTS for m in S.METHODS]
+    found = S.solve(S.problem(lp), columns).collect()
+    history = [r for r in found if r.iteration is not None]
+    for m, s in columns:
+        y = {r.id: r.y for r in found if r.id is not None and (r.method, r.start) == (m, s)}
+        assert np.allclose([y[i] for i in ids], best, atol=1e-8)
+        own = sorted((r.iteration, r.grad_norm, r.accuracy) for r in history if (r.method, r.start) == (m, s))
+        assert own[-1][1] <= 1e-8 and [x[0] for x in own] == list(range(len(own))) and len(own) < 10_000
+        assert own[-1][2] == pytest.approx((np.where(best >= 0, 1, -1) == truth).mean())
+        if m != "gd_nesterov":                             # the loss never rises, nor does plain descent's gradient
+            assert m != "gd" or all(p[1] >= q[1] for p, q in zip(own, own[1:]))
+
+
+def test_first_rounds_are_the_textbook_ones(lp, dense):
+    ids, total, inner, b, _ = dense
+    L = 2 * np.linalg.eigvalsh(np.diag(total) - inner).max()
+    assert S.lipschitz_constant(lp).first().L == pytest.approx(L, rel=1e-8)
+    y0 = {r.id: r.y for r in S.random_start(lp).collect()}
+    h = {(r.method, r.iteration): r.grad_norm for r in S.training_history(
+        lp, [("gd", "random"), ("gd_nesterov", "random"), ("bcgd_cyclic", "random"), ("bcgd_gauss_southwell", "random")], rounds=8).collect()}
+    group = {r.id: r.g for r in lp.selectExpr("id").withColumn("g", __import__("pyspark").sql.functions.pmod(
+        S.hash_int("id", S.BLOCK_SEED), __import__("pyspark").sql.functions.lit(4))).collect()}
+    group = np.array([group[i] for i in ids])
+    grad = lambda y: 2 * (y * total - b - inner @ y)
+    bound = [max(2 * (total - 1)[group == k] + 2 * (inner[np.ix_(group == k, group == k)].sum(1) - 1)) for k in range(4)]
+    for method in ("gd", "gd_nesterov", "bcgd_cyclic", "bcgd_gauss_southwell"):
+        y = np.array([y0[i] for i in ids])
+        x, lam = y.copy(), 1.0
+        for r in range(9):
+            g = grad(y)
+            assert h[method, r] == pytest.approx(np.linalg.norm(g), rel=1e-7)
+            if method == "gd":
+                y = y - g / L
+            elif method == "gd_nesterov":
+                then = (1 + np.sqrt(1 + 4 * lam * lam)) / 2
+                new = y - g / L
+                y, x, lam = new + (lam - 1) / then * (new - x), new, then
+            else:
+                k = r % 4 if method == "bcgd_cyclic" else int(np.argmax([np.linalg.norm(g[group == j]) for j in range(4)]))
+                y = y - np.where(group == k, g / bound[k], 0)
+
+
+def test_no_unlabelled_and_one_unlabelled_row(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0], 1, 1, True), (2, [1.0, 1.0], 0, -1, False)],
+                               "id long, features array<double>, label int, y_true int, is_labeled boolean")
+    assert [(r.id, round(r.y, 6)) for r in S.solution(df, "gd", "knn").collect()] == [(2, 1.0)]
+    assert S.solution(df.where("is_labeled"), "bcgd_cyclic", "random").count() == 0

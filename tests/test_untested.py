@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from meridian.operators import kcenter as KC
 from meridian.operators import linalg as LA
 from meridian.operators import linkpred as LP
-from meridian.operators import ssl as S
 from meridian.operators.graph import build as GB
 from meridian.operators.graph import community as CM
 from meridian.operators.graph import components as GC
@@ -199,42 +198,3 @@ def test_kcenter_with_outliers(spark):
     assert sum(c.weight for c in core) == len(x) and len(core) <= 4 * 6
     centers, _ = KC.mr_kcenter_outliers(points, 3, 2)
     assert KC.kcenter_objective(points, centers, 2) < 4
-
-
-@pytest.fixture(scope="module")
-def labelled(spark):
-    rng = np.random.default_rng(12)
-    x = np.concatenate([rng.normal(c, 0.6, (30, 2)) for c in (0, 3)])
-    rows = [(i, p.tolist(), (-1 if i < 30 else 1) if i % 10 == 0 else 0, -1 if i < 30 else 1, i % 10 == 0) for i, p in enumerate(x)]
-    return spark.createDataFrame(rows, "id long, features array<double>, label int, y_true int, is_labeled boolean").cache(), x
-
-
-def test_solvers_descend(spark, labelled):
-    lp, x = labelled
-    setup = {}
-    last = {}
-    for method in S.METHODS:
-        h = S.training_history(lp, method, "random", 4, 2, setup=setup).orderBy("iteration").collect()
-        assert len(h) == 4 and all(r.method == method and r.start == "random" for r in h)
-        last[method] = h
-    assert last["gd"][-1].grad_norm < 0.8 * last["gd"][0].grad_norm
-    assert last["gd_nesterov"][-1].grad_norm < 0.8 * last["gd_nesterov"][0].grad_norm
-    w = np.exp(-0.5 * np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)))
-    known = np.arange(60) % 10 == 0
-    m = np.diag(w[~known].sum(axis=1)) - w[np.ix_(~known, ~known)]
-    assert setup["L"] >= 2 * np.linalg.eigvalsh(m).max() - 1e-9
-    assert S.spectral_lipschitz(lp, setup["totals"]) == pytest.approx(2 * np.linalg.eigvalsh(m).max(), rel=1e-2)
-
-
-def test_gd_reaches_the_minimum(spark):
-    x = np.array([[0.0], [0.2], [3.0], [3.1], [1.0]])
-    rows = [(i, v.tolist(), [-1, 0, 1, 0, 0][i], [-1, -1, 1, 1, -1][i], i in (0, 2)) for i, v in enumerate(x)]
-    lp = spark.createDataFrame(rows, "id long, features array<double>, label int, y_true int, is_labeled boolean")
-    totals = S.similarity_totals(lp).cache()
-    hist = []
-    y = {r.id: r.y for r in S.gd(lp, totals, S.random_start(lp), S.lipschitz_bound(totals), 60, 1e-5, history=hist).collect()}
-    w = np.exp(-0.5 * np.abs(x - x.T))
-    u, k = [1, 3, 4], [0, 2]
-    m = np.diag(w[u].sum(axis=1)) - w[np.ix_(u, u)]
-    want = np.linalg.solve(m, w[np.ix_(u, k)] @ np.array([-1, 1]))
-    assert hist[-1][1] <= 1e-5 and np.allclose([y[i] for i in u], want, atol=1e-4)
