@@ -4,34 +4,24 @@ No operator here builds the n x m cross product as rows:
 
 * ``distances_to_set`` compares every row with a small set whose size is
   checked before it becomes one array literal;
-* ``knn_join`` is a blocked nested loop: both sides are hashed into blocks,
-  each (block, block) pair is one ``cogroup`` task that computes the distance
-  block with numpy and emits only its k best candidates per query row; a
-  window then keeps the k best per row over all blocks;
-* ``ball_join`` buckets points into a grid of cell width ``radius`` on the
-  first coordinates (a pair within ``radius`` differs by at most ``radius``
-  in every coordinate, so it lies in the same or an adjacent cell) and compares
-  the two sides of a cell in numpy, emitting only pairs within the radius.  A crowded
-  cell is split into chunks on both sides, so a task compares at most chunk^2 pairs.
+* ``knn_join`` sends each query to one block of near rows first, which bounds its k-th
+  distance, and then only to the blocks that the triangle inequality leaves
+  (``pivots.PivotBlocks``); a window keeps the k best per row over all visited blocks;
+* ``ball_join`` and ``ball_weights`` send each query to the blocks whose bound is within the
+  radius; weights are counted inside the tasks, without a row per pair.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
-import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_int
 from meridian.functions.vectors import squared_euclidean
+from meridian.operators.pivots import nearest, within
 
 MAX_INLINE_SET = 10_000
-KNN_BLOCK = 2048
-BALL_CHUNK = 4096
 
 
 def collect_small(df: DataFrame, limit: int = MAX_INLINE_SET) -> list:
@@ -64,48 +54,14 @@ def distances_to_set(points: DataFrame, centers: DataFrame, id_col: str = "id",
             .select("id", F.col("_z.center_id").alias("center_id"), F.col("_z.distance").alias("distance")))
 
 
-def _blocks(n: int, block: int) -> int:
-    return max(1, math.ceil(n / block))
-
-
 def knn_join(queries: DataFrame, base: DataFrame, k: int, id_col: str = "id",
-             feat_col: str = "features", block: int = KNN_BLOCK) -> DataFrame:
+             feat_col: str = "features", block: int | None = None) -> DataFrame:
     """Qid, nid, distance, rank: the k nearest base rows of every query row
     (Euclidean; ties by the lowest base id).  Exact."""
-    nq, nb = queries.count(), base.count()
-    bq, bb = _blocks(nq, block), _blocks(nb, block)
-    q = queries.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf"),
-                       F.pmod(hash_int(id_col, 11), F.lit(bq)).cast("int").alias("qb"))
-    b = base.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf"),
-                    F.pmod(hash_int(id_col, 12), F.lit(bb)).cast("int").alias("nb"))
-    q = q.withColumn("nb", F.explode(F.sequence(F.lit(0), F.lit(bb - 1))))
-    b = b.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-
-    def block_topk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": [], "nid": [], "distance": []})
-        A = np.stack(left["qf"].to_numpy())
-        B = np.stack(right["nf"].to_numpy())
-        nid = right["nid"].to_numpy()
-        order_ids = np.argsort(nid, kind="stable")
-        B, nids = B[order_ids], nid[order_ids]
-        kk = min(k, B.shape[0])
-        qids = left["qid"].to_numpy()
-        out_q, out_n, out_d = [], [], []
-        step = max(1, (1 << 22) // max(1, B.size))  # bounds the difference tensor to ~32 MB
-        for s0 in range(0, A.shape[0], step):
-            d2 = ((A[s0:s0 + step, None, :] - B[None, :, :]) ** 2).sum(axis=2)
-            idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            out_q.append(np.repeat(qids[s0:s0 + step], kk))
-            out_n.append(nids[idx].ravel())
-            out_d.append(np.sqrt(np.take_along_axis(d2, idx, axis=1)).ravel())
-        return pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
-                             "distance": np.concatenate(out_d)})
-
-    cand = (q.groupBy("qb", "nb").cogroup(b.groupBy("qb", "nb"))
-            .applyInPandas(block_topk, "qid long, nid long, distance double"))
+    q = queries.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf"))
+    b = base.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf"))
     w = Window.partitionBy("qid").orderBy("distance", "nid")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return nearest(q, b, k, block).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def knn_graph(points: DataFrame, k: int, id_col: str = "id", feat_col: str = "features") -> DataFrame:
@@ -117,45 +73,19 @@ def knn_graph(points: DataFrame, k: int, id_col: str = "id", feat_col: str = "fe
     return both.withColumn("v", F.lit(1.0))
 
 
-def _within(radius: float):
-    """A tile: pairs of the two sides within the radius, found in numpy."""
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            x, y = np.stack(left["fa"].to_numpy()).astype(float), np.stack(right["fb"].to_numpy()).astype(float)
-            ia, ib = left["id_a"].to_numpy(), right["id_b"].to_numpy()
-            step = max(1, (1 << 22) // max(1, y.size))           # bounds the difference tensor to ~32 MB
-            for lo in range(0, len(x), step):
-                d = np.sqrt(((x[lo:lo + step, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-                r, c = np.nonzero(d <= radius)
-                out.append(pd.DataFrame({"id_a": ia[lo + r], "id_b": ib[c], "distance": d[r, c]}))
-        return pd.concat(out) if out else pd.DataFrame({"id_a": [], "id_b": [], "distance": []})
-    return run
-
-
 def ball_join(a: DataFrame, b: DataFrame, radius: float, id_col: str = "id", feat_col: str = "features",
-              grid_dims: int = 2, chunk: int = BALL_CHUNK) -> DataFrame:
+              block: int | None = None) -> DataFrame:
     """(id_a, id_b, distance) for every pair with distance <= radius
     (``<=`` as in the reference; a row pairs with itself when both sides hold it)."""
-    width = float(radius) if radius > 0 else 1.0
-    cell = F.array(*[F.floor(F.col(feat_col)[i] / F.lit(width)).cast("long") for i in range(grid_dims)])
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=grid_dims)]
-    off = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])
-    A = a.select(F.col(id_col).alias("id_a"), F.col(feat_col).alias("fa"), cell.alias("cell"))
-    B = b.select(F.col(id_col).alias("id_b"), F.col(feat_col).alias("fb"), F.explode(off).alias("_o"), cell.alias("_c"))
-    B = B.withColumn("cell", F.zip_with("_c", "_o", lambda x, y: x + y)).drop("_o", "_c")
-    na = A.groupBy("cell").agg(F.count(F.lit(1)).alias("_na"))
-    nb = B.groupBy("cell").agg(F.count(F.lit(1)).alias("_nb"))
-    sizes = na.join(nb, "cell").select(
-        "cell", F.greatest(F.lit(1), F.ceil(F.col("_na") / F.lit(chunk))).cast("int").alias("_sa"),
-        F.greatest(F.lit(1), F.ceil(F.col("_nb") / F.lit(chunk))).cast("int").alias("_sb"))
-    A = (A.join(sizes, "cell")
-         .withColumn("p", F.pmod(hash_int("id_a", 5), F.col("_sa")).cast("int"))
-         .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("_sb") - 1))).drop("_sa", "_sb"))
-    B = (B.join(sizes, "cell")
-         .withColumn("q", F.pmod(hash_int("id_b", 6), F.col("_sb")).cast("int"))
-         .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("_sa") - 1))).drop("_sa", "_sb"))
-    keys = [F.array_join(F.transform("cell", lambda x: x.cast("string")), ",").alias("cell"), "p", "q"]
-    A, B = A.select(*keys, "id_a", "fa"), B.select(*keys, "id_b", "fb")
-    return (A.groupBy("cell", "p", "q").cogroup(B.groupBy("cell", "p", "q"))
-            .applyInPandas(_within(float(radius)), "id_a long, id_b long, distance double"))
+    found = within(a.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf")),
+                   b.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), float(radius), block=block)
+    return found.select(F.col("qid").alias("id_a"), F.col("nid").alias("id_b"), "distance")
+
+
+def ball_weights(candidates: DataFrame, points: DataFrame, radius: float, id_col: str = "id", feat_col: str = "features",
+                 block: int | None = None) -> DataFrame:
+    """Id, ball_weight: how many points lie within the radius of each candidate.  Pairs are
+    counted where they are found."""
+    found = within(candidates.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf")),
+                   points.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), float(radius), True, block)
+    return found.select(F.col("qid").alias("id"), F.col("weight").alias("ball_weight"))

@@ -178,8 +178,7 @@ FROM points a, points b WHERE sqrt({sq('a.features', 'b.features')}) <= {BALL_RA
        ("points",))
 def q_ball_weights(spark, d):
     p = T.points(spark, d)
-    pairs = V.ball_join(p, p, BALL_RADIUS)
-    return pairs.groupBy(F.col("id_a").alias("id")).agg(F.count(F.lit(1)).cast("double").alias("ball_weight"))
+    return V.ball_weights(p, p, BALL_RADIUS)
 
 
 def coreset_sql(k: int, z: int, buckets: int) -> str:

@@ -1,8 +1,11 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from meridian.operators import kcenter as KC
+from meridian.operators import pivots as P
 from meridian.operators import vectors as V
+from meridian.plans.iterate import cut
 from meridian.sources import testdata as T
 
 
@@ -22,16 +25,55 @@ def test_knn_join_matches_brute_force(spark):
         assert r.nid == ids[order[r.rank - 1]]
 
 
-def test_ball_join_matches_brute_force_with_chunks(spark):
+def test_ball_join_matches_brute_force_with_blocks(spark):
     pts = T.points(spark, SF_SMALL, 2)
     ids, X = _np(pts)
     r = 0.05
-    got = sorted((a.id_a, a.id_b) for a in V.ball_join(pts, pts, r, chunk=8).collect())
+    got = sorted((a.id_a, a.id_b) for a in V.ball_join(pts, pts, r, block=24).collect())
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
     exp = sorted((ids[i], ids[j]) for i in range(len(ids)) for j in range(len(ids)) if D[i, j] <= r)
     assert got == exp
 
 
+def clustered(spark, n=6000, dim=8, hot=1500):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, dim))[rng.integers(0, 40, n)] * 4 + 0.2 * rng.normal(size=(n, dim))
+    x[:hot] = x[0]                                        # one vector with a quarter of all rows
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, features array<double>")
+    return x, cut(df)
+
+
+def test_pivots_exclude_most_blocks_and_lose_nothing(spark, monkeypatch):
+    x, df = clustered(spark)
+    q = df.where("id % 7 = 3")
+    base = df.select(F.col("id").alias("nid"), F.col("features").alias("nf"))
+    index = P.PivotBlocks(base, 200)
+    assert index.size.sum() == len(x) and index.size.max() < 500 and index.blocks > 20
+    visits = []
+    plain = P.PivotBlocks.meet
+    monkeypatch.setattr(P.PivotBlocks, "meet", lambda self, routed, *a: plain(self, (visits.append(cut(routed)), visits[-1])[1], *a))
+    got = {}
+    for r in V.knn_join(q, df, 4, block=200).collect():
+        got.setdefault(r.qid, {})[r["rank"]] = (r.nid, r.distance)
+    ids = [r.id for r in q.collect()]
+    d = np.sqrt(((x[ids][:, None] - x[None]) ** 2).sum(-1))
+    for i, row in zip(ids, d, strict=True):
+        order = np.lexsort((np.arange(len(x)), row))[:4]
+        assert [got[i][k][0] for k in (1, 2, 3, 4)] == order.tolist()
+    assert sum(v.count() for v in visits) < 0.25 * len(ids) * index.blocks
+    near = {(r.id_a, r.id_b) for r in V.ball_join(q, df, 0.6, block=200).collect()}
+    assert near == {(i, int(j)) for i, row in zip(ids, d, strict=True) for j in np.flatnonzero(row <= 0.6)}
+    weight = {r.id: r.ball_weight for r in V.ball_weights(q, df, 0.6, block=200).collect()}
+    assert weight == {i: float((row <= 0.6).sum()) for i, row in zip(ids, d, strict=True)}
+
+
+def test_knn_with_few_rows_and_none(spark):
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(5)], "id long, features array<double>")
+    got = sorted((r.qid, r["rank"], r.nid) for r in V.knn_join(df.where("id < 2"), df, 9, block=2).collect())
+    assert got == [(0, i + 1, i) for i in range(5)] + [(1, 1, 1), (1, 2, 0), (1, 3, 2), (1, 4, 3), (1, 5, 4)]
+    assert V.knn_join(df, df.limit(0), 3).count() == 0 and V.knn_join(df.limit(0), df, 3).count() == 0
+
+
 def test_coreset_weights_sum_to_n(spark):
     pts = T.points(spark, SF_SMALL, 2)
     core = KC.extract_coreset(pts, 3, 2, 4).collect()
