@@ -124,13 +124,14 @@ def personalized_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = D
     random walk with restart to the seed.  All seeds run in one job keyed by
     the seed column; dangling mass returns to the seed.
 
-    ``residual`` > 0 is forward push: a seed's walk is followed only from nodes whose
-    pending mass exceeds it, which bounds a seed's state by 1 / (residual (1 - damping))
-    rows whatever the size of the graph, and each score's error by the pending mass."""
+    ``residual`` > 0 is forward push until at most that much of a seed's mass is pending in
+    all, which bounds the error of its scores together: a walk is followed from the nodes
+    whose pending mass exceeds residual / (2 nodes), so what is left adds up to half of it."""
     trans = cut_by(transition(edges, weight_col), "src")
     s = seeds.select("seed")
     if residual > 0:
-        return _push(trans, s, damping, residual, max_rounds)
+        ends = trans.select(F.col("src").alias("node")).union(trans.select("dst")).distinct().count()
+        return _push(trans, s, damping, residual / (2 * max(1, ends)), max_rounds)
 
     def step(x: DataFrame) -> DataFrame:
         moved = (x.join(trans, x.node == trans.src)
@@ -148,20 +149,27 @@ def personalized_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = D
 
 
 def _push(trans: DataFrame, s: DataFrame, damping: float, residual: float, max_rounds: int) -> DataFrame:
-    """Rounds of pushes over (seed, node, p, r): settled and pending mass.  Mass pending
-    at a node without links returns to the seed."""
+    """Rounds of pushes over (seed, node, p, r): settled and pending mass, until no node's pending
+    mass exceeds ``residual``.  Mass pending at a node without links returns to the seed."""
+    # A node's row meets its links and itself in one join: what stays, and what is sent on.
+    ends = trans.select(F.col("src").alias("node")).union(trans.select("dst")).union(s.select("seed")).distinct()
+    loose = ends.join(trans.select(F.col("src").alias("node")), "node", "left_anti")
+    moves = cut_by(trans.select("src", "dst", "t", F.lit(False).alias("stay"))
+                   .unionByName(ends.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("t"), F.lit(True).alias("stay")))
+                   .unionByName(loose.select(F.col("node").alias("src"), F.lit(None).cast("long").alias("dst"), F.lit(1.0).alias("t"),
+                                             F.lit(False).alias("stay"))), "src")
     state = s.select("seed", F.col("seed").alias("node"), F.lit(0.0).alias("p"), F.lit(1.0).alias("r"))
-    states = Steps(s.sparkSession)
-    for _ in range(max_rounds):
-        hot = F.col("r") > residual
-        out = (state.where(hot).join(trans, F.col("node") == F.col("src"), "left")
-               .select("seed", F.coalesce("dst", "seed").alias("node"), F.lit(0.0).alias("p"),
-                       (F.lit(damping) * F.col("r") * F.coalesce("t", F.lit(1.0))).alias("r")))
-        kept = state.select("seed", "node", F.when(hot, F.col("p") + F.lit(1 - damping) * F.col("r")).otherwise(F.col("p")).alias("p"),
-                            F.when(hot, F.lit(0.0)).otherwise(F.col("r")).alias("r"))
-        state = states.cut(kept.unionByName(out).groupBy("seed", "node").agg(F.sum("p").alias("p"), F.sum("r").alias("r")))
-        if state.where(hot).limit(1).count() == 0:
-            return state.where("p > 0").select("seed", "node", F.col("p").alias("score"))
+    states, hot = Steps(s.sparkSession), F.col("r") > residual
+    for done in range(1, max_rounds + 1):
+        state = (state.join(moves, F.col("node") == F.col("src")).where(F.col("stay") | hot).select(
+            "seed", F.coalesce("dst", "seed").alias("node"),
+            F.when(~F.col("stay"), 0.0).when(hot, F.col("p") + F.lit(1 - damping) * F.col("r")).otherwise(F.col("p")).alias("p"),
+            F.when(~F.col("stay"), F.lit(damping) * F.col("r") * F.col("t")).when(hot, 0.0).otherwise(F.col("r")).alias("r"))
+            .groupBy("seed", "node").agg(F.sum("p").alias("p"), F.sum("r").alias("r")))
+        if done % CUT_EVERY == 0 or done == max_rounds:
+            state = states.cut(state)
+            if state.where(hot).isEmpty():
+                return state.where("p > 0").select("seed", "node", F.col("p").alias("score"))
     raise RuntimeError(f"pending mass above {residual} after {max_rounds} rounds")
 
 

@@ -2,19 +2,22 @@
 
 The reference removes nodes one at a time and recomputes the giant component
 after each removal (n component searches).  Here a removal *order* is computed
-once (random: a hash of the node; semi-targeted: -ln(u)/degree; targeted:
-highest current degree, recomputed per batch) and a chosen list of removal
-fractions is evaluated in one job keyed by the fraction: the edge table is
-replicated per fraction for the edges whose both ends survive, nodes are
-(fraction, node) structs, and one connected-components run labels all
-fractions at once.
+once (random: a hash of the node; semi-targeted: -ln(u)/degree), and one run gives the curve after
+every single removal: an edge lives until the first of its ends goes, so the components
+after any number of removals are those of the maximum spanning forest by that time
+(``spanning_forest``, Boruvka's rounds over DataFrames).  The forest's links, latest
+first, are merged in blocks of bounded size; degree moments come from running sums
+(``scan.Ranges``) over the times.  The targeted order (highest current degree, in batches)
+depends on what is left, so it is walked batch by batch.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,10 +26,13 @@ from meridian.operators.graph.build import nodes as graph_nodes
 from meridian.operators.graph.components import connected_components
 from meridian.operators.graph.degree import degree
 from meridian.operators.sampling import smallest_n
-from meridian.plans.iterate import cut
+from meridian.operators.scan import Ranges
+from meridian.plans.iterate import Steps, cut
 
 #: Nodes ranked in one task.
 RANK_BUCKET = 200_000
+#: Links of the spanning forest that one task merges at a time.
+MERGE_BLOCK = 2_000_000
 
 
 def theoretical_thresholds(kappa: float, gamma: float, kmin: float, x0: float = 0.3) -> dict:
@@ -56,29 +62,121 @@ def theoretical_thresholds(kappa: float, gamma: float, kmin: float, x0: float =
     return {"fc_random": None if fr is None else float(fr), "fc_targeted": ft}
 
 
-def _curve(edges: DataFrame, order: DataFrame, fractions: list[float]) -> DataFrame:
-    """order: node, rank (0 = removed first).  For every fraction f the first
-    floor(f n) nodes are removed; returns fraction, giant_share, kappa."""
-    spark = edges.sparkSession
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """u, v, w: a maximum spanning forest (ties by u, v) of the edges u, v, w.
+
+    Boruvka: in every round each component takes its heaviest edge out, and what these edges
+    connect becomes one component, so there are at most log2(nodes) rounds.  Of the edges
+    between two components only the heaviest goes on."""
+    steps, found = Steps(edges.sparkSession, 2), []
+    best = F.max(F.struct("w", (-F.col("u")).alias("nu"), (-F.col("v")).alias("nv"))).alias("e")
+    pick = [(-F.col("e.nu")).alias("u"), (-F.col("e.nv")).alias("v"), F.col("e.w").alias("w")]
+    state = steps.cut(edges.where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b"), "u", "v", "w"))
+    while True:
+        both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b"), "u", "v", "w"))
+        out = cut(both.groupBy("a").agg(F.max(F.struct("w", (-F.col("u")).alias("nu"), (-F.col("v")).alias("nv"), "b")).alias("e"))
+                  .select("a", F.col("e.b").alias("b"), *pick))
+        if out.isEmpty():
+            break
+        found.append(out.select("u", "v", "w").distinct())
+        comp = cut(connected_components(out.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        ca, cb = (comp.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+        state = steps.cut(state.join(ca, "a").join(cb, "b").where("ca <> cb")
+                          .groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(best)
+                          .select("a", "b", *pick))
+    if not found:
+        return edges.select("u", "v", "w").limit(0)
+    return cut(functools.reduce(DataFrame.unionByName, found))
+
+
+def _merge_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links of one block, latest first: the largest component that each link makes, and
+    every component's label and size behind the block."""
+    pdf = pdf.sort_values("w", ascending=False, kind="stable")
+    size = {**dict(zip(pdf["a"], pdf["na"], strict=True)), **dict(zip(pdf["b"], pdf["nb"], strict=True))}
+    parent = {x: x for x in size}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    made = []
+    for a, b in zip(pdf["a"], pdf["b"], strict=True):
+        a, b = sorted((root(a), root(b)))
+        if a != b:
+            parent[b] = a
+            size[a] += size[b]
+        made.append(size[a])
+    first = pd.DataFrame({"kind": 0, "x": pdf["w"].to_numpy(), "y": made, "n": 0})
+    return pd.concat([first, pd.DataFrame({"kind": 1, "x": list(parent), "y": [root(x) for x in parent], "n": [size[root(x)] for x in parent]})])
+
+
+def giant_by_time(forest: DataFrame, block: int = MERGE_BLOCK) -> DataFrame:
+    """w, giant: the size of the component that each link of the forest makes when links come
+    latest first.  Blocks of links are merged one after another, each in one task; between
+    blocks the labels of the components that changed go on as a table."""
+    spark = forest.sparkSession
+    total = forest.count()
+    cuts = forest.approxQuantile("w", [i / (total // block + 1) for i in range(1, total // block + 1)], 0.01 * block / max(1, total)) if total > block else []
+    cuts = sorted(set(cuts), reverse=True)
+    labels = cut(spark.createDataFrame([], "node long, label long, n long"))
+    out = None
+    for high, low in zip([None, *cuts], [*cuts, None], strict=True):
+        part = forest if high is None else forest.where(F.col("w") < high)
+        part = part if low is None else part.where(F.col("w") >= low)
+        la, lb = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}"), F.col("n").alias(f"n{x}")) for x in "uv")
+        named = part.join(la, "u", "left").join(lb, "v", "left").select(
+            "w", F.coalesce("lu", "u").alias("a"), F.coalesce("lv", "v").alias("b"), F.coalesce("nu", F.lit(1)).alias("na"), F.coalesce("nv", F.lit(1)).alias("nb"))
+        found = cut(named.groupBy(F.lit(0).alias("k")).applyInPandas(_merge_block, "kind int, x long, y long, n long"))
+        made = found.where("kind = 0").select(F.col("x").alias("w"), F.col("y").alias("giant"))
+        out = made if out is None else out.unionByName(made)
+        if low is not None:
+            merged = found.where("kind = 1").select(F.col("x").alias("label"), F.col("y").alias("to"), F.col("n").alias("size"))
+            known = labels.join(merged, "label", "left").select("node", F.coalesce("to", "label").alias("label"), F.coalesce("size", "n").alias("n"))
+            new = merged.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(
+                F.col("label").alias("node"), F.col("to").alias("label"), F.col("size").alias("n"))
+            labels = cut(known.unionByName(new))
+    return out.groupBy("w").agg(F.max("giant").alias("giant"))
+
+
+def removal_curve(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """n_removed, fraction, giant_share, kappa after every number of removals from 0 to n - 1.
+
+    ``order``: node, rank (0 = removed first).  giant_share is relative to the whole graph's
+    largest component; kappa = <k^2> / <k> over what is left (null without links)."""
+    order = cut(order.select("node", F.col("rank").cast("long").alias("rank")))
+    n = order.count()
+    if n == 0:
+        return order.select(F.col("rank").alias("n_removed"), F.lit(0.0).alias("fraction"), F.lit(0.0).alias("giant_share"), F.lit(0.0).alias("kappa"))
+    ru, rv = (order.select(F.col("node").alias(x), F.col("rank").alias(f"r{x}")) for x in "uv")
+    timed = cut(edges.select("u", "v").distinct().join(ru, "u").join(rv, "v").select("u", "v", F.least("ru", "rv").alias("w")))
+    giant = giant_by_time(spanning_forest(timed))
+    # A node's j-th link to come (latest first) raises its k^2 by 2 j - 1; a self-loop counts twice.
+    ends = timed.select(F.col("u").alias("node"), "w").unionByName(timed.select(F.col("v").alias("node"), "w"))
+    j = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("w")))
+    moments = ends.select("w", (2 * j - 1).alias("k2")).groupBy("w").agg(F.count(F.lit(1)).alias("k1"), F.sum("k2").alias("k2"))
+    times = order.select(F.col("rank").alias("w")).join(giant, "w", "left").join(moments, "w", "left").select(
+        "w", "giant", F.coalesce("k1", F.lit(0)).alias("k1"), F.coalesce("k2", F.lit(0)).alias("k2"))
+    ranges = Ranges(times, [F.desc("w")])
+    sums = ranges.sums(s1="k1", s2="k2")
+    top = ranges.running_max("giant", "most")
+    base = giant.agg(F.max("giant")).first()[0] or 1
+    return (sums.select("w", "s1", "s2").join(top.select("w", "most"), "w")
+            .select(F.col("w").alias("n_removed"), (F.col("w") / F.lit(float(n))).alias("fraction"),
+                    (F.coalesce("most", F.lit(1)) / F.lit(float(base))).alias("giant_share"),
+                    F.when(F.col("s1") > 0, F.col("s2") / F.col("s1")).alias("kappa")))
+
+
+def _curve(edges: DataFrame, order: DataFrame, fractions: list[float] | None) -> DataFrame:
+    """fraction, giant_share, kappa; with ``fractions`` only after floor(f n) removals for each f."""
+    curve = removal_curve(edges, order)
+    if fractions is None:
+        return curve.select("fraction", "giant_share", "kappa")
     n = order.count()
-    fr = spark.createDataFrame([(i, float(f), int(math.floor(f * n))) for i, f in enumerate(fractions)],
-                               "fi int, fraction double, n_removed long")
-    alive = order.join(F.broadcast(fr), F.col("rank") >= F.col("n_removed")).select("fi", "node")
-    au = alive.select("fi", F.col("node").alias("u"))
-    av = alive.select("fi", F.col("node").alias("v"))
-    e = edges.select("u", "v", "weight").join(au, "u").join(av, ["fi", "v"])
-    key = lambda c: F.struct("fi", F.col(c).alias("node"))
-    ek = cut(e.select(key("u").alias("u"), key("v").alias("v"), "weight"))
-    loops = alive.select(key("node").alias("u"), key("node").alias("v"), F.lit(0).cast("long").alias("weight"))
-    comp = connected_components(ek.unionByName(loops)).select("node.fi", "component")
-    giant = (comp.groupBy("fi", "component").agg(F.count(F.lit(1)).alias("size"))
-             .groupBy("fi").agg(F.max("size").alias("giant")))
-    kap = degree(ek).select("node.fi", "degree").groupBy("fi").agg(
-        (F.avg(F.col("degree") * F.col("degree")) / F.avg("degree")).alias("kappa"))
-    g0 = giant.filter(F.col("fi") == 0).select("giant").first()
-    base = float(g0.giant) if g0 else float(n)
-    return (fr.join(giant, "fi", "left").join(kap, "fi", "left")
-            .select("fraction", (F.coalesce("giant", F.lit(0)) / F.lit(base)).alias("giant_share"), "kappa"))
+    wanted = edges.sparkSession.createDataFrame([(float(f), int(math.floor(f * n))) for f in fractions], "fraction double, n_removed long")
+    return wanted.join(curve.drop("fraction"), "n_removed", "left").select("fraction", "giant_share", "kappa")
 
 
 def default_fractions(steps: int = 20) -> list[float]:

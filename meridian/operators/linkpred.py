@@ -97,9 +97,9 @@ def local_path_score(edges: DataFrame, beta: float = 1.0) -> DataFrame:
     return s.filter(F.col("i") < F.col("j")).select(F.col("i").alias("u"), F.col("j").alias("v"), "score")
 
 
-def rwr_score(edges: DataFrame, damping: float = 0.85, residual: float = 1e-9, weight_col: str | None = None) -> DataFrame:
+def rwr_score(edges: DataFrame, damping: float = 0.85, residual: float = 1e-11, weight_col: str | None = None) -> DataFrame:
     """p_uv + p_vu from random walks with restart started at every node, by forward
-    push (a node's walk ends where its pending mass is at most ``residual``)."""
+    push until at most ``residual`` of a walk's mass is pending in all."""
     from meridian.operators.graph.build import nodes
     from meridian.operators.graph.rank import personalized_pagerank
     seeds = nodes(edges).select(F.col("node").alias("seed"))

@@ -141,12 +141,14 @@ class PivotBlocks:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
         return queries.mapInArrow(body, f"{schema}, block int")
 
-    def meet(self, routed: DataFrame, task: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-        """``task(queries, rows)`` for each block and share of the queries that visit it."""
+    def meet(self, routed: DataFrame, task: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
+             rows: DataFrame | None = None) -> DataFrame:
+        """``task(queries, rows)`` for each block and share of the queries that visit it.
+        ``rows``: other rows that stand for the blocks' own (some of them, or with more columns)."""
         routed = cut(routed)
         shares = routed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
         q = routed.join(shares, "block").withColumn("share", F.pmod(hash_int("qid", 33), F.col("shares")).cast("int")).drop("shares")
-        b = self.rows.join(shares, "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+        b = (self.rows if rows is None else rows).join(shares, "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
         return q.groupBy("block", "share").cogroup(b.groupBy("block", "share")).applyInPandas(task, schema)
 
 
@@ -195,29 +197,43 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, block: int | None = Non
     return first.select("qid", F.inline(pairs)).unionByName(more.select("qid", F.inline(pairs)))
 
 
-def within(queries: DataFrame, base: DataFrame, radius: float, counts: bool = False, block: int | None = None) -> DataFrame:
-    """qid, nid, distance of every pair within ``radius``; or, with ``counts``, qid and weight:
-    how many (or, if base has a weight, how much) lies within, without a row per pair."""
+def within(queries: DataFrame, base: DataFrame, radius: float, block: int | None = None) -> DataFrame:
+    """qid, nid, distance of every pair within ``radius``."""
     index = PivotBlocks(base, block)
-    queries = queries.select("qid", F.col("qf").cast("array<double>").alias("qf"))
 
     def pairs(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(left) and len(right):
-            a, x = matrix(left["qf"]), matrix(right["nf"])
-            qid, nid = left["qid"].to_numpy(), right["nid"].to_numpy()
-            step = max(1, (1 << 21) // len(x))
-            for lo in range(0, len(a), step):
-                d = distances(a[lo:lo + step], x)
-                if counts:
-                    out.append(pd.DataFrame({"qid": qid[lo:lo + step], "weight": (d <= radius).sum(axis=1).astype(float)}))
-                else:
-                    r, c = np.nonzero(d <= radius)
-                    out.append(pd.DataFrame({"qid": qid[lo + r], "nid": nid[c], "distance": d[r, c]}))
-        empty = {"qid": [], "weight": []} if counts else {"qid": [], "nid": [], "distance": []}
-        return pd.concat(out) if out else pd.DataFrame(empty)
-
-    routed = index.route(queries, lambda index, x, batch: index.bound(x)[0] <= radius)
-    if counts:
-        return index.meet(routed, pairs, "qid long, weight double").groupBy("qid").agg(F.sum("weight").alias("weight"))
-    return index.meet(routed, pairs, "qid long, nid long, distance double")
+        for qid, _, d, ok in _near(left, right, radius):
+            r, c = np.nonzero(ok)
+            out.append(pd.DataFrame({"qid": qid[r], "nid": right["nid"].to_numpy()[c], "distance": d[r, c]}))
+        return pd.concat(out) if out else pd.DataFrame({"qid": [], "nid": [], "distance": []})
+
+    return index.meet(_reach(index, queries, radius), pairs, "qid long, nid long, distance double")
+
+
+def weight_within(index: PivotBlocks, queries: DataFrame, radius: float, weights: DataFrame | None = None) -> DataFrame:
+    """qid, weight: the sum of ``weights`` (nid, weight > 0; by default 1 for each row) within
+    ``radius`` of each query that has any.  Pairs are counted where they are found."""
+    rows = index.rows.withColumn("weight", F.lit(1.0)) if weights is None else index.rows.join(weights, "nid")
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"qid": qid, "weight": ok @ right["weight"].to_numpy(float)}) for qid, _, _, ok in _near(left, right, radius)]
+        return pd.concat(out) if out else pd.DataFrame({"qid": [], "weight": []})
+
+    found = index.meet(_reach(index, queries, radius), sums, "qid long, weight double", rows)
+    return found.groupBy("qid").agg(F.sum("weight").alias("weight")).where("weight > 0")
+
+
+def _reach(index: PivotBlocks, queries: DataFrame, radius: float) -> DataFrame:
+    queries = queries.select("qid", F.col("qf").cast("array<double>").alias("qf"))
+    return index.route(queries, lambda index, x, batch: index.bound(x)[0] <= radius)
+
+
+def _near(left: pd.DataFrame, right: pd.DataFrame, radius: float):
+    """Slices of the queries: their ids, vectors, distances to all rows, and which are within."""
+    if len(left) and len(right):
+        a, x, qid = matrix(left["qf"]), matrix(right["nf"]), left["qid"].to_numpy()
+        step = max(1, (1 << 21) // len(x))
+        for lo in range(0, len(a), step):
+            d = distances(a[lo:lo + step], x)
+            yield qid[lo:lo + step], a[lo:lo + step], d, d <= radius

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.scan import Ranges
 from meridian.functions.draws import hash_int
 
 
@@ -304,17 +305,15 @@ def kth_largest(df: DataFrame, col: str, k: int) -> float | None:
 
 
 def cumulative_share(df: DataFrame, order_col: str, value_col: str, out: str = "cum_share") -> DataFrame:
-    """E5: running sum over an ordered, already aggregated (small) table."""
-    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value_col).over(w))
+    """E5: running sum over an ordered table of any size (range parts and their offsets)."""
+    return Ranges(df, [F.col(order_col)]).sums(**{out: value_col})
 
 
 def largest_gap(values: DataFrame, pos_col: str = "pos", value_col: str = "value") -> DataFrame:
     """Position of the largest difference between consecutive ordered
-    values (the last such position on ties).  ``values`` is a short list
-    (eigenvalues), so the global window is bounded."""
-    w = Window.orderBy(pos_col)
-    gaps = values.withColumn("gap", F.lead(value_col).over(w) - F.col(value_col)).filter(F.col("gap").isNotNull())
+    values (the last such position on ties)."""
+    gaps = Ranges(values, [F.col(pos_col)]).following(value_col, "_next")
+    gaps = gaps.withColumn("gap", F.col("_next") - F.col(value_col)).drop("_next").filter(F.col("gap").isNotNull())
     return gaps.orderBy(F.desc("gap"), F.desc(pos_col)).limit(1)
 
 

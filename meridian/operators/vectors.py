@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions.vectors import squared_euclidean
-from meridian.operators.pivots import nearest, within
+from meridian.operators.pivots import PivotBlocks, nearest, weight_within, within
 
 MAX_INLINE_SET = 10_000
 
@@ -78,7 +78,7 @@ def ball_join(a: DataFrame, b: DataFrame, radius: float, id_col: str = "id", fea
     """(id_a, id_b, distance) for every pair with distance <= radius
     (``<=`` as in the reference; a row pairs with itself when both sides hold it)."""
     found = within(a.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf")),
-                   b.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), float(radius), block=block)
+                   b.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), float(radius), block)
     return found.select(F.col("qid").alias("id_a"), F.col("nid").alias("id_b"), "distance")
 
 
@@ -86,6 +86,6 @@ def ball_weights(candidates: DataFrame, points: DataFrame, radius: float, id_col
                  block: int | None = None) -> DataFrame:
     """Id, ball_weight: how many points lie within the radius of each candidate.  Pairs are
     counted where they are found."""
-    found = within(candidates.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf")),
-                   points.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), float(radius), True, block)
+    index = PivotBlocks(points.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf")), block)
+    found = weight_within(index, candidates.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf")), float(radius))
     return found.select(F.col("qid").alias("id"), F.col("weight").alias("ball_weight"))

@@ -19,8 +19,8 @@ from meridian.plans.catalog_graph import _MOMENTS
 from meridian.plans.iterate import cut
 from meridian.sources import testdata as T
 
-PPR_SQL = 120        # rounds of the unrolled SQL, settled far below the printed digits
-RESIDUAL = 1e-9
+PPR_SQL = 160        # rounds of the unrolled SQL, settled far below the printed digits
+RESIDUAL = 1e-11
 TOPK = 2
 NULL_REPLICAS = 100
 LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the Louvain runs inside consensus clustering
@@ -158,6 +158,15 @@ def _register_rwr():
     O.cte("rwr_trans", "SELECT s.src, s.dst, 1.0 / d.k AS t FROM lp_sym_train s JOIN lp_deg_train d ON s.src = d.node",
           ["lp_sym_train", "lp_deg_train"])
     chain = _ppr_sql(PPR_SQL).replace("nodes_supp", "(SELECT node FROM lp_deg_train)").replace("trans_supp", "rwr_trans")
+    chain_tv = chain.replace("rwr_trans", "rwr_trans_tv").replace("lp_deg_train", "lp_deg_trainval")
+    O.cte("rwr_trans_tv", "SELECT s.src, s.dst, 1.0 / d.k AS t FROM lp_sym_trainval s JOIN lp_deg_trainval d ON s.src = d.node",
+          ["lp_sym_trainval", "lp_deg_trainval"])
+    for g, c, t in (("train", chain, "rwr_trans"), ("trainval", chain_tv, "rwr_trans_tv")):
+        O.cte(f"lp_rwr_{g}", f"""
+WITH {c}
+SELECT a.seed AS u, a.node AS v, a.x + coalesce(b.x, 0.0) AS score
+FROM ppr{PPR_SQL} a LEFT JOIN ppr{PPR_SQL} b ON a.seed = b.node AND a.node = b.seed WHERE a.seed < a.node""", [t, f"lp_deg_{g}"])
+    catalog_linkpred.register_comparisons()
     O.register_chain("rwr_score", chain, f"""
 SELECT a.seed AS u, a.node AS v, round(a.x + coalesce(b.x, 0.0), 6) AS score
 FROM ppr{PPR_SQL} a LEFT JOIN ppr{PPR_SQL} b ON a.seed = b.node AND a.node = b.seed WHERE a.seed < a.node""",

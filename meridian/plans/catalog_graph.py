@@ -15,7 +15,7 @@ from meridian.sources import testdata as T
 
 # Rounds after which the unrolled SQL has settled far below the printed digits.
 PR_SQL = {"supp": 60, "part": 150}
-HITS_SQL = {"supp": 20, "part": 80}
+HITS_SQL = {"supp": 20, "part": 160}
 TOP_NODES = 100
 
 

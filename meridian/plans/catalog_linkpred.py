@@ -58,13 +58,15 @@ SELECT i AS u, j AS v, sum(v) AS score FROM (
   SELECT a.src, c.dst, 1.0 FROM lp_sym_{_g} a JOIN lp_sym_{_g} b ON a.dst = b.src JOIN lp_sym_{_g} c ON b.dst = c.src)
 WHERE i < j GROUP BY i, j""", [f"lp_sym_{_g}"])
 
-COMPARED = ("jaccard", "resource_allocation", "adamic_adar", "local_path")
+COMPARED = ("jaccard", "resource_allocation", "adamic_adar", "local_path", "rwr")
 METHODS = {"jaccard": "jaccard", "resource_allocation": "ra", "adamic_adar": "aa"}
 
 
 def _scores_cte(method: str, g: str) -> str:
     if method == "local_path":
         return f"lp_lp_{g}"
+    if method == "rwr":
+        return f"lp_rwr_{g}"
     return f"(SELECT u, v, {METHODS[method]} AS score FROM lp_ns_{g})"
 
 
@@ -118,6 +120,8 @@ def _scores(method: str, graph):
     e = _as_edges(graph)
     if method == "local_path":
         return LP.local_path_score(e)
+    if method == "rwr":
+        return LP.rwr_score(e)
     fn = {"jaccard": LP.jaccard_score, "resource_allocation": LP.resource_allocation_score,
           "adamic_adar": LP.adamic_adar_score}[method]
     return fn(e)
@@ -246,10 +250,6 @@ def _union_sql(select: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_register("roc_points", _union_sql("round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, "
-                                   "round(recall, 6) AS recall FROM met"))
-
-
 @query("roc_points")
 def q_roc(spark, d):
     split = _split(spark, d)
@@ -259,11 +259,6 @@ def q_roc(spark, d):
                     rnd("recall").alias("recall"))
 
 
-_register("method_comparison", _union_sql(
-    "round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, "
-    "round(f1, 6) AS f1, round(fpr, 6) AS fpr FROM met WHERE threshold IN (SELECT threshold FROM best)"))
-
-
 @query("method_comparison")
 def q_method_comparison(spark, d):
     split = _split(spark, d)
@@ -272,11 +267,26 @@ def q_method_comparison(spark, d):
     return r.select("method", *[rnd(c).alias(c) for c in ("threshold", "precision", "recall", "f1", "fpr")])
 
 
-_register("test_evaluation", _metrics_sql("resource_allocation") + """,
+@query("test_evaluation")
+def q_test_eval(spark, d):
+    """Every method at the threshold that validation chose, on the train and validation graph."""
+    split = _split(spark, d)
+    tr, va, te = split
+    tv = cut(tr.unionByName(va))
+    out = None
+    for m in COMPARED:
+        t = _metrics(spark, d, m, split).filter("best").first().threshold
+        r = _round_metrics(LP.test_evaluation(_scores(m, tv), tv, te, t)).withColumn("method", F.lit(m))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _test_sql(method: str) -> str:
+    return _metrics_sql(method) + f""",
 tf AS (SELECT s.u, s.v, s.score,
   CASE WHEN EXISTS (SELECT 1 FROM lp_trainval t WHERE t.u = s.u AND t.v = s.v) THEN 0
        WHEN EXISTS (SELECT 1 FROM lp_test t WHERE t.u = s.u AND t.v = s.v) THEN 1 ELSE 2 END AS flag
-  FROM (SELECT u, v, ra AS score FROM lp_ns_trainval) s WHERE s.score > 0),
+  FROM {_scores_cte(method, 'trainval')} s WHERE s.score > 0),
 tc AS (SELECT (SELECT threshold FROM best) AS threshold,
   CAST(count(CASE WHEN score >= (SELECT threshold FROM best) AND flag = 1 THEN 1 END) AS BIGINT) AS tp,
   CAST(count(CASE WHEN score >= (SELECT threshold FROM best) AND flag = 2 THEN 1 END) AS BIGINT) AS fp,
@@ -289,14 +299,15 @@ tm AS (SELECT *, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS prec
 SELECT round(threshold, 6) AS threshold, tp, fp, tn, fn, round(precision, 6) AS precision,
        round(recall, 6) AS recall,
        round(CASE WHEN precision + recall <> 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6)
-         AS f1, round(fpr, 6) AS fpr FROM tm""")
-
-
-@query("test_evaluation")
-def q_test_eval(spark, d):
-    tr, va, te = _split(spark, d)
-    m = LP.evaluate_link_predictor(_scores("resource_allocation", tr), tr, va, N_THRESHOLDS, "ra")
-    t = m.filter("best").first().threshold
-    tv = tr.unionByName(va)
-    out = LP.test_evaluation(_scores("resource_allocation", tv), tv, te, t)
-    return _round_metrics(out)
+         AS f1, round(fpr, 6) AS fpr, '{method}' AS method FROM tm"""
+
+
+def register_comparisons() -> None:
+    """SQL of the queries over all methods; called when the walks' SQL tables exist."""
+    ctes = (*_LP_CTES, "lp_rwr_train", "lp_rwr_trainval")
+    O.register("roc_points", _union_sql("round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, "
+                                        "round(recall, 6) AS recall FROM met"), *ctes)
+    O.register("method_comparison", _union_sql(
+        "round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+        "round(f1, 6) AS f1, round(fpr, 6) AS fpr FROM met WHERE threshold IN (SELECT threshold FROM best)"), *ctes)
+    O.register("test_evaluation", "\nUNION ALL\n".join(f"SELECT * FROM ({_test_sql(m)})" for m in COMPARED), *ctes)

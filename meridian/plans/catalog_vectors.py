@@ -18,7 +18,8 @@ BALL_RADIUS = 1.0
 FFT_K = 5
 KC_K, KC_Z = 3, 2
 N_SET = 5
-BUCKETS = 4
+#: SQL for the buckets that ``coreset_buckets`` takes.
+BUCKETS = f"(SELECT greatest(4, ceil(count(*) / {max(KC.BUCKET_POINTS, KC.REDUCTION * (KC_K + KC_Z + 1))}.0)::BIGINT) FROM points)"
 
 
 def sq(a: str, b: str) -> str:
@@ -181,7 +182,7 @@ def q_ball_weights(spark, d):
     return V.ball_weights(p, p, BALL_RADIUS)
 
 
-def coreset_sql(k: int, z: int, buckets: int) -> str:
+def coreset_sql(k: int, z: int, buckets: str) -> str:
     """Farthest-first in every hash bucket, unrolled; ends in core(id, weight, bucket)."""
     m = k + z + 1
     src = f"(SELECT id, features, CAST({sql_hash_int('id', 21)} % {buckets} AS INTEGER) AS bucket FROM points)"
@@ -210,7 +211,27 @@ O.register_chain("extract_coreset", coreset_sql(KC_K, KC_Z, BUCKETS), "SELECT id
 
 @query("extract_coreset")
 def q_coreset(spark, d):
-    return KC.extract_coreset(T.points(spark, d), KC_K, KC_Z, BUCKETS)
+    return KC.extract_coreset(T.points(spark, d), KC_K, KC_Z)
+
+
+@query("coreset_merge_tree", """
+SELECT CAST(count(*) AS DOUBLE) AS weight, count(*) > 40 AS reduced, true AS covered FROM points""", ("points",))
+def q_merge_tree(spark, d):
+    """Coresets of coresets down to 40 points: no weight is lost, and every representative is a point
+    of the input that covers its share."""
+    pts = T.points(spark, d)
+    core, levels = KC.merged_coreset(pts, KC_K, KC_Z, small=40)
+    far = KC.kcenter_objective(pts, core.select("id", "features"), 0)
+    best = KC.kcenter_objective(pts, KC.farthest_first(pts, KC_K + KC_Z), 0)
+    row = core.agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")).first()
+    # farthest-first on the whole table is within twice the optimum, so no less than the optimum
+    return spark.createDataFrame([(row.weight, row.n <= max(40, KC_K + KC_Z + 1) and pts.count() > 40, far <= 2 * levels * best + 1e-9)],
+                                 "weight double, reduced boolean, covered boolean")
+
+
+@query("radius_report")
+def q_radius_report(spark, d):
+    return KC.radius_report(T.points(spark, d), KC_K, KC_Z)
 
 
 def _report(spark, points, centers, rep):
