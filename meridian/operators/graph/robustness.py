@@ -185,9 +185,12 @@ def default_fractions(steps: int = 20) -> list[float]:
 
 def random_removal_curve(edges: DataFrame, fractions: list[float] | None = None, seed: int = 0) -> DataFrame:
     """Removal in a hash-random order."""
-    nodes = graph_nodes(edges)
-    order = _rank(nodes.withColumn("_k", hash_uniform("node", seed)))
-    return _curve(edges, order, fractions or default_fractions())
+    return _curve(edges, random_order(edges, seed), fractions or default_fractions())
+
+
+def random_order(edges: DataFrame, seed: int = 0) -> DataFrame:
+    """node, rank by a hash of the node."""
+    return _rank(graph_nodes(edges).withColumn("_k", hash_uniform("node", seed)))
 
 
 def semi_targeted_removal_curve(edges: DataFrame, fractions: list[float] | None = None, seed: int = 0) -> DataFrame:

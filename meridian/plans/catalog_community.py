@@ -262,9 +262,52 @@ def q_thresholds(spark, d):
     return out.select(*[rnd(c).alias(c) for c in out.columns])
 
 
-@query("random_removal_curve")
+def _curve_sql(key: str, source: str) -> str:
+    """Giant share and kappa after floor(f n) removals in the order of ``key``, for 20 fractions: every
+    component is searched anew."""
+    return f"""
+WITH o AS (SELECT node, row_number() OVER (ORDER BY {key}, node) - 1 AS rank FROM {source}),
+f AS (SELECT CAST(i AS DOUBLE) / 20 AS fraction, CAST(floor(CAST(i AS DOUBLE) / 20 * (SELECT count(*) FROM o)) AS BIGINT) AS n
+      FROM range(20) t(i)),
+e AS (SELECT f.fraction, e.u, e.v FROM f, edges_supp e JOIN o a ON e.u = a.node JOIN o b ON e.v = b.node
+      WHERE a.rank >= f.n AND b.rank >= f.n),
+s AS (SELECT fraction, u, v FROM e UNION SELECT fraction, v, u FROM e),
+c AS (WITH RECURSIVE reach(fraction, node, root) AS (
+    SELECT f.fraction, o.node, o.node FROM f JOIN o ON o.rank >= f.n
+    UNION SELECT r.fraction, s.v, r.root FROM reach r JOIN s ON r.fraction = s.fraction AND r.node = s.u)
+  SELECT fraction, node, min(root) AS c FROM reach GROUP BY fraction, node),
+g AS (SELECT fraction, max(n) AS giant FROM (SELECT fraction, c, count(*) AS n FROM c GROUP BY fraction, c) GROUP BY fraction),
+d AS (SELECT fraction, node, sum(c) AS k FROM (
+  SELECT fraction, u AS node, CASE WHEN u = v THEN 2 ELSE 1 END AS c FROM e
+  UNION ALL SELECT fraction, v, 1 FROM e WHERE u <> v) GROUP BY fraction, node)
+SELECT round(f.fraction, 6) AS fraction, round(g.giant / (SELECT CAST(giant AS DOUBLE) FROM g WHERE fraction = 0), 6) AS giant_share,
+       round(k.kappa, 6) AS kappa
+FROM f JOIN g ON f.fraction = g.fraction LEFT JOIN (
+  SELECT fraction, avg(k * k) / avg(k) AS kappa FROM d GROUP BY fraction) k ON f.fraction = k.fraction"""
+
+
+def _rounded_curve(c):
+    return c.select(*[rnd(x).alias(x) for x in ("fraction", "giant_share", "kappa")])
+
+
+@query("random_removal_curve", _curve_sql(sql_hash_uniform("node", 0), "nodes_supp"), ("nodes_supp", "edges_supp"))
 def q_random_curve(spark, d):
-    return RB.random_removal_curve(_edges(spark, d))
+    return _rounded_curve(RB.random_removal_curve(_edges(spark, d)))
+
+
+@query("removal_curve", """
+SELECT CAST(count(*) AS BIGINT) AS removals, true AS falling, 1.0 AS first_share,
+       round((SELECT avg(degree * degree) / avg(degree) FROM degree_supp), 6) AS first_kappa FROM nodes_supp""", ("nodes_supp", "degree_supp"))
+def q_removal_curve(spark, d):
+    """The curve after every single removal, and what must hold of it."""
+    e = _edges(spark, d)
+    c = cut(RB.removal_curve(e, RB.random_order(e)))
+    from meridian.operators.scan import Ranges
+    steps = Ranges(c, [F.col("n_removed")]).following("giant_share", "next")
+    first = c.where("n_removed = 0").select("giant_share", rnd("kappa").alias("kappa")).first()
+    rises = steps.where("next > giant_share").count()
+    return spark.createDataFrame([(c.count(), rises == 0, first.giant_share, first.kappa)],
+                                 "removals long, falling boolean, first_share double, first_kappa double")
 
 
 @query("random_removal_kappa", f"""
@@ -283,9 +326,9 @@ def q_random_kappa(spark, d):
     return RB.random_removal_curve(_edges(spark, d)).select(rnd("fraction").alias("fraction"), rnd("kappa").alias("kappa"))
 
 
-@query("semi_targeted_removal_curve")
+@query("semi_targeted_removal_curve", _curve_sql(f"-ln({sql_hash_uniform('node', 0)} + 1e-12) / degree", "degree_supp"), ("degree_supp", "edges_supp"))
 def q_semi_curve(spark, d):
-    return RB.semi_targeted_removal_curve(_edges(spark, d))
+    return _rounded_curve(RB.semi_targeted_removal_curve(_edges(spark, d)))
 
 
 @query("targeted_removal_curve")
