@@ -6,9 +6,10 @@ aggregate), so a hub's candidate list is reduced map-side rather than sorted in
 one task.
 
 Synchronous local moves (every node picks its best neighbouring community at
-once) can undo each other; a hash of (node, round) lets only half the nodes
-move per round, and a round whose modularity does not rise is rolled back and
-ends the level.  So modularity never decreases.
+once) can undo each other; a hash of (node, run, round) lets only half of the nodes that gain
+move per round, and a round whose modularity does not rise is rolled back and tried with fewer, in
+the end with one.  So modularity never decreases, and a level ends only where no node gains by a
+move.  Many runs (of a consensus) are one job a round, keyed by run.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.draws import hash_int
-from meridian.operators.graph.build import nodes as graph_nodes, symmetric
+from meridian.operators.graph.build import nodes as graph_nodes
 from meridian.operators.graph.degree import weighted_degree
-from meridian.plans.iterate import cut
+from meridian.plans.iterate import Steps, cut
+
+#: Rounds that do not raise Q, with ever fewer nodes moving, before a single node moves.
+IDLE = 3
 
 
 def modularity(edges: DataFrame, part: DataFrame, resolution: float = 1.0, comm_col: str = "community") -> float:
@@ -47,74 +50,106 @@ def modularity(edges: DataFrame, part: DataFrame, resolution: float = 1.0, comm_
     return float(r.l) / m - resolution * float(r.ss) / (4.0 * m * m)
 
 
-def _local_moving(edges: DataFrame, resolution: float, seed: int, max_rounds: int | None) -> DataFrame:
-    """One Louvain level: node -> community by synchronous guarded moves, until no
-    move raises modularity (or for ``max_rounds`` rounds)."""
-    sym = cut(symmetric(edges).select("src", "dst", F.col("weight").cast("double").alias("w")))
-    k = cut(weighted_degree(edges).select("node", F.col("weighted_degree").alias("k")))
-    m = float(edges.agg(F.sum("weight")).first()[0] or 0.0)
-    part = cut(graph_nodes(edges).select("node", F.col("node").alias("c")))
-    if m == 0:
+def modularity_by_run(edges: DataFrame, part: DataFrame, resolution: float = 1.0) -> dict[int, float]:
+    """H17 of many runs at once: ``edges`` run, u, v, weight; ``part`` run, node, c.  One job, one row a run."""
+    pu = part.select("run", F.col("node").alias("u"), F.col("c").alias("cu"))
+    pv = part.select("run", F.col("node").alias("v"), F.col("c").alias("cv"))
+    e = edges.select("run", "u", "v", F.col("weight").cast("double").alias("w")).join(pu, ["run", "u"]).join(pv, ["run", "v"])
+    ends = F.array(F.struct(F.col("cu").alias("c"), F.col("w").alias("s"), F.when(F.col("cu") == F.col("cv"), F.col("w")).otherwise(0.0).alias("l"),
+                            F.col("w").alias("m")),
+                   F.struct(F.col("cv").alias("c"), F.col("w").alias("s"), F.lit(0.0).alias("l"), F.lit(0.0).alias("m")))
+    per_c = e.select("run", F.inline(ends)).groupBy("run", "c").agg(*[F.sum(x).alias(x) for x in "slm"])
+    found = per_c.groupBy("run").agg(F.sum("l").alias("l"), F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum("m").alias("m")).collect()
+    return {r.run: r.l / r.m - resolution * r.ss / (4.0 * r.m * r.m) if r.m else 0.0 for r in found}
+
+
+def _local_moving(edges: DataFrame, resolution: float, seed: int) -> DataFrame:
+    """One Louvain level of every run: run, node, c by synchronous guarded moves, until no
+    move of a run raises its modularity.  All runs of a round are one job."""
+    keyed = edges.select("run", "u", "v", F.col("weight").cast("double").alias("weight"))
+    sym = cut(keyed.select("run", F.col("u").alias("src"), F.col("v").alias("dst"), F.col("weight").alias("w")).unionByName(
+        keyed.where("u <> v").select("run", F.col("v").alias("src"), F.col("u").alias("dst"), F.col("weight").alias("w"))))
+    k = cut(sym.groupBy("run", F.col("src").alias("node")).agg(
+        F.sum(F.when(F.col("src") == F.col("dst"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k")))
+    mass = {r.run: r.m for r in keyed.groupBy("run").agg(F.sum("weight").alias("m")).collect()}
+    steps = Steps(edges.sparkSession, 3)
+    part = steps.cut(k.select("run", "node", F.col("node").alias("c")))
+    live = sorted(r for r, m in mass.items() if m)
+    if not live:
         return part
-    q_old = modularity(edges, part.withColumnRenamed("c", "community"), resolution)
-    two_m2 = 2.0 * m * m
-    for r in itertools.count() if max_rounds is None else range(max_rounds):
-        stot = part.join(k, "node").groupBy("c").agg(F.sum("k").alias("stot"))
-        nbc = (sym.filter(F.col("src") != F.col("dst"))
-               .join(part.select(F.col("node").alias("dst"), F.col("c").alias("cn")), "dst")
-               .groupBy("src", "cn").agg(F.sum("w").alias("kic")))
-        me = part.select(F.col("node").alias("src"), F.col("c").alias("own")).join(
-            k.select(F.col("node").alias("src"), "k"), "src")
-        own = nbc.join(me, "src").filter(F.col("cn") == F.col("own")).select("src", F.col("kic").alias("kiown"))
-        cand = (nbc.join(me, "src").filter(F.col("cn") != F.col("own"))
-                .join(stot.select(F.col("c").alias("cn"), "stot"), "cn")
-                .join(stot.select(F.col("c").alias("own"), F.col("stot").alias("stot_own")), "own")
-                .join(own, "src", "left"))
-        gain = ((F.col("kic") - F.coalesce("kiown", F.lit(0.0))) / F.lit(m)
-                - F.lit(resolution) * F.col("k") * (F.col("stot") - (F.col("stot_own") - F.col("k"))) / F.lit(two_m2))
-        best = (cand.select("src", F.struct(gain.alias("g"), (-F.col("cn")).alias("neg_c")).alias("b"))
-                .groupBy("src").agg(F.max("b").alias("b"))
-                .select(F.col("src").alias("node"), F.col("b.g").alias("g"), (-F.col("b.neg_c")).alias("to")))
-        # moves to a lower community id cannot undo each other (no swaps);
-        # other moves are allowed for a hash half of the nodes per round
-        may_move = (F.col("to") < F.col("c")) | (F.pmod(hash_int(F.col("node"), seed + r), F.lit(2)) == 0)
-        new = (part.join(best, "node", "left")
-               .select("node", F.when(may_move & (F.col("g") > 1e-12), F.col("to")).otherwise(F.col("c")).alias("c")))
-        new = cut(new)
-        moved = new.join(part.withColumnRenamed("c", "_o"), "node").filter(F.col("c") != F.col("_o")).limit(1).count()
-        if moved == 0:
-            if r % 2 == 0:
-                continue              # the other half may still move
-            break
-        q_new = modularity(edges, new.withColumnRenamed("c", "community"), resolution)
-        if q_new <= q_old + 1e-12:
-            break
-        part, q_old = new, q_new
-    return part
+    m = F.element_at(F.create_map(*[F.lit(x) for r, v in mass.items() for x in (r, float(v))]), F.col("run"))
+    q_old = modularity_by_run(keyed, part, resolution)
+    idle = dict.fromkeys(live, 0)
+    for r in itertools.count():
+        own = part.where(F.col("run").isin(live))
+        me = own.join(k, ["run", "node"])
+        stot = me.groupBy("run", "c").agg(F.sum("k").alias("stot"))
+        nbc = (sym.where(F.col("run").isin(live) & (F.col("src") != F.col("dst")))
+               .join(own.select("run", F.col("node").alias("dst"), F.col("c").alias("cn")), ["run", "dst"])
+               .groupBy("run", F.col("src").alias("node"), "cn").agg(F.sum("w").alias("kic")))
+        near = nbc.join(me, ["run", "node"]).join(stot.withColumnRenamed("c", "cn"), ["run", "cn"])
+        # A node's link weight into its own community, and that community's degrees, ride with each candidate.
+        inside = F.when(F.col("cn") == F.col("c"), F.struct("kic"))
+        at_home = near.groupBy("run", "node").agg(F.max(inside).alias("home"))
+        sizes = me.join(stot, ["run", "c"]).select("run", "node", F.col("stot").alias("stot_own"))
+        gain = ((F.col("kic") - F.coalesce("home.kic", F.lit(0.0))) / m
+                - F.lit(resolution) * F.col("k") * (F.col("stot") - (F.col("stot_own") - F.col("k"))) / (2.0 * m * m))
+        best = (near.where("cn <> c").join(at_home, ["run", "node"]).join(sizes, ["run", "node"])
+                .groupBy("run", "node").agg(F.max(F.struct(gain.alias("g"), (-F.col("cn")).alias("neg_c"))).alias("b")))
+        # Half of the nodes that gain may move; after a round that did not raise Q a quarter, and so
+        # on; in the end the one node that gains most, which always raises Q.
+        want = best.select("run", "node", (-F.col("b.neg_c")).alias("to"), F.col("b.g").alias("g")).where("g > 1e-12")
+        share = F.element_at(F.create_map(*[F.lit(x) for k_, v in idle.items() for x in (k_, 2 << v)]), F.col("run"))
+        drawn = F.pmod(F.xxhash64("node", "run", F.lit(seed + r)), share) == 0
+        single = [x for x in live if idle[x] >= IDLE]
+        want = cut(want.withColumn("drawn", drawn))
+        top = want.groupBy("run").agg(F.max(F.struct("g", (-F.col("node")).alias("n"))).alias("t"), F.count(F.lit(1)).alias("wants"),
+                                      F.sum(F.col("drawn").cast("int")).alias("draws")).collect()
+        one = F.lit(False)
+        for x in top:
+            if x.run in single:
+                one = one | ((F.col("run") == x.run) & (F.col("node") == -x.t.n))
+        goes = F.coalesce(F.when(F.col("run").isin(single), one).otherwise(F.col("drawn")) if single else F.col("drawn"), F.lit(False))
+        moved = cut(own.join(want, ["run", "node"], "left").select("run", "node", F.when(goes, F.col("to")).otherwise(F.col("c")).alias("c")))
+        live = [x.run for x in top]                       # in the others no node gains by a move
+        some = [x.run for x in top if x.run in single or x.draws]
+        q_new = modularity_by_run(keyed.where(F.col("run").isin(some)), moved.where(F.col("run").isin(some)), resolution) if some else {}
+        better = [x for x in some if q_new[x] > q_old[x] + 1e-12]
+        if better:
+            take = F.col("run").isin(better)
+            part = steps.cut(moved.where(take).select("run", "node", "c").unionByName(part.where(~take)))
+            q_old.update((x, q_new[x]) for x in better)
+        idle = {x: 0 if x in better else idle[x] + 1 for x in live if x in better or x not in single}
+        live = sorted(idle)
+        if not live:
+            return cut(part)
+
+
+def louvain_runs(edges: DataFrame, resolution: float = 1.0, seed: int = 0) -> DataFrame:
+    """H18 of many runs at once: run, node, community.  ``edges``: run, u, v, weight.
+
+    Levels: local moving, then contraction of each community into one node (internal
+    weight as a self-loop); a run ends when its partition does not change any more."""
+    nodes = edges.select("run", F.col("u").alias("node")).union(edges.select("run", "v")).distinct()
+    steps = Steps(edges.sparkSession, 2)
+    labels = steps.cut(nodes.select("run", "node", F.col("node").alias("community")))
+    g = edges
+    for level in itertools.count():
+        part = _local_moving(g, resolution, seed + 101 * level)
+        shrunk = [r.run for r in part.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("c").alias("d")).where("d < n").collect()]
+        labels = steps.cut(labels.join(part.select("run", F.col("node").alias("community"), "c"), ["run", "community"], "left")
+                           .select("run", "node", F.coalesce("c", "community").alias("community")))
+        if not shrunk:
+            return labels
+        pu = part.select("run", F.col("node").alias("u"), F.col("c").alias("cu"))
+        pv = part.select("run", F.col("node").alias("v"), F.col("c").alias("cv"))
+        g = cut(g.where(F.col("run").isin(shrunk)).join(pu, ["run", "u"]).join(pv, ["run", "v"])
+                .groupBy("run", F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).agg(F.sum("weight").alias("weight")))
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0, seed: int = 0, max_levels: int | None = None,
-            max_rounds: int | None = None) -> DataFrame:
-    """Node, community (the smallest node id of the community's first
-    level representative).  Levels: local moving, then contraction of each
-    community into one node (internal weight as a self-loop); repeat while
-    the partition changes."""
-    labels = cut(graph_nodes(edges).select("node", F.col("node").alias("community")))
-    g = edges
-    for lvl in itertools.count() if max_levels is None else range(max_levels):
-        part = _local_moving(g, resolution, seed + 101 * lvl, max_rounds)
-        n_before = part.count()
-        n_after = part.select("c").distinct().count()
-        labels = cut(labels.join(part.select(F.col("node").alias("community"), F.col("c").alias("_nc")),
-                                 "community").select("node", F.col("_nc").alias("community")))
-        if n_after == n_before:
-            break
-        pu = part.select(F.col("node").alias("u"), F.col("c").alias("cu"))
-        pv = part.select(F.col("node").alias("v"), F.col("c").alias("cv"))
-        g = cut(g.join(pu, "u").join(pv, "v")
-                .select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v"), "weight")
-                .groupBy("u", "v").agg(F.sum("weight").alias("weight")))
-    return labels
+def louvain(edges: DataFrame, resolution: float = 1.0, seed: int = 0) -> DataFrame:
+    """Node, community, to the end of the last level."""
+    return louvain_runs(edges.select(F.lit(0).alias("run"), "u", "v", "weight"), resolution, seed).select("node", "community")
 
 
 def co_association(runs: DataFrame, pairs: DataFrame, n_runs: int | None = None) -> DataFrame:
@@ -132,26 +167,23 @@ def co_association(runs: DataFrame, pairs: DataFrame, n_runs: int | None = None)
 
 
 def consensus_clustering(edges: DataFrame, runs: int = 5, tol: float = 0.01, max_iter: int = 3,
-                         resolution: float = 1.0, seed: int = 0, max_levels: int | None = None,
-                         max_rounds: int | None = None) -> DataFrame:
-    """H20 (Q9): ``runs`` Louvain runs, co-association on the current edges as
-    the new weights, repeat until the weights change by less than ``tol``
+                         resolution: float = 1.0, seed: int = 0) -> DataFrame:
+    """H20 (Q9): ``runs`` Louvain runs (one job a round for all of them), co-association on the current
+    edges as the new weights, repeat until the weights change by less than ``tol``
     (Frobenius) or ``max_iter``; then one more Louvain run."""
     g = edges.select("u", "v", F.col("weight").cast("double").alias("weight"))
     for it in range(max_iter):
-        labs = None
-        for r in range(runs):
-            lab = louvain(g, resolution, seed + 1000 * it + 17 * r, max_levels, max_rounds).withColumn("run", F.lit(r))
-            labs = lab if labs is None else labs.unionByName(lab)
-        labs = cut(labs)
-        co = co_association(labs, g, runs)
-        new = cut(co.filter(F.col("share") > 0).select("u", "v", F.col("share").alias("weight")))
+        every = cut(g.withColumn("run", F.explode(F.array(*[F.lit(r) for r in range(runs)]))))
+        labs = louvain_runs(every, resolution, seed + 1000 * it)
+        new = cut(co_association(labs, g, runs).filter(F.col("share") > 0).select("u", "v", F.col("share").alias("weight")))
         diff = (g.join(new.withColumnRenamed("weight", "_n"), ["u", "v"], "full")
                 .agg(F.sum(F.pow(F.coalesce("weight", F.lit(0.0)) - F.coalesce("_n", F.lit(0.0)), 2))).first()[0])
         g = new
         if (diff or 0.0) ** 0.5 < tol:
             break
-    return louvain(g, resolution, seed + 99991, max_levels, max_rounds)
+    # Nodes that share no run with any neighbour have lost all their edges: they stay communities of their own.
+    last = louvain(g, resolution, seed + 99991)
+    return graph_nodes(edges).join(last, "node", "left").select("node", F.coalesce("community", "node").alias("community"))
 
 
 def authority_shifting(edges: DataFrame, k: int = 2, resolution: float = 1.0, residual: float = 1e-9,

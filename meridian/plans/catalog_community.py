@@ -23,8 +23,6 @@ PPR_SQL = 160        # rounds of the unrolled SQL, settled far below the printed
 RESIDUAL = 1e-11
 TOPK = 2
 NULL_REPLICAS = 100
-LV_LEVELS, LV_ROUNDS = 2, 6     # caps for the Louvain runs inside consensus clustering
-CONSENSUS_ITER = 1              # co-association rounds of the registered query (library default 3)
 
 
 def _edges(spark, d, kind="supp"):
@@ -54,6 +52,19 @@ def q_louvain(spark, d):
     return lab.withColumn("modularity", F.lit(q))
 
 
+@query("louvain_invariants", """
+SELECT CAST(count(*) AS BIGINT) AS nodes, CAST(count(*) AS BIGINT) AS labelled, true AS above_single_nodes, true AS inside_components
+FROM nodes_part""", ("nodes_part",))
+def q_louvain_invariants(spark, d):
+    """A partition of all nodes, better than single nodes, no community in two components."""
+    e = _edges(spark, d, "part")
+    lab = cut(CM.louvain(e))
+    single = CM.modularity(e, GB.nodes(e).withColumn("community", F.col("node")))
+    spread = lab.join(GC.connected_components(e), "node").groupBy("community").agg(F.countDistinct("component").alias("n")).where("n > 1")
+    row = (GB.nodes(e).count(), lab.select("node").distinct().count(), CM.modularity(e, lab) > single, spread.isEmpty())
+    return spark.createDataFrame([row], "nodes long, labelled long, above_single_nodes boolean, inside_components boolean")
+
+
 @query("community_modularity_summary")
 def q_louvain_summary(spark, d):
     from meridian.operators import relational as R
@@ -85,7 +96,7 @@ def q_co_association(spark, d):
 @query("consensus_clustering")
 def q_consensus(spark, d):
     e = _edges(spark, d, "part")
-    lab = CM.consensus_clustering(e, runs=5, max_iter=CONSENSUS_ITER, max_levels=LV_LEVELS, max_rounds=LV_ROUNDS)
+    lab = CM.consensus_clustering(e, runs=5)
     return lab.withColumn("modularity", F.lit(CM.modularity(e, lab)))
 
 

@@ -72,9 +72,21 @@ def test_louvain_finds_cliques(spark, graph):
     assert all(len({lab[n] for n in g}) == 1 for g in groups) and len(set(lab.values())) == 4
 
 
+def test_runs_together_are_as_good_as_runs_alone(spark, graph):
+    """Three graphs of different kinds as three runs of one job; each run ends as if it were alone."""
+    pairs = {0: [(r.u, r.v, r.weight) for r in graph.collect()], 1: [(i, (i + 1) % 30, 1) for i in range(30)], 2: [(i, i + 1, 1) for i in range(0, 20, 2)]}
+    every = spark.createDataFrame([(k, *e) for k, es in pairs.items() for e in es], "run int, u long, v long, weight long")
+    lab = {k: {} for k in pairs}
+    for r in CM.louvain_runs(every).collect():
+        lab[r.run][r.node] = r.community
+    q = CM.modularity_by_run(every, spark.createDataFrame([(k, n, c) for k, x in lab.items() for n, c in x.items()], "run int, node long, c long"))
+    assert q[0] == pytest.approx(CM.modularity(graph, CM.louvain(graph)), abs=1e-9)
+    assert q[1] > 0.55 and q[2] == pytest.approx(0.9) and len(set(lab[2].values())) == 10
+
+
 def test_consensus_and_authority_shifting(spark, graph):
     single = CM.modularity(graph, GB.nodes(graph).withColumn("community", F.col("node")))
-    for lab in (CM.consensus_clustering(graph, runs=1, max_iter=1), CM.authority_shifting(graph, residual=1e-6)):
+    for lab in (CM.consensus_clustering(graph, runs=3), CM.authority_shifting(graph, residual=1e-6)):
         lab = lab.cache()
         assert lab.count() == lab.select("node").distinct().count() == 21
         assert CM.modularity(graph, lab) > single
