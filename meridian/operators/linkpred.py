@@ -2,14 +2,18 @@
 
 Pairs are canonical (u < v, no self pairs).  Neighbour-based scores are
 computed only for pairs that share a neighbour (the only pairs with a
-positive score) from the chunked wedge join, so the n^2 pair space is never
-built.  The threshold sweep turns each pair into the index of the highest
+positive score), from the chunked wedge join or, on dense graphs, from adjacency tiles,
+so the n^2 pair space is never built as rows.  The threshold sweep turns each pair into the index of the highest
 threshold it reaches and aggregates per (flag, index) - a table of at most
 2 x n_thresholds rows - so no pair x threshold product is formed.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ from meridian.operators.sampling import smallest_n
 from meridian.plans.iterate import cut
 
 HOLDOUT = 0.2
+#: Nodes of an adjacency tile, and columns that are multiplied at a time.
+TILE, COLUMNS = 1024, 4096
 
 
 def edge_hash(seed: int):
@@ -49,10 +55,20 @@ def edge_split(edges: DataFrame, share: float = HOLDOUT, seed: int = 12345):
     return cut(train), cut(val), cut(test)
 
 
-def _neighbour_scores(edges: DataFrame) -> DataFrame:
-    """u, v, cn, ra, aa for non-adjacent pairs with a common neighbour."""
+def _neighbour_scores(edges: DataFrame, dense: bool | None = None) -> DataFrame:
+    """u, v, cn, ra, aa, jaccard for non-adjacent pairs with a common neighbour.
+
+    A sparse graph goes through wedges (a row for each path u - w - v, summed by pair).  Where there
+    are more wedges than pairs of nodes, ``dense`` tiles of the adjacency are multiplied
+    instead, and no wedge becomes a row."""
     sym = symmetric(edges)
-    nbrs = sym.select("src", "dst").distinct()
+    nbrs = cut(sym.select("src", "dst").distinct())
+    if dense is None:
+        d = nbrs.where("src <> dst").groupBy("src").agg(F.count(F.lit(1)).alias("d"))
+        r = d.agg(F.sum(F.col("d") * (F.col("d") - 1) / 2).alias("wedges"), F.count(F.lit(1)).alias("n")).first()
+        dense = (r.wedges or 0) > r.n * (r.n - 1) / 2
+    if dense:
+        return _tile_scores(nbrs, degree(edges))
     k = degree(edges).select(F.col("node").alias("w"), F.col("degree").alias("_kw"))
     cnt = nbrs.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
     wedges = common_neighbor_pairs(sym).join(k, "w")
@@ -64,7 +80,57 @@ def _neighbour_scores(edges: DataFrame) -> DataFrame:
     nu = cnt.select(F.col("node").alias("u"), F.col("_n").alias("_nu"))
     nv = cnt.select(F.col("node").alias("v"), F.col("_n").alias("_nv"))
     return (agg.join(nu, "u").join(nv, "v")
-            .withColumn("jaccard", F.col("cn") / (F.col("_nu") + F.col("_nv") - F.col("cn"))))
+            .withColumn("jaccard", F.col("cn") / (F.col("_nu") + F.col("_nv") - F.col("cn")))).drop("_nu", "_nv")
+
+
+def _tile_scores(nbrs: DataFrame, k: DataFrame) -> DataFrame:
+    """The same by adjacency tiles: nodes are dealt to blocks of about ``TILE``, each pair of blocks is one
+    task that multiplies their rows, ``COLUMNS`` common neighbours at a time, leaves out
+    adjacent pairs and emits one row for each pair that has a common neighbour."""
+    kw = k.select(F.col("node").alias("dst"), F.col("degree").cast("double").alias("k"))
+    links = nbrs.join(kw, "dst").groupBy(F.col("src").alias("node")).agg(F.collect_list(F.struct("dst", "k")).alias("near"))
+    links = links.select("node", F.transform("near", lambda x: x["dst"]).alias("near"), F.transform("near", lambda x: x["k"]).alias("k"))
+    blocks = max(1, math.ceil(k.count() / TILE))
+    rows = cut(links.withColumn("b", F.pmod(hash_keys(["node"], 71), F.lit(blocks)).cast("int")))
+    left = rows.select("node", "near", "k", F.col("b").alias("r"), F.explode(F.sequence(F.col("b"), F.lit(blocks - 1))).alias("c"))
+    right = rows.select("node", "near", "k", F.col("b").alias("c"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("r"))
+
+    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        names = ["u", "v", "cn", "ra", "aa", "jaccard"]
+        if a.empty or b.empty:
+            return pd.DataFrame({c: [] for c in names})
+        u, v = a["node"].to_numpy(np.int64), b["node"].to_numpy(np.int64)
+        size = [x["near"].map(len).to_numpy() for x in (a, b)]
+        near = [np.concatenate(x["near"].to_numpy()).astype(np.int64) for x in (a, b)]
+        row = [np.repeat(np.arange(len(n)), n) for n in size]
+        every, first = np.unique(np.concatenate(near), return_index=True)
+        weight = np.concatenate([np.concatenate(x["k"].to_numpy()) for x in (a, b)])[first]
+        at = [np.searchsorted(every, n) for n in near]
+        cn, ra, aa = np.zeros((3, len(u), len(v)))
+        for lo in range(0, len(every), COLUMNS):
+            m = []
+            for i, ids in enumerate((u, v)):
+                own = (at[i] >= lo) & (at[i] < lo + COLUMNS) & (near[i] != ids[row[i]])       # self-loops are no neighbours
+                x = np.zeros((len(ids), min(COLUMNS, len(every) - lo)))
+                x[row[i][own], at[i][own] - lo] = 1
+                m.append(x)
+            w = weight[lo:lo + COLUMNS]
+            cn += m[0] @ m[1].T
+            ra += (m[0] / w) @ m[1].T
+            aa += (m[0] * np.where(w > 1, 1 / np.log(np.maximum(w, 1.5)), 0)) @ m[1].T
+        apart = cn > 0.5
+        # Adjacent pairs are known already.
+        where = np.searchsorted(np.sort(v), near[0])
+        hit = (where < len(v)) & (np.sort(v)[np.minimum(where, len(v) - 1)] == near[0])
+        apart[row[0][hit], np.argsort(v)[where[hit]]] = False
+        apart &= u[:, None] < v if a["r"].iloc[0] == a["c"].iloc[0] else u[:, None] != v
+        i, j = np.nonzero(apart)
+        both = size[0][i] + size[1][j] - cn[i, j]
+        return pd.DataFrame({"u": np.minimum(u[i], v[j]), "v": np.maximum(u[i], v[j]), "cn": np.rint(cn[i, j]).astype(np.int64),
+                             "ra": ra[i, j], "aa": aa[i, j], "jaccard": cn[i, j] / both})
+
+    return left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInPandas(
+        product, "u long, v long, cn long, ra double, aa double, jaccard double")
 
 
 def jaccard_score(edges: DataFrame) -> DataFrame:
