@@ -1,13 +1,14 @@
 """Licence scan by canonical digests (DataFrame functions only).
 
 A text is put into canonical form line by line: lower case, lines that only state
-a copyright dropped, punctuation and white space reduced to word borders, and
+a copyright or that all rights are reserved dropped (also behind comment marks), punctuation and white space reduced to word borders, and
 equivalent spellings unified.  The SHA-256 digest of the whole canonical text is
 hash-joined to the digests of the known licence texts (a list of a few dozen, so
 the join needs no shuffle at any size).  The digest of every single line is looked
 up in the same list, which finds licence notices inside a document.
 
-Null texts count as empty; an empty text has the digest of nothing and no licence.
+Null texts count as empty; an empty text has the digest of nothing and no licence.  A text of
+any length is read whole; an empty table gives no rows.
 Each row stands for itself, so hot or repeated rows cost nothing extra.  Other
 columns play no part.
 """
@@ -19,10 +20,12 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.license_texts import EQUIVALENT, KNOWN
+from meridian.llm.license_texts import DIGESTS, EQUIVALENT, KNOWN
 
 _BORDER = r"[^\p{L}\p{N}]+"
-_COPYRIGHT = ("copyright", "(c)", "©")
+#: Marks that a comment puts before a line, in front of what is looked at.
+_MARKS = r"^[\s#*/;!%<>|-]+"
+_COPYRIGHT = ("copyright", "(c)", "©", "all rights reserved")
 
 
 def _line(x: Column) -> Column:
@@ -36,7 +39,7 @@ def canonical_lines(text: Column) -> Column:
     """Canonical form of each line that holds words and is no copyright line."""
     lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
     stated = F.filter(lines, lambda x: ~functools.reduce(
-        lambda a, b: a | b, [F.startswith(F.trim(x), F.lit(c)) for c in _COPYRIGHT]))
+        lambda a, b: a | b, [F.startswith(F.regexp_replace(x, _MARKS, ""), F.lit(c)) for c in _COPYRIGHT]))
     return F.filter(F.transform(stated, _line), lambda x: x != "")
 
 
@@ -44,7 +47,10 @@ def known_digests(df: DataFrame) -> DataFrame:
     """digest, license: one row for each known text."""
     rows = df.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in KNOWN])))
-    return rows.select(F.sha2(F.array_join(canonical_lines(F.col("text")), "  "), 256).alias("digest"), "license").distinct()
+    rows = rows.select(F.sha2(F.array_join(canonical_lines(F.col("text")), "  "), 256).alias("digest"), "license")
+    more = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(digest).alias("digest"), F.lit(name).alias("license")) for name, digest in DIGESTS])))
+    return rows.unionByName(more).distinct()
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,14 +75,16 @@ def license_sql() -> str:
         return f"trim({out})"
 
     def lines(text: str) -> str:
-        plain = " AND ".join(f"NOT starts_with(trim(x), '{c}')" for c in _COPYRIGHT)
+        plain = " AND ".join(f"NOT starts_with(regexp_replace(x, '{_MARKS}', ''), '{c}')" for c in _COPYRIGHT)
         return (f"list_filter(list_transform(list_filter(string_split(lower(coalesce({text}, '')), chr(10)), lambda x: {plain}), "
                 f"lambda x: {line('x')}), lambda x: x <> '')")
 
+    digests = ", ".join(f"('{d}', '{n}')" for n, d in DIGESTS)
     quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN)
     return f"""
 WITH known AS (SELECT DISTINCT sha256(array_to_string({lines('text')}, '  ')) AS digest, license
-               FROM (VALUES {quoted}) AS k(license, text)),
+               FROM (VALUES {quoted}) AS k(license, text)
+               UNION SELECT digest, license FROM (VALUES {digests}) AS x(digest, license)),
 d AS (SELECT row_number() OVER () AS rn, doc_id, {lines('text')} AS lines FROM documents),
 n AS (SELECT rn, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
       FROM (SELECT rn, sha256(unnest(lines)) AS digest FROM d) JOIN known USING (digest) GROUP BY rn)

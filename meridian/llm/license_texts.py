@@ -115,6 +115,23 @@ KNOWN = [
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
 
+#: SHA-256 of the canonical form of published texts that are too long to stand here.
+DIGESTS = [
+    ("Apache-2.0", "1eea21f187a2e1eb3d3733d9c526b7b49f61e2b7686f5d2bf78916b1cbf85e47"),
+    ("Artistic-1.0-Perl", "5275e4f2a94ce30c18a927e254625f5d762f689d2dfd148b8dc3f09933f50d15"),
+    ("CC0-1.0", "5caa6b96e2c9f66e9ca02d726096312a8662a9c4fea6446ff24fee66902e58dc"),
+    ("GFDL-1.2", "e2ff9bf05ca2e1ebc63c4814dd7f65e571d115388b2c3f0a5ecd9804ee6589a4"),
+    ("GFDL-1.3", "c4f2050753c38be4737f4dfdf125886a9b8b15f6046393b146831ceb38752cc7"),
+    ("GPL-1.0-only", "869d156f07824e4287a2959e638586941efcb3774b5e407be30ff180ac13548b"),
+    ("GPL-2.0-only", "7baad5c5936636b4202790e310f859d5160f5d94882e01a9bea97731368bb680"),
+    ("GPL-3.0-only", "7effc07ab96d6529b213f14318e223d380bb1b8d121c8e9ff6805ae269a51a8b"),
+    ("LGPL-2.0-only", "21fbaeb8be88e583ab343bf80bbf47d0cd99848f3f6bfcc86a2b6d0e1c9936f4"),
+    ("LGPL-2.1-only", "112a6c1bd3a2dacff9929edebbcb5dba908c02e8499c391de4e7e4b05656aedd"),
+    ("LGPL-3.0-only", "572947626844a56d29ace510237040204d4085696621f319533ca366aa897913"),
+    ("MPL-1.1", "34f79eb282730a867c553a22dd72646e4c154690f6d51dbc88a1fbf6b3cb7a76"),
+    ("MPL-2.0", "1f9b7661552309dc69cee928f7d32ed3280cbc918bfeced108b8b7d3f68f5452"),
+]
+
 EQUIVALENT = [
     ("acknowledgement", "acknowledgment"),
     ("analogue", "analog"),
