@@ -156,6 +156,15 @@ def initial_radius(points: DataFrame, m: int, id_col: str = "id", feat_col: str
     return float(pos.min()) / 2.0 if pos.size else 0.0
 
 
+def _nearest_other(w: DataFrame) -> float:
+    """The least positive distance of any point to the first by id (0 if there is none)."""
+    first = w.orderBy("id").select("features").first()
+    if first is None:
+        return 0.0
+    d = w.select(F.sqrt(squared_euclidean(F.col("features"), _lit_vec(list(first.features)))).alias("d")).where("d > 0")
+    return float(d.agg(F.min("d")).first()[0] or 0.0)
+
+
 def weighted_kcenter_outliers(wpoints: DataFrame, k: int, z: float, alpha: float,
                               id_col: str = "id", feat_col: str = "features", weight_col: str = "weight",
                               small: int = SMALL):
@@ -174,8 +183,8 @@ def weighted_kcenter_outliers(wpoints: DataFrame, k: int, z: float, alpha: float
                        F.col(weight_col).cast("double").alias("weight"))
     rows = w.limit(small + 1).collect()                       # at most small + 1 rows
     n = len(rows) if len(rows) <= small else w.count()
-    # The least positive distance among the first k+z+1 points by id.
-    r = r_min = initial_radius(w, k + int(z) + 1) or 1e-12
+    # Half the least positive distance among the first k+z+1 points by id or, if these coincide, from them to any.
+    r = r_min = initial_radius(w, k + int(z) + 1) or _nearest_other(w) / 2 or 1e-12
     steps = _LocalSteps(rows) if n == len(rows) else _DistributedSteps(w)
     guesses = 1
     while True:
@@ -202,7 +211,7 @@ class _LocalSteps:
     def __init__(self, rows: list):
         rows = sorted(rows, key=lambda r: (r.id, r.weight))
         self.ids = [r.id for r in rows]
-        self.x = np.array([r.features for r in rows], float).reshape(len(rows), -1)
+        self.x = np.array([r.features for r in rows], float) if rows else np.zeros((0, 1))
         self.w = np.array([r.weight for r in rows], float)
         self.d = distances(self.x, self.x)                     # at most SMALL x SMALL
 

@@ -27,14 +27,21 @@ def test_many_points_many_outliers(spark, monkeypatch):
 
 def test_distributed_steps_equal_local_ones(spark):
     rng = np.random.default_rng(5)
-    x = np.round(rng.normal(size=(400, 2)) * 6)
-    x[:80] = x[0]
+    x = np.round(rng.normal(size=(150, 2)) * 2)
+    x[-40:] = x[0]
     df = cut(spark.createDataFrame([(i, v, float(1 + i % 3)) for i, v in enumerate(x.tolist())], "id long, features array<double>, weight double"))
-    near, a = KC.weighted_kcenter_outliers(df, 3, 5, 1.0)
-    far, b = KC.weighted_kcenter_outliers(df, 3, 5, 1.0, small=50)
+    near, a = KC.weighted_kcenter_outliers(df, 2, 5, 1.0)
+    far, b = KC.weighted_kcenter_outliers(df, 2, 5, 1.0, small=50)
     assert a == b and near.orderBy("rank").collect() == far.orderBy("rank").collect()
 
 
+def test_first_points_that_coincide(spark):
+    rows = [(i, [0.0, 0.0], 1.0) for i in range(20)] + [(20 + i, [float(i + 4), 0.0], 1.0) for i in range(6)]
+    df = cut(spark.createDataFrame(rows, "id long, features array<double>, weight double"))
+    _, rep = KC.weighted_kcenter_outliers(df, 2, 1, 0.0)
+    assert rep["initial_guess"] == 2.0 and rep["n_guesses"] <= 2
+
+
 def test_few_points(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, features array<double>")
     centers, rep = KC.mr_kcenter_outliers(df, 3, 2)
