@@ -93,12 +93,14 @@ def _tile_scores(nbrs: DataFrame, k: DataFrame) -> DataFrame:
     blocks = max(1, math.ceil(k.count() / TILE))
     rows = cut(links.withColumn("b", F.pmod(hash_keys(["node"], 71), F.lit(blocks)).cast("int")))
     left = rows.select("node", "near", "k", F.col("b").alias("r"), F.explode(F.sequence(F.col("b"), F.lit(blocks - 1))).alias("c"))
-    right = rows.select("node", "near", "k", F.col("b").alias("c"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("r"))
+    right = rows.select(F.col("node").alias("v_node"), F.col("near").alias("v_near"), F.col("k").alias("v_k"), F.col("b").alias("c"),
+                        F.explode(F.sequence(F.lit(0), F.col("b"))).alias("r"))
 
     def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         names = ["u", "v", "cn", "ra", "aa", "jaccard"]
         if a.empty or b.empty:
             return pd.DataFrame({c: [] for c in names})
+        b = b.rename(columns=lambda x: x.removeprefix("v_"))
         u, v = a["node"].to_numpy(np.int64), b["node"].to_numpy(np.int64)
         size = [x["near"].map(len).to_numpy() for x in (a, b)]
         near = [np.concatenate(x["near"].to_numpy()).astype(np.int64) for x in (a, b)]

@@ -5,9 +5,9 @@ from conftest import edges_df
 from meridian.operators import linkpred as LP
 
 
-@pytest.mark.parametrize(("n", "share"), [(60, 0.4), (90, 0.08)])
-def test_tiles_equal_wedges(spark, monkeypatch, n, share):
-    monkeypatch.setattr(LP, "TILE", 25)
+@pytest.mark.parametrize(("n", "share", "tile"), [(60, 0.4, 25), (90, 0.08, 25), (60, 0.4, 1024)])
+def test_tiles_equal_wedges(spark, monkeypatch, n, share, tile):
+    monkeypatch.setattr(LP, "TILE", tile)
     rng = np.random.default_rng(n)
     pairs = [(i * 7, j * 7) for i in range(n) for j in range(i, n) if rng.random() < (share if i != j else 0.1)]
     e = edges_df(spark, pairs)
