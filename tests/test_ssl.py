@@ -107,3 +107,41 @@ def test_no_unlabelled_and_one_unlabelled_row(spark):
                                "id long, features array<double>, label int, y_true int, is_labeled boolean")
     assert [(r.id, round(r.y, 6)) for r in S.solution(df, "gd", "knn").collect()] == [(2, 1.0)]
     assert S.solution(df.where("is_labeled"), "bcgd_cyclic", "random").count() == 0
+
+
+def test_tiles_are_stored_in_strips_or_not_at_all(lp, dense, monkeypatch):
+    ids, _, inner, _, _ = dense
+    monkeypatch.setattr(K, "STRIP", 16)
+    monkeypatch.setattr(K, "SLICE", 23)
+    points = lp.where("not is_labeled")
+    stored = K.KernelTiles(points, tile=60)
+    assert max(len(r.w) for r in stored.tiles.collect()) <= 16 * 8 * max(np.diff(stored.first))
+    monkeypatch.setattr(K, "HELD_BYTES", 64)
+    for tiles in (stored, K.KernelTiles(points, tile=60)):
+        d = np.random.default_rng(5).random((len(ids), 2))
+        d[3:40, 1] = 0
+        at = np.searchsorted(ids, tiles.ids)
+        want = inner[np.ix_(at, at)] @ d
+        assert np.allclose(tiles.product(d), want)
+
+        def program(d=d):
+            got = yield d
+            return [(i, float(x[0]), float(x[1])) for i, x in enumerate(got)]
+
+        assert np.allclose([r[1:] for r in sorted(tiles.run(program, "i int, a double, b double").collect())], want)
+    assert "w" in stored.tiles.columns and "w" not in tiles.tiles.columns
+
+
+def test_kernel_sums_blocks_stay_few(lp, dense, monkeypatch):
+    ids, total, _, b, _ = dense
+    monkeypatch.setattr(S, "STEP", 17)
+    lab, unl = lp.where("is_labeled").selectExpr("id", "features", "label ybar"), lp.where("not is_labeled")
+    got = {r.id: r for r in S.kernel_sums(unl, lab, ["one", "ybar"], tile=4).collect()}
+    assert np.allclose([got[i].s_ybar for i in ids.tolist()], b)
+    sent = []
+    explode = S.F.explode
+    monkeypatch.setattr(S.F, "explode", lambda c: sent.append(c) or explode(c))
+    inner = S.kernel_sums(unl, unl, ["one"], tile=4)
+    outer = {i: got[i].s_one for i in got}
+    assert np.allclose([outer[r.id] + r.s_one for r in sorted(inner.collect())], total)
+    assert unl.limit(1).select(explode(sent[0])).count() <= S.SPLITS
