@@ -102,3 +102,36 @@ def test_two_round_objective_close_to_sequential(spark):
     o_seq = KC.kcenter_objective(pts, seq_centers, 2)
     o_mr = KC.kcenter_objective(pts, mr_centers, 2)
     assert 0 < o_mr <= 10 * o_seq and rep["n_guesses"] >= 1
+
+
+def test_products_sort_out_what_differences_decide():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 5)) + 1e4                       # squared distances cancel in a product
+    x[40:90] = x[7]
+    x[100:140] = x[7] + 1e-7 * rng.normal(size=(40, 5))
+    a = x[::3]
+    d = P.distances(a, x)
+    for worst in (np.full(len(a), np.inf), np.sort(d, axis=1)[:, 20]):
+        i, j, got = P.k_nearest(a, x, 6, worst)
+        order = np.argsort(d, axis=1, kind="stable")[:, :6]
+        assert (j.reshape(-1, 6) == order).all() and (got.reshape(-1, 6) == np.take_along_axis(d, order, axis=1)).all()
+    for radius in (0.0, float(d[0, 110]), 1.5, -1.0, float("inf")):
+        ok = np.concatenate([ok for _, ok in P.is_within(a, x, radius)])
+        assert (ok == (d <= radius)).all()
+
+
+def test_a_query_goes_once_to_a_group_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(P, "GROUPS", 3)
+    x, df = clustered(spark, n=1500, hot=300)
+    q = df.where("id % 5 = 3").selectExpr("id AS qid", "features AS qf")
+    index = P.PivotBlocks(df.selectExpr("id AS nid", "features AS nf"), 60)
+    assert index.blocks > 20 and index.groups == 3
+    routed = index.route(q, lambda index, x, batch: np.ones((len(x), index.blocks), bool)).collect()
+    assert len(routed) == 3 * q.count()
+    for i in {r.qid for r in routed}:
+        assert sorted(b for r in routed if r.qid == i for b in r.blocks) == list(range(index.blocks))
+    ids = sorted(r.qid for r in q.collect())
+    d = np.sqrt(((x[ids][:, None] - x[None]) ** 2).sum(-1))
+    got = {(r.qid, r["rank"]): r.nid for r in V.knn_join(df.where("id % 5 = 3"), df, 7, block=60).collect()}
+    for i, row in zip(ids, d, strict=True):
+        assert [got[i, k + 1] for k in range(7)] == np.lexsort((np.arange(len(x)), row))[:7].tolist()
