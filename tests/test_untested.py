@@ -210,3 +210,16 @@ def test_kcenter_with_outliers(spark):
     assert sum(c.weight for c in core) == len(x) and len(core) <= 4 * 6
     centers, _ = KC.mr_kcenter_outliers(points, 3, 2)
     assert KC.kcenter_objective(points, centers, 2) < 4
+
+
+def test_push_by_blocks_of_seeds_equals_push_by_joins(spark, graph, monkeypatch):
+    seeds = spark.createDataFrame([(i,) for i in (0, 1, 2, 3, 101, 101, 999)], "seed long")     # one twice, one outside the graph
+    monkeypatch.setattr(GR, "PUSH_SEEDS", 2)
+    found = []
+    for nodes in (GR.PUSH_NODES, 0):
+        monkeypatch.setattr(GR, "PUSH_NODES", nodes)
+        found.append({(r.seed, r.node): r.score for r in GR.personalized_pagerank(graph, seeds, residual=1e-9).collect()})
+        with pytest.raises(RuntimeError):
+            GR.personalized_pagerank(graph, seeds, residual=1e-9, max_rounds=3)
+    assert found[0].keys() == found[1].keys() and {s for s, _ in found[0]} == {0, 1, 2, 3, 101, 999}
+    assert all(abs(found[0][k] - found[1][k]) < 1e-9 for k in found[0])
