@@ -145,3 +145,17 @@ def test_kernel_sums_blocks_stay_few(lp, dense, monkeypatch):
     outer = {i: got[i].s_one for i in got}
     assert np.allclose([outer[r.id] + r.s_one for r in sorted(inner.collect())], total)
     assert unl.limit(1).select(explode(sent[0])).count() <= S.SPLITS
+
+
+def test_cores_of_an_executor_are_found_where_the_master_names_them():
+    from types import SimpleNamespace as N
+
+    from meridian.operators.kernel import executor_cores
+
+    def session(master, cores=None):
+        conf = N(get=lambda key, default=None: cores or default)
+        return N(sparkContext=N(master=master, defaultParallelism=8, getConf=lambda: conf))
+
+    assert executor_cores(session("local-cluster[3,4,10240]")) == 4
+    assert executor_cores(session("local[*]")) == 8
+    assert executor_cores(session("spark://host:7077", "6")) == 6 and executor_cores(session("yarn")) == 1
