@@ -71,3 +71,65 @@ def test_running_sums_and_neighbours_across_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert Ranges(df.limit(0), [F.col("k")]).sums(s="v").count() == 0
+
+
+def test_targeted_curve_searches_components_once(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    pairs = sorted({tuple(sorted(map(int, rng.integers(0, 60, 2)))) for _ in range(110)} | {(100, 100), (200, 201)})
+    alive, want, base = {x for p in pairs for x in p}, [], None
+    n = len(alive)
+    batch = -(-n // 7)
+    order = []
+    for _ in range(8):
+        own = [(u, v) for u, v in pairs if not {u, v} & set(order)]
+        giant, kappa = (one_by_one(own, sorted({x for p in own for x in p}))[0] if own else (0, None))
+        k = {}
+        for x in (x for p in own for x in p):
+            k[x] = k.get(x, 0) + 1
+        parts = {x: {x} for p in own for x in p}
+        for u, v in own:
+            if parts[u] is not parts[v]:
+                parts[u] |= parts[v]
+                for x in parts[u]:
+                    parts[x] = parts[u]
+        most = max((len(p) for p in parts.values()), default=int(len(order) < n))
+        base = base or most
+        want.append((len(order) / n, most / base, kappa))
+        if not own or len(order) >= n - 1:
+            break
+        order += sorted(k, key=lambda x: (-k[x], x))[:batch]
+    calls = []
+    real = RB.connected_components
+    monkeypatch.setattr(RB, "connected_components", lambda e: calls.append(1) or real(e))
+    got = sorted(tuple(r) for r in RB.targeted_removal_curve(edges_df(spark, pairs), steps=7).collect())
+    assert [r[:2] for r in got] == [pytest.approx(w[:2]) for w in want]
+    assert [r[2] for r in got] == [None if w[2] is None else pytest.approx(w[2]) for w in want]
+    assert len(calls) < len(got)          # not one search a step
+
+
+def test_nth_of_tied_rows_by_passes(spark):
+    from meridian.operators import sampling as SA
+    df = spark.range(3000).select((F.col("id") * 1_000_003 - 7_000_000_000).alias("id"), F.lit(5).alias("h"))
+    got = sorted(r.id for r in SA.smallest_n(df, 1234, "h", ["id"]).collect())
+    assert got == [i * 1_000_003 - 7_000_000_000 for i in range(1234)]
+    assert SA._nth_tie(df, 1234, ["id"]) == (1233 * 1_000_003 - 7_000_000_000,)
+
+
+def test_forest_of_tasks_and_of_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = sorted({(*sorted(map(int, rng.integers(0, 90, 2))), int(rng.integers(0, 6))) for _ in range(600)})
+    df = spark.createDataFrame(rows, "u long, v long, w long").repartition(5)
+    parent, want = {}, set()
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v, w in sorted(rows, key=lambda r: (-r[2], r[0], r[1])):
+        if root(u) != root(v):
+            parent[root(u)] = root(v)
+            want.add((u, v, w))
+    for block, held in ((None, 500_000), (3, 500_000), (3, 20)):
+        monkeypatch.setattr(RB, "FOREST_ROWS", held)
+        assert {tuple(r) for r in RB.spanning_forest(df, block).collect()} == want
