@@ -62,3 +62,35 @@ def test_lanczos_tridiagonal_matches_numpy(spark):
     _, al, be = LA.lanczos(_coo(spark, M), _vec(spark, np.ones(n)), n)
     T = LA.tridiagonal(al, be[:len(al) - 1])
     assert np.allclose(sorted(np.linalg.eigvalsh(T)), sorted(np.linalg.eigvalsh(M)), atol=1e-6)
+
+
+def test_krylov_block_is_one_product_and_few_jobs(spark):
+    """Close pairs at the end of a bulk; jobs per block, and the pairs of a space restarted in between."""
+    n = 60
+    rng = np.random.default_rng(5)
+    B = rng.random((n, n))
+    A = np.triu(B, 1) + np.triu(B, 1).T
+    L = np.diag(A.sum(axis=1)) - A
+    coo = _coo(spark, L)
+    sc = spark.sparkContext
+    sc.setJobGroup("krylov", "krylov")
+    try:
+        vals, vec, residual = LA.block_krylov_eigs(coo, 3)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("krylov"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    exact = np.linalg.eigvalsh(L)
+    assert jobs <= 130 and np.allclose(vals, exact[:3], atol=1e-8)
+    V = np.zeros((n, 3))
+    for r in vec.collect():
+        V[r.i, r.pos] = r.v
+    assert np.allclose(V.T @ V, np.eye(3), atol=1e-10)
+    assert abs(np.linalg.norm(L @ V - V * np.array(vals), axis=0).max() - residual) < 1e-6 and residual < 1e-6 * exact[2]
+    again, _, _ = LA.block_krylov_eigs(coo, 2, steps=5, which="largest")
+    assert np.allclose(again, exact[::-1][:2], atol=1e-8)
+
+
+def test_krylov_of_few_rows_and_none(spark):
+    vals, vec, residual = LA.block_krylov_eigs(_coo(spark, np.array([[2.0, 1.0], [1.0, 2.0]])), 3)
+    assert np.allclose(vals, [1, 3]) and vec.count() == 4 and residual < 1e-9
+    assert LA.spectral_norm(spark.createDataFrame([], "i long, j long, v double")) == 0.0
