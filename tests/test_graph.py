@@ -1,6 +1,7 @@
 import numpy as np
 
 from conftest import edges_df
+from meridian.operators.graph import build as GB
 from meridian.operators.graph import components as GC
 from meridian.operators.graph import degree as GD
 from meridian.operators.graph import rank as GR
@@ -89,3 +90,32 @@ def test_personalized_pagerank_mass(spark):
     p = GR.personalized_pagerank(edges_df(spark, GRAPHS["tri_tail"]), seeds).collect()
     for s in (1, 4):
         assert abs(sum(r.score for r in p if r.seed == s) - 1) < 1e-9
+
+
+def test_orientations_and_nodes_read_edges_once(spark):
+    e = edges_df(spark, [(1, 2, 3), (2, 2, 1), (2, 5, 4)])
+    for d in (GB.symmetric(e), GB.nodes(e)):
+        assert d._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert sorted(map(tuple, GB.symmetric(e).collect())) == [(1, 2, 3), (2, 1, 3), (2, 2, 1), (2, 5, 4), (5, 2, 4)]
+    assert sorted(r.node for r in GB.nodes(e).collect()) == [1, 2, 5]
+
+
+def test_personalized_pagerank_round_reads_the_last_once(spark, monkeypatch):
+    e = edges_df(spark, [(1, 2, 3), (2, 2, 1), (2, 5, 4), (7, 8, 0)])
+    seeds = spark.createDataFrame([(1,), (7,), (9,)], "seed long")
+    chain = []
+
+    def converge(x, step, *rest, **more):
+        for _ in range(4):
+            x = step(x)
+        chain.append(x)
+        return x
+
+    with monkeypatch.context() as m:
+        m.setattr(GR, "_converge", converge)
+        GR.personalized_pagerank(e, seeds)
+    assert chain[0]._jdf.queryExecution().optimizedPlan().toString().count("Join") == 4
+    got = {(r.seed, r.node): r.score for r in GR.personalized_pagerank(e, seeds, tol=1e-12).collect()}
+    t = np.array([[0, 1, 0], [3 / 8, 1 / 8, 4 / 8], [0, 1, 0]])
+    x = 0.15 * np.linalg.inv(np.eye(3) - 0.85 * t.T)[:, 0]
+    assert all(abs(got[1, n] - v) < 1e-9 for n, v in zip((1, 2, 5), x, strict=True)) and got[7, 7] == got[9, 9] == 1.0
