@@ -24,44 +24,37 @@ BUCKET = 4096
 def rewire(edges: DataFrame, rounds: int = 1, seed: int = 0, replicas: int | None = None) -> DataFrame:
     """Replica, u, v (unweighted simple graph, u < v) after ``rounds``
     swap rounds per replica.  ``replicas=None`` returns one replica (0)."""
-    base = simple_edges(edges)
-    nrep = replicas or 1
-    cur = cut(base.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(nrep - 1)))))
+    return _rewired(cut(simple_edges(edges)), rounds, seed, replicas or 1)
+
+
+def _rewired(base: DataFrame, rounds: int, seed: int, nrep: int) -> DataFrame:
+    """``rewire`` of a simple graph that is written already.  The first round reads its edges once for
+    all replicas: their copies are neither written nor joined."""
     m = base.count()
     nb = max(1, m // BUCKET)
+    cur, graph, on = base.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(nrep - 1)))), base, ["u", "v"]
     for r in range(rounds):
         key = F.pmod(F.xxhash64("u", "v", "replica", F.lit(seed * 131 + r)), F.lit(1 << 31))
         e = cur.withColumn("_h", key).withColumn("_b", F.pmod(F.col("_h"), F.lit(nb)))
         w = Window.partitionBy("replica", "_b").orderBy("_h", "u", "v")
-        e = e.withColumn("_rn", F.row_number().over(w) - 1)
-        e = e.withColumn("_pair", F.floor(F.col("_rn") / 2)).withColumn("_side", F.col("_rn") % 2)
-        a = e.filter("_side = 0").select("replica", "_b", "_pair", F.col("u").alias("a"), F.col("v").alias("b"),
-                                         F.col("_h").alias("_ha"))
-        c = e.filter("_side = 1").select("replica", "_b", "_pair", F.col("u").alias("c"), F.col("v").alias("d"))
-        pr = a.join(c, ["replica", "_b", "_pair"])
-        flip = F.pmod(F.col("_ha"), F.lit(2)) == 1        # which of the two swaps
-        n1u = F.col("a")
-        n1v = F.when(flip, F.col("c")).otherwise(F.col("d"))
-        n2u = F.when(flip, F.col("b")).otherwise(F.col("c"))
-        n2v = F.when(flip, F.col("d")).otherwise(F.col("b"))
-        pr = pr.select("replica", "_b", "_pair", "a", "b", "c", "d",
-                       F.least(n1u, n1v).alias("x1"), F.greatest(n1u, n1v).alias("y1"),
-                       F.least(n2u, n2v).alias("x2"), F.greatest(n2u, n2v).alias("y2"))
-        pr = cut(pr)
-        prop = (pr.select("replica", "_b", "_pair", F.col("x1").alias("u"), F.col("y1").alias("v"))
-                .unionByName(pr.select("replica", "_b", "_pair", F.col("x2").alias("u"), F.col("y2").alias("v"))))
-        dup = prop.groupBy("replica", "u", "v").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        bad = (prop.filter(F.col("u") == F.col("v")).select("replica", "_b", "_pair")
-               .unionByName(prop.join(cur.select("replica", "u", "v"), ["replica", "u", "v"], "left_semi")
-                            .select("replica", "_b", "_pair"))
-               .unionByName(prop.join(dup, ["replica", "u", "v"], "left_semi").select("replica", "_b", "_pair"))
-               .distinct())
-        ok = pr.join(bad, ["replica", "_b", "_pair"], "left_anti")
-        removed = (ok.select("replica", F.col("a").alias("u"), F.col("b").alias("v"))
-                   .unionByName(ok.select("replica", F.col("c").alias("u"), F.col("d").alias("v"))))
-        added = (ok.select("replica", F.col("x1").alias("u"), F.col("y1").alias("v"))
-                 .unionByName(ok.select("replica", F.col("x2").alias("u"), F.col("y2").alias("v"))))
-        cur = cut(cur.join(removed, ["replica", "u", "v"], "left_anti").unionByName(added))
+        # The next edge of the bucket is the partner of every second one; the last may have none and stays.
+        e = e.select("replica", "_b", "_h", F.col("u").alias("a"), F.col("v").alias("b"), F.lead("u").over(w).alias("c"),
+                     F.lead("v").over(w).alias("d"), (F.row_number().over(w) - 1).alias("_rn")).where("_rn % 2 = 0")
+        pair = F.col("_b") * F.lit(m) + F.floor(F.col("_rn") / 2)      # a bucket has fewer pairs than m
+        flip = F.pmod(F.col("_h"), F.lit(2)) == 1         # which of the two swaps
+        pr = cut(e.select("replica", pair.alias("_pair"), "a", "b", "c", "d", flip.alias("_flip")))
+        ends = [(F.col("a"), F.when(F.col("_flip"), F.col("c")).otherwise(F.col("d"))),
+                (F.when(F.col("_flip"), F.col("b")).otherwise(F.col("c")), F.when(F.col("_flip"), F.col("d")).otherwise(F.col("b")))]
+        swapped = [F.struct(F.least(x, y).alias("u"), F.greatest(x, y).alias("v")) for x, y in ends]
+        kept = [F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ("ab", "cd")]
+        prop = pr.where("c is not null").select("replica", "_pair", F.inline(F.array(*swapped))).where("u <> v")
+        # An edge list may be a hundred times larger in memory than in its files, so it is not to be broadcast.
+        fresh = prop.join(graph.select(*on).hint("merge"), on, "left_anti")
+        once = fresh.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("replica", "u", "v"))).where("_n = 1")
+        ok = once.groupBy("replica", "_pair").agg(F.count(F.lit(1)).alias("_n")).where("_n = 2").select("replica", "_pair", F.lit(True).alias("_ok"))
+        now = (F.when(F.col("_ok"), F.array(*swapped)).when(F.col("c").isNotNull(), F.array(*kept)).otherwise(F.array(kept[0])))
+        cur = cut(pr.join(ok, ["replica", "_pair"], "left").select("replica", F.inline(now)))
+        graph, on = cur, ["replica", "u", "v"]
     return cur.select("replica", "u", "v")
 
 
@@ -70,11 +63,12 @@ def knn_null_comparison(edges: DataFrame, replicas: int = 100, rounds: int = 1,
     knn_null_unweighted (mean over ``replicas`` rewired graphs, weight 1)."""
     from meridian.operators.graph.degree import avg_neighbor_degree, strength
     orig = avg_neighbor_degree(edges).join(strength(edges), "node")
-    rw = rewire(edges, rounds, seed, replicas)
-    sym = (rw.select("replica", F.col("u").alias("src"), F.col("v").alias("dst"))
-           .unionByName(rw.select("replica", F.col("v").alias("src"), F.col("u").alias("dst"))))
-    deg = sym.groupBy("replica", F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("k"))
-    nk = (sym.join(deg.select("replica", F.col("node").alias("dst"), F.col("k").alias("_kj")), ["replica", "dst"])
-          .groupBy("replica", F.col("src").alias("node")).agg(F.avg("_kj").alias("_knn")))
+    base = cut(simple_edges(edges))
+    rw = _rewired(base, rounds, seed, replicas)
+    # Rewiring keeps every node's degree, so the degrees of the graph are those of all replicas.
+    deg = base.select(F.explode(F.array("u", "v")).alias("dst")).groupBy("dst").agg(F.count(F.lit(1)).alias("_kj"))
+    sym = rw.select("replica", F.inline(F.array(F.struct(F.col("u").alias("src"), F.col("v").alias("dst")),
+                                                F.struct(F.col("v").alias("src"), F.col("u").alias("dst")))))
+    nk = sym.join(deg, "dst").groupBy("replica", F.col("src").alias("node")).agg(F.avg("_kj").alias("_knn"))
     null = nk.groupBy("node").agg((F.sum("_knn") / F.lit(float(replicas))).alias("knn_null_unweighted"))
     return orig.join(null, "node", "left")
