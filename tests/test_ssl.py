@@ -159,3 +159,60 @@ def test_cores_of_an_executor_are_found_where_the_master_names_them():
     assert executor_cores(session("local-cluster[3,4,10240]")) == 4
     assert executor_cores(session("local[*]")) == 8
     assert executor_cores(session("spark://host:7077", "6")) == 6 and executor_cores(session("yarn")) == 1
+
+
+def test_solvers_multiply_only_new_directions(dense):
+    ids, total, inner, b, truth = dense
+    group = np.sort(ids % 4)
+    first = np.searchsorted(group, np.arange(5))
+    start = {"random": np.random.default_rng(3).random(len(ids)) * 2 - 1}
+    columns = [("gd", "random"), ("bcgd_cyclic", "random"), ("bcgd_random_lipschitz", "random")]
+    running, times = S.descent(total - inner.sum(1), b, truth, group, first, columns, start, 10_000, 1e-8), 0
+    try:
+        d = next(running)
+        while True:
+            times, d = times + 1, running.send(inner @ d)
+    except StopIteration as end:
+        rows, y = end.value
+    assert np.allclose(y, np.linalg.solve(np.diag(total) - inner, b)[:, None], atol=1e-8)
+    grad = np.linalg.norm(2 * (y * total[:, None] - b[:, None] - inner @ y), axis=0)
+    assert (grad <= 1.05e-8).all()                          # measured with all products, not with the span
+    assert len(rows) > 1_000 and times < len(rows) / 5
+
+
+def test_span_allows_no_more_than_it_is_told():
+    rng = np.random.default_rng(8)
+    w = rng.random((40, 40))
+    own, d = [slice(0, 25), slice(25, 40)], rng.random((3, 40))
+    span, sums, asked = K.Span(40, 2, own, np.linalg.norm(w, 2)), np.zeros((2, 40)), 0
+
+    def product(step, allowed):
+        nonlocal asked
+        running = span.product(step, allowed)
+        try:
+            x = next(running)
+            asked += x.shape[1]
+            running.send(w @ x)
+        except StopIteration as end:
+            return end.value
+
+    moved = np.zeros((2, 40))
+    for r in range(60):
+        step = np.stack([(0.8 ** r) * d[r % 2], (0.7 ** r) * np.where(np.arange(40) < 25, d[2], 0)])
+        moved += step
+        sums += product(step, np.array([1e-6, 1e-9]))
+        assert (np.linalg.norm(sums - moved @ w.T, axis=1) <= (1e-6, 1e-9)).all()
+    sums += product(np.zeros((2, 40)), np.zeros(2))
+    assert np.allclose(sums, moved @ w.T, rtol=0, atol=1e-12) and asked < 12
+
+
+def test_one_task_is_sent_vectors_and_writes_no_tiles(lp, dense):
+    ids, _, inner, _, _ = dense
+    tiles = K.KernelTiles(lp.where("not is_labeled"), tile=60)
+
+    def program():
+        got = yield np.ones((len(ids), 1))
+        return [(i, float(x)) for i, x in enumerate(got[:, 0])]
+
+    got = [r.a for r in sorted(tiles.run(program, "i int, a double").collect())]
+    assert np.allclose(got, inner[np.searchsorted(ids, tiles.ids)].sum(1)) and "tiles" not in vars(tiles)
